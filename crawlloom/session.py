@@ -46,3 +46,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() > max_rows:
         return None
     return F.broadcast(df)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_keys(df: DataFrame, keys) -> DataFrame:
+    """Shuffle by ``keys`` into the configured number of partitions.
+
+    A stated number keeps adaptive execution from merging partitions that are
+    small in bytes but long in computing.
+    """
+    return df.repartition(shuffle_partitions(df.sparkSession), *keys)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over all cores when the input has fewer files than cores.
+
+    A large input is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
