@@ -40,7 +40,8 @@ def strip_replacement_char(text: Column) -> Column:
 
 
 def b64(text: Column) -> Column:
-    return F.base64(F.encode(text, "UTF-8"))
+    """Base64 of the UTF-8 bytes on one line, whatever the session's line setting."""
+    return F.replace(F.base64(F.encode(text, "UTF-8")), F.lit("\r\n"), F.lit(""))
 
 
 def byte_length(text: Column) -> Column:
