@@ -181,16 +181,14 @@ def document_spans(spark, sf):
 
 
 def span_borders(spark, sf):
-    """Each conversation as one text: borders between its languages, sharpened."""
-    turns = table(spark, sf, "conversations")
-    # a conversation is one short text
-    joined = turns.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("text")
-    )
+    """Each document followed by the next one: borders between languages, sharpened."""
+    d = docs(spark, sf)
+    after = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("more"))
+    joined = d.join(after, "doc_id").select("doc_id", F.concat_ws("\n", "text", "more").alias("text"))
     m = model(spark, sf)
-    hits = gram_hits(joined, m, ["conv_id"])
-    chunks = S.chunk_language(S.chunk_scores(hits, ["conv_id"]), m.expected, ["conv_id"])
-    return refine_boundaries(hits, chunks, ["conv_id"]).select("conv_id", "chunk", "border")
+    hits = gram_hits(joined, m, KEYS)
+    chunks = S.chunk_language(S.chunk_scores(hits, KEYS), m.expected, KEYS)
+    return refine_boundaries(hits, chunks, KEYS).select("doc_id", "chunk", "border")
 
 
 def priors(spark, sf):
@@ -254,6 +252,8 @@ def _grams_sql(name: str, units: str, quads: bool) -> str:
 
 
 _DOCS = "SELECT doc_id AS id, lang AS gold, text FROM documents"
+_NEXT = """SELECT a.doc_id AS id, a.lang AS gold, a.text || '\n' || b.text AS text
+    FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1"""
 _TURNS = "SELECT conv_id * 1000000 + turn AS id, '' AS gold, text FROM conversations"
 
 
@@ -343,12 +343,12 @@ _PRIORS = """WITH d AS (SELECT doc_id, lang,
     CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN lang || ',ms' WHEN 2 THEN 'da-dk' WHEN 3 THEN lang || '-XX,' || lang ELSE 'czech,xx' END AS tags,
     CASE doc_id % 3 WHEN 0 THEN lang WHEN 1 THEN 'ch' ELSE 'com' END AS tld,
     CASE doc_id % 4 WHEN 0 THEN 'ja' END AS enc, CASE doc_id % 7 WHEN 0 THEN lang END AS stated FROM documents),
-  tg(tag, lang, weight) AS (VALUES ('en','en',10), ('fr','fr',10), ('de','de',10), ('es','es',10), ('ms','ms',10), ('ms','id',-4),
+  tagp(tag, lang, weight) AS (VALUES ('en','en',10), ('fr','fr',10), ('de','de',10), ('es','es',10), ('ms','ms',10), ('ms','id',-4),
     ('da','da',10), ('da','no',-4), ('czech','cs',10)),
-  tl(tld, lang, weight) AS (VALUES ('fr','fr',4), ('de','de',4), ('es','es',4), ('ch','de',4), ('ch','fr',4)),
-  h AS (SELECT doc_id, tg.lang, max(weight) AS weight, 0 AS k FROM (SELECT doc_id, unnest(string_split(tags, ',')) AS t FROM d) JOIN tg
-      ON tg.tag = CASE WHEN t = 'czech' THEN t ELSE split_part(t, '-', 1) END GROUP BY 1, 2
-    UNION ALL SELECT doc_id, tl.lang, weight, 1 FROM d JOIN tl USING (tld)
+  tldp(tld, lang, weight) AS (VALUES ('fr','fr',4), ('de','de',4), ('es','es',4), ('ch','de',4), ('ch','fr',4)),
+  h AS (SELECT doc_id, tagp.lang, max(weight) AS weight, 0 AS k FROM (SELECT doc_id, unnest(string_split(tags, ',')) AS t FROM d) JOIN tagp
+      ON tagp.tag = CASE WHEN t = 'czech' THEN t ELSE split_part(t, '-', 1) END GROUP BY 1, 2
+    UNION ALL SELECT doc_id, tldp.lang, weight, 1 FROM d JOIN tldp USING (tld)
     UNION ALL SELECT doc_id, enc, 4, 2 FROM d WHERE enc IS NOT NULL
     UNION ALL SELECT doc_id, stated, 8, 3 FROM d WHERE stated IS NOT NULL),
   g AS (SELECT doc_id, lang, (arg_min(weight, k) + 2 * (count(*) - 1))::INTEGER AS weight, min(k) AS k FROM h GROUP BY doc_id, lang),
@@ -464,10 +464,36 @@ ENTRIES = {
         f"""{_chunks_sql()}, dd AS (SELECT id AS doc_id, chunk, CASE WHEN reliability >= 50 THEN lang1 ELSE 'un' END AS vl, bytes AS b FROM ck),
         {_islands_sql("dd", "vl", "b", "doc_id", "chunk")}""",
     ),
-    "span_borders": (span_borders, None),
+    "span_borders": (
+        span_borders,
+        f"""{_chunks_sql(_NEXT)}, pb AS (SELECT id, chunk, lang1 AS aft, lag(lang1) OVER (PARTITION BY id ORDER BY chunk) AS bef FROM ck),
+        pp AS (SELECT *, unnest([chunk - 1, chunk]) AS ofc FROM pb WHERE bef <> aft),
+        sc AS (SELECT pp.id, pp.chunk, pos, coalesce(sum(CASE lang WHEN bef THEN weight WHEN aft THEN -weight END), 0) AS lead
+          FROM hi JOIN pp ON hi.id = pp.id AND hi.chunk = ofc GROUP BY ALL),
+        ru AS (SELECT *, sum(lead) OVER (PARTITION BY id, chunk ORDER BY pos) AS run FROM sc)
+        SELECT id AS doc_id, chunk, pos + 1 AS border FROM ru
+        QUALIFY row_number() OVER (PARTITION BY id, chunk ORDER BY run DESC, pos DESC) = 1""",
+    ),
     "language_priors": (priors, f"{_PRIORS} SELECT doc_id, lang, weight FROM pr"),
-    "chunk_scores_with_priors": (chunk_scores_with_priors, None),
-    "chunk_scores_with_boost": (chunk_scores_with_boost, None),
+    "chunk_scores_with_priors": (
+        chunk_scores_with_priors,
+        f"""{_score_sql()}, {_PRIORS[5:]}, al AS (SELECT id, chunk, lang, score, hits, bytes FROM cs
+          UNION ALL SELECT id, chunk, lang, weight, 0, 0 FROM (SELECT DISTINCT id, chunk FROM cs)
+          JOIN pr ON pr.doc_id = id WHERE weight > 0)
+        SELECT id AS doc_id, chunk, lang, sum(score)::BIGINT AS score, sum(hits)::BIGINT AS hits, sum(bytes)::BIGINT AS bytes
+        FROM al GROUP BY ALL""",
+    ),
+    "chunk_scores_with_boost": (
+        chunk_scores_with_boost,
+        f"""{_score_sql()}, sg AS (SELECT id, chunk, pos, any_value(lang) AS lang, any_value(weight) AS weight FROM hi
+          WHERE starts_with(gram, 'w:') AND lang IS NOT NULL GROUP BY id, chunk, pos HAVING count(*) = 1),
+        nb AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS k FROM sg),
+        up AS (SELECT id, chunk, max(k) AS upto FROM (SELECT DISTINCT id, chunk FROM cs) LEFT JOIN nb USING (id, chunk) GROUP BY ALL),
+        bf AS (SELECT id, chunk, max(upto) OVER (PARTITION BY id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM up),
+        al AS (SELECT * FROM cs UNION ALL SELECT bf.id, bf.chunk, lang, weight, 0, 0 FROM bf JOIN nb ON nb.id = bf.id AND k BETWEEN seen - 3 AND seen)
+        SELECT id AS doc_id, chunk, lang, sum(score)::BIGINT AS score, sum(hits)::BIGINT AS hits, sum(bytes)::BIGINT AS bytes
+        FROM al GROUP BY ALL""",
+    ),
     "repeated_words": (
         repeated_words,
         r"""WITH l AS (SELECT doc_id, string_split(trim(lower(regexp_replace(text, '[^\p{L}\p{M}]+', ' ', 'g'))), ' ') AS ws FROM documents),

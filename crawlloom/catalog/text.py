@@ -308,6 +308,11 @@ x AS (SELECT *, CASE WHEN NOT http_ok THEN 'text' WHEN zip_type IS NOT NULL THEN
 _DECODE = "replace(replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '&nbsp;', ' ')"
 
 
+def _decode_sql(text: str) -> str:
+    """Character references decoded once; an ampersand may be cut off at the end."""
+    return _DECODE.format(f"regexp_replace({text}, '&amp;?', '&', 'g')")
+
+
 def _strip_sql(decode_bare: bool) -> str:
     steps = [
         (r"(?is)<!--.*?-->", ""),
@@ -390,9 +395,7 @@ ENTRIES = {
     ),
     "html_unescape": (
         html_unescape,
-        "SELECT page_id, url, "
-        + _DECODE.format("regexp_replace(html, '&amp;?', '&', 'g')").replace("replace(replace(replace(replace(replace(", "replace(replace(replace(replace(replace(")
-        + " AS html FROM pages",
+        f"SELECT page_id, url, {_decode_sql('html')} AS html FROM pages",
     ),
     "nfkc": (nfkc, "SELECT doc_id, nfc_normalize(text) AS text FROM documents"),
     "recode_utf8": (

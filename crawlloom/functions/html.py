@@ -37,18 +37,20 @@ NATIVE_REFERENCES = {
 
 def strip_markup_native(html: Column) -> Column:
     """Tags removed by the line-break rules; character references left alone."""
-    steps = [
-        # comments, doctypes, the content of hidden elements, a cut-off last tag
-        (
-            rf"(?is)<!--.*?(?:-->|\z)|<!doctype[^>]*+(?:>|\z)"
-            rf"|(<({_HIDDEN}){_NAME_END}[^>]*+>).*?(</\2{_NAME_END}|\z)|</?[a-z][^>]*+\z",
-            "$1$3",
-        ),
+    # comments, doctypes, the content of hidden elements, a cut-off last tag
+    visible = F.regexp_replace(
+        html,
+        rf"(?is)<!--.*?(?:-->|\z)|<!doctype[^>]*+(?:>|\z)"
+        rf"|(<({_HIDDEN}){_NAME_END}[^>]*+>).*?(</\2{_NAME_END}|\z)|</?[a-z][^>]*+\z",
+        "$1$3",
+    )
+    # before its first start tag a page is as silent as after a hidden element
+    out = F.concat(F.lit(f"<{markup.NO_TEXT[0]}>"), visible)
+    for pattern, replacement in [
         (r"\r\n?|\n", " "),
-        # no text before the first start tag, nor after a hidden element until
-        # the next start tag
+        # no text after a hidden element until the next start tag
         (
-            rf"(?i)(\A|<(?:{_HIDDEN}){_NAME_END}[^>]*+>|\G</[^>]*+>|\G<[a-z][^>]*/>)[^<]++",
+            rf"(?i)(<(?:{_HIDDEN}){_NAME_END}[^>]*+>|\G(?!\A)(?:</[^>]*+>|<[a-z][^>]*/>))[^<]*+",
             "$1",
         ),
         (
@@ -58,9 +60,7 @@ def strip_markup_native(html: Column) -> Column:
         ),
         (r"</[^>]*+>", " "),
         (r"<[^>]*+>", ""),
-    ]
-    out = html
-    for pattern, replacement in steps:
+    ]:
         out = F.regexp_replace(out, pattern, replacement)
     return out
 

@@ -120,38 +120,106 @@ def drop_unreliable(langs: Column) -> Column:
     return let(langs, _drop_unreliable)
 
 
-def top3(df: DataFrame) -> DataFrame:
-    """Adds the three largest languages: lang1.., percent1.., score1.., text_bytes.
+def _with(s: Column, names: Sequence[str], **more: Column) -> Column:
+    """The named fields of a struct and some more."""
+    kept = [s[n].alias(n) for n in names if n not in more]
+    return F.struct(*kept, *[c.alias(n) for n, c in more.items()])
 
-    Percents are differences of cumulative ones, which rounds better; a rounding
-    inversion of neighbours is put right.
-    """
+
+def _top3(langs: Column, text_bytes: Column) -> Column:
+    """Struct of the three largest languages. Every step is bound once, so that the
+    expression stays small when a filter on the result is pushed down."""
     order = F.array_sort(
         F.transform(
-            F.filter("langs", lambda x: x["lang"] != UNKNOWN),
+            F.filter(langs, lambda x: x["lang"] != UNKNOWN),
             lambda x: F.struct((-x["bytes"]).alias("neg"), x["lang"].alias("lang"), x["score"].alias("score")),
         )
-    )
-    out = df.withColumn("_top", F.slice(order, 1, 3))
-    for n in (1, 2, 3):
-        entry = F.get("_top", F.lit(n - 1))
-        out = out.withColumns(
-            {
-                f"lang{n}": F.coalesce(entry["lang"], F.lit(UNKNOWN)),
-                f"_b{n}": F.coalesce(-entry["neg"], F.lit(0)),
-                f"score{n}": F.coalesce(F.floor(entry["score"] * 1024 / F.greatest(-entry["neg"], F.lit(1))), F.lit(0)),
-            }
+    )
+    named = [f"{n}{i}" for i in (1, 2, 3) for n in ("lang", "score")]
+    sizes = ["b1", "b2", "b3"]
+    shares = ["percent1", "percent2", "percent3"]
+
+    def entries(top: Column) -> Column:
+        fields = {}
+        for n in (1, 2, 3):
+            entry = F.get(top, F.lit(n - 1))
+            fields[f"lang{n}"] = F.coalesce(entry["lang"], F.lit(UNKNOWN))
+            fields[f"b{n}"] = F.coalesce(-entry["neg"], F.lit(0))
+            per_kb = F.floor(entry["score"] * 1024 / F.greatest(-entry["neg"], F.lit(1)))
+            fields[f"score{n}"] = F.coalesce(per_kb, F.lit(0))
+        return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+    def sized(s: Column) -> Column:
+        total = F.greatest(text_bytes, s["b1"] + s["b2"] + s["b3"])
+        return _with(s, named + sizes, text_bytes=total)
+
+    def cumulative(s: Column) -> Column:
+        size = F.greatest(s["text_bytes"], F.lit(1))
+        upto = [s["b1"], s["b1"] + s["b2"], s["b1"] + s["b2"] + s["b3"]]
+        c1, c2, c3 = (F.floor(b * 100 / size).cast("int") for b in upto)
+        return _with(s, [*named, "text_bytes"], percent1=c1, percent2=c2 - c1, percent3=c3 - c2)
+
+    def levelled(first: str, second: str):
+        def level(s: Column) -> Column:
+            up = F.when(s[first] < s[second], 1).otherwise(0)
+            return _with(
+                s, [*named, "text_bytes", *shares], **{first: s[first] + up, second: s[second] - up}
+            )
+
+        return level
+
+    out = F.slice(order, 1, 3)
+    for step in (
+        entries,
+        sized,
+        cumulative,
+        levelled("percent2", "percent3"),
+        levelled("percent1", "percent2"),
+    ):
+        out = let(out, step)
+    return out
+
+
+def _summary(top: Column, best_effort: bool) -> Column:
+    """Struct of the language and whether it is reliable, from the top three."""
+
+    def choose(t: Column) -> Column:
+        l1, l2, p1, p2 = t["lang1"], t["lang2"], t["percent1"], t["percent2"]
+        enough = (l2 != UNKNOWN) & (F.floor(t["text_bytes"] * p2 / 100) >= SECOND_BYTES)
+        over_english = (l1 == "en") & (l2 != "en") & enough & (p2 >= SECOND_OVER_ENGLISH)
+        over_figs = l1.isin(FIGS) & ~l2.isin(EFIGS) & enough & (p2 >= SECOND_OVER_FIGS)
+        second = over_english | over_figs
+        less_second = ((l2 == "en") & (l1 != "en")) | (l2.isin(FIGS) & ~l1.isin(EFIGS))
+        percent = (
+            F.when(second, F.floor(p2 * 100 / (101 - p1)))
+            .when(less_second, F.floor(p1 * 100 / (101 - p2)))
+            .otherwise(p1)
+        )
+        fine = (p1 >= KEEP_PERCENT) & (100 - (p1 + p2 + t["percent3"]) <= IGNORED_PERCENT)
+        return F.struct(
+            F.when(second, l2).otherwise(l1).alias("lang"),
+            percent.alias("percent"),
+            fine.alias("fine"),
+        )
+
+    def settle(s: Column) -> Column:
+        too_small = (s["percent"] < FIRST_PERCENT) & F.lit(not best_effort)
+        return F.struct(
+            F.when(too_small, F.lit(UNKNOWN)).otherwise(s["lang"]).alias("lang"),
+            (s["fine"] & ~too_small & (s["percent"] >= FIRST_RELIABLE_PERCENT)).alias("reliable"),
         )
-    b1, b2, b3 = F.col("_b1"), F.col("_b2"), F.col("_b3")
-    out = out.withColumn("text_bytes", F.greatest("text_bytes", b1 + b2 + b3))
-    size = F.greatest("text_bytes", F.lit(1))
-    c1, c2, c3 = (F.floor(b * 100 / size).cast("int") for b in (b1, b1 + b2, b1 + b2 + b3))
-    out = out.withColumns({"_p1": c1, "_p2": c2 - c1, "_p3": c3 - c2})
-    up = F.when(F.col("_p2") < F.col("_p3"), 1).otherwise(0)
-    out = out.withColumns({"_p2": F.col("_p2") + up, "_p3": F.col("_p3") - up})
-    up = F.when(F.col("_p1") < F.col("_p2"), 1).otherwise(0)
-    out = out.withColumns({"percent1": F.col("_p1") + up, "percent2": F.col("_p2") - up, "percent3": F.col("_p3")})
-    return out.drop("_top", "_b1", "_b2", "_b3", "_p1", "_p2", "_p3")
+
+    return let(let(top, choose), settle)
+
+
+def top3(df: DataFrame) -> DataFrame:
+    """Adds the three largest languages: lang1.., percent1.., score1.., text_bytes.
+
+    Percents are differences of cumulative ones, which rounds better; a rounding
+    inversion of neighbours is put right. Scores are per 1024 bytes.
+    """
+    top = df.withColumn("_top", _top3(F.col("langs"), F.col("text_bytes"))).drop("text_bytes")
+    return top.select("*", "_top.*").drop("_top")
 
 
 def summary_language(df: DataFrame, best_effort: bool = False) -> DataFrame:
@@ -161,28 +229,9 @@ def summary_language(df: DataFrame, best_effort: bool = False) -> DataFrame:
     German and Spanish, which are then taken for boilerplate; a second language
     of that kind is left out of the first one's percentage.
     """
-    l1, l2 = F.col("lang1"), F.col("lang2")
-    p1, p2, p3 = F.col("percent1"), F.col("percent2"), F.col("percent3")
-    enough = (l2 != UNKNOWN) & (F.floor(F.col("text_bytes") * p2 / 100) >= SECOND_BYTES)
-    over_english = (l1 == "en") & (l2 != "en") & enough & (p2 >= SECOND_OVER_ENGLISH)
-    over_figs = l1.isin(FIGS) & ~l2.isin(EFIGS) & enough & (p2 >= SECOND_OVER_FIGS)
-    second = over_english | over_figs
-    less_second = ((l2 == "en") & (l1 != "en")) | (l2.isin(FIGS) & ~l1.isin(EFIGS))
-    percent = (
-        F.when(second, F.floor(p2 * 100 / (101 - p1)))
-        .when(less_second, F.floor(p1 * 100 / (101 - p2)))
-        .otherwise(p1)
-    )
-    out = df.withColumns({"_second": second, "_percent": percent})
-    too_small = (F.col("_percent") < FIRST_PERCENT) & F.lit(not best_effort)
-    lang = F.when(too_small, F.lit(UNKNOWN)).when(F.col("_second"), l2).otherwise(l1)
-    reliable = (
-        (p1 >= KEEP_PERCENT)
-        & ~too_small
-        & (F.col("_percent") >= FIRST_RELIABLE_PERCENT)
-        & (100 - (p1 + p2 + p3) <= IGNORED_PERCENT)
-    )
-    return out.withColumns({"lang": lang, "reliable": reliable}).drop("_second", "_percent")
+    top = F.struct(*["lang1", "lang2", "percent1", "percent2", "percent3", "text_bytes"])
+    out = df.withColumn("_summary", _summary(top, best_effort))
+    return out.select("*", "_summary.*").drop("_summary")
 
 
 def decide(totals: DataFrame, keys: Sequence[str], best_effort: bool = False) -> DataFrame:
