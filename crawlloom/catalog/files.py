@@ -37,7 +37,7 @@ from crawlloom.streaming.ingest import incremental_ingest
 _written: dict[tuple, str] = {}
 EOL = "\r\n"
 # the pages are all in UTF-8
-_UTF8_HEADER = F.replace(F.expr(HEADER), F.lit("iso-8859-1"), F.lit("utf-8"))
+UTF8_HEADER = HEADER.replace("iso-8859-1", "utf-8")
 
 
 def _once(spark, sf, label, write) -> str:
@@ -56,7 +56,7 @@ def warc_archive(spark, sf) -> str:
     def write(path):
         spark.dataSource.register(ArchiveDataSource)
         pages = table(spark, sf, "pages").select(
-            "page_id", "html", _UTF8_HEADER.alias("header"), F.expr(URI).alias("uri")
+            "page_id", "html", F.expr(UTF8_HEADER).alias("header"), F.expr(URI).alias("uri")
         )
         # every 17th answer is not HTTP
         status = F.when(F.col("page_id") % 17 == 0, "broken").otherwise("HTTP/1.1 200 OK")
@@ -230,7 +230,7 @@ def incremental_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("doc_id", "text_hash")
 
 
-_PAGES = f"""WITH r AS (SELECT page_id, html, replace(trim({HEADER}), 'iso-8859-1', 'utf-8') AS header, {URI} AS uri, page_id % 17 <> 0 AS ok FROM pages),
+_PAGES = f"""WITH r AS (SELECT page_id, html, trim({UTF8_HEADER}) AS header, {URI} AS uri, page_id % 17 <> 0 AS ok FROM pages),
   p AS (SELECT *, CASE WHEN ok THEN strlen(html) ELSE strlen(html) + strlen(header) + 26 END AS body_bytes,
     strlen(html) + strlen(header) + 20 + CASE WHEN ok THEN 15 ELSE 6 END AS content_length FROM r),
   t AS (SELECT *, trim(split_part(lower(header), ';', 1)) AS t0 FROM p),

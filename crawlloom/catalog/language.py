@@ -144,12 +144,12 @@ def _exploded(langs):
 
 def close_pair_merge(spark, sf):
     langs = D.gather(_totals(spark, sf), ["grp"])
-    return _exploded(langs.withColumn("langs", D.merge_close_pairs(F.col("langs"))))
+    return _exploded(D.merge_close_pairs(langs))
 
 
 def drop_unreliable(spark, sf):
     langs = D.gather(_totals(spark, sf), ["grp"])
-    return _exploded(langs.withColumn("langs", D.drop_unreliable(F.col("langs"))))
+    return _exploded(D.drop_unreliable(langs))
 
 
 def lang_top3_percent(spark, sf):

@@ -8,18 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlloom.functions.columns import let
-from crawlloom.operators.langid.dims import CLOSEST, UNKNOWN, close_set_of, map_of
+from crawlloom.operators.langid.dims import CLOSEST, UNKNOWN, close_set_of, map_sql
 
 KEEP_RELIABILITY = 41
 KEEP_PERCENT = 2
 SECOND_OVER_ENGLISH, SECOND_OVER_FIGS, SECOND_BYTES = 17, 20, 15
 FIRST_PERCENT, FIRST_RELIABLE_PERCENT, IGNORED_PERCENT = 26, 51, 20
-FIGS = ["fr", "it", "de", "es"]
-EFIGS = ["en", *FIGS]
+FIGS = "('fr', 'it', 'de', 'es')"
+EFIGS = "('en', 'fr', 'it', 'de', 'es')"
+
+# The rules are SQL text: the same lambdas built call by call take seconds to plan.
 
 
 def gather(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,186 +31,62 @@ def gather(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _sum(items: Column, field: str) -> Column:
-    return F.aggregate(items, F.lit(0).cast("long"), lambda acc, y: acc + y[field])
+def _let(value: str, name: str, body: str) -> str:
+    """SQL that evaluates ``value`` once and uses it as ``name`` in ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _merge_close_pairs(langs: Column) -> Column:
-    sets = map_of(close_set_of())
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in fields.items()) + ")"
 
-    def of(x: Column) -> Column:
-        return F.element_at(sets, x["lang"])
 
-    def beaten(x: Column) -> Column:
-        return F.exists(
-            langs,
-            lambda y: (of(y) == of(x))
-            & ((y["bytes"] > x["bytes"]) | ((y["bytes"] == x["bytes"]) & (y["lang"] < x["lang"]))),
-        )
+def _sum(items: str, field: str) -> str:
+    return f"aggregate({items}, 0L, (a, y) -> a + y.{field})"
 
-    def merged(x: Column) -> Column:
-        same = F.filter(langs, lambda y: of(y) == of(x))
-        return F.when(of(x).isNull(), x).otherwise(
-            F.struct(
-                x["lang"].alias("lang"),
-                _sum(same, "bytes").alias("bytes"),
-                _sum(same, "score").alias("score"),
-                _sum(same, "rel").alias("rel"),
-            )
-        )
 
-    return F.transform(F.filter(langs, lambda x: of(x).isNull() | ~F.coalesce(beaten(x), F.lit(False))), merged)
+_LANG = {n: f"x.{n}" for n in ("lang", "bytes", "score", "rel")}
 
 
-def merge_close_pairs(langs: Column) -> Column:
+def merge_close_pairs(langs: DataFrame) -> DataFrame:
     """Of each set of close languages, the one with most bytes takes all."""
-    return let(langs, _merge_close_pairs)
-
-
-def _percent(x: Column) -> Column:
-    return F.floor(x["rel"] / F.greatest(x["bytes"], F.lit(1))).cast("long")
-
-
-def _drop_unreliable(langs: Column) -> Column:
-    closest = map_of(CLOSEST)
-
-    def alt(x: Column) -> Column:
-        return F.coalesce(F.element_at(closest, x["lang"]), F.lit(""))
-
-    def weak(x: Column) -> Column:
-        return _percent(x) < KEEP_RELIABILITY
-
-    def paired(x: Column, y: Column) -> Column:
-        return (
-            (x["lang"] != y["lang"])
-            & (y["bytes"] > 0)
-            & ((weak(x) & (alt(x) == y["lang"])) | (weak(y) & (alt(y) == x["lang"])))
-        )
-
-    def loses(x: Column) -> Column:
-        return F.exists(
-            langs,
-            lambda y: paired(x, y)
-            & ((_percent(y) > _percent(x)) | ((_percent(y) == _percent(x)) & (y["lang"] < x["lang"]))),
-        )
-
-    def survivor(x: Column) -> Column:
-        others = F.filter(langs, lambda y: paired(x, y))
-        both = x["bytes"] + _sum(others, "bytes")
-        best = F.aggregate(
-            others,
-            F.greatest(_percent(x), F.lit(KEEP_RELIABILITY).cast("long")),
-            lambda acc, y: F.greatest(acc, _percent(y)),
-        )
-        return F.when(F.size(others) == 0, x).otherwise(
-            F.struct(
-                x["lang"].alias("lang"), x["bytes"].alias("bytes"), both.alias("score"), (best * both).alias("rel")
-            )
-        )
-
-    kept = F.transform(F.filter(langs, lambda x: ~loses(x)), survivor)
-    return F.filter(kept, lambda x: ~weak(x))
+    with_set = f"transform(langs, x -> {_struct(**_LANG, s=f'try_element_at({map_sql(close_set_of())}, x.lang)')})"
+    beaten = "exists(ls, y -> y.s <=> x.s AND (y.bytes > x.bytes OR (y.bytes = x.bytes AND y.lang < x.lang)))"
+    same = "filter(ls, y -> y.s <=> x.s)"
+    merged = _struct(
+        lang="x.lang", bytes=_sum(same, "bytes"), score=_sum(same, "score"), rel=_sum(same, "rel")
+    )
+    body = (
+        f"transform(filter(ls, x -> x.s IS NULL OR NOT {beaten}), "
+        f"x -> IF(x.s IS NULL, {_struct(**_LANG)}, {merged}))"
+    )
+    return langs.withColumn("langs", F.expr(_let(with_set, "ls", body)))
 
 
-def drop_unreliable(langs: Column) -> Column:
+def drop_unreliable(langs: DataFrame) -> DataFrame:
     """Languages below 41 % reliability go, or join their closest neighbour.
 
     Where the closest language of an unreliable one is present as well, the more
     reliable of the two stays, with the score and reliability of both.
     """
-    return let(langs, _drop_unreliable)
-
-
-def _with(s: Column, names: Sequence[str], **more: Column) -> Column:
-    """The named fields of a struct and some more."""
-    kept = [s[n].alias(n) for n in names if n not in more]
-    return F.struct(*kept, *[c.alias(n) for n, c in more.items()])
-
-
-def _top3(langs: Column, text_bytes: Column) -> Column:
-    """Struct of the three largest languages. Every step is bound once, so that the
-    expression stays small when a filter on the result is pushed down."""
-    order = F.array_sort(
-        F.transform(
-            F.filter(langs, lambda x: x["lang"] != UNKNOWN),
-            lambda x: F.struct((-x["bytes"]).alias("neg"), x["lang"].alias("lang"), x["score"].alias("score")),
-        )
-    )
-    named = [f"{n}{i}" for i in (1, 2, 3) for n in ("lang", "score")]
-    sizes = ["b1", "b2", "b3"]
-    shares = ["percent1", "percent2", "percent3"]
-
-    def entries(top: Column) -> Column:
-        fields = {}
-        for n in (1, 2, 3):
-            entry = F.get(top, F.lit(n - 1))
-            fields[f"lang{n}"] = F.coalesce(entry["lang"], F.lit(UNKNOWN))
-            fields[f"b{n}"] = F.coalesce(-entry["neg"], F.lit(0))
-            per_kb = F.floor(entry["score"] * 1024 / F.greatest(-entry["neg"], F.lit(1)))
-            fields[f"score{n}"] = F.coalesce(per_kb, F.lit(0))
-        return F.struct(*[c.alias(n) for n, c in fields.items()])
-
-    def sized(s: Column) -> Column:
-        total = F.greatest(text_bytes, s["b1"] + s["b2"] + s["b3"])
-        return _with(s, named + sizes, text_bytes=total)
-
-    def cumulative(s: Column) -> Column:
-        size = F.greatest(s["text_bytes"], F.lit(1))
-        upto = [s["b1"], s["b1"] + s["b2"], s["b1"] + s["b2"] + s["b3"]]
-        c1, c2, c3 = (F.floor(b * 100 / size).cast("int") for b in upto)
-        return _with(s, [*named, "text_bytes"], percent1=c1, percent2=c2 - c1, percent3=c3 - c2)
-
-    def levelled(first: str, second: str):
-        def level(s: Column) -> Column:
-            up = F.when(s[first] < s[second], 1).otherwise(0)
-            return _with(
-                s, [*named, "text_bytes", *shares], **{first: s[first] + up, second: s[second] - up}
-            )
-
-        return level
-
-    out = F.slice(order, 1, 3)
-    for step in (
-        entries,
-        sized,
-        cumulative,
-        levelled("percent2", "percent3"),
-        levelled("percent1", "percent2"),
-    ):
-        out = let(out, step)
-    return out
-
-
-def _summary(top: Column, best_effort: bool) -> Column:
-    """Struct of the language and whether it is reliable, from the top three."""
-
-    def choose(t: Column) -> Column:
-        l1, l2, p1, p2 = t["lang1"], t["lang2"], t["percent1"], t["percent2"]
-        enough = (l2 != UNKNOWN) & (F.floor(t["text_bytes"] * p2 / 100) >= SECOND_BYTES)
-        over_english = (l1 == "en") & (l2 != "en") & enough & (p2 >= SECOND_OVER_ENGLISH)
-        over_figs = l1.isin(FIGS) & ~l2.isin(EFIGS) & enough & (p2 >= SECOND_OVER_FIGS)
-        second = over_english | over_figs
-        less_second = ((l2 == "en") & (l1 != "en")) | (l2.isin(FIGS) & ~l1.isin(EFIGS))
-        percent = (
-            F.when(second, F.floor(p2 * 100 / (101 - p1)))
-            .when(less_second, F.floor(p1 * 100 / (101 - p2)))
-            .otherwise(p1)
-        )
-        fine = (p1 >= KEEP_PERCENT) & (100 - (p1 + p2 + t["percent3"]) <= IGNORED_PERCENT)
-        return F.struct(
-            F.when(second, l2).otherwise(l1).alias("lang"),
-            percent.alias("percent"),
-            fine.alias("fine"),
-        )
-
-    def settle(s: Column) -> Column:
-        too_small = (s["percent"] < FIRST_PERCENT) & F.lit(not best_effort)
-        return F.struct(
-            F.when(too_small, F.lit(UNKNOWN)).otherwise(s["lang"]).alias("lang"),
-            (s["fine"] & ~too_small & (s["percent"] >= FIRST_RELIABLE_PERCENT)).alias("reliable"),
-        )
-
-    return let(let(top, choose), settle)
+    rated = _struct(
+        **_LANG,
+        pct="x.rel div greatest(x.bytes, 1L)",
+        alt=f"coalesce(try_element_at({map_sql(CLOSEST)}, x.lang), '')",
+    )
+    paired = (
+        f"x.lang <> y.lang AND y.bytes > 0 AND ((x.pct < {KEEP_RELIABILITY} AND x.alt = y.lang) "
+        f"OR (y.pct < {KEEP_RELIABILITY} AND y.alt = x.lang))"
+    )
+    loses = f"exists(ls, y -> {paired} AND (y.pct > x.pct OR (y.pct = x.pct AND y.lang < x.lang)))"
+    both = f"(x.bytes + {_sum('o', 'bytes')})"
+    best = f"aggregate(o, greatest(x.pct, {KEEP_RELIABILITY}L), (a, y) -> greatest(a, y.pct))"
+    joined = _struct(lang="x.lang", bytes="x.bytes", score=both, rel=f"{best} * {both}")
+    survivor = _let(f"filter(ls, y -> {paired})", "o", f"IF(size(o) = 0, {_struct(**_LANG)}, {joined})")
+    body = (
+        f"filter(transform(filter(ls, x -> NOT {loses}), x -> {survivor}), "
+        f"x -> x.rel div greatest(x.bytes, 1L) >= {KEEP_RELIABILITY})"
+    )
+    return langs.withColumn("langs", F.expr(_let(f"transform(langs, x -> {rated})", "ls", body)))
 
 
 def top3(df: DataFrame) -> DataFrame:
@@ -218,7 +95,42 @@ def top3(df: DataFrame) -> DataFrame:
     Percents are differences of cumulative ones, which rounds better; a rounding
     inversion of neighbours is put right. Scores are per 1024 bytes.
     """
-    top = df.withColumn("_top", _top3(F.col("langs"), F.col("text_bytes"))).drop("text_bytes")
+    order = (
+        f"slice(array_sort(transform(filter(langs, x -> x.lang <> '{UNKNOWN}'), "
+        f"x -> {_struct(neg='-x.bytes', lang='x.lang', score='x.score')})), 1, 3)"
+    )
+    fields = {}
+    for n in (1, 2, 3):
+        entry = f"get(t, {n - 1})"
+        fields[f"lang{n}"] = f"coalesce({entry}.lang, '{UNKNOWN}')"
+        fields[f"score{n}"] = (
+            f"coalesce({entry}.score * 1024 div greatest(-{entry}.neg, 1L), 0L)"
+        )
+        fields[f"b{n}"] = f"coalesce(-{entry}.neg, 0L)"
+    kept = {n: f"s.{n}" for n in fields if n[0] != "b"}
+    sized = {**kept, "text_bytes": "s.text_bytes"}
+    size = "greatest(s.text_bytes, 1L)"
+    c1, c2, c3 = (
+        f"CAST(({b}) * 100 div {size} AS INT)"
+        for b in ("s.b1", "s.b1 + s.b2", "s.b1 + s.b2 + s.b3")
+    )
+    shares = {n: f"s.{n}" for n in ("percent1", "percent2", "percent3")}
+
+    def level(first: str, second: str) -> str:
+        up = f"IF(s.{first} < s.{second}, 1, 0)"
+        return _struct(
+            **{**sized, **shares, first: f"s.{first} + {up}", second: f"s.{second} - {up}"}
+        )
+
+    out = _let(order, "t", _struct(**fields))
+    for body in (
+        _struct(**{n: f"s.{n}" for n in fields}, text_bytes="greatest(text_bytes, s.b1 + s.b2 + s.b3)"),
+        _struct(**sized, percent1=c1, percent2=f"{c2} - {c1}", percent3=f"{c3} - {c2}"),
+        level("percent2", "percent3"),
+        level("percent1", "percent2"),
+    ):
+        out = _let(out, "s", body)
+    top = df.withColumn("_top", F.expr(out)).drop("text_bytes")
     return top.select("*", "_top.*").drop("_top")
 
 
@@ -229,8 +141,27 @@ def summary_language(df: DataFrame, best_effort: bool = False) -> DataFrame:
     German and Spanish, which are then taken for boilerplate; a second language
     of that kind is left out of the first one's percentage.
     """
-    top = F.struct(*["lang1", "lang2", "percent1", "percent2", "percent3", "text_bytes"])
-    out = df.withColumn("_summary", _summary(top, best_effort))
+    second = (
+        f"lang2 <> '{UNKNOWN}' AND text_bytes * percent2 div 100 >= {SECOND_BYTES} AND "
+        f"((lang1 = 'en' AND lang2 <> 'en' AND percent2 >= {SECOND_OVER_ENGLISH}) OR "
+        f"(lang1 IN {FIGS} AND lang2 NOT IN {EFIGS} AND percent2 >= {SECOND_OVER_FIGS}))"
+    )
+    less_second = (
+        f"(lang2 = 'en' AND lang1 <> 'en') OR (lang2 IN {FIGS} AND lang1 NOT IN {EFIGS})"
+    )
+    chosen = _struct(
+        second=f"({second})",
+        percent=f"CASE WHEN {second} THEN percent2 * 100 div (101 - percent1) "
+        f"WHEN {less_second} THEN percent1 * 100 div (101 - percent2) ELSE percent1 END",
+    )
+    too_small = "false" if best_effort else f"s.percent < {FIRST_PERCENT}"
+    settled = _struct(
+        lang=f"CASE WHEN {too_small} THEN '{UNKNOWN}' WHEN s.second THEN lang2 ELSE lang1 END",
+        reliable=f"percent1 >= {KEEP_PERCENT} AND NOT ({too_small}) "
+        f"AND s.percent >= {FIRST_RELIABLE_PERCENT} "
+        f"AND 100 - (percent1 + percent2 + percent3) <= {IGNORED_PERCENT}",
+    )
+    out = df.withColumn("_summary", F.expr(_let(chosen, "s", settled)))
     return out.select("*", "_summary.*").drop("_summary")
 
 
@@ -239,8 +170,7 @@ def decide(totals: DataFrame, keys: Sequence[str], best_effort: bool = False) ->
 
     (keys, text_bytes, lang1..3, percent1..3, score1..3, lang, reliable)
     """
-    langs = gather(totals, keys)
-    langs = langs.withColumn("langs", merge_close_pairs(F.col("langs")))
+    langs = merge_close_pairs(gather(totals, keys))
     if not best_effort:
-        langs = langs.withColumn("langs", drop_unreliable(F.col("langs")))
+        langs = drop_unreliable(langs)
     return summary_language(top3(langs), best_effort).drop("langs")

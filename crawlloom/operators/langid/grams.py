@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlloom.functions.columns import let
-from crawlloom.operators.langid.dims import SCRIPTS, map_of
+from crawlloom.operators.langid.dims import SCRIPTS, array_of, map_of
 
 WORD_LETTERS = 8
 # Units per chunk.
@@ -32,12 +32,10 @@ def _span_pattern(script: str) -> str:
 SPAN_PATTERN = "|".join(_span_pattern(s) for s, _, _ in SCRIPTS)
 
 
-def script_of(span: Column) -> Column:
-    out = None
-    for script, _, _ in SCRIPTS:
-        hit = span.rlike(rf"\A[{_script_class(script)}]")
-        out = F.when(hit, script) if out is None else out.when(hit, script)
-    return out
+def script_of(span: str) -> Column:
+    """Script of the first letter of column ``span``."""
+    cases = " ".join(rf"WHEN rlike({span}, r'\A[{_script_class(s)}]') THEN '{s}'" for s, _, _ in SCRIPTS)
+    return F.expr(f"CASE {cases} END")
 
 
 def letters_only(span: Column) -> Column:
@@ -57,7 +55,7 @@ def script_spans(df: DataFrame, keys: Sequence[str], text: str = "text") -> Data
     return found.select(
         *keys,
         "span_no",
-        script_of(F.col("raw")).alias("script"),
+        script_of("raw").alias("script"),
         letters_only(F.col("raw")).alias("span"),
     ).select(*keys, "span_no", "script", F.element_at(rtypes, F.col("script")).alias("rtype"), "span")
 
@@ -109,17 +107,30 @@ def chunk_index(pos: Column, n: Column, size: Column | int) -> Column:
     )
 
 
+# Scripts travel as numbers through the heavy steps: keys of fixed width are cheaper.
+_NUMBER = {script: n for n, (script, _, _) in enumerate(SCRIPTS)}
+_OF_KIND = {
+    kind: [n for n, (_, r, _) in enumerate(SCRIPTS) if r == kind] for kind in ("many", "one", "cjk")
+}
+
+
+def is_kind(script_no: Column, kind: str) -> Column:
+    return script_no.isin(*_OF_KIND[kind])
+
+
 def span_units(spans: DataFrame, keys: Sequence[str], pairs: bool = False) -> DataFrame:
-    """(keys, span_no, script, rtype, chunk, pos, unit [, prev]), one row per unit.
+    """(keys, span_no, script_no, chunk, pos, unit [, prev]), one row per unit.
 
     A unit is a word, a CJK character, or the whole span when the script decides.
+    ``script_no`` is the place of the script in the table of scripts.
     """
     units = (
         F.when(F.col("rtype") == "many", words(F.col("span")))
         .when(F.col("rtype") == "cjk", cjk_units(F.col("span")))
         .otherwise(F.array("span"))
     )
-    with_units = spans.select(*keys, "span_no", "script", "rtype", units.alias("_units"))
+    number = F.element_at(map_of(_NUMBER), F.col("script"))
+    with_units = spans.select(*keys, "span_no", number.alias("script_no"), units.alias("_units"))
     if pairs:
         with_units = with_units.withColumn(
             "_units",
@@ -133,18 +144,17 @@ def span_units(spans: DataFrame, keys: Sequence[str], pairs: bool = False) -> Da
                 ),
             ),
         )
-    size = F.when(F.col("rtype") == "cjk", CHUNK_CJK).otherwise(CHUNK_WORDS)
+    size = F.when(is_kind(F.col("script_no"), "cjk"), CHUNK_CJK).otherwise(CHUNK_WORDS)
     # the size is taken before the explode, so that no row carries the array
     sized = with_units.withColumn("_n", F.size("_units"))
     rows = sized.select(
-        *keys, "span_no", "script", "rtype", "_n", F.posexplode_outer("_units").alias("pos", "unit")
+        *keys, "span_no", "script_no", "_n", F.posexplode_outer("_units").alias("pos", "unit")
     )
     columns = [F.col("unit.unit").alias("unit"), F.col("unit.prev").alias("prev")] if pairs else ["unit"]
     return rows.select(
         *keys,
         "span_no",
-        "script",
-        "rtype",
+        "script_no",
         chunk_index(F.col("pos"), F.col("_n"), size).alias("chunk"),
         "pos",
         *columns,
@@ -155,40 +165,55 @@ def span_units(spans: DataFrame, keys: Sequence[str], pairs: bool = False) -> Da
 # a filter on the array's size, which would compute the array twice.
 
 
-def gram_rows(units: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
-    """(keys, span_no, script, rtype, chunk, pos, gram, unit_bytes), one row per gram.
+def no_grams() -> Column:
+    return F.array().cast("array<string>")
+
+
+def unit_grams(kinds: Sequence[str]) -> Column:
+    """Grams of a unit, the unit's own first; none when the script decides.
 
     Quadgrams are stored as they are; other kinds carry a prefix: ``w:`` word,
-    ``p:`` word pair, ``u:`` and ``b:`` one and two CJK characters, ``d:`` the script
-    itself (once per span). ``unit_bytes`` is carried by the first gram of a unit only.
+    ``p:`` word pair, ``u:`` and ``b:`` one and two CJK characters.
     """
-    unit, prev = F.col("unit"), F.col("prev")
-    none = F.array().cast("array<string>")
+    unit, prev, script = F.col("unit"), F.col("prev"), F.col("script_no")
     many = [F.array(F.concat(F.lit("w:"), word_grams(unit)))]
     cjk = [F.array(F.concat(F.lit("u:"), unit))]
     if "quad" in kinds:
         many.append(quad_grams(unit))
     if "pair" in kinds:
         pair = F.concat(F.lit("p:"), word_grams(prev), F.lit(" "), word_grams(unit))
-        many.append(F.when(prev.isNotNull(), F.array(pair)).otherwise(none))
+        many.append(F.when(prev.isNotNull(), F.array(pair)).otherwise(no_grams()))
         bi = F.concat(F.lit("b:"), prev, unit)
-        cjk.append(F.when(prev.isNotNull(), F.array(bi)).otherwise(none))
-    default = F.when(F.col("pos") == 0, F.array(F.concat(F.lit("d:"), F.col("script")))).otherwise(
-        none
-    )
-    grams = (
-        F.when(F.col("rtype") == "many", F.concat(*many, default))
-        .when(F.col("rtype") == "cjk", F.concat(*cjk, default))
-        .otherwise(default)
+        cjk.append(F.when(prev.isNotNull(), F.array(bi)).otherwise(no_grams()))
+    return (
+        F.when(is_kind(script, "many"), F.concat(*many))
+        .when(is_kind(script, "cjk"), F.concat(*cjk))
+        .otherwise(no_grams())
     )
-    size = F.octet_length("unit") + F.when(F.col("rtype") == "cjk", 0).otherwise(1)
+
+
+def default_gram() -> Column:
+    """``d:`` and the script: a hit for its default language, once per span."""
+    names = array_of([f"d:{s}" for s, _, _ in SCRIPTS])
+    return F.when(F.col("pos") == 0, F.array(F.get(names, F.col("script_no")))).otherwise(no_grams())
+
+
+def unit_size() -> Column:
+    """Bytes of a unit and of the space after it."""
+    return F.octet_length("unit") + F.when(is_kind(F.col("script_no"), "cjk"), 0).otherwise(1)
+
+
+def gram_rows(units: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """(keys, span_no, script_no, chunk, pos, gram, unit_bytes), one row per gram.
+
+    ``unit_bytes`` is carried by the first gram of a unit only.
+    """
+    place = [*keys, "span_no", "script_no", "chunk", "pos"]
     return units.select(
-        *keys, "span_no", "script", "rtype", "chunk", "pos", size.alias("_size"),
-        F.posexplode_outer(grams).alias("_at", "gram"),
-    ).select(
-        *keys, "span_no", "script", "rtype", "chunk", "pos", "gram",
-        F.when(F.col("_at") == 0, F.col("_size")).otherwise(0).alias("unit_bytes"),
-    )
+        *place,
+        unit_size().alias("_size"),
+        F.posexplode_outer(F.concat(unit_grams(kinds), default_gram())).alias("_at", "gram"),
+    ).select(*place, "gram", F.when(F.col("_at") == 0, F.col("_size")).otherwise(0).alias("unit_bytes"))
 
 
 def text_grams(

@@ -163,7 +163,7 @@ def apply_priors(scores: DataFrame, priors: DataFrame, keys: Sequence[str]) -> D
         F.filter("_hints", lambda x: x["weight"] > 0).alias("_boosts"),
         let(F.col("_hints"), suppressed).alias("_out"),
     )
-    place = [*keys, "span_no", "chunk", "script", "rtype"]
+    place = [*keys, "span_no", "chunk", "script_no"]
     entry = F.struct("lang", "score", "hits", "bytes")
     gathered = scores.groupBy(*place).agg(F.collect_list(entry).alias("_rows"))
     boost = F.transform(

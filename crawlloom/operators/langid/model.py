@@ -4,57 +4,138 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlloom.operators.langid.dims import SCRIPTS
-from crawlloom.operators.langid.grams import text_grams
+from crawlloom.operators.langid.grams import (
+    is_kind,
+    script_spans,
+    span_units,
+    text_grams,
+    unit_grams,
+    unit_size,
+)
 from crawlloom.session import materialize, spread
 
 LANGS_PER_GRAM = 3
+# Words whose scores are kept ready: a table of this size can be broadcast.
+MOST_WORDS = 50_000
 # Weight of a language whose share of a gram's occurrences is at least num/den.
 WEIGHTS = [(15, 16, 12), (3, 4, 9), (1, 2, 6), (1, 4, 3)]
 
 
 @dataclass
 class LangModel:
-    """``grams(gram, lang, weight, rank)`` and ``expected(lang, score_per_kb)``."""
+    """``grams(gram, lang, weight, rank)``, ``expected(lang, score_per_kb)`` and, when
+    grams within words are used, ``words(unit, lang, weight, hits, first)``: the summed
+    scores of the most frequent words, so that these need not be cut into grams."""
 
     grams: DataFrame
     expected: DataFrame
     kinds: tuple[str, ...]
+    words: DataFrame | None = None
 
-    def materialize(self) -> LangModel:
-        return LangModel(materialize(self.grams), materialize(self.expected), self.kinds)
+    @cached_property
+    def gram_rows(self) -> int:
+        return self.grams.count()
 
     def save(self, path: str) -> None:
         self.grams.write.mode("overwrite").parquet(f"{path}/grams")
         self.expected.write.mode("overwrite").parquet(f"{path}/expected")
+        if self.words is not None:
+            self.words.write.mode("overwrite").parquet(f"{path}/words")
         spark = self.grams.sparkSession
         kinds = spark.createDataFrame([(k,) for k in self.kinds], "kind string")
         kinds.write.mode("overwrite").parquet(f"{path}/kinds")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LangModel:
-        kinds = spark.read.parquet(f"{path}/kinds").collect()
+        kinds = tuple(r.kind for r in spark.read.parquet(f"{path}/kinds").collect())
+        words = spark.read.parquet(f"{path}/words") if "quad" in kinds else None
         return LangModel(
-            spark.read.parquet(f"{path}/grams"),
-            spark.read.parquet(f"{path}/expected"),
-            tuple(r.kind for r in kinds),
+            spark.read.parquet(f"{path}/grams"), spark.read.parquet(f"{path}/expected"), kinds, words
         )
 
 
+def unit_counts(labelled: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """(script_no, unit, lang, n): how often every word occurs in every language.
+
+    Combined before the shuffle, so a frequent word is no burden to one task.
+    """
+    texts = spread(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")))
+    units = span_units(script_spans(texts, ["lang"]), ["lang"])
+    return (
+        units.filter(~is_kind(F.col("script_no"), "one"))
+        .groupBy("script_no", "unit", "lang")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def gram_counts(
     labelled: DataFrame, lang: str = "lang", text: str = "text", kinds: Sequence[str] = ("word", "quad")
 ) -> DataFrame:
-    """(gram, lang, n, gram_bytes) over labelled text; combined before the shuffle."""
-    grams = text_grams(spread(labelled.select(lang, text)), [lang], text, kinds)
-    return (
-        grams.filter(~F.col("gram").startswith("d:"))
-        .groupBy("gram", F.col(lang).alias("lang"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("unit_bytes").alias("gram_bytes"))
+    """(gram, lang, n, gram_bytes) over labelled text.
+
+    Grams within words are counted over the distinct words; only word pairs need
+    every running word.
+    """
+    if "pair" in kinds:
+        texts = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+        grams = text_grams(spread(texts), ["lang"], kinds=kinds).withColumn("n", F.lit(1).cast("long"))
+        grams = grams.filter(~F.col("gram").startswith("d:"))
+    else:
+        grams = _vocabulary_grams(unit_counts(labelled, lang, text), ["lang", "n"], kinds)
+    return _sum_grams(grams)
+
+
+def _vocabulary_grams(units: DataFrame, columns: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """(columns, unit, gram, unit_bytes) of distinct units."""
+    return units.select(
+        *columns, "unit", unit_size().alias("_size"), F.posexplode_outer(unit_grams(kinds)).alias("_at", "gram")
+    ).select(
+        *columns, "unit", "gram", F.when(F.col("_at") == 0, F.col("_size")).otherwise(0).alias("unit_bytes")
+    )
+
+
+def _sum_grams(grams: DataFrame) -> DataFrame:
+    return grams.groupBy("gram", "lang").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("unit_bytes")).alias("gram_bytes")
+    )
+
+
+def word_scores(counts: DataFrame, weighed: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """(unit, lang, weight, hits, first) of the ``MOST_WORDS`` most frequent words.
+
+    Adding up the grams of a word here gives the same sums as scoring them one by
+    one. ``hits`` and ``first`` are set on one row of each word.
+    """
+    frequent = (
+        counts.filter(is_kind(F.col("script_no"), "many"))
+        .groupBy("script_no", "unit")
+        .agg(F.sum("n").alias("_n"))
+        .orderBy(F.desc("_n"), "script_no", "unit")
+        .limit(MOST_WORDS)
+    )
+    grams = _vocabulary_grams(frequent, ["script_no"], kinds)
+    scored = grams.join(weighed.select("gram", "lang", "weight", "rank"), "gram", "left")
+    # a word has a few grams with three languages each
+    summed = scored.groupBy("unit", "lang").agg(
+        F.sum("weight").alias("weight"), F.count_if(F.col("rank") == 1).alias("_hits")
+    )
+    of_word = W.partitionBy("unit")
+    numbered = summed.withColumns(
+        {
+            "hits": F.sum("_hits").over(of_word),
+            "_row": F.row_number().over(of_word.orderBy(F.col("lang").asc_nulls_last())),
+        }
+    )
+    first = F.col("_row") == 1
+    return numbered.filter(F.col("lang").isNotNull() | first).select(
+        "unit", "lang", "weight", F.when(first, F.col("hits")).otherwise(0).alias("hits"), first.alias("first")
     )
 
 
@@ -103,9 +184,17 @@ def train(
     kinds: Sequence[str] = ("word", "quad"),
     min_count: int = 1,
 ) -> LangModel:
-    """Model from labelled text. The counts are kept, because three steps read them."""
-    counts = materialize(gram_counts(labelled, lang, text, kinds))
-    weighed = materialize(weigh(counts, min_count))
+    """Model from labelled text. What several steps read is written out once."""
+    words = None
+    if "pair" in kinds:
+        counts = materialize(gram_counts(labelled, lang, text, kinds))
+        weighed = materialize(weigh(counts, min_count))
+    else:
+        vocabulary = materialize(unit_counts(labelled, lang, text))
+        counts = materialize(_sum_grams(_vocabulary_grams(vocabulary, ["lang", "n"], kinds)))
+        weighed = materialize(weigh(counts, min_count))
+        if "quad" in kinds:
+            words = materialize(word_scores(vocabulary, weighed, kinds))
     return LangModel(
-        with_defaults(weighed), materialize(expected_scores(weighed, counts)), tuple(kinds)
+        with_defaults(weighed), materialize(expected_scores(weighed, counts)), tuple(kinds), words
     )

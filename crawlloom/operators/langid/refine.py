@@ -123,24 +123,24 @@ def distinct_boost(scores: DataFrame, hits: DataFrame, keys: Sequence[str]) -> D
     counts = numbered.groupBy(*place, "chunk").agg(F.max("_k").alias("_upto"))
     before = W.partitionBy(*place).orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     chunks = (
-        scores.select(*place, "chunk", "script", "rtype").distinct()
+        scores.select(*place, "chunk", "script_no").distinct()
         .join(counts, [*place, "chunk"], "left")
         .withColumn("_seen", F.coalesce(F.max("_upto").over(before), F.lit(0)))
         .filter(F.col("_seen") > 0)
     )
     wanted = chunks.select(
-        *place, "chunk", "script", "rtype",
+        *place, "chunk", "script_no",
         F.explode(F.sequence(F.greatest(F.col("_seen") - (BOOSTS - 1), F.lit(1)), F.col("_seen"))).alias("_k"),
     )
     boosts = wanted.join(numbered.select(*place, "_k", "lang", "weight"), [*place, "_k"]).select(
-        *place, "chunk", "script", "rtype", "lang",
+        *place, "chunk", "script_no", "lang",
         F.col("weight").cast("long").alias("score"),
         F.lit(0).cast("long").alias("hits"),
         F.lit(0).cast("long").alias("bytes"),
     )
     return (
         scores.unionByName(boosts)
-        .groupBy(*place, "chunk", "script", "rtype", "lang")
+        .groupBy(*place, "chunk", "script_no", "lang")
         .agg(F.sum("score").alias("score"), F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"))
     )
 
@@ -152,7 +152,8 @@ def gram_hits(
     texts = df.select(*keys, text)
     if not colocated:
         texts = by_keys(texts, keys)
-    return score_grams(text_grams(texts, keys, text, model.kinds), model.grams)
+    grams = text_grams(texts, keys, text, model.kinds)
+    return score_grams(grams, model.grams, rows=model.gram_rows)
 
 
 def valid_utf8_bytes(body: Column) -> Column:

@@ -7,7 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlloom.operators.langid.dims import SCRIPTS, UNKNOWN, close_set_of, map_of
+from crawlloom.operators.langid.dims import SCRIPTS, UNKNOWN, array_of, close_set_of, map_of
+from crawlloom.operators.langid.grams import (
+    default_gram,
+    is_kind,
+    no_grams,
+    script_spans,
+    span_units,
+    text_grams,
+    unit_grams,
+    unit_size,
+)
 from crawlloom.operators.langid.model import LangModel
 from crawlloom.session import BROADCAST_ROWS, broadcast_if_small
 
@@ -15,13 +25,15 @@ MIN_GRAMS, MAX_GRAMS = 3, 16
 SALTS = 32
 
 
-def score_grams(grams: DataFrame, model: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def score_grams(
+    grams: DataFrame, model: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame:
     """Every gram with its languages and weights; unknown grams keep one row.
 
     The model is broadcast when it is small enough. Otherwise it is shuffled by
     gram, and because a few grams are very frequent, both sides are salted.
     """
-    small = broadcast_if_small(model, max_rows)
+    small = broadcast_if_small(model, max_rows, rows)
     if small is not None:
         return grams.join(small, "gram", "left")
     salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -35,10 +47,63 @@ def chunk_scores(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``lang`` is null for the bytes of units that no language claims.
     """
     first = F.coalesce(F.col("rank"), F.lit(1)) <= 1
-    return hits.groupBy(*keys, "span_no", "chunk", "script", "rtype", "lang").agg(
+    return _sum_chunks(
+        hits.withColumns(
+            {
+                "hits": F.when(F.col("rank") == 1, 1).otherwise(0),
+                "unit_bytes": F.when(first, F.col("unit_bytes")).otherwise(0),
+            }
+        ),
+        keys,
+    )
+
+
+def _sum_chunks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys, "span_no", "chunk", "script_no", "lang").agg(
         F.coalesce(F.sum("weight"), F.lit(0)).alias("score"),
-        F.count_if(F.col("rank") == 1).alias("hits"),
-        F.sum(F.when(first, F.col("unit_bytes")).otherwise(0)).alias("bytes"),
+        F.sum("hits").alias("hits"),
+        F.sum("unit_bytes").alias("bytes"),
+    )
+
+
+def score_units(
+    units: DataFrame, model: LangModel, keys: Sequence[str], max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Chunk scores by words: frequent words bring their summed scores, the others
+    are cut into grams. Same result as scoring every gram, with a fraction of the rows.
+    """
+    place = [*keys, "span_no", "script_no", "chunk"]
+    known = F.broadcast(  # at most MOST_WORDS words with a few languages each
+        model.words.select(
+            F.col("unit").alias("_word"),
+            F.col("lang").alias("_lang"),
+            F.col("weight").alias("_weight"),
+            F.col("hits").alias("_hits"),
+            F.col("first").alias("_first"),
+        )
+    )
+    many = is_kind(F.col("script_no"), "many")
+    looked = units.join(known, many & (F.col("unit") == F.col("_word")), "left")
+    found = F.col("_word").isNotNull()
+    # a null gram stands for the word's own row; its other rows need no default hit
+    own = F.when(found, F.array(F.lit(None).cast("string"))).otherwise(unit_grams(model.kinds))
+    default = F.when(F.coalesce("_first", F.lit(True)), default_gram()).otherwise(no_grams())
+    grams = looked.select(
+        *place, "pos", unit_size().alias("_size"), "_lang", "_weight", "_hits", "_first",
+        F.posexplode_outer(F.concat(own, default)).alias("_at", "gram"),
+    )
+    scored = score_grams(grams, model.grams, max_rows, model.gram_rows)
+    by_word = F.col("gram").isNull() & F.col("_first").isNotNull()
+    first = F.when(by_word, F.col("_first")).otherwise(F.coalesce(F.col("rank"), F.lit(1)) <= 1)
+    return _sum_chunks(
+        scored.select(
+            *place,
+            F.when(by_word, F.col("_lang")).otherwise(F.col("lang")).alias("lang"),
+            F.when(by_word, F.col("_weight")).otherwise(F.col("weight")).alias("weight"),
+            F.when(by_word, F.col("_hits")).when(F.col("rank") == 1, 1).otherwise(0).alias("hits"),
+            F.when((F.col("_at") == 0) & first, F.col("_size")).otherwise(0).alias("unit_bytes"),
+        ),
+        keys,
     )
 
 
@@ -78,16 +143,16 @@ def chunk_language(
     """
     entry = F.when(F.col("lang").isNotNull(), F.struct((-F.col("score")).alias("neg"), "lang"))
     # a chunk has one row per language here, so the list is short
-    tops = scores.groupBy(*keys, "span_no", "chunk", "script", "rtype").agg(
+    tops = scores.groupBy(*keys, "span_no", "chunk", "script_no").agg(
         F.slice(F.array_sort(F.collect_list(entry)), 1, 2).alias("_top"),
         F.sum("hits").alias("grams"),
         F.sum("bytes").alias("bytes"),
     )
-    defaults = map_of({s: lang for s, _, lang in SCRIPTS})
-    by_script = F.col("rtype") == "one"
+    defaults = array_of([lang for _, _, lang in SCRIPTS])
+    by_script = is_kind(F.col("script_no"), "one")
     top = tops.select(
-        *keys, "span_no", "chunk", "script", "rtype", "grams", "bytes",
-        F.when(by_script, F.element_at(defaults, F.col("script")))
+        *keys, "span_no", "chunk", "script_no", "grams", "bytes",
+        F.when(by_script, F.get(defaults, F.col("script_no")))
         .otherwise(F.coalesce(F.get("_top", F.lit(0))["lang"], F.lit(UNKNOWN))).alias("lang1"),
         F.when(~by_script, F.get("_top", F.lit(1))["lang"]).alias("lang2"),
         F.when(by_script, F.col("bytes")).otherwise(F.coalesce(-F.get("_top", F.lit(0))["neg"], F.lit(0))).alias("score1"),
@@ -102,7 +167,7 @@ def chunk_language(
     sets = map_of(close_set_of())
     close = F.element_at(sets, F.col("lang1")) == F.element_at(sets, F.col("lang2"))
     per_kb = F.floor(F.col("score1") * 1024 / F.greatest(F.col("bytes"), F.lit(1)))
-    sure = F.col("rtype") == "one"
+    sure = is_kind(F.col("script_no"), "one")
     return top.withColumn(
         "delta",
         F.when(sure | F.coalesce(close, F.lit(False)), 100).otherwise(
@@ -129,7 +194,7 @@ def score_texts(
     df: DataFrame, model: LangModel, keys: Sequence[str], text: str = "text", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Chunk scores of every text. Brings a text's grams together once, by ``keys``."""
-    from crawlloom.operators.langid.grams import text_grams
-
+    if model.words is not None:
+        return score_units(span_units(script_spans(df, keys, text), keys), model, keys, max_rows)
     grams = text_grams(df, keys, text, model.kinds)
-    return chunk_scores(score_grams(grams, model.grams, max_rows), keys)
+    return chunk_scores(score_grams(grams, model.grams, max_rows, model.gram_rows), keys)

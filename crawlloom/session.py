@@ -38,12 +38,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame | None:
     """``df`` marked for broadcast, or None when it has more than ``max_rows`` rows.
 
-    Counting reads ``df``, so pass something cheap to read (a written table).
+    Without ``rows`` they are counted, so pass something cheap to read.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
+    if (df.count() if rows is None else rows) > max_rows:
         return None
     return F.broadcast(df)
 

@@ -150,6 +150,21 @@ def test_broadcast_and_salted_lookup_agree(spark, model):
     assert large.select(columns).exceptAll(small.select(columns)).count() == 0
 
 
+def test_word_scores_change_nothing(spark, model, monkeypatch):
+    docs = spark.read.parquet(DOCS)
+    odd = spark.createDataFrame([(-1, "Привет мир the 漢字 γλώσσα the")], "doc_id long, text string")
+    texts = docs.select("doc_id", "text").unionByName(odd)
+    gram_by_gram = M.LangModel(model.grams, model.expected, model.kinds)
+    want = S.score_texts(texts, gram_by_gram, ["doc_id"])
+    assert S.score_texts(texts, model, ["doc_id"]).exceptAll(want).count() == 0
+    # with few known words, most are cut into grams
+    monkeypatch.setattr(M, "MOST_WORDS", 50)
+    few = M.train(docs)
+    assert few.words.select("unit").distinct().count() == 50
+    got = S.score_texts(texts, few, ["doc_id"])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_detection_shuffles_text_once(spark, model):
     docs = spark.read.parquet(DOCS)
     plan = detect_language(docs, model, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
@@ -197,8 +212,8 @@ def test_priors_and_suppression(spark):
         (1, "de"): 12, (1, "fr"): 10, (2, "fr"): 4, (3, "cs"): 4, (3, "sk"): -4, (4, "cs"): 10, (4, "sk"): -4,
     }
     scores = spark.createDataFrame(
-        [(1, 0, 0, "Latin", "many", "id", 5, 1, 3), (1, 0, 0, "Latin", "many", "ms", 9, 2, 4)],
-        "k int, span_no int, chunk int, script string, rtype string, lang string, score long, hits long, bytes long",
+        [(1, 0, 0, 0, "id", 5, 1, 3), (1, 0, 0, 0, "ms", 9, 2, 4)],
+        "k int, span_no int, chunk int, script_no int, lang string, score long, hits long, bytes long",
     )
     only_id = spark.createDataFrame([(1, "id", 8)], "k int, lang string, weight int")
     rows = apply_priors(scores, only_id, ["k"]).collect()
