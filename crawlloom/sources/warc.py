@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import logging
 import lzma
 import re
@@ -16,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from crawlloom.schema import WARC_RECORD
 from crawlloom.sources.files import (
     ORDINAL_ROOM,
+    READ_BYTES,
     SPLIT_BYTES,
     Split,
     codec_of,
@@ -138,7 +140,7 @@ class WarcReader(DataSourceReader):
     def _rows(self, split: Split) -> Iterator[dict]:
         with open_split(self.path, split) as file:
             codec = codec_of(split.path)
-            streams = members(file, split, codec, b"WARC/") if codec else [(0, file)]
+            streams = members(file, split, codec, b"WARC/") if codec else [(0, io.BufferedReader(file, READ_BYTES))]
             for offset, stream in streams:
                 try:
                     for n, (fields, payload) in enumerate(_records(stream, split.path)):
