@@ -170,7 +170,8 @@ def recode_latin1(spark, sf):
 
 
 def clean_spaces(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.clean_spaces(F.col("text")).alias("text"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", X.clean_spaces(F.col("text")).alias("text"))
 
 
 def strip_ids(spark, sf):
@@ -205,7 +206,9 @@ def hash_keys(spark, sf):
 
 def murmur_groups(spark, sf):
     """How many texts occur how often, counted by hash."""
-    docs = table(spark, sf, "documents").select(murmur3_32(F.col("text")).alias("h"))
+    docs = spread(table(spark, sf, "documents").select("text")).select(
+        murmur3_32(F.col("text")).alias("h")
+    )
     sizes = docs.groupBy("h").agg(F.count(F.lit(1)).alias("copies"))
     return sizes.groupBy("copies").agg(F.count(F.lit(1)).alias("texts"))
 

@@ -63,10 +63,17 @@ def by_keys(df: DataFrame, keys) -> DataFrame:
     return df.repartition(shuffle_partitions(df.sparkSession), *keys)
 
 
+# Input below this size per core may be dealt out again; Spark reads more in one split.
+SPREAD_BYTES = 32 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores when the input has fewer files than cores.
+    """Deal the rows of a small input out over all cores.
 
-    A large input is returned as it is, without a shuffle.
+    A file with a single row group is read by one task, however many cores are
+    free. The shuffle is taken only while Spark's size estimate stays below
+    ``SPREAD_BYTES`` per core; larger input has enough splits and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if estimate < cores * SPREAD_BYTES else df

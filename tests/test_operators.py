@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from crawlloom.functions.hashing import hash_key
 from crawlloom.operators import dedup, order, project, stats
+from crawlloom import session
 from crawlloom.session import broadcast_if_small
 
 
@@ -98,3 +99,10 @@ def test_counters_on_nothing(spark):
 def test_broadcast_is_size_checked(spark):
     assert broadcast_if_small(spark.range(11), 10) is None
     assert broadcast_if_small(spark.range(10), 10) is not None
+
+
+def test_only_small_input_is_spread(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    assert session.spread(pages).rdd.getNumPartitions() == 8
+    monkeypatch.setattr(session, "SPREAD_BYTES", 10)
+    assert session.spread(pages) is pages
