@@ -75,5 +75,5 @@ def spread(df: DataFrame) -> DataFrame:
     ``SPREAD_BYTES`` per core; larger input has enough splits and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores) if estimate < cores * SPREAD_BYTES else df
