@@ -111,7 +111,7 @@ def word_scores(counts: DataFrame, weighed: DataFrame, kinds: Sequence[str]) ->
     """(unit, lang, weight, hits, first) of the ``MOST_WORDS`` most frequent words.
 
     Adding up the grams of a word here gives the same sums as scoring them one by
-    one. ``hits`` and ``first`` are set on one row of each word.
+    one. ``first`` marks the row that takes the bytes of the word.
     """
     frequent = (
         counts.filter(is_kind(F.col("script_no"), "many"))
@@ -122,20 +122,11 @@ def word_scores(counts: DataFrame, weighed: DataFrame, kinds: Sequence[str]) ->
     )
     grams = _vocabulary_grams(frequent, ["script_no"], kinds)
     scored = grams.join(weighed.select("gram", "lang", "weight", "rank"), "gram", "left")
-    # a word has a few grams with three languages each
-    summed = scored.groupBy("unit", "lang").agg(
-        F.sum("weight").alias("weight"), F.count_if(F.col("rank") == 1).alias("_hits")
-    )
-    of_word = W.partitionBy("unit")
-    numbered = summed.withColumns(
-        {
-            "hits": F.sum("_hits").over(of_word),
-            "_row": F.row_number().over(of_word.orderBy(F.col("lang").asc_nulls_last())),
-        }
-    )
-    first = F.col("_row") == 1
-    return numbered.filter(F.col("lang").isNotNull() | first).select(
-        "unit", "lang", "weight", F.when(first, F.col("hits")).otherwise(0).alias("hits"), first.alias("first")
+    leads = (F.col("unit_bytes") > 0) & (F.coalesce("rank", F.lit(1)) == 1)
+    return scored.groupBy("unit", "lang").agg(
+        F.sum("weight").alias("weight"),
+        F.count_if(F.col("rank") == 1).alias("hits"),
+        F.bool_or(leads).alias("first"),
     )
 
 
