@@ -3,20 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crawlloom.llm import linededup, mixing
-from crawlloom.llm.shared import Scratch, table
+from crawlloom.llm import decontam, linededup, mixing, neardup, toxicity
+from crawlloom.llm.shared import Scratch, held, table
 
 
-def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below one half; the model is learned as op5 learns it."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "toxic")
+    labelled = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("_id"))
+    model = toxicity.train(labelled.filter(held(F.col("doc_id"), 5) != 0))
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.drop_common_lines(docs).select(docs.columns)
 
 
-def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_plan(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_one(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as a plan: how often each document is taken, instead of its text as often."""
+    plan = mixing.mix_plan(docs)
+    return plan.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
-STAGES = [("line dedup", _lines), ("mixing", _mix)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_lines),
+    ("near duplicates", drop_copies),
+    ("decontamination", drop_benchmark),
+    ("mixing", mix_sources),
+]
 
 #: Learned scores, minimum hashes and random draws have no SQL; tests compare with brute force.
 ORACLE_SQL = None

@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlloom.llm import linededup, mixing
-from crawlloom.llm.shared import table
+from crawlloom.llm import decontam, embeddings, langid, linededup, mixing, neardup, quotes, secrets, toxicity, urls
+from crawlloom.llm.shared import held, table
+from crawlloom.session import scratch_path
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held(F.col("doc_id"), 4) == 2
+    model = langid.train(docs.filter(~out))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), similarity=0.85)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,11 +27,176 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.join(labels, "doc_id").filter(~out))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    ledger.ingest(docs)
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secrets.findings(docs, ledger).select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+    )
+
+
+def mailbox(conversations: DataFrame) -> DataFrame:
+    """Turns as mails: each quotes the turn before it, and that turn's own quote."""
+    turns = conversations.select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    last = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("last"))
+    older = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("older"))
+    both = turns.join(last, ["conv_id", "turn"], "left").join(older, ["conv_id", "turn"], "left")
+
+    def quoted(mark: str, text: str):
+        return F.concat(F.lit(mark), F.replace(F.col(text), F.lit("\n"), F.lit("\n" + mark)))
+
+    return both.select("conv_id", "turn", F.concat_ws("\n", quoted(">> ", "older"), quoted("> ", "last"), "text").alias("text"))
+
+
+def op7_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotes.link_quotes(mailbox(table(spark, sf_dir, "conversations")))
+    return linked.select(
+        "conv_id", "turn", F.coalesce("reply_to", F.lit(-1)).alias("reply_to"), "thread", "depth", "n_quoted",
+        F.sha2("body", 256).alias("body_sha256"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_common_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# Page addresses, the links between them, and the decisions that reach their component.
+OP4 = r"""
+WITH RECURSIVE rules(rule, verdict) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')
+), found AS (
+  SELECT url AS base, unnest(list_concat(
+      list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
+        lambda t: concat(regexp_extract(t, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1),
+                    regexp_extract(t, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2),
+                    regexp_extract(t, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3))),
+      list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
+        lambda t: regexp_extract(t, '(?is)\burl\s*=\s*[''"]?([^''"\s>]+)', 1)))) AS raw
+  FROM pages WHERE contains(url, '://')
+), hrefs AS (
+  SELECT base, replace(trim(raw), '&amp;', '&') AS href FROM found WHERE trim(raw) <> ''
+), edges AS (
+  SELECT DISTINCT regexp_replace(base, '(?s)#.*$', '') AS src, regexp_replace(CASE
+    WHEN contains(href, '://') THEN href
+    WHEN starts_with(href, '//') THEN concat(regexp_extract(base, '(?s)^(.*?)://', 1), ':', href)
+    WHEN starts_with(href, '/') THEN concat(regexp_extract(base, '(?s)^(.*?://[^/?#]*)', 1), href)
+    WHEN starts_with(href, '?') THEN concat(regexp_extract(base, '(?s)^([^?#]*)', 1), href)
+    ELSE concat(rtrim(regexp_extract(base, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/'), '/', href) END, '(?s)#.*$', '') AS dst
+  FROM hrefs
+), ways AS (
+  SELECT src AS a, dst AS b FROM edges WHERE src <> dst UNION SELECT dst, src FROM edges WHERE src <> dst
+), reach AS (
+  SELECT a, a AS b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+), parts AS (
+  SELECT DISTINCT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM (SELECT url AS u FROM pages WHERE url IS NOT NULL UNION SELECT b FROM reach)
+), ruled AS (
+  SELECT u, any_value(host) AS host, any_value(path) AS path, max_by(rule, length(rule)) AS rule,
+    max_by(verdict, length(rule)) AS verdict
+  FROM parts LEFT JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+  GROUP BY u
+), carried AS (
+  SELECT a, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS verdict
+  FROM reach JOIN ruled ON reach.b = ruled.u GROUP BY a
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(ruled.verdict, carried.verdict, 'allow') AS verdict
+FROM pages LEFT JOIN ruled ON pages.url = ruled.u
+LEFT JOIN carried ON regexp_replace(pages.url, '(?s)#.*$', '') = carried.a
+"""
+
+OP7 = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    nullif(trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g')), '') AS plain
+  FROM conversations
+), first AS (
+  SELECT conv_id, plain, min(turn) AS turn FROM turns WHERE plain IS NOT NULL GROUP BY ALL
+), links AS (
+  SELECT t.conv_id, t.turn, t.text, f.turn AS reply_to,
+    CASE WHEN p.turn IS NULL THEN 0 ELSE 1 END + CASE WHEN o.turn IS NULL THEN 0 ELSE 1 END AS n_quoted
+  FROM turns t
+  LEFT JOIN turns p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
+  LEFT JOIN turns o ON o.conv_id = t.conv_id AND o.turn = t.turn - 2
+  LEFT JOIN first f ON f.conv_id = t.conv_id AND f.plain = p.plain
+), chain AS (
+  SELECT conv_id, turn, turn AS thread, 0 AS depth FROM links WHERE reply_to IS NULL
+  UNION ALL
+  SELECT l.conv_id, l.turn, c.thread, c.depth + 1 FROM links l JOIN chain c ON l.conv_id = c.conv_id AND l.reply_to = c.turn
+)
+SELECT conv_id, turn, coalesce(reply_to, -1) AS reply_to, thread, depth, n_quoted, sha256(text) AS body_sha256
+FROM links JOIN chain USING (conv_id, turn)
+"""
+
+# Windows of ten words by joining word positions; items here all have ten words or more.
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rn,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT item_id, unnest(list_transform(range(greatest(len(w) - 9, 1)), lambda i: array_to_string(w[i + 1 : i + 10], ' '))) AS win,
+    least(len(w), 10) AS width
+  FROM b WHERE len(w) > 0
+), widths AS (SELECT DISTINCT width FROM bw
+), dw AS (
+  SELECT rn, width, unnest(range(len(w) - width + 1)) AS pos,
+    unnest(list_transform(range(len(w) - width + 1), lambda i: array_to_string(w[i + 1 : i + width], ' '))) AS win
+  FROM d, widths WHERE len(w) >= width
+), hits AS (SELECT rn, pos, dw.width, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.width = bw.width
+), words AS (
+  SELECT rn, count(DISTINCT p) AS n_hit FROM (SELECT rn, unnest(range(pos, pos + width)) AS p FROM hits) GROUP BY rn
+), items AS (
+  SELECT rn, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list
+  FROM (SELECT DISTINCT rn, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY rn
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rn) LEFT JOIN items USING (rn)
+"""
+
 # Both sides strip the same six blanks and lower-case A-Z only.
 OP9 = r"""
 WITH lines AS (
@@ -37,7 +215,30 @@ FROM lines LEFT JOIN frequent f ON lines.key = f.key
 GROUP BY doc_id, rn
 """
 
+# All pairs of a label in double precision, then reachability.
+OP10 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+  FROM embeddings
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id) AS n_links, min(b) AS component_id, min(b) = vec_id AS kept
+FROM reach JOIN v ON reach.a = v.vec_id GROUP BY vec_id
+"""
+
 ENTRIES = {
+    "op1_language": (op1_language, None),
+    "op2_near_duplicates": (op2_near_duplicates, None),
     "op3_mixing": (op3_mixing, None),
+    "op4_url_filter": (op4_url_filter, OP4),
+    "op5_toxicity": (op5_toxicity, None),
+    "op6_secrets": (op6_secrets, None),
+    "op7_quotes": (op7_quotes, OP7),
+    "op8_decontamination": (op8_decontamination, OP8),
     "op9_line_dedup": (op9_line_dedup, OP9),
+    "op10_vectors": (op10_vectors, OP10),
 }
