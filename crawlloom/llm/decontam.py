@@ -231,7 +231,7 @@ def contamination(
     if blocks > 1:
         for one in passes[1:]:
             found = found.union(one)
-        found = _united(found)
+        found = _united(found, blocks)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["stop"] - x["start"])
     return found.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "row", "n_words",
@@ -239,12 +239,13 @@ def contamination(
     )
 
 
-def _united(found: DataFrame) -> DataFrame:
-    """One row a document from one per pass; identical rows are counted once each."""
+def _united(found: DataFrame, passes: int) -> DataFrame:
+    """One row a document from one per pass; identical rows come back as often as they were given."""
     both = F.array_sort(F.flatten(F.collect_list("spans")))
     one = found.groupBy("id", "row").agg(
         F.first("n_words").alias("n_words"), both.alias("all"),
         F.flatten(F.collect_list("items")).alias("items"), F.max("longest").alias("longest"),
+        (F.count(F.lit(1)) / passes).cast("int").alias("times"),
     )
     # walk the sorted spans; the last one of the list is still growing
     merged = F.aggregate(
@@ -260,7 +261,8 @@ def _united(found: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.concat(done, F.array(x))),
     )
-    return one.withColumn("spans", merged).drop("all")
+    one = one.withColumn("spans", merged).withColumn("times", F.explode(F.sequence(F.lit(1), "times")))
+    return one.drop("all", "times")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
