@@ -11,7 +11,7 @@ from crawlloom.operators.langid import grams as G
 from crawlloom.operators.langid import model as M
 from crawlloom.operators.langid import score as S
 from crawlloom.operators.langid.detect import DETAILS, detect_language, text_chunks, with_language
-from crawlloom.operators.langid.hints import apply_priors, language_priors
+from crawlloom.operators.langid.hints import apply_priors, host_tld, html_lang_tags, language_priors
 from crawlloom.operators.langid.refine import (
     distinct_boost,
     drop_repeated_words,
@@ -203,6 +203,18 @@ def priors(spark, sf):
     return language_priors(d, KEYS, "tags", "tld", "encoding", "stated")
 
 
+def page_priors(spark, sf):
+    """Hints of real pages: the tags they state and their hosts."""
+    pages = table(spark, sf, "pages").select(
+        "page_id", html_lang_tags(F.col("html")).alias("tags"), host_tld(F.col("url")).alias("tld")
+    )
+    return language_priors(pages, ["page_id"], "tags", "tld")
+
+
+def lang_detect_hinted(spark, sf):
+    return detect_language(docs(spark, sf), model(spark, sf), KEYS, details=True, priors=priors(spark, sf))
+
+
 def chunk_scores_with_priors(spark, sf):
     scores = S.score_texts(by_keys(docs(spark, sf), KEYS), model(spark, sf), KEYS)
     out = apply_priors(scores, priors(spark, sf), KEYS)
@@ -279,9 +291,10 @@ def _score_sql(base: str = _DOCS, quads: bool = False) -> str:
       sum(CASE WHEN coalesce(rank, 1) <= 1 THEN unit_bytes ELSE 0 END)::BIGINT AS bytes FROM hi GROUP BY ALL)"""
 
 
-def _chunks_sql(base: str = _DOCS, quads: bool = False) -> str:
-    return f"""{_score_sql(base, quads)},
-    rk AS (SELECT *, row_number() OVER (PARTITION BY id, chunk ORDER BY (lang IS NULL), score DESC, lang) AS r FROM cs),
+def _chunks_sql(base: str = _DOCS, quads: bool = False, hints: str = "") -> str:
+    scores = f"{_score_sql(base, quads)}, {hints}" if hints else _score_sql(base, quads)
+    return f"""{scores},
+    rk AS (SELECT *, row_number() OVER (PARTITION BY id, chunk ORDER BY (lang IS NULL), score DESC, lang) AS r FROM {"ch" if hints else "cs"}),
     c1 AS (SELECT id, chunk, coalesce(max(lang) FILTER (r = 1), 'un') AS lang1, max(lang) FILTER (r = 2) AS lang2,
       coalesce(max(score) FILTER (r = 1 AND lang IS NOT NULL), 0) AS score1,
       coalesce(max(score) FILTER (r = 2 AND lang IS NOT NULL), 0) AS score2,
@@ -327,9 +340,9 @@ def _summary_sql(best_effort: bool = False) -> str:
         percent1 >= 2 AND NOT ({small}) AND p >= 51 AND 100 - (percent1 + percent2 + percent3) <= 20 AS reliable FROM s2)"""
 
 
-def _verdict_sql(base: str = _DOCS, quads: bool = False, best_effort: bool = False) -> str:
+def _verdict_sql(base: str = _DOCS, quads: bool = False, best_effort: bool = False, hints: str = "") -> str:
     keep = "true" if best_effort else "rel // greatest(bytes, 1) >= 41"
-    return f"""{_chunks_sql(base, quads)}, kp AS (SELECT * FROM dt WHERE {keep}),
+    return f"""{_chunks_sql(base, quads, hints)}, kp AS (SELECT * FROM dt WHERE {keep}),
     tt AS (SELECT id, sum(bytes)::BIGINT AS tb FROM dt GROUP BY id), {_top3_sql("kp", "tt")}, {_summary_sql(best_effort)}"""
 
 
@@ -343,8 +356,8 @@ _PRIORS = """WITH d AS (SELECT doc_id, lang,
     CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN lang || ',ms' WHEN 2 THEN 'da-dk' WHEN 3 THEN lang || '-XX,' || lang ELSE 'czech,xx' END AS tags,
     CASE doc_id % 3 WHEN 0 THEN lang WHEN 1 THEN 'ch' ELSE 'com' END AS tld,
     CASE doc_id % 4 WHEN 0 THEN 'ja' END AS enc, CASE doc_id % 7 WHEN 0 THEN lang END AS stated FROM documents),
-  tagp(tag, lang, weight) AS (VALUES ('en','en',10), ('fr','fr',10), ('de','de',10), ('es','es',10), ('ms','ms',10), ('ms','id',-4),
-    ('da','da',10), ('da','no',-4), ('czech','cs',10)),
+  tagp(tag, lang, weight) AS (VALUES ('en','en',4), ('fr','fr',10), ('de','de',10), ('es','es',10), ('ms','ms',10), ('ms','id',-4),
+    ('da','da',10), ('da','no',-4), ('czech','cs',10), ('czech','sk',-4)),
   tldp(tld, lang, weight) AS (VALUES ('fr','fr',4), ('de','de',4), ('es','es',4), ('ch','de',4), ('ch','fr',4)),
   h AS (SELECT doc_id, tagp.lang, max(weight) AS weight, 0 AS k FROM (SELECT doc_id, unnest(string_split(tags, ',')) AS t FROM d) JOIN tagp
       ON tagp.tag = CASE WHEN t = 'czech' THEN t ELSE split_part(t, '-', 1) END GROUP BY 1, 2
@@ -352,7 +365,14 @@ _PRIORS = """WITH d AS (SELECT doc_id, lang,
     UNION ALL SELECT doc_id, enc, 4, 2 FROM d WHERE enc IS NOT NULL
     UNION ALL SELECT doc_id, stated, 8, 3 FROM d WHERE stated IS NOT NULL),
   g AS (SELECT doc_id, lang, (arg_min(weight, k) + 2 * (count(*) - 1))::INTEGER AS weight, min(k) AS k FROM h GROUP BY doc_id, lang),
-  pr AS (SELECT doc_id, lang, weight FROM g QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY abs(weight) DESC, k, lang) <= 4)"""
+  pr AS (SELECT doc_id, lang, weight FROM g)"""
+
+# Chunk scores with every positive hint of the text added.
+_HINTED = f"""{_PRIORS[5:]}, al AS (SELECT id, chunk, lang, score, hits, bytes FROM cs
+      UNION ALL SELECT id, chunk, lang, weight, 0, 0 FROM (SELECT DISTINCT id, chunk FROM cs)
+      JOIN pr ON pr.doc_id = id WHERE weight > 0),
+    ch AS (SELECT id, chunk, lang, sum(score)::BIGINT AS score, sum(hits)::BIGINT AS hits, sum(bytes)::BIGINT AS bytes
+      FROM al GROUP BY ALL)"""
 
 _CHUNK_COLUMNS = "id AS doc_id, chunk, lang1, lang2, score1, score2, grams, bytes, delta, expected, reliability"
 _SCORE_COLUMNS = "id AS doc_id, chunk, lang, score, hits, bytes"
@@ -475,13 +495,18 @@ ENTRIES = {
         QUALIFY row_number() OVER (PARTITION BY id, chunk ORDER BY run DESC, pos DESC) = 1""",
     ),
     "language_priors": (priors, f"{_PRIORS} SELECT doc_id, lang, weight FROM pr"),
+    "language_priors_pages": (
+        page_priors,
+        """SELECT page_id, tag AS lang, CASE tag WHEN 'en' THEN 4 ELSE 10 END::INTEGER AS weight
+        FROM (SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS tag FROM pages) WHERE tag <> ''""",
+    ),
+    "lang_detect_hinted": (
+        lang_detect_hinted,
+        f"{_verdict_sql(hints=_HINTED)} SELECT id AS doc_id, lang, reliable, {_DETAILS} FROM s3",
+    ),
     "chunk_scores_with_priors": (
         chunk_scores_with_priors,
-        f"""{_score_sql()}, {_PRIORS[5:]}, al AS (SELECT id, chunk, lang, score, hits, bytes FROM cs
-          UNION ALL SELECT id, chunk, lang, weight, 0, 0 FROM (SELECT DISTINCT id, chunk FROM cs)
-          JOIN pr ON pr.doc_id = id WHERE weight > 0)
-        SELECT id AS doc_id, chunk, lang, sum(score)::BIGINT AS score, sum(hits)::BIGINT AS hits, sum(bytes)::BIGINT AS bytes
-        FROM al GROUP BY ALL""",
+        f"{_score_sql()}, {_HINTED} SELECT {_SCORE_COLUMNS} FROM ch",
     ),
     "chunk_scores_with_boost": (
         chunk_scores_with_boost,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -19,6 +20,7 @@ from crawlloom.operators.langid.dims import (
     tld_dim,
 )
 
+# Limits of ``reference=True``; by default no tag and no hint is left out.
 MOST_TAGS, LONGEST_TAG, LONGEST_CODE, MOST_PRIORS = 5, 16, 3, 4
 
 # A tag that can state a language: a lang attribute, or a meta element about it.
@@ -32,13 +34,9 @@ _ATTRIBUTE = r"(?i)[\s:]lang\s*=\s*[\"']?([a-z_,\s-]+)"
 _CONTENT = r"(?i)\scontent\s*=\s*[\"']?([a-z_,\s-]+)"
 
 
-def html_lang_tags(html: Column, scan_chars: int | None = None) -> Column:
-    """Comma list of the language tags a page states, lower-case, each once.
-
-    ``scan_chars`` limits the search to the head of the page.
-    """
-    scanned = html if scan_chars is None else F.left(html, F.lit(scan_chars))
-    tags = F.regexp_extract_all(scanned, F.lit(_TAGGED), F.lit(0))
+def html_lang_tags(html: Column) -> Column:
+    """Comma list of the language tags a whole page states, lower-case, each once."""
+    tags = F.regexp_extract_all(html, F.lit(_TAGGED), F.lit(0))
 
     def stated(tag: Column) -> Column:
         by_attribute = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1))
@@ -56,30 +54,32 @@ def host_tld(url: Column) -> Column:
     return F.lower(F.substring_index(host, ".", -1))
 
 
-def tag_priors(df: DataFrame, keys: Sequence[str], tags: str) -> DataFrame:
+def tag_priors(df: DataFrame, keys: Sequence[str], tags: str, reference: bool = False) -> DataFrame:
     """(keys, lang, weight) of a comma list of tags; a language counts once, by its
-    largest weight. More than five tags say nothing."""
+    largest weight. A tag that is not known as a whole counts by its part before the
+    first hyphen. With ``reference`` more than five tags say nothing, tags of over 16
+    letters are passed over, and only parts of up to three letters are looked up."""
     dim = F.broadcast(lang_tag_dim(df.sparkSession))  # a few hundred rows
     parts = F.split(F.col(tags), ",")
-    each = (
-        df.filter((F.length(tags) > 0) & (F.size(parts) <= MOST_TAGS))
-        .select(*keys, F.explode_outer(F.array_distinct(parts)).alias("_tag"))
-        .filter(F.length("_tag") <= LONGEST_TAG)
-    )
+    some = df.filter(F.length(tags) > 0)
+    if reference:
+        some = some.filter(F.size(parts) <= MOST_TAGS)
+    each = some.select(*keys, F.explode_outer(F.array_distinct(parts)).alias("_tag"))
     code = F.substring_index("_tag", "-", 1)
+    if reference:
+        each = each.filter(F.length("_tag") <= LONGEST_TAG)
+        code = F.when(F.length(code) <= LONGEST_CODE, code)
     whole = dim.select(F.col("tag").alias("_tag"), F.lit(True).alias("_known")).distinct()
     looked = each.join(F.broadcast(whole), "_tag", "left").withColumn(
-        "tag",
-        F.when(F.col("_known"), F.col("_tag")).when(F.length(code) <= LONGEST_CODE, code),
+        "tag", F.when(F.col("_known"), F.col("_tag")).otherwise(code)
     )
     return looked.join(dim, "tag").groupBy(*keys, "lang").agg(F.max("weight").alias("weight"))
 
 
 def tld_prior(df: DataFrame, keys: Sequence[str], tld: str) -> DataFrame:
-    """(keys, lang, weight) of a country domain of at most three letters."""
+    """(keys, lang, weight) of a country domain."""
     dim = F.broadcast(tld_dim(df.sparkSession))  # under 250 rows
-    short = df.filter(F.length(tld) <= LONGEST_CODE).select(*keys, F.lower(tld).alias("tld"))
-    return short.join(dim, "tld").select(*keys, "lang", "weight")
+    return df.select(*keys, F.lower(tld).alias("tld")).join(dim, "tld").select(*keys, "lang", "weight")
 
 
 def encoding_prior(df: DataFrame, keys: Sequence[str], encoding: str) -> DataFrame:
@@ -103,14 +103,15 @@ def language_priors(
     tld: str | None = None,
     encoding: str | None = None,
     lang: str | None = None,
+    reference: bool = False,
 ) -> DataFrame:
-    """(keys, lang, weight): all hints of a text combined, the strongest four.
+    """(keys, lang, weight): all hints of a text combined.
 
     The first hint for a language gives its weight; each further kind of hint for
-    the same language adds 2.
+    the same language adds 2. With ``reference`` the strongest four hints stay.
     """
     kinds = [
-        (0, tags, tag_priors),
+        (0, tags, partial(tag_priors, reference=reference)),
         (1, tld, tld_prior),
         (2, encoding, encoding_prior),
         (3, lang, stated_prior),
@@ -127,6 +128,8 @@ def language_priors(
         (F.min_by("weight", "_kind") + 2 * (F.count(F.lit(1)) - 1)).cast("int").alias("weight"),
         F.min("_kind").alias("_first"),
     )
+    if not reference:
+        return merged.select(*keys, "lang", "weight")
     # a text has a handful of hints
     strongest = W.partitionBy(*keys).orderBy(F.desc(F.abs("weight")), "_first", "lang")
     return (

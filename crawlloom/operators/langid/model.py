@@ -22,8 +22,6 @@ from crawlloom.operators.langid.grams import (
 from crawlloom.session import materialize, spread
 
 LANGS_PER_GRAM = 3
-# Words whose scores are kept ready: a table of this size can be broadcast.
-MOST_WORDS = 50_000
 # Weight of a language whose share of a gram's occurrences is at least num/den.
 WEIGHTS = [(15, 16, 12), (3, 4, 9), (1, 2, 6), (1, 4, 3)]
 
@@ -32,7 +30,7 @@ WEIGHTS = [(15, 16, 12), (3, 4, 9), (1, 2, 6), (1, 4, 3)]
 class LangModel:
     """``grams(gram, lang, weight, rank)``, ``expected(lang, score_per_kb)`` and, when
     grams within words are used, ``words(unit, lang, weight, hits, first)``: the summed
-    scores of the most frequent words, so that these need not be cut into grams."""
+    scores of all words seen in training, so that these need not be cut into grams."""
 
     grams: DataFrame
     expected: DataFrame
@@ -43,6 +41,10 @@ class LangModel:
     def gram_rows(self) -> int:
         return self.grams.count()
 
+    @cached_property
+    def word_rows(self) -> int:
+        return self.words.count()
+
     def save(self, path: str) -> None:
         self.grams.write.mode("overwrite").parquet(f"{path}/grams")
         self.expected.write.mode("overwrite").parquet(f"{path}/expected")
@@ -108,19 +110,15 @@ def _sum_grams(grams: DataFrame) -> DataFrame:
 
 
 def word_scores(counts: DataFrame, weighed: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """(unit, lang, weight, hits, first) of the ``MOST_WORDS`` most frequent words.
+    """(unit, lang, weight, hits, first) of every word.
 
     Adding up the grams of a word here gives the same sums as scoring them one by
-    one. ``first`` marks the row that takes the bytes of the word.
+    one. ``first`` marks the row that takes the bytes of the word. The grams of a word
+    do not depend on its script, so a word seen in two scripts is summed once.
     """
-    frequent = (
-        counts.filter(is_kind(F.col("script_no"), "many"))
-        .groupBy("script_no", "unit")
-        .agg(F.sum("n").alias("_n"))
-        .orderBy(F.desc("_n"), "script_no", "unit")
-        .limit(MOST_WORDS)
-    )
-    grams = _vocabulary_grams(frequent, ["script_no"], kinds)
+    of_words = counts.filter(is_kind(F.col("script_no"), "many"))
+    words = of_words.groupBy("unit").agg(F.min("script_no").alias("script_no"))
+    grams = _vocabulary_grams(words, [], kinds)
     scored = grams.join(weighed.select("gram", "lang", "weight", "rank"), "gram", "left")
     leads = (F.col("unit_bytes") > 0) & (F.coalesce("rank", F.lit(1)) == 1)
     return scored.groupBy("unit", "lang").agg(

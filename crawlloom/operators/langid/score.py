@@ -31,14 +31,22 @@ def score_grams(
     """Every gram with its languages and weights; unknown grams keep one row.
 
     The model is broadcast when it is small enough. Otherwise it is shuffled by
-    gram, and because a few grams are very frequent, both sides are salted.
+    gram, and because a few grams are very frequent, both sides are salted. Rows
+    without a gram get keys of their own, which match nothing and meet nowhere.
     """
     small = broadcast_if_small(model, max_rows, rows)
     if small is not None:
         return grams.join(small, "gram", "left")
     salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    side = grams.withColumn("_salt", F.pmod(F.xxhash64("chunk", "pos"), F.lit(SALTS)).cast("int"))
-    return side.join(salted, ["gram", "_salt"], "left").drop("_salt")
+    place = F.xxhash64(*[c for c in grams.columns if c != "gram"])
+    side = grams.withColumns(
+        {
+            "_salt": F.pmod(place, F.lit(SALTS)).cast("int"),
+            "_key": F.coalesce("gram", F.concat(F.lit("-:"), place.cast("string"))),
+        }
+    )
+    salted = salted.withColumnRenamed("gram", "_key")
+    return side.join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def chunk_scores(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,11 +77,12 @@ def _sum_chunks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def score_units(
     units: DataFrame, model: LangModel, keys: Sequence[str], max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Chunk scores by words: frequent words bring their summed scores, the others
+    """Chunk scores by words: known words bring their summed scores, the others
     are cut into grams. Same result as scoring every gram, with a fraction of the rows.
+    The table of words must be small enough to broadcast.
     """
     place = [*keys, "span_no", "script_no", "chunk"]
-    known = F.broadcast(  # at most MOST_WORDS words with a few languages each
+    known = F.broadcast(  # the caller has counted it
         model.words.select(
             F.col("unit").alias("_word"),
             F.col("lang").alias("_lang"),
@@ -193,8 +202,12 @@ def lang_byte_totals(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
 def score_texts(
     df: DataFrame, model: LangModel, keys: Sequence[str], text: str = "text", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Chunk scores of every text. Brings a text's grams together once, by ``keys``."""
-    if model.words is not None:
+    """Chunk scores of every text. Brings a text's grams together once, by ``keys``.
+
+    Words are looked up whole while their table can be broadcast; beyond that every
+    word is cut into grams, which gives the same sums.
+    """
+    if model.words is not None and model.word_rows <= max_rows:
         return score_units(span_units(script_spans(df, keys, text), keys), model, keys, max_rows)
     grams = text_grams(df, keys, text, model.kinds)
     return chunk_scores(score_grams(grams, model.grams, max_rows, model.gram_rows), keys)

@@ -150,19 +150,37 @@ def test_broadcast_and_salted_lookup_agree(spark, model):
     assert large.select(columns).exceptAll(small.select(columns)).count() == 0
 
 
-def test_word_scores_change_nothing(spark, model, monkeypatch):
+def test_word_scores_change_nothing(spark, model):
     docs = spark.read.parquet(DOCS)
-    odd = spark.createDataFrame([(-1, "Привет мир the 漢字 γλώσσα the")], "doc_id long, text string")
+    odd = spark.createDataFrame([(-1, "Привет мир the 漢字 γλώσσα the неведомое unheardof")], "doc_id long, text string")
     texts = docs.select("doc_id", "text").unionByName(odd)
     gram_by_gram = M.LangModel(model.grams, model.expected, model.kinds)
     want = S.score_texts(texts, gram_by_gram, ["doc_id"])
-    assert S.score_texts(texts, model, ["doc_id"]).exceptAll(want).count() == 0
-    # with few known words, most are cut into grams
-    monkeypatch.setattr(M, "MOST_WORDS", 50)
-    few = M.train(docs)
-    assert few.words.select("unit").distinct().count() == 50
-    got = S.score_texts(texts, few, ["doc_id"])
+    got = S.score_texts(texts, model, ["doc_id"])
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # no word is left out, and beyond the bound for broadcasts the grams are used
+    vocabulary = M.unit_counts(docs).select("unit").distinct().count()
+    assert model.words.select("unit").distinct().count() == vocabulary
+    assert S.score_texts(texts, model, ["doc_id"], max_rows=10).exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("kinds", [("word", "quad"), ("quad",)])
+def test_a_word_seen_in_two_scripts_counts_once(spark, kinds):
+    # one foreign letter does not end a span, so both trainings hold the other's script
+    rows = [("en", "some plain english words я and more"), ("ru", "обычный русский текст a и слова"), ("en", "я a я a")]
+    two = M.train(spark.createDataFrame(rows, "lang string, text string"), kinds=kinds)
+    texts = spark.createDataFrame([(1, "a я plain русский a я"), (2, "русский a я words")], "doc_id long, text string")
+    want = S.score_texts(texts, M.LangModel(two.grams, two.expected, two.kinds), ["doc_id"])
+    got = S.score_texts(texts, two, ["doc_id"])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_rows_without_a_gram_are_no_hot_key(spark, model):
+    grams = spark.range(2000).selectExpr("id AS doc_id", "0 AS chunk", "id AS pos", "CAST(NULL AS STRING) AS gram")
+    out = S.score_grams(grams, model.grams, max_rows=1)
+    assert out.count() == 2000 and out.columns[:1] == ["doc_id"]
+    plan = out._jdf.queryExecution().toString()
+    assert "coalesce(gram" in plan.replace("#", "").lower() or "_key" in plan
 
 
 def test_detection_shuffles_text_once(spark, model):
@@ -211,6 +229,23 @@ def test_priors_and_suppression(spark):
     assert got == {
         (1, "de"): 12, (1, "fr"): 10, (2, "fr"): 4, (3, "cs"): 4, (3, "sk"): -4, (4, "cs"): 10, (4, "sk"): -4,
     }
+    tags = {
+        1: "zh-tw", 2: "he", 3: "eng", 4: "deu,fra", 5: "czech", 6: "de-at-long-variant-x", 7: "xx,de,fr,es,it,nl,pt",
+        8: "english", 9: "german-ch", 10: "tw",
+    }
+    many = spark.createDataFrame(list(tags.items()), "id int, tags string")
+
+    def found(**kind):
+        out = {}
+        for r in language_priors(many, ["id"], "tags", **kind).collect():
+            out.setdefault(r.id, {})[r.lang] = r.weight
+        return out
+
+    whole, limited = found(), found(reference=True)
+    assert whole[1] == {"zh-Hant": 10} and whole[2] == {"iw": 10} and whole[3] == {"en": 4} == whole[8]
+    assert whole[4] == {"de": 10, "fr": 10} and whole[5] == {"cs": 10, "sk": -4} and whole[10] == {"ak": 10, "zh-Hant": 10}
+    assert whole[6] == {"de": 10} and set(whole[7]) == {"de", "fr", "es", "it", "nl", "pt"} and whole[9] == {"de": 10}
+    assert 6 not in limited and 7 not in limited and 9 not in limited and limited[5] == whole[5]
     scores = spark.createDataFrame(
         [(1, 0, 0, 0, "id", 5, 1, 3), (1, 0, 0, 0, "ms", 9, 2, 4)],
         "k int, span_no int, chunk int, script_no int, lang string, score long, hits long, bytes long",
