@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gzip
 import lzma
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from crawlloom.functions.text import render_record, strip_record_id, strip_replacement_char
 from crawlloom.schema import ARCHIVE_HEADERS, TEXT_COLUMNS, TEXT_RECORD
 from crawlloom.sources.files import (
+    DAMAGE,
     ORDINAL_ROOM,
     SPLIT_BYTES,
     FileCommitter,
@@ -33,8 +33,7 @@ from crawlloom.sources.files import (
 ARCHIVE_RECORD = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("ordinal", T.LongType()), *TEXT_RECORD]
 )
-SIGNATURE = f"{ARCHIVE_HEADERS[0][0]}:".encode()
-BATCH_ROWS = 256
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 
 
 class ArchiveReader(DataSourceReader):
@@ -50,11 +49,11 @@ class ArchiveReader(DataSourceReader):
     def _rows(self, split: Split) -> Iterator[dict]:
         with open_split(self.path, split) as file:
             codec = self.codec or codec_of(split.path)
-            for offset, stream in members(file, split, codec, SIGNATURE):
+            for offset, stream in members(file, split, codec):
                 try:
-                    found = read_headers(stream)
+                    found = read_headers(stream, skip_blank=True)
                     body = stream.read()
-                except (zlib.error, lzma.LZMAError, EOFError):
+                except DAMAGE:
                     continue
                 if found is None:
                     continue
@@ -69,12 +68,13 @@ class ArchiveReader(DataSourceReader):
                 yield row
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, size = [], 0
         for row in self._rows(partition):
             rows.append(row)
-            if len(rows) == BATCH_ROWS:
+            size += len(row["text"])
+            if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
                 yield pa.RecordBatch.from_pylist(rows, self.arrow)
-                rows = []
+                rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, self.arrow)
 

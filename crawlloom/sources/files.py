@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import lzma
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -69,96 +70,161 @@ def open_split(source: str, split: Split):
     return file_system(source)[0].open_input_file(split.path)
 
 
+class _Input:
+    """The bytes of a file from an offset on, read forward once; what is left over can be given back."""
+
+    def __init__(self, file, start: int):
+        self.file = file
+        self.seek(start)
+
+    def seek(self, offset: int) -> None:
+        self.file.seek(offset)
+        self.pos, self.back = offset, b""
+
+    def read(self) -> bytes:
+        out, self.back = self.back or self.file.read(READ_BYTES), b""
+        self.pos += len(out)
+        return out
+
+    def unread(self, data: bytes) -> None:
+        self.back = data + self.back
+        self.pos -= len(data)
+
+    def skip(self, n: int) -> None:
+        """Pass over ``n`` bytes that have been peeked at."""
+        self.back = self.back[n:]
+        self.pos += n
+
+    def peek(self, n: int) -> bytes:
+        while len(self.back) < n:
+            raw = self.file.read(READ_BYTES)
+            if not raw:
+                break
+            self.back += raw
+        return self.back[:n]
+
+
+DAMAGE = (zlib.error, lzma.LZMAError, EOFError)
+
+
 class _Member(io.RawIOBase):
-    """Decompressed bytes of the member that starts at ``offset``."""
+    """Decompressed bytes of the member that starts where ``source`` is.
 
-    def __init__(self, file, offset: int, codec: str):
-        self.file, self.offset = file, offset
-        self.codec = zlib.decompressobj(31) if codec == "gz" else lzma.LZMADecompressor(lzma.FORMAT_XZ)
-        self.next_read = offset
-        self.pending = b""
-        self.end: int | None = None
+    Output is taken in pieces, so a member that unpacks to very much more than it
+    takes up does not fill the memory. At its end ``source`` stands behind it.
+    """
+
+    def __init__(self, source: _Input, codec: str):
+        self.source, self.gz = source, codec == "gz"
+        self.codec = zlib.decompressobj(31) if self.gz else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+        self.pending, self.over, self.damage = b"", False, None
 
     def readable(self):
         return True
 
+    def _next(self) -> bytes:
+        if self.gz:
+            return self.codec.decompress(self.codec.unconsumed_tail or self._more(), READ_BYTES)
+        return self.codec.decompress(self._more() if self.codec.needs_input else b"", READ_BYTES)
+
+    def _more(self) -> bytes:
+        raw = self.source.read()
+        if not raw:
+            raise EOFError("the member is cut off")
+        return raw
+
     def readinto(self, buffer) -> int:
-        while not self.pending:
-            if self.codec.eof:
-                if self.end is None:
-                    self.end = self.next_read - len(self.codec.unused_data)
-                return 0
-            self.file.seek(self.next_read)
-            raw = self.file.read(READ_BYTES)
-            if not raw:
-                raise EOFError(f"member at {self.offset} is cut off")
-            self.next_read += len(raw)
-            self.pending = self.codec.decompress(raw)
+        if self.damage:
+            raise self.damage
+        try:
+            while not self.pending and not self.over:
+                if self.codec.eof:
+                    self.source.unread(self.codec.unused_data)
+                    self.over = True
+                else:
+                    self.pending = self._next()
+        except DAMAGE as e:
+            self.damage = e
+            raise
         n = min(len(buffer), len(self.pending))
         buffer[:n] = self.pending[:n]
         self.pending = self.pending[n:]
         return n
 
-    def finish(self) -> int:
-        """Read to the end and return the offset of what follows."""
+    def finish(self) -> None:
+        """Read what is left, so that ``source`` stands at what follows."""
         waste = bytearray(READ_BYTES)
         while self.readinto(waste):
             pass
-        return self.end
 
 
-def _find_member(file, start: int, end: int, codec: str, signature: bytes) -> int | None:
-    """Offset of the first member in [start, end) whose content begins as expected."""
+# What the text of a member begins with: a record, or its first header line.
+_START = re.compile(rb"(?:\r?\n)*(?:WARC/\d|[!-9;-~]+:)")
+_PROBE_BYTES = 1 << 16
+
+
+def _begins_record(head: bytes, codec: str) -> bool:
+    try:
+        probe = zlib.decompressobj(31) if codec == "gz" else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+        return bool(_START.match(probe.decompress(head, 4096)))
+    except DAMAGE:
+        return False
+
+
+def _find_member(source: _Input, end: int, codec: str) -> int | None:
+    """Move ``source`` to the next member before ``end`` that begins like a record.
+
+    Needed where a split starts and after damage only: three bytes that look like a
+    member turn up by chance in compressed data.
+    """
     magic = MAGIC[codec]
-    at, window = start, b""
-    base = start
-    file.seek(start)
-    while base < end:
-        raw = file.read(READ_BYTES)
-        window += raw
+    while source.pos < end:
+        window = source.peek(READ_BYTES + _PROBE_BYTES)
+        if not window:
+            return None
+        whole = len(window) < READ_BYTES + _PROBE_BYTES
         hit = window.find(magic)
-        while hit >= 0:
-            at = base + hit
-            if at >= end:
+        while 0 <= hit and (whole or hit < READ_BYTES):
+            if source.pos + hit >= end:
                 return None
-            try:
-                if io.BufferedReader(_Member(file, at, codec)).read(len(signature)) == signature:
-                    return at
-            except (zlib.error, lzma.LZMAError, EOFError):
-                pass
+            if _begins_record(window[hit : hit + _PROBE_BYTES], codec):
+                source.skip(hit)
+                return source.pos
             hit = window.find(magic, hit + 1)
-        if not raw:
+        if whole:
             return None
-        keep = len(magic) - 1
-        base += len(window) - keep
-        window = window[-keep:]
-        file.seek(base + len(window))
+        source.skip(READ_BYTES)
     return None
 
 
-def members(
-    file, split: Split, codec: str, signature: bytes
-) -> Iterator[tuple[int, io.BufferedReader]]:
-    """(offset, stream) of the members that start within the split.
+def members(file, split: Split, codec: str) -> Iterator[tuple[int, io.BufferedReader]]:
+    """(offset, stream) of the members that start within the split, in one pass over its bytes.
 
-    A damaged member ends early with an exception from its stream; reading goes on
-    at the next one.
+    Whatever follows a member directly is the next one, whatever its text begins
+    with. A damaged member ends early with an exception from its stream; reading goes
+    on at the next one that can be recognised.
     """
-    at: int | None = split.start
+    source = _Input(file, split.start)
+    at = 0 if split.start == 0 else _find_member(source, split.end, codec)
     while at is not None and at < split.end:
-        at = _find_member(file, at, split.end, codec, signature)
-        if at is None:
-            return
-        member = _Member(file, at, codec)
+        if source.peek(len(MAGIC[codec])) != MAGIC[codec]:
+            at = _find_member(source, split.end, codec)
+            continue
+        member = _Member(source, codec)
         yield at, io.BufferedReader(member, READ_BYTES)
         try:
-            at = member.finish()
-        except (zlib.error, lzma.LZMAError, EOFError):
-            at += 1
+            member.finish()
+            at = source.pos
+        except DAMAGE:
+            source.seek(at + 1)
+            at = _find_member(source, split.end, codec)
+
 
+def read_headers(stream, skip_blank: bool = False) -> list[tuple[str, str]] | None:
+    """Header lines up to a blank line; None when they are malformed.
 
-def read_headers(stream) -> list[tuple[str, str]] | None:
-    """Header lines up to a blank line; None when they are malformed."""
+    ``skip_blank`` passes over blank lines before the first header.
+    """
     headers: list[tuple[str, str]] = []
     while True:
         line = stream.readline()
@@ -166,6 +232,8 @@ def read_headers(stream) -> list[tuple[str, str]] | None:
             return None
         line = line.rstrip(b"\r\n")
         if not line:
+            if skip_blank and not headers:
+                continue
             return headers
         if line[:1] in b" \t" and headers:
             name, value = headers[-1]

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import io
 import logging
-import lzma
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from crawlloom.schema import WARC_RECORD
 from crawlloom.sources.files import (
+    DAMAGE,
     ORDINAL_ROOM,
     READ_BYTES,
     SPLIT_BYTES,
@@ -33,22 +33,24 @@ BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 _STATUS = re.compile(rb"HTTP/\d+\.\d+ (\d{3})(?: .*)?\Z")
 
 
-def _unchunk(body: bytes) -> bytes:
+def _unchunk(body: bytes) -> bytes | None:
+    """The chunks put together, or None when one is broken or the last is missing."""
     out, pos = [], 0
     while True:
         eol = body.find(b"\n", pos)
-        if eol < 0:
-            break
-        try:
-            size = int(body[pos:eol].split(b";")[0].strip(), 16)
-        except ValueError:
-            break
+        size = body[pos:eol].split(b";")[0].strip() if eol >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return None
+        size = int(size, 16)
         if size == 0:
-            break
-        out.append(body[eol + 1 : eol + 1 + size])
+            return b"".join(out)
+        chunk = body[eol + 1 : eol + 1 + size]
         pos = eol + 1 + size
-        pos += 2 if body[pos : pos + 2] == b"\r\n" else 1
-    return b"".join(out)
+        mark = body[pos : pos + 2]
+        if len(chunk) < size or not (mark == b"\r\n" or mark[:1] == b"\n"):
+            return None
+        out.append(chunk)
+        pos += 2 if mark == b"\r\n" else 1
 
 
 class _Lines:
@@ -63,8 +65,11 @@ class _Lines:
         return line
 
 
-def parse_http(payload: bytes) -> tuple[int, dict[str, str], bytes] | None:
-    """(status, headers by lower-case name, body), or None when it is not HTTP."""
+def parse_http(payload: bytes) -> tuple[int, dict[str, str], bytes | None] | None:
+    """(status, headers by lower-case name, body), or None when it is not HTTP.
+
+    The body is None when it is shorter than announced or a chunk is broken.
+    """
     lines = _Lines(payload)
     status = _STATUS.match(lines.readline().rstrip(b"\r\n"))
     if status is None:
@@ -79,29 +84,65 @@ def parse_http(payload: bytes) -> tuple[int, dict[str, str], bytes] | None:
     if headers.get("transfer-encoding", "").lower() == "chunked":
         body = _unchunk(body)
     elif headers.get("content-length", "").isdigit():
-        body = body[: int(headers["content-length"])]
+        size = int(headers["content-length"])
+        body = body[:size] if len(body) >= size else None
     return int(status[1]), headers, body
 
 
-def _records(stream, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records of one stream. What cannot be read is logged and ends the stream."""
-    while True:
-        line = stream.readline()
-        while line in (b"\r\n", b"\n"):
-            line = stream.readline()
-        if not line:
-            return
-        headers = read_headers(stream) if line.startswith(b"WARC/") else None
-        fields = {k.lower(): v for k, v in headers or []}
-        size = fields.get("content-length", "")
-        if not size.isdigit():
-            log.warning("skipping a malformed record in %s", path)
-            return
-        payload = stream.read(int(size))
-        if len(payload) < int(size):
-            log.warning("skipping a record that is cut off in %s", path)
-            return
-        yield fields, payload
+class _Records:
+    """Records of one stream. What is malformed is skipped up to the next record's first line."""
+
+    def __init__(self, stream):
+        self.stream, self.back, self.skipped = stream, b"", 0
+        self.line = b""
+
+    def readline(self) -> bytes:
+        end = self.back.find(b"\n") + 1
+        if end:
+            self.line, self.back = self.back[:end], self.back[end:]
+        else:
+            self.line, self.back = self.back + self.stream.readline(), b""
+        return self.line
+
+    def _skip(self, back: bytes) -> None:
+        """Count a malformed record and go on at the next line that opens one."""
+        self.skipped += 1
+        self.back = back + self.back
+        while self.readline() and not self.line.startswith(b"WARC/"):
+            pass
+        self.back = self.line + self.back
+
+    def _read(self, n: int) -> bytes:
+        out, self.back = self.back[:n], self.back[n:]
+        return out + self.stream.read(n - len(out)) if len(out) < n else out
+
+    def _first_line(self) -> bytes:
+        """The line that opens the next record, passing over blank and stray ones."""
+        stray = False
+        while True:
+            line = self.readline()
+            if not line or line.startswith(b"WARC/"):
+                self.skipped += stray
+                return line
+            stray |= bool(line.strip(b"\r\n"))
+
+    def __iter__(self) -> Iterator[tuple[dict[str, str], bytes]]:
+        while self._first_line():
+            headers = read_headers(self)
+            fields = {k.lower(): v for k, v in headers or []}
+            size = fields.get("content-length", "")
+            if not size.isdigit():
+                self._skip(self.line)
+                continue
+            payload = self._read(int(size))
+            after = self._read(5)
+            # a wrong length ends inside the payload or in a later record
+            ends = after in (b"", b"WARC/") or after[:1] == b"\n" or after[:2] == b"\r\n"
+            if len(payload) < int(size) or not ends:
+                self._skip(payload + after)
+                continue
+            self.back = after + self.back
+            yield fields, payload
 
 
 class WarcReader(DataSourceReader):
@@ -140,13 +181,19 @@ class WarcReader(DataSourceReader):
     def _rows(self, split: Split) -> Iterator[dict]:
         with open_split(self.path, split) as file:
             codec = codec_of(split.path)
-            streams = members(file, split, codec, b"WARC/") if codec else [(0, io.BufferedReader(file, READ_BYTES))]
+            streams = members(file, split, codec) if codec else [(0, io.BufferedReader(file, READ_BYTES))]
+            skipped = 0
             for offset, stream in streams:
+                records = _Records(stream)
                 try:
-                    for n, (fields, payload) in enumerate(_records(stream, split.path)):
+                    for n, (fields, payload) in enumerate(records):
                         yield self._row(split.path, offset * ORDINAL_ROOM + n, fields, payload)
-                except (zlib.error, lzma.LZMAError, EOFError) as e:
+                except DAMAGE as e:
                     log.warning("skipping a damaged record in %s: %s", split.path, e)
+                    skipped += 1
+                skipped += records.skipped
+            if skipped:
+                log.warning("%d records of %s were skipped", skipped, split.path)
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -160,30 +207,6 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, self.arrow)
 
 
-class WarcStreamReader(WarcReader, DataSourceStreamReader):
-    """New files of a folder, in name order; the offset is the last name taken.
-
-    Names must grow, as those of a crawler that numbers or dates its files do.
-    """
-
-    def initialOffset(self) -> dict:
-        return {"after": ""}
-
-    def latestOffset(self) -> dict:
-        splits = plan_splits(self.path, self.split_bytes)
-        return {"after": max((s.path for s in splits), default="")}
-
-    def partitions(self, start: dict, end: dict) -> list[Split]:
-        return [
-            s
-            for s in plan_splits(self.path, self.split_bytes)
-            if start["after"] < s.path <= end["after"]
-        ]
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
 class WarcDataSource(DataSource):
     """``spark.read.format("warc").load(path)``.
 
@@ -201,9 +224,6 @@ class WarcDataSource(DataSource):
     def reader(self, schema) -> WarcReader:
         return WarcReader(self.options)
 
-    def streamReader(self, schema) -> WarcStreamReader:
-        return WarcStreamReader(self.options)
-
 
 def read_warc(
     spark: SparkSession, path: str, with_body: bool = True, split_bytes: int = SPLIT_BYTES
@@ -213,6 +233,32 @@ def read_warc(
     return reader.option("split_bytes", str(split_bytes)).load(path)
 
 
-def stream_warc(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(WarcDataSource)
-    return spark.readStream.format("warc").load(path)
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _read_files(batches, split_bytes: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            reader = WarcReader({"path": row["path"], "split_bytes": split_bytes})
+            yield from reader.read(Split(row["path"], row["start"], row["stop"]))
+
+
+def stream_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Records of the files of a folder, each file once, whatever its name and age.
+
+    Spark's own file source lists the files and keeps those it has seen in the
+    query's checkpoint; their contents are not read through it. Large compressed files
+    are dealt out in splits.
+    """
+    files = (
+        spark.readStream.format("binaryFile").schema(FILES)
+        .option("recursiveFileLookup", "true").option("maxFileAge", "36500d").load(path)
+    )
+    step = F.when(F.col("path").rlike(r"\.(gz|xz)$"), F.lit(split_bytes)).otherwise(F.greatest("length", F.lit(1)))
+    splits = files.filter("length > 0").select(
+        F.regexp_replace("path", r"^file:/+", "/").alias("path"), "length", step.alias("step"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step.cast("long"))).alias("start"),
+    )
+    splits = splits.select("path", "start", F.least(F.col("start") + F.col("step"), "length").alias("stop"))
+    # files are listed by few tasks and read by many
+    return splits.repartition("path", "start").mapInArrow(lambda it: _read_files(it, split_bytes), WARC_RECORD)

@@ -4,6 +4,7 @@ import gzip
 import io
 import lzma
 import os
+import random
 import zipfile
 
 import pytest
@@ -16,9 +17,11 @@ from crawlloom.plans.archives import archive_extract, archive_head, archive_to_a
 from crawlloom.plans.corpus import build_corpus, preprocess
 from crawlloom.plans.reports import crawl_metadata, mime_histogram, write_crawl_metadata, write_mime_histogram
 from crawlloom.schema import TEXT_COLUMNS
+from crawlloom.sources import warc as W
 from crawlloom.sources.aligned import write_aligned, write_aligned_by_lang
 from crawlloom.sources.archive import read_record_archive, write_record_archive
 from crawlloom.sources.hashes import read_hashes, write_hashes
+
 from crawlloom.sources.warc import parse_http, read_warc, stream_warc
 from crawlloom.sources.zips import zip_text
 from crawlloom.streaming.ingest import incremental_ingest
@@ -318,4 +321,110 @@ def test_warc_stream(spark, crawl, folder):
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    batch = read_warc(spark, crawl).select("filename", "ordinal")
+    assert spark.read.parquet(f"{folder}/o").exceptAll(batch).count() == 0
     assert spark.read.parquet(f"{folder}/o").count() == 15
+
+
+def test_stream_takes_late_files_once(spark, folder):
+    def put(name, n):
+        with open(f"{folder}/in/{name}", "wb") as f:
+            f.write(b"".join(gzip.compress(record("response", f"http://{name}/{i:08d}", http(b"x"))) for i in range(n)))
+        # an old date, as of a file that was moved here
+        os.utime(f"{folder}/in/{name}", (1_000_000_000, 1_000_000_000))
+
+    def run():
+        query = (
+            stream_warc(spark, f"{folder}/in", split_bytes=300).select("uri").writeStream.format("parquet")
+            .option("checkpointLocation", f"{folder}/c").option("path", f"{folder}/o")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted(r.uri for r in spark.read.parquet(f"{folder}/o").collect())
+
+    os.makedirs(f"{folder}/in")
+    put("m.warc.gz", 5)
+    first = run()
+    assert len(first) == 5
+    put("a.warc.gz", 3)
+    put("z.warc.gz", 2)
+    both = run()
+    assert len(both) == len(set(both)) == 10 and run() == both
+
+
+DAMAGED = [
+    (record("response", "http://x/10000000", http(b"one")), True),
+    (record("response", "http://x/10000001", http(b"two")).replace(b"Content-Length: ", b"Content-Length: x"), False),
+    (b"\r\n\r\n" + record("response", "http://x/10000002", http(b"three")), True),
+    (record("response", "http://x/10000003", http(b"four")).replace(b"Content-Length: ", b"Content-Length: 9"), False),
+    (record("response", "http://x/10000004", http(b"five")), True),
+    (record("response", "http://x/10000005", http(b"six six six")).replace(b"Content-Length: 5", b"Content-Length: 2"), False),
+    (b"WARC/1.0\r\nWARC-Type: resp", False),
+    (record("response", "http://x/10000006", http(b"seven")), True),
+]
+
+
+@pytest.mark.parametrize("form", ["plain", "one member", "members", "xz"])
+def test_malformed_records_are_skipped_alone(spark, folder, form):
+    parts = [r if r.endswith(b"\n") else r + b"\r\n" for r, _ in DAMAGED]
+    if form == "plain":
+        name, data = "d.warc", b"".join(parts)
+    elif form == "one member":
+        name, data = "d.warc.gz", gzip.compress(b"".join(parts))
+    elif form == "members":
+        name, data = "d.warc.gz", b"".join(gzip.compress(p) for p in parts)
+    else:
+        name, data = "d.warc.xz", b"".join(lzma.compress(p) for p in parts)
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(data)
+    for split in (10**9, 120):
+        got = sorted(r.uri for r in read_warc(spark, folder, split_bytes=split).collect())
+        assert got == [f"http://x/1000000{i}" for i in (0, 2, 4, 6)]
+
+
+def test_broken_bodies_are_no_text():
+    short = b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\nabc"
+    assert parse_http(short) == (200, {"content-length": "9"}, None)
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    for bad in (b"3\r\nab", b"3\r\nabc\r\n", b"x\r\nabc\r\n0\r\n\r\n", b"2\r\nabc\r\n0\r\n\r\n", b""):
+        assert parse_http(chunked + bad)[2] is None
+    assert parse_http(chunked + b"0\r\n\r\n")[2] == b""
+
+
+def test_archive_is_read_once(folder, monkeypatch):
+    rng = random.Random(1)
+    one = [gzip.compress(record("response", f"http://x/{i:08d}", http(rng.randbytes(1500)))) for i in range(2000)]
+    path = f"{folder}/big.warc.gz"
+    with open(path, "wb") as f:
+        f.write(b"".join(one))
+    read = [0]
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def seek(self, at):
+            self.file.seek(at)
+
+        def read(self, n):
+            out = self.file.read(n)
+            read[0] += len(out)
+            return out
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+    monkeypatch.setattr(W, "open_split", lambda source, split: Counted(open(split.path, "rb")))
+    reader = W.WarcReader({"path": path})
+    assert sum(b.num_rows for s in reader.partitions() for b in reader.read(s)) == 2000
+    assert read[0] <= 1.2 * os.path.getsize(path)
+
+
+def test_archive_members_of_any_header_order(spark, folder):
+    member = b"\r\nContent-Type: text/html\r\nContent-Location: http://a\r\nContent-Length: 2\r\n\r\nhi"
+    with open(f"{folder}/a.gz", "wb") as f:
+        f.write(gzip.compress(member) + gzip.compress(member.lstrip()))
+    assert [r.text for r in read_record_archive(spark, folder).collect()] == ["hi", "hi"]
