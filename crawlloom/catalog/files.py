@@ -98,6 +98,43 @@ def warc_records(spark, sf):
     )
 
 
+def _damaged(spark, sf, form: str) -> str:
+    """Pages as crawl archives of one form, some of them malformed."""
+
+    def write(path):
+        spark.dataSource.register(ArchiveDataSource)
+        kind = F.col("page_id") % 7
+        head = F.when(kind == 2, f"Content-Length: 99999999{EOL}").when(kind == 3, f"Transfer-Encoding: chunked{EOL}").otherwise("")
+        payload = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html{EOL}"), head, F.lit(EOL), "html")
+        record = F.concat(
+            F.when(kind == 1, EOL * 2).otherwise(""),
+            F.lit(f"WARC/1.0{EOL}WARC-Type: response{EOL}WARC-Record-ID: <urn:uuid:"), F.col("page_id").cast("string"),
+            F.lit(f">{EOL}Content-Type: application/http; msgtype=response{EOL}Content-Length: "),
+            F.when(kind == 0, "x").otherwise(""), F.octet_length("payload").cast("string"),
+            F.lit(EOL * 2), "payload", F.lit(EOL * 2),
+        )
+        pages = table(spark, sf, "pages").select("page_id", "html").withColumn("payload", payload)
+        rows = pages.repartition(2, "page_id").select(record.alias("value"))
+        if form == "members":
+            members = rows.select(F.lit("").alias("folder"), F.col("value").alias("record"))
+            members.write.format("record_archive").mode("append").save(path)
+        else:  # one file of plain records, or one compressed member with all of them
+            rows.write.option("compression", "gzip" if form == "member" else "none").text(path)
+
+    return _once(spark, sf, f"damaged-{form}", write)
+
+
+def warc_damaged(spark, sf):
+    """Malformed records are left out alone, broken bodies are null, in any form of archive."""
+    out = None
+    for form in ("plain", "member", "members"):
+        rows = read_warc(spark, _damaged(spark, sf, form)).select(
+            F.lit(form).alias("form"), "record_id", F.coalesce(F.octet_length("body"), F.lit(-1)).cast("long").alias("body_bytes")
+        )
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def warc_split_records(spark, sf):
     """The same archives read in small byte ranges: no record lost or doubled."""
     whole = read_warc(spark, warc_archive(spark, sf), with_body=False)
@@ -246,6 +283,12 @@ _ACCEPTED = f"""{_PAGE_VERDICT}, ac AS (SELECT q.*, s3.lang, {_spaces_sql("raw")
     WHERE reliable QUALIFY row_number() OVER (PARTITION BY {_spaces_sql("raw")} ORDER BY page_id) = 1)"""
 
 ENTRIES = {
+    "warc_damaged": (
+        warc_damaged,
+        """SELECT form, '<urn:uuid:' || page_id || '>' AS record_id,
+          CASE WHEN page_id % 7 IN (2, 3) THEN -1 ELSE strlen(html) END AS body_bytes
+        FROM pages, (VALUES ('plain'), ('member'), ('members')) f(form) WHERE page_id % 7 <> 0""",
+    ),
     "warc_records": (
         warc_records,
         _PAGES

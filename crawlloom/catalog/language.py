@@ -391,6 +391,27 @@ _CLOSE = """CASE WHEN lang IN ('es', 'pt', 'gl') THEN 1 WHEN lang IN ('cs', 'sk'
     WHEN lang = 'id' THEN 4 END"""
 _ALT = "CASE lang WHEN 'es' THEN 'gl' WHEN 'gl' THEN 'es' WHEN 'cs' THEN 'sk' WHEN 'sk' THEN 'cs' WHEN 'no' THEN 'nn' WHEN 'nn' THEN 'no' WHEN 'ru' THEN 'bg' WHEN 'bg' THEN 'ru' END"
 
+
+def _repeated_sql(source: str) -> str:
+    return rf"""WITH l AS (SELECT doc_id, string_split(trim(lower(regexp_replace(text, '[^\p{{L}}\p{{M}}]+', ' ', 'g'))), ' ') AS ws FROM ({source})),
+        u AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS w, ws FROM l),
+        c AS (SELECT doc_id, pos, w, CASE WHEN pos >= 4 THEN array_to_string(ws[pos - 3:pos], ' ') END AS ctx FROM u),
+        r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, ctx ORDER BY pos) AS n FROM c)
+        SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS text FROM r WHERE ctx IS NULL OR n = 1 GROUP BY doc_id"""
+
+
+_SQUEEZED = """WITH b AS (SELECT doc_id, list_transform(range((length(text) + 47) // 48), lambda i: substr(text, i * 48 + 1, 48)) AS blocks FROM documents)
+    SELECT doc_id, array_to_string(list_filter(blocks, lambda x:
+      (length(x) - length(replace(x, ' ', ''))) * 100 / length(x) < 25
+      AND CASE WHEN length(x) < 3 THEN true ELSE
+        (length(x) - 2 - len(list_distinct(list_transform(range(length(x) - 2), lambda k: substr(x, k + 1, 3))))) * 100 / (length(x) - 2) < 40 END), '') AS text
+    FROM b"""
+_FIRST = f"{_verdict_sql()} SELECT id AS doc_id, lang, reliable, percent1, percent2 FROM s3"
+_WEAK = f"SELECT doc_id FROM ({_FIRST}) WHERE NOT (reliable AND (percent1 >= 70 OR percent1 + percent2 >= 93))"
+_AGAIN = f"SELECT doc_id AS id, '' AS gold, text FROM ({_repeated_sql(f'SELECT * FROM ({_SQUEEZED}) WHERE doc_id IN ({_WEAK})')})"
+_REFINED = f"""SELECT a.doc_id, coalesce(b.lang, a.lang) AS lang, coalesce(b.reliable, a.reliable) AS reliable
+    FROM ({_FIRST}) a LEFT JOIN ({_verdict_sql(_AGAIN, best_effort=True)} SELECT id AS doc_id, lang, reliable FROM s3) b ON a.doc_id = b.doc_id"""
+
 ENTRIES = {
     "script_spans": (
         script_spans,
@@ -519,14 +540,7 @@ ENTRIES = {
         SELECT id AS doc_id, chunk, lang, sum(score)::BIGINT AS score, sum(hits)::BIGINT AS hits, sum(bytes)::BIGINT AS bytes
         FROM al GROUP BY ALL""",
     ),
-    "repeated_words": (
-        repeated_words,
-        r"""WITH l AS (SELECT doc_id, string_split(trim(lower(regexp_replace(text, '[^\p{L}\p{M}]+', ' ', 'g'))), ' ') AS ws FROM documents),
-        u AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS w, ws FROM l),
-        c AS (SELECT doc_id, pos, w, CASE WHEN pos >= 4 THEN array_to_string(ws[pos - 3:pos], ' ') END AS ctx FROM u),
-        r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, ctx ORDER BY pos) AS n FROM c)
-        SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS text FROM r WHERE ctx IS NULL OR n = 1 GROUP BY doc_id""",
-    ),
-    "squeezed_text": (squeezed_text, None),
-    "lang_refined": (lang_refined, None),
+    "repeated_words": (repeated_words, f"{_repeated_sql('SELECT doc_id, text FROM documents')}"),
+    "squeezed_text": (squeezed_text, _SQUEEZED),
+    "lang_refined": (lang_refined, _REFINED),
 }

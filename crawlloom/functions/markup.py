@@ -136,7 +136,7 @@ def decode(body: bytes, charset: str | None) -> str:
         for mark, name in ((codecs.BOM_UTF8, "utf-8"), (b"\xfe\xff", "utf-16-be"), (b"\xff\xfe", "utf-16-le")):
             if body.startswith(mark):
                 return body[len(mark) :].decode(name, "replace")
-        declared = _META.search(body[:1024])
+        declared = _META.search(body)
         if declared:
             label = declared[1].decode("ascii").lower()
             if label.startswith("utf-16"):

@@ -13,10 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys taken out of the shuffled anti-join: any key with more than a 1000th of
-# the rows is among them, and so few can always be broadcast.
-HOT_KEYS = 1000
-
 
 def _position(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -55,15 +51,8 @@ def new_hashes(df: DataFrame, key: str, seen: DataFrame | None = None) -> DataFr
 def drop_seen(df: DataFrame, key: str, seen: DataFrame) -> DataFrame:
     """Drop the rows whose key is in ``seen``, keeping repeated new ones.
 
-    The most frequent keys are looked up by broadcast, the others by a shuffled
-    anti-join in which no key is large.
+    One scan of each side. ``seen`` has one row a key after its aggregate; a key that
+    very many rows of ``df`` share makes a skewed partition of the left side only,
+    which adaptive execution splits.
     """
-    seen = seen.select(key).distinct()
-    hot = F.broadcast(
-        df.groupBy(key).count().orderBy(F.desc("count"), key).limit(HOT_KEYS).select(key)
-    )
-    # at most HOT_KEYS rows as well
-    hot_seen = F.broadcast(seen.join(hot, key, "left_semi"))
-    frequent = df.join(hot, key, "left_semi").join(hot_seen, key, "left_anti")
-    rare = df.join(hot, key, "left_anti").join(seen, key, "left_anti")
-    return frequent.unionByName(rare)
+    return df.join(seen.select(key).distinct(), key, "left_anti")

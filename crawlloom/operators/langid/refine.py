@@ -15,6 +15,7 @@ from crawlloom.operators.langid.model import LangModel
 from crawlloom.operators.langid.score import score_grams
 from crawlloom.session import by_keys, materialize
 
+# Sizes from which ``reference=True`` looks at a text again and squeezes it.
 SHORT_TEXT, LONG_SPAN = 256, 2048
 GOOD_FIRST, GOOD_FIRST_TWO = 70, 93
 BLOCK, SPACES_TRIGGER, REPEATS_TRIGGER, SPACES_DROP, REPEATS_DROP = 48, 25, 67, 25, 40
@@ -22,12 +23,16 @@ CONTEXT = 4
 BOOSTS = 4
 
 
-def is_weak(df: DataFrame) -> Column:
-    """The answer deserves a second look: long text, no clear winner."""
+def is_weak(df: DataFrame, reference: bool = False) -> Column:
+    """The answer deserves a second look: no clear winner.
+
+    With ``reference`` short texts keep their first answer.
+    """
     good = (F.col("percent1") >= GOOD_FIRST) | (
         F.col("percent1") + F.col("percent2") >= GOOD_FIRST_TWO
     )
-    return (F.col("text_bytes") > SHORT_TEXT) & ~(F.col("reliable") & good)
+    weak = ~(F.col("reliable") & good)
+    return weak & (F.col("text_bytes") > SHORT_TEXT) if reference else weak
 
 
 def drop_repeated_words(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
@@ -71,29 +76,41 @@ def _repeats(piece: Column) -> Column:
     )
 
 
-def squeeze_text(text: Column) -> Column:
-    """Long text that starts with padding or repetition loses such 48-letter blocks."""
-    head = F.left(text, F.lit(256))
-    trigger = (_share(head, " ") >= SPACES_TRIGGER) | (_repeats(head) >= REPEATS_TRIGGER)
+def squeeze_text(text: Column, reference: bool = False) -> Column:
+    """Text without the 48-letter blocks that are mostly padding or repetition.
+
+    Every block of every text is judged alike. With ``reference`` only long texts that
+    start with padding or repetition are.
+    """
     blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
     kept = F.filter(blocks, lambda b: (_share(b, " ") < SPACES_DROP) & (_repeats(b) < REPEATS_DROP))
-    return F.when((F.length(text) > LONG_SPAN) & trigger, F.array_join(kept, "")).otherwise(text)
+    squeezed = F.array_join(kept, "")
+    if not reference:
+        return squeezed
+    head = F.left(text, F.lit(256))
+    trigger = (_share(head, " ") >= SPACES_TRIGGER) | (_repeats(head) >= REPEATS_TRIGGER)
+    return F.when((F.length(text) > LONG_SPAN) & trigger, squeezed).otherwise(text)
 
 
 def refine_pass(
-    df: DataFrame, model: LangModel, keys: Sequence[str], text: str = "text", colocated: bool = False
+    df: DataFrame,
+    model: LangModel,
+    keys: Sequence[str],
+    text: str = "text",
+    colocated: bool = False,
+    reference: bool = False,
 ) -> DataFrame:
-    """``detect_language`` with a second, forced pass over the weak answers only.
+    """``detect_language`` with a second, forced pass over the weak answers only, after
+    squeezing and without repeated words.
 
     The first answers are a narrow table; writing it out keeps the texts from being
     scored twice.
     """
     keys = list(keys)
     first = materialize(detect_language(df, model, keys, text, details=True, colocated=colocated))
-    weak = first.filter(is_weak(first)).select(*keys)
-    again = drop_repeated_words(
-        by_keys(df.select(*keys, text).join(weak, keys, "left_semi"), keys), keys, text
-    )
+    weak = first.filter(is_weak(first, reference)).select(*keys)
+    texts = by_keys(df.select(*keys, text).join(weak, keys, "left_semi"), keys)
+    again = drop_repeated_words(texts.withColumn(text, squeeze_text(F.col(text), reference)), keys, text)
     second = detect_language(again, model, keys, text, best_effort=True, colocated=True)
     # a text that has no words left keeps its first answer
     second = second.select(*keys, F.struct("lang", "reliable").alias("_second"))

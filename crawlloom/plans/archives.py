@@ -9,6 +9,7 @@ from crawlloom.operators.order import head_records, limit_records
 from crawlloom.operators.project import extract_field
 from crawlloom.sources.aligned import write_aligned
 from crawlloom.sources.archive import read_record_archive, write_record_archive
+from crawlloom.sources.files import file_system
 
 
 def archive_to_aligned(
@@ -21,9 +22,13 @@ def archive_to_aligned(
 ) -> None:
     """Convert archives to aligned files: a folder per input file without language
     lines, or everything together with them."""
-    records = limit_records(read_record_archive(spark, path, codec), "file", "ordinal", n)
+    records = limit_records(read_record_archive(spark, path, codec, n), "file", "ordinal", n)
     if per_file:
-        named = records.withColumn("file", F.substring_index("file", "/", -1))
+        # by the path below ``path``: equal names in two folders stay apart
+        root = file_system(path)[1].rstrip("/") + "/"
+        below = F.substr("file", F.lit(len(root) + 1))
+        name = F.when(F.startswith("file", F.lit(root)), below).otherwise(F.substring_index("file", "/", -1))
+        named = records.withColumn("file", name)
         write_aligned(named, out, with_lang=False, partition="file")
     else:
         write_aligned(records, out)
@@ -38,7 +43,7 @@ def archive_extract(
     codec: str | None = None,
 ) -> DataFrame:
     """One field of every record, optionally in base64."""
-    records = limit_records(read_record_archive(spark, path, codec), "file", "ordinal", n)
+    records = limit_records(read_record_archive(spark, path, codec, n), "file", "ordinal", n)
     return extract_field(records, field, base64)
 
 
@@ -46,5 +51,5 @@ def archive_head(
     spark: SparkSession, path: str, out: str, n: int = 10, codec: str | None = None
 ) -> None:
     """The first records of every archive, written as an archive."""
-    records = head_records(read_record_archive(spark, path, codec), "file", "ordinal", n)
+    records = head_records(read_record_archive(spark, path, codec, n), "file", "ordinal", n)
     write_record_archive(records, out, codec or "gz")

@@ -17,7 +17,7 @@ from crawlloom.operators.langid.model import LangModel
 from crawlloom.operators.langid.refine import refine_pass
 from crawlloom.operators.order import carry_forward
 from crawlloom.operators.project import to_text_record
-from crawlloom.operators.routing import reliable_only
+from crawlloom.operators.routing import drop_unreadable, reliable_only
 from crawlloom.operators.stats import content_type_stats, run_counters
 from crawlloom.plans.staging import stage
 from crawlloom.session import materialize
@@ -104,7 +104,7 @@ def build_corpus(
     of deduplication and sources are narrow tables joined to it by its bucket keys.
     """
     staged = stage(clean_records(records, reference), KEYS, "records")
-    readable = staged.filter(F.col("text").isNotNull())
+    readable = drop_unreadable(staged)
     detect = refine_pass if refine else detect_language
     verdict = materialize(detect(readable, model, KEYS, colocated=True))
 

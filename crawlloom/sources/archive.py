@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import itertools
 import lzma
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ class ArchiveReader(DataSourceReader):
         self.path = options["path"]
         self.codec = options.get("codec")
         self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
+        self.first = int(options.get("first", -1))
         self.arrow = to_arrow_schema(ARCHIVE_RECORD)
 
     def partitions(self) -> list[Split]:
@@ -69,7 +71,7 @@ class ArchiveReader(DataSourceReader):
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
-        for row in self._rows(partition):
+        for row in itertools.islice(self._rows(partition), self.first if self.first >= 0 else None):
             rows.append(row)
             size += len(row["text"])
             if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
@@ -126,16 +128,19 @@ class ArchiveDataSource(DataSource):
         return ArchiveWriter(self.options)
 
 
-def read_record_archive(spark: SparkSession, path: str, codec: str | None = None) -> DataFrame:
+def read_record_archive(
+    spark: SparkSession, path: str, codec: str | None = None, first: int = -1
+) -> DataFrame:
     """(file, ordinal, text record columns) of every member, in any number of files.
 
-    U+FFFD is removed from every field and the record id is unwrapped.
+    U+FFFD is removed from every field and the record id is unwrapped. With ``first``
+    no split is read beyond that many records; a file has at least its first ones.
     """
     spark.dataSource.register(ArchiveDataSource)
     reader = spark.read.format("record_archive")
     if codec:
         reader = reader.option("codec", codec)
-    df = reader.load(path)
+    df = reader.option("first", str(first)).load(path)
     return df.select(
         "file", "ordinal", *[strip_replacement_char(F.col(c)).alias(c) for c in TEXT_COLUMNS]
     ).withColumn("record_id", strip_record_id(F.col("record_id")))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlloom.operators.dedup import dedup_unseen
+from crawlloom.session import materialize
 
 
 def incremental_ingest(
@@ -32,7 +33,8 @@ def incremental_ingest(
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = prepare(batch) if prepare else batch
+        # read twice below: cleaned and hashed once
+        rows = materialize(prepare(batch) if prepare else batch)
         kind = rows.schema[key].dataType
         schema = T.StructType([T.StructField(key, kind), T.StructField("batch_id", T.LongType())])
         own = f"{hashes}/batch_id={batch_id}"
