@@ -36,6 +36,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="crawlloom-wh-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="crawlloom-ck-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

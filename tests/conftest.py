@@ -17,6 +17,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="crawlloom-wh-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="crawlloom-ck-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
