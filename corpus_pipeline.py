@@ -11,10 +11,8 @@ from crawlloom.llm.shared import Scratch, held, table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half; the model is learned as op5 learns it."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "toxic")
-    labelled = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("_id"))
-    model = toxicity.train(labelled.filter(held(F.col("doc_id"), 5) != 0))
-    return toxicity.keep_clean(docs, model)
+    labels = table(spark, sf_dir, "labels").filter(held(F.col("doc_id"), 5) != 0)
+    return toxicity.keep_clean(docs, toxicity.train(docs, labels))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

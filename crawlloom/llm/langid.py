@@ -88,6 +88,8 @@ class Model:
         return [names[i] for i in best], chance[np.arange(n), best]
 
     def predict(self, margins: np.ndarray) -> tuple[list[str], np.ndarray]:
+        if not self.langs:
+            return [UNKNOWN] * len(margins), np.zeros(len(margins))
         family, sure = self._vote(self.families, self.between, margins)
         lang, chance = list(family), sure.copy()
         for name in self.families:
@@ -124,13 +126,13 @@ def train(
 
     The sample is the only thing that reaches the driver: at most that many texts of
     ``SAMPLE_BYTES`` bytes a language, as counts of hashed features. Rows without text or
-    language teach nothing.
+    language teach nothing; a model that has learned no language finds every text ``und``.
     """
     short = F.octet_length(text_col).between(1, SAMPLE_BYTES)
     rows = labelled.filter(F.col(lang_col).isNotNull() & short)
     sizes = {r[lang_col]: r["n"] for r in rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        raise ValueError("no labelled text")
+        return Model([], [], np.zeros((0, 1 << BITS), dtype=np.float32), np.zeros(0), [], {})
     draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_lang / n))])
     sample = rows.filter(draw <= share[F.col(lang_col)]).select(lang_col, text_col)
@@ -152,7 +154,7 @@ def train(
 
     def fit(labels, a, b, into):
         at = (labels == a) | (labels == b)
-        w, c = linear_svm(x[at].astype(np.float64), np.where(labels[at] == a, 1.0, -1.0), 1e-3, 200)
+        w, c = linear_svm(x[at], np.where(labels[at] == a, 1.0, -1.0), 1e-3, 200)
         into.append((a, b, len(rows_)))
         rows_.append(w * scale / norm)
         offsets.append(c)

@@ -34,8 +34,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = held(F.col("doc_id"), 5) == 0
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(docs.join(labels, "doc_id").filter(~out))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~out))
     found = toxicity.score(docs, model)
     return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -151,13 +150,13 @@ WITH RECURSIVE turns AS (
   SELECT conv_id, plain, min(turn) AS turn FROM turns WHERE plain IS NOT NULL GROUP BY ALL
 ), links AS (
   SELECT t.conv_id, t.turn, t.text, f.turn AS reply_to,
-    CASE WHEN p.turn IS NULL THEN 0 ELSE 1 END + CASE WHEN o.turn IS NULL THEN 0 ELSE 1 END AS n_quoted
+    CAST(CASE WHEN p.turn IS NULL THEN 0 ELSE 1 END + CASE WHEN o.turn IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_quoted
   FROM turns t
   LEFT JOIN turns p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
   LEFT JOIN turns o ON o.conv_id = t.conv_id AND o.turn = t.turn - 2
   LEFT JOIN first f ON f.conv_id = t.conv_id AND f.plain = p.plain
 ), chain AS (
-  SELECT conv_id, turn, turn AS thread, 0 AS depth FROM links WHERE reply_to IS NULL
+  SELECT conv_id, turn, turn AS thread, CAST(0 AS BIGINT) AS depth FROM links WHERE reply_to IS NULL
   UNION ALL
   SELECT l.conv_id, l.turn, c.thread, c.depth + 1 FROM links l JOIN chain c ON l.conv_id = c.conv_id AND l.reply_to = c.turn
 )

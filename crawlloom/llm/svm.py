@@ -8,26 +8,28 @@ import numpy as np
 def linear_svm(x: np.ndarray, y: np.ndarray, reg: float = 1e-4, steps: int = 300, weight=None) -> tuple[np.ndarray, float]:
     """Weights and offset for labels -1 and 1: squared hinge loss, accelerated gradient descent.
 
-    Classes weigh alike unless ``weight`` gives a weight a row.
+    Classes weigh alike unless ``weight`` gives a weight a row. The number of steps bounds
+    how far single rows are followed, as a regularisation of its own.
     """
     if weight is None:
         weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-    weight = weight / weight.sum()
-    xb = np.hstack([x, np.ones((len(x), 1))])
+    weight = (weight / weight.sum()).astype(x.dtype)
+    y = y.astype(x.dtype)
+    xb = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     # the loss bends by at most twice the largest eigenvalue of the weighted second moments
-    v = np.ones(xb.shape[1]) / np.sqrt(xb.shape[1])
+    v = np.full(xb.shape[1], xb.shape[1] ** -0.5, dtype=x.dtype)
     for _ in range(20):
         v = xb.T @ (weight * (xb @ v))
         top = np.linalg.norm(v)
         v /= top
-    rate = 1.0 / (2.2 * top + reg)
-    w = at = np.zeros(xb.shape[1])
+    rate = float(1.0 / (2.2 * top + reg))
+    w = at = np.zeros(xb.shape[1], dtype=x.dtype)
     for k in range(steps):
         slack = np.maximum(0.0, 1.0 - y * (xb @ at))
         grad = -2.0 * (xb.T @ (weight * y * slack))
         grad[:-1] += reg * at[:-1]
         new = at - rate * grad
-        at = new + (k / (k + 3.0)) * (new - w)
+        at = new + k / (k + 3.0) * (new - w)
         w = new
     return w[:-1], float(w[-1])
 

@@ -10,7 +10,6 @@ landmarks be folded into one weight per subsequence: scoring is then a sum over
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,9 @@ from crawlloom.llm.svm import linear_svm, logistic_scale, sigmoid
 
 #: Texts of each class in the training sample; longer texts are not drawn.
 SAMPLE_PER_CLASS, SAMPLE_CHARS = 1500, 20_000
-LANDMARKS, ROUNDS, SEED = 600, 4, 5
+LANDMARKS, ROUNDS, SEED = 600, 5, 5
+#: Weight of a training word by the texts that hold it, and the regularisation.
+POWER, REG = 0.5, 1e-6
 DECAY, SPAN = 0.6, 5
 #: Padding between words: with end and start it keeps a span out of the next word's letters.
 PAD = 1
@@ -175,58 +176,83 @@ def _landmark_map(landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _kernel(words: list[bytes], cols: np.ndarray) -> np.ndarray:
+    """Words x landmarks, a few words at a time: each place takes a row of all landmarks."""
+    out = np.empty((len(words), cols.shape[1]), dtype=np.float32)
+    for i in range(0, len(words), 200):
+        sym, place = _places(words[i : i + 200])
+        out[i : i + len(place)] = _sums(lambda code: cols[code], sym, place)
+    return out
+
+
+def _odd_copies(words: list[bytes], rng) -> list[bytes]:
+    """Words with one letter put in or said twice, as people write to get past a filter."""
     out = []
-    for i in range(0, len(words), 2000):
-        sym, place = _places(words[i : i + 2000])
-        out.append(_sums(lambda code: cols[code], sym, place))
-    return np.concatenate(out) if out else np.zeros((0, cols.shape[1]))
+    for w in words:
+        at = int(rng.integers(1, len(w))) if len(w) > 1 else 0
+        out.append(w[:at] + bytes([int(rng.integers(1, 27))]) + w[at:])
+        out.append(w[:at] + w[at : at + 1] + w[at:])
+    return out
 
 
-def _fit(sample: list[tuple[set[bytes], int]], weights: tuple[float, float], seed: int) -> Model:
-    """Multiple-instance training: a toxic text has one word, at first unknown, that makes it so."""
+def _fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float], seed: int) -> Model:
+    """Multiple-instance training: a toxic text has one word, at first unknown, that makes it so.
+
+    ``texts`` hold the distinct words of a text, joined by zero bytes.
+    """
     rng = np.random.default_rng(seed)
-    hit, miss = Counter(), Counter()
-    for words, label in sample:
-        (hit if label else miss).update(words)
-    n1 = max(1, sum(label for _, label in sample))
-    n0 = max(1, len(sample) - n1)
-    odds = {w: np.log((c + 0.1) / n1) - np.log((miss[w] + 0.1) / n0) for w, c in hit.items()}
-    ranked = sorted(hit, key=lambda w: (-odds[w] * np.log1p(hit[w]), w))
-    common = sorted(miss, key=lambda w: (-miss[w], w))
-    clean = common[:1500] + sorted(rng.choice(np.array(common[1500:], dtype=object), min(6000, len(common[1500:])), replace=False)) if len(common) > 1500 else common
-    landmarks = ranked[: LANDMARKS // 2] + clean[:: max(1, len(clean) // (LANDMARKS // 2))]
-    cols, root = _landmark_map(list(dict.fromkeys(landmarks)))
-    witness, model = ranked[: 2 * LANDMARKS], None
+    every = sorted({w for t in texts for w in t.split(b"\0") if w})
+    number = {w: i for i, w in enumerate(every)}
+    bags = [np.array([number[w] for w in t.split(b"\0") if w], dtype=np.int32) for t in texts]
+    del number
+
+    def seen(label: int) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, dtype=np.int32), *[b for b, k in zip(bags, labels, strict=True) if k == label]]), minlength=len(every))
+
+    hit, miss = seen(1), seen(0)
+    n1, n0 = max(1, int((labels == 1).sum())), max(1, int((labels == 0).sum()))
+    odds = np.log((hit + 0.1) / n1) - np.log((miss + 0.1) / n0)
+    by_odds = np.argsort(-np.where(hit > 0, odds * np.log1p(hit), -np.inf), kind="stable")
+    ranked = by_odds[: int((hit > 0).sum())]
+    common = np.argsort(-miss, kind="stable")[: int((miss > 0).sum())]
+    rest = common[1500:]
+    clean = np.concatenate([common[:1500], np.sort(rng.choice(rest, min(6000, len(rest)), replace=False))])
+    landmarks = np.concatenate([ranked[: LANDMARKS // 2], clean[:: max(1, len(clean) // (LANDMARKS // 2))]])
+    cols, root = _landmark_map([every[i] for i in dict.fromkeys(landmarks.tolist())])
+    witness, model, score = ranked[: 2 * LANDMARKS], None, np.zeros(len(every))
     for turn in range(ROUNDS):
-        words = witness + clean
-        y = np.array([1.0] * len(witness) + [-1.0] * len(clean))
-        w, offset = linear_svm(_kernel(words, cols) @ root, y, 1e-5, 400)
-        theta = (cols @ (root @ w)).astype(np.float32)
-        model = Model(theta, offset, (1.0, 0.0))
-        every = sorted(set(hit) | set(miss))
-        score = {}
-        for i in range(0, len(every), 1 << 15):
-            part = every[i : i + (1 << 15)]
-            score.update(zip(part, model.words(*_places(part)).tolist(), strict=True))
+        often = sorted(witness, key=lambda i: (-hit[i], i))[:200]
+        odd = _odd_copies([every[i] for i in often], rng)
+        words = [every[i] for i in witness] + odd + [every[i] for i in clean]
+        y = np.concatenate([np.ones(len(witness) + len(odd)), -np.ones(len(clean))])
+        # a word that many texts hold weighs more, a copy with a slip as little as a rare word
+        bad, good = np.concatenate([hit[witness] ** POWER, np.ones(len(odd))]), miss[clean] ** POWER
+        weight = np.concatenate([0.5 * bad / bad.sum(), 0.5 * good / good.sum()])
+        w, offset = linear_svm(_kernel(words, cols) @ root.astype(np.float32), y, REG, 400, weight)
+        model = Model((cols @ (root @ w)).astype(np.float32), offset, (1.0, 0.0))
+        for i in range(0, len(every), 1 << 13):
+            part = every[i : i + (1 << 13)]
+            score[i : i + len(part)] = model.words(*_places(part))
         if turn + 1 < ROUNDS:
-            best = [max(words, key=lambda v: (score[v], v)) for words, label in sample if label and words]
-            witness = sorted({v for v in best if score[v] > -0.5 and odds[v] > 0}) or witness
+            best = {int(b[np.argmax(score[b])]) for b, k in zip(bags, labels, strict=True) if k and len(b)}
+            found = np.array(sorted(i for i in best if score[i] > -0.5 and odds[i] > 0), dtype=np.int64)
+            witness = found if len(found) else witness
             # the clean words that look worst are taken along from now on
-            clean = list(dict.fromkeys(clean + sorted(miss, key=lambda v: (-score[v], v))[:1500]))
-    tops = np.array([max((score[v] for v in words), default=-2.0) for words, _ in sample])
-    y = np.array([float(label) for _, label in sample])
-    model.scale = logistic_scale(tops, y, np.where(y > 0, weights[1], weights[0]))
+            worst = np.argsort(-np.where(miss > 0, score, -np.inf), kind="stable")[: min(1500, len(common))]
+            clean = np.unique(np.concatenate([clean, worst]))
+    tops = np.array([score[b].max() if len(b) else -2.0 for b in bags])
+    model.scale = logistic_scale(tops, labels.astype(float), np.where(labels > 0, weights[1], weights[0]))
     return model
 
 
 def _word_sets(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = [sorted(set(_strings(*_tokens(t.as_py())))) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(words, type=pa.list_(pa.binary())), batch.column(1)], names=["words", "label"])
+        words = [b"\0".join(sorted(set(_strings(*_tokens(t.as_py()))))) for t in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(words, type=pa.binary()), batch.column(1)], names=["words", "label"])
 
 
 def train(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
@@ -235,23 +261,29 @@ def train(
 ) -> Model:
     """Fit on about ``per_class`` texts of each label, drawn by a hash of the id.
 
-    The sample, sets of words of texts of at most ``SAMPLE_CHARS`` characters, is all
-    that reaches the driver. Chances are scaled to the shares the labels have in all
-    labelled rows. Rows without text or with another label than 0 and 1 teach nothing.
+    ``labels`` (id, label) names the rows to learn from. The draw is made on ids and
+    lengths; only the drawn ids, four times ``per_class`` rows at most, are broadcast to
+    the texts. The sample, sets of words of texts of at most ``SAMPLE_CHARS`` characters,
+    is all that reaches the driver. Chances are scaled to the shares the labels have in
+    all labelled rows. Rows without text or with another label than 0 and 1 teach nothing.
+    Without texts of both labels every text scores 1 or, without any, 0.
     """
-    label = F.col(label_col).cast("int")
-    rows = labelled.filter(label.isin(0, 1) & F.char_length(text_col).between(1, SAMPLE_CHARS))
-    sizes = {r["label"]: r["n"] for r in rows.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
-        raise ValueError("labelled texts of both kinds are needed")
-    draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) / float(1 << 40)
-    share = F.when(label == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
-    sample = rows.filter(draw <= share).select(text_col, label.alias("label"))
-    got = sample.mapInArrow(_word_sets, "words array<binary>, label int").collect()
-    got = sorted((sorted(bytes(w) for w in r["words"]), r["label"]) for r in got)
-    drawn = Counter(label for _, label in got)
-    weights = tuple(sizes[k] / max(1, drawn[k]) for k in (0, 1))
-    return _fit([(set(w), k) for w, k in got], weights, seed)
+    lengths = docs.select(F.col(id_col).alias("_id"), F.char_length(text_col).alias("_len"))
+    label = labels.select(F.col(id_col).alias("_of"), F.col(label_col).cast("int").alias("label"))
+    rows = lengths.filter(F.col("_len").between(1, SAMPLE_CHARS)).join(label.filter(F.col("label").isin(0, 1)), F.col("_id") == F.col("_of"))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:  # nothing to tell apart: every text gets the share of toxic labels
+        return Model(np.zeros(_N**3, dtype=np.float32), 0.0, (0.0, 40.0 if 1 in sizes else -40.0))
+    draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) / float(1 << 40)
+    share = F.when(F.col("label") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
+    drawn = rows.filter(draw <= share).select("_id", "label").limit(4 * per_class)
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    sample = texts.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).select("_text", "label")
+    got = sample.mapInArrow(_word_sets, "words binary, label int").collect()
+    got = sorted((bytes(r["words"]), r["label"]) for r in got)
+    found = np.array([label for _, label in got])
+    weights = tuple(sizes[k] / max(1, int((found == k).sum())) for k in (0, 1))
+    return _fit([t for t, _ in got], found, weights, seed)
 
 
 def _score(batches, shared) -> Iterator[pa.RecordBatch]:
