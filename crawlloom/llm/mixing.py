@@ -200,6 +200,7 @@ def mix_plan(
 
 def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mixed corpus: rows of ``docs`` repeated as ``mix_plan`` says; ids must be unique."""
-    plan = mix_plan(docs, id_col, **options).select(F.col(id_col).alias("_mix_id"), F.col("copies").alias("_copies"))
-    joined = docs.join(plan.filter("_copies > 0"), docs[id_col].eqNullSafe(plan["_mix_id"]))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    plan = mix_plan(docs, id_col, **options).filter("copies > 0").select(F.col(id_col).alias("_id"), "copies")
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"))
+    whole = whole.join(plan, F.col("_doc")[id_col].eqNullSafe(F.col("_id")))
+    return whole.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
