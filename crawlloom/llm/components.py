@@ -20,7 +20,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
     return (
         both.filter("v > u").join(least, "u").filter("v <> m")
-        .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     )
 
 
@@ -31,6 +31,15 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("hi", F.col("m").alias("lo"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour at most, and that one has none itself."""
+    roles = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("lo", F.lit(0), F.lit(1))
+    )
+    roles = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not roles.filter("up > 1 or up = 1 and down = 1").head(1)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): each linked node with the smallest node it reaches.
 
@@ -42,14 +51,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
         .distinct()
     )
-    state = None
-    while True:
+    while not _are_stars(found):
         found = cut(small_star(large_star(found)))
-        now = found.agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")
-        ).first()
-        if state == tuple(now):
-            break
-        state = tuple(now)
     roots = found.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return found.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)

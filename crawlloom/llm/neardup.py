@@ -17,7 +17,7 @@ from crawlloom.llm.shared import Scratch, cut
 
 WORDS, SIMILARITY, BANDS, ROWS, SEED = 5, 0.8, 28, 5, 2
 #: Shingles one block of a candidate group may have, and those one compare task gets.
-BLOCK_SHINGLES, SLOT_SHINGLES = 500_000, 1_000_000
+BLOCK_SHINGLES, SLOT_SHINGLES = 500_000, 250_000
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN, ESTIMATE_HASHES = 5.0, 128
 
