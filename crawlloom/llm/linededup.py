@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlloom.llm.shared import BLANKS, ascii_lower, cut
+from crawlloom.llm.shared import BLANKS, Scratch, ascii_lower, cut
 from crawlloom.session import shuffle_partitions
 
 MIN_DOCS, MIN_CHARS, BATCHES, FANOUT = 10, 1, 4, 2
@@ -18,6 +18,12 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
 
+def line_hashes(text: Column, min_chars: int) -> Column:
+    """The hash of each line's key in order, null for keys that are too short."""
+    keys = F.transform(F.transform(_lines(text), lambda x: F.btrim(x, F.lit(BLANKS))), ascii_lower)
+    return F.transform(keys, lambda k: F.when(F.char_length(k) >= min_chars, F.xxhash64(k)))
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -46,10 +52,16 @@ class LineRuns:
         )
         return name
 
-    def _union(self, names: list[str]) -> DataFrame:
+    def _merged(self, names: list[str]) -> DataFrame:
+        """Counts of all runs: two runs at a time, merged where their sorted buckets meet."""
         out = self.spark.table(names[0])
         for name in names[1:]:
-            out = out.union(self.spark.table(name))
+            other = self.spark.table(name).select(F.col("key").alias("key2"), F.col("docs").alias("docs2"))
+            zero = F.lit(0).cast("long")
+            out = out.join(other, F.col("key") == F.col("key2"), "full").select(
+                F.coalesce("key", "key2").alias("key"),
+                (F.coalesce("docs", zero) + F.coalesce("docs2", zero)).alias("docs"),
+            )
         return out
 
     def add(self, counts: DataFrame) -> None:
@@ -63,7 +75,7 @@ class LineRuns:
 
     def _compact(self, level: int) -> None:
         names = self.levels[level]
-        merged = self._write(self._union(names).groupBy("key").agg(F.sum("docs").alias("docs")))
+        merged = self._write(self._merged(names))
         frequent = F.col("docs") >= self.min_docs
         self.settled.append(self._write(self.spark.table(merged).filter(frequent)))
         if level + 1 == len(self.levels):
@@ -75,13 +87,11 @@ class LineRuns:
     def frequent(self) -> DataFrame:
         """Keys in at least ``min_docs`` documents of all batches so far."""
         pending = [n for level in self.levels for n in level]
-        out = None
-        if pending:
-            sums = self._union(pending).groupBy("key").agg(F.sum("docs").alias("docs"))
-            out = sums.filter(F.col("docs") >= self.min_docs).select("key")
-        if self.settled:
-            done = self._union(self.settled).select("key")
-            out = done if out is None else out.union(done)
+        parts = [self._merged(pending).filter(F.col("docs") >= self.min_docs)] if pending else []
+        parts += [self.spark.table(n) for n in self.settled]
+        out = parts[0].select("key")
+        for part in parts[1:]:
+            out = out.union(part.select("key"))
         return out
 
     def _discard(self, names: list[str]) -> None:
@@ -115,18 +125,18 @@ def drop_common_lines(
     """
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row"),
+    scratch = Scratch(spark, "lines")
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    hashed = scratch.put(
+        "hashes",
+        docs.select(
+            F.col(id_col).alias("_id"), row.alias("_row"), line_hashes(F.col(text_col), min_chars).alias("keys")
+        ),
     )
-    hashed = F.transform(
-        _lines(F.col("_text")),
-        lambda x: F.when(F.char_length(line_key(x)) >= min_chars, F.xxhash64(line_key(x))),
-    )
     counts = (
-        rows.select(
+        hashed.select(
             F.pmod(F.xxhash64("_id"), F.lit(batches)).alias("batch"),
-            F.explode(F.array_distinct(hashed)).alias("key"),
+            F.explode(F.array_distinct("keys")).alias("key"),
         )
         .filter("key is not null").groupBy("batch", "key").agg(F.count(F.lit(1)).alias("docs"))
     )
@@ -137,22 +147,27 @@ def drop_common_lines(
     frequent = cut(runs.frequent())
     runs.discard()
 
-    at = rows.select("_id", "_row", F.posexplode(hashed).alias("pos", "key"))
+    at = hashed.select("_id", "_row", F.posexplode("keys").alias("pos", "key"))
     hit = (
-        at.join(frequent, "key").groupBy("_id", "_row")
-        .agg(F.collect_set("pos").alias("hit")).toDF("_id2", "_row2", "hit")
+        at.join(frequent, "key").groupBy(F.col("_id").alias("_id2"), F.col("_row").alias("_row2"))
+        .agg(F.collect_set("pos").alias("hit"))
     )
-    whole = docs.select(*rest, F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row"))
-    whole = whole.join(
-        hit, whole[id_col].eqNullSafe(hit["_id2"]) & (whole["_row"] == hit["_row2"]), "left"
-    )
-    lines = _lines(F.col(text_col))
+    # the document is one column here, so its names cannot meet those of the join
+    whole = docs.select(F.struct(*rest).alias("_doc"), row.alias("_row"))
+    doc_id, doc_text = F.col("_doc")[id_col], F.col("_doc")[text_col]
+    whole = whole.join(hit, doc_id.eqNullSafe(F.col("_id2")) & (F.col("_row") == F.col("_row2")), "left")
     hits = F.coalesce(F.col("hit"), F.array().cast("array<int>"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), hits)
-    whole = whole.withColumns(
-        {"n_lines": F.size(lines).cast("long"), "n_dropped": F.size(hits).cast("long"), "_kept": kept}
-    )
-    text = F.when(F.size(hits) == 0, F.coalesce(F.col(text_col), F.lit(""))).otherwise(
-        F.array_join(F.transform("_kept", lambda p: F.get(lines, p)), "\n")
-    )
-    return whole.withColumn(text_col, text).select(*rest, "n_lines", "n_dropped")
+
+    def without_hits(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), hits)
+        return F.array_join(F.transform(kept, lambda p: F.get(lines, p)), "\n")
+
+    # the one-element array makes the lines a variable, split once and not for each line
+    cleaned = F.get(F.transform(F.array(_lines(doc_text)), without_hits), F.lit(0))
+    text = F.when(F.size(hits) == 0, F.coalesce(doc_text, F.lit(""))).otherwise(cleaned)
+    joined = F.replace(F.coalesce(doc_text, F.lit("")), F.lit("\n"), F.lit(""))
+    n_lines = F.octet_length(F.coalesce(doc_text, F.lit(""))) - F.octet_length(joined) + 1
+    return whole.select(
+        *[text.alias(c) if c == text_col else F.col("_doc")[c].alias(c) for c in rest],
+        n_lines.cast("long").alias("n_lines"), F.size(hits).cast("long").alias("n_dropped"),
+    )

@@ -48,7 +48,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ascii_lower(col: Column) -> Column:
-    return F.translate(col, UPPER, LOWER)
+    """A-Z lower-cased and nothing else.
+
+    ``lower`` is many times faster than ``translate`` and says the same unless another
+    upper-case or title-case letter is there.
+    """
+    other = col.rlike(r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]")
+    return F.when(other, F.translate(col, UPPER, LOWER)).otherwise(F.lower(col))
 
 
 def held(col: Column, parts: int) -> Column:
