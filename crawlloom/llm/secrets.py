@@ -81,8 +81,8 @@ class Ledger:
         copies is no hot key.
         """
         rows = versions.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), blob_id(F.col(text_col)).alias("blob"))
-        todo = rows.select("id", "blob").join(self.rows(version).select("blob"), "blob", "left_anti")
-        todo = todo.groupBy("blob").agg(F.min("id").alias("first"))
+        todo = rows.groupBy("blob").agg(F.min("id").alias("first"))
+        todo = todo.join(self.rows(version).select("blob"), "blob", "left_anti")
         once = rows.join(todo.withColumnRenamed("blob", "b"), (rows["blob"] == F.col("b")) & rows["id"].eqNullSafe(F.col("first")))
         found = once.select("blob", "text").mapInArrow(lambda it: _scan(it, version), FOUND)
         # rows repeated under one id are scanned as often and written once
