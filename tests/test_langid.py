@@ -278,8 +278,12 @@ def test_repetition(spark, model):
     assert got[1] == "a b c d e a b c f" and got[2] == "x y"
     long = "ab " * 2000
     varied = " ".join(f"w{i}q{i * 7919}" for i in range(600))
-    out = ints(spark, [(long,), (varied,), ("ab " * 10,)], "t string", squeeze_text(F.col("t")))
-    assert len(out[0]) < 100 and out[1] == varied and out[2] == "ab " * 10
+    rows = [(long,), (varied,), ("ab " * 10,), (varied + " " * 96,), ("",)]
+    # every block is judged alike; with ``reference`` only long texts that begin badly are
+    out = ints(spark, rows, "t string", squeeze_text(F.col("t")))
+    assert out[:3] == ["", varied, ""] and varied.startswith(out[3].rstrip()) and len(out[3]) > len(varied) - 48 and out[4] == ""
+    out = ints(spark, rows, "t string", squeeze_text(F.col("t"), reference=True))
+    assert len(out[0]) < 100 and out[1] == varied and out[2] == "ab " * 10 and out[3] == varied + " " * 96
     docs = spark.read.parquet(DOCS)
     refined = refine_pass(docs, model, ["doc_id"])
     assert refined.count() == detect_language(docs, model, ["doc_id"]).count()

@@ -45,13 +45,14 @@ def test_seen_keys(spark):
     assert {r.text for r in kept} == fresh and len(kept) == len(fresh)
 
 
-def test_hot_keys_outside_the_broadcast_set(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "HOT_KEYS", 1)
+def test_drop_seen_scans_each_side_once(spark):
     rows, df = _copies(spark, 300)
     seen = df.select("k").filter("i < 50")
     seen_texts = {t for i, t in rows if i < 50}
-    got = sorted(r.i for r in dedup.drop_seen(df, "k", seen).collect())
-    assert got == sorted(i for i, t in rows if t not in seen_texts)
+    out = dedup.drop_seen(df, "k", seen)
+    assert sorted(r.i for r in out.collect()) == sorted(i for i, t in rows if t not in seen_texts)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 2
 
 
 def test_carry_forward_against_brute_force(spark):
