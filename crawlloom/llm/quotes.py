@@ -102,24 +102,30 @@ def _chains(links: DataFrame) -> DataFrame:
     """(scope, turn, reply_to, thread, depth), each round following twice as many links."""
     # rows that share a turn continue the chain of the one that answers earliest
     hop = links.groupBy("_scope", "_turn").agg(F.min("reply_to").alias("up"))
-    at = cut(links.withColumn("up", F.col("reply_to")).withColumn("depth", F.lit(1)).distinct())
-    step = cut(hop.withColumn("n", F.lit(1)))
+    active = cut(links.withColumn("up", F.col("reply_to")).withColumn("depth", F.lit(1)).distinct())
+    growing, ended, done = cut(hop.withColumn("n", F.lit(1))), [], []
     while True:
-        more = step.select("_scope", F.col("_turn").alias("up"), F.col("up").alias("next"), "n")
-        moved = at.join(more, ["_scope", "up"], "left").cache()
-        if moved.filter("next is not null").limit(1).count() == 0:
-            moved.unpersist()
+        known = growing
+        for part in ended:
+            known = known.union(part)
+        known = known.select("_scope", F.col("_turn").alias("up"), F.col("up").alias("next"), F.col("n").alias("m"))
+        moved = cut(active.join(known, ["_scope", "up"], "left"))
+        # rows and jumps that have come to the start of their thread take no further part
+        done.append(moved.filter("next is null").select("_scope", "_turn", "reply_to", F.col("up").alias("thread"), "depth"))
+        active = moved.filter("next is not null").select(
+            "_scope", "_turn", "reply_to", F.col("next").alias("up"), (F.col("depth") + F.col("m")).alias("depth")
+        )
+        if not active.head(1):
             break
-        at = cut(moved.select(
-            "_scope", "_turn", "reply_to", F.coalesce("next", "up").alias("up"),
-            (F.col("depth") + F.coalesce("n", F.lit(0))).alias("depth"),
-        ))
-        moved.unpersist()
-        step = cut(
-            step.join(more.withColumnRenamed("n", "m"), ["_scope", "up"], "left")
-            .select("_scope", "_turn", F.coalesce("next", "up").alias("up"), (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
+        jumps = cut(growing.join(known, ["_scope", "up"], "left"))
+        ended.append(jumps.filter("next is null").select("_scope", "_turn", "up", "n"))
+        growing = jumps.filter("next is not null").select(
+            "_scope", "_turn", F.col("next").alias("up"), (F.col("n") + F.col("m")).alias("n")
         )
-    return at.withColumnRenamed("up", "thread")
+    out = done[0]
+    for part in done[1:]:
+        out = out.union(part)
+    return out
 
 
 def conversations(linked: DataFrame, scope: Sequence[str] = ("conv_id",), turn_col: str = "turn") -> DataFrame:
