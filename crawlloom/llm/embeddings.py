@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 
 from crawlloom.llm.components import components
 from crawlloom.llm.shared import Scratch
-from crawlloom.llm.words import mix64
 
 COSINE, SAMPLE, SEED = 0.98, 8192, 10
-#: Substrings of the code that have a table each, and their bits.
+#: Substrings of the code that have a table each, and their bits, where they find enough.
 TABLES, BITS, ITERATIONS = 20, 16, 40
+#: Share of the pairs right at the threshold that the tables must bring together, the
+#: most tables and the lengths to choose from where they don't, and the pairs measured.
+RECALL, MOST_TABLES, LENGTHS, MEASURED = 0.998, 512, (16, 14, 12, 10, 8, 6), 2048
 #: Vectors of a block of a bucket, and rows one compare task gets.
 BLOCK, SLOT_ROWS = 256, 20_000
 
@@ -43,6 +46,94 @@ def learn_rotations(x: np.ndarray, codes: int, seed: int = SEED, iterations: int
     return mean, np.stack(out)
 
 
+class Index(NamedTuple):
+    """The codes of one vector length; no bits means that all pairs are compared."""
+
+    mean: np.ndarray
+    turns: np.ndarray
+    tables: int
+    bits: int
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """The substring of each table, for unit vectors."""
+        if not self.bits:
+            return np.zeros((len(x), 1), dtype=np.int16)
+        signs = _signs(x, self.mean, self.turns)[:, : self.tables * self.bits]
+        return _substrings(signs, self.bits).astype(np.uint16).view(np.int16)
+
+
+def _signs(x: np.ndarray, mean: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    x = x - mean
+    return np.concatenate([x @ r >= 0 for r in turns], axis=1)
+
+
+def _substrings(signs: np.ndarray, bits: int) -> np.ndarray:
+    return signs.reshape(len(signs), -1, bits) @ (1 << np.arange(bits))
+
+
+def _at_threshold(x: np.ndarray, cosine: float, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at the threshold: vectors of the sample and others at that angle to them.
+
+    Once turned in any direction, once towards other vectors of the sample.
+    """
+    a, other = x[rng.integers(0, len(x), MEASURED)], x[rng.integers(0, len(x), MEASURED)]
+    out = []
+    for to in (rng.normal(size=a.shape), other - x.mean(axis=0)):
+        for _ in range(2):  # what the first round leaves of a nearly parallel vector is not orthogonal
+            to = to - (to * a).sum(axis=1, keepdims=True) * a
+        long = np.linalg.norm(to, axis=1)
+        usable = long > 1e-9
+        if usable.any():
+            turned = to[usable] / long[usable, None]
+            out.append((a[usable], cosine * a[usable] + math.sqrt(1 - cosine**2) * turned))
+    return out
+
+
+def _tables_needed(differ: list[np.ndarray], bits: int) -> int | None:
+    """Least number of tables that reach RECALL when bits differ at these rates."""
+    agree = [(1 - d) ** bits for d in differ]
+    low, high = 0, MOST_TABLES + 1
+    while high - low > 1:
+        mid = (low + high) // 2
+        enough = min(1 - ((1 - a) ** mid).mean() for a in agree) >= RECALL
+        low, high = (low, mid) if enough else (mid, high)
+    return high if high <= MOST_TABLES else None
+
+
+def fit(x: np.ndarray, dim: int, group: float, cosine: float = COSINE, seed: int = SEED) -> Index:
+    """Rotations, number of tables and bits that suit the sample ``x`` of unit vectors.
+
+    Where vectors lie close around their mean, two of them at the threshold are far
+    apart as seen from it and many bits differ. So the rate is measured on pairs made
+    from the sample. If ``TABLES`` of ``BITS`` don't bring enough of them together, the
+    cheapest other length and number of tables that does is taken, or the comparison
+    of all pairs if that costs less in groups of ``group`` vectors.
+    """
+    mean, turns = learn_rotations(x, math.ceil(TABLES * BITS / dim), seed)
+    usual = Index(mean, turns, TABLES, BITS)
+    if not len(x):
+        return usual
+    pairs = _at_threshold(x, min(max(cosine, -1.0), 1.0), np.random.default_rng(seed))
+    met = [(usual.codes(a) == usual.codes(b)).any(axis=1).mean() for a, b in pairs]
+    if min(met, default=1.0) >= RECALL:
+        return usual
+    differ = [(_signs(a, mean, turns) != _signs(b, mean, turns)).mean(axis=1) for a, b in pairs]
+    signs = _signs(x, mean, turns)
+    # vectors of blocks a vector meets, each about as dear as a row of the index
+    best, cost = Index(mean, turns, 1, 0), 1 + group / BLOCK
+    for bits in LENGTHS:
+        tables = _tables_needed(differ, bits)
+        if tables is None:
+            continue
+        codes = _substrings(signs[:, : signs.shape[1] // bits * bits], bits)
+        share = np.mean([(np.bincount(c, minlength=1).astype(float) ** 2).sum() for c in codes.T]) / len(x) ** 2
+        if (price := tables * (1 + group * share / BLOCK)) < cost:
+            best, cost = Index(mean, turns, tables, bits), price
+    if best.tables * best.bits > signs.shape[1]:
+        best = best._replace(turns=learn_rotations(x, math.ceil(best.tables * best.bits / dim), seed)[1])
+    return best
+
+
 def _unit(rows: pa.Array) -> list[np.ndarray | None]:
     """Each vector divided by its length in double precision, None if it can't be compared."""
     out: list[np.ndarray | None] = []
@@ -60,13 +151,11 @@ def _unit(rows: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-CODED = "id string, label string, dim int, vec binary, digest binary, keys array<bigint>"
+CODED = "id string, label string, dim int, vec binary, digest binary, keys array<smallint>"
 
 
 def _encode(batches, shared) -> Iterator[pa.RecordBatch]:
     models = shared.value
-    weights = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
-    salts = mix64(np.arange(1, TABLES + 1, dtype=np.uint64))
     for batch in batches:
         for a in range(0, batch.num_rows, 4096):
             part = batch.slice(a, 4096)
@@ -75,12 +164,8 @@ def _encode(batches, shared) -> Iterator[pa.RecordBatch]:
             dims = [None if u is None else len(u) for u in units]
             for dim in {d for d in dims if d}:
                 rows = [i for i, d in enumerate(dims) if d == dim]
-                mean, turns = models[dim]
-                x = np.stack([units[i] for i in rows]) - mean
-                bits = np.concatenate([x @ r >= 0 for r in turns], axis=1)[:, : TABLES * BITS]
-                code = (bits.reshape(len(rows), TABLES, BITS) * weights).sum(axis=2, dtype=np.uint64)
-                key = mix64((code + np.uint64(1)) * salts).view(np.int64)
-                for i, k in zip(rows, key.tolist(), strict=True):
+                codes = models[dim].codes(np.stack([units[i] for i in rows]))
+                for i, k in zip(rows, codes.tolist(), strict=True):
                     keys[i] = k
             raw = [None if u is None else u.tobytes() for u in units]
             yield pa.RecordBatch.from_arrays(
@@ -88,7 +173,7 @@ def _encode(batches, shared) -> Iterator[pa.RecordBatch]:
                     part.column(0), part.column(1), pa.array(dims, type=pa.int32()),
                     pa.array(raw, type=pa.binary()),
                     pa.array([None if r is None else _digest(r) for r in raw], type=pa.binary()),
-                    pa.array(keys, type=pa.list_(pa.int64())),
+                    pa.array(keys, type=pa.list_(pa.int16())),
                 ],
                 names=["id", "label", "dim", "vec", "digest", "keys"],
             )
@@ -158,11 +243,14 @@ def near_vectors(
 
     Vectors of equal label and length are linked at a cosine of ``cosine`` or more.
     Rotations are learned on at most about ``sample`` vectors of each length, drawn by a
-    hash of the id; every vector is coded and indexed. Two vectors are compared, with
-    their original components, when one of ``TABLES`` substrings of ``BITS`` bits of
-    their codes agrees; pairs whose codes differ in fewer bits than there are tables
-    always are. At a cosine of 0.98 a pair is missed with a probability near 2e-4, and
-    less above. Vectors that agree in direction are one class and counted, not paired.
+    hash of the id and the vector; every vector is coded and indexed. Two vectors are
+    compared, with their original components, when one of the substrings of their codes
+    agrees; pairs whose codes differ in fewer bits than there are tables always are.
+    There are ``TABLES`` substrings of ``BITS`` bits if these bring ``RECALL`` of the pairs
+    together that ``fit`` makes at the threshold from the sample, else as many of such
+    length as it takes, or all pairs of a label are compared if that is cheaper. So what
+    is missed depends on how well the sample stands for the vectors; where these lie
+    around many centres of very different width, it is more in the narrow ones. Vectors that agree in direction are one class and counted, not paired.
     A bucket is cut into blocks of ``BLOCK`` vectors and each pair of blocks is a unit
     of its own; units return sums of links and a spanning forest, never the pairs.
 
@@ -177,13 +265,14 @@ def near_vectors(
     label = F.lit("") if label_col is None else F.col(label_col).cast("string")
     rows = vectors.select(F.col(id_col).cast("string").alias("id"), label.alias("label"), F.col(vec_col).alias("v"))
     models = {}
-    counts = rows.filter("size(v) > 0").groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.filter("size(v) > 0").groupBy(F.size("v").alias("dim"), "label").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.groupBy("dim").agg(F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("c").cast("double")) / F.sum("c")).alias("group"))
     for r in counts.collect():
-        draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+        draw = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 40)) / float(1 << 40)
         drawn = rows.filter((F.size("v") == r["dim"]) & (draw <= sample / r["n"])).select("v").limit(2 * sample)
         x = [u for u in _unit(pa.array([d["v"] for d in drawn.collect()], type=pa.list_(pa.float64()))) if u is not None]
         x = np.stack(x) if x else np.zeros((0, r["dim"]))
-        models[r["dim"]] = learn_rotations(x, math.ceil(TABLES * BITS / r["dim"]), seed)
+        models[r["dim"]] = fit(x, r["dim"], r["group"], cosine, seed)
     shared = spark.sparkContext.broadcast(models)
     coded = scratch.put("coded", rows.mapInArrow(lambda it: _encode(it, shared), CODED))
 

@@ -156,6 +156,50 @@ def test_recall(spark):
     assert found > 0.99
 
 
+def pairs_around_a_mean(rng, n, dim, shared, cosine=0.9805):
+    """Unit vectors whose average cosine is ``shared``, and one at ``cosine`` to each."""
+    x = rng.normal(size=(n, dim)) / np.sqrt(dim) * np.sqrt(1 - shared)
+    x[:, 0] += np.sqrt(shared)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * y
+
+
+@pytest.mark.parametrize("dim,shared", [(64, 0.0), (64, 0.5), (64, 0.8), (64, 0.9), (128, 0.9)])
+def test_the_index_fits_vectors_with_a_common_mean(dim, shared):
+    rng = np.random.default_rng(6)
+    index = embeddings.fit(pairs_around_a_mean(rng, 3000, dim, shared)[0], dim, group=2e6)
+    assert index.bits > 0 and (shared or (index.tables, index.bits) == (embeddings.TABLES, embeddings.BITS))
+    x, y = pairs_around_a_mean(rng, 3000, dim, shared)
+    assert (index.codes(x) == index.codes(y)).any(axis=1).mean() > 0.99
+    # still an index: few of the other pairs meet
+    a, b = index.codes(x), index.codes(x[::-1])
+    assert (a == b).any(axis=1).mean() < 0.3
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_recall_around_a_common_mean(spark, monkeypatch, block):
+    # few vectors a label are compared all with all, and by the tables when blocks are dear
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    x, y = pairs_around_a_mean(np.random.default_rng(7), 1200, 64, 0.9)
+    rows = [(i, v, 0) for i, v in enumerate(np.concatenate([x, y]).tolist())]
+    out = embeddings.near_vectors(spark.createDataFrame([(*r, "v", 1, 2) for r in rows], VEC)).collect()
+    z = np.concatenate([x, y]).astype(np.float32).astype(np.float64)
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    want = (z @ z.T >= 0.98).sum(axis=1) - 1
+    got = np.array([r["n_links"] for r in sorted(out, key=lambda r: r["vec_id"])])
+    assert (got <= want).all() and got.sum() > 0.99 * want.sum()
+    assert block == 16 or (got == want).all()
+
+
+def test_two_vectors_of_a_length(spark):
+    rows = [(1, [1.0, 0.1, 0.0], 0), (2, [1.0, 0.0, 0.1], 0), (3, [2.0, 0.1], 0)]
+    out = embeddings.near_vectors(spark.createDataFrame([(*r, "v", 1, 2) for r in rows], VEC)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def test_codes_are_balanced():
     x = np.random.default_rng(4).normal(size=(3000, 24)) * np.linspace(0.2, 2, 24) + 3
     mean, turns = embeddings.learn_rotations(x, 2)
