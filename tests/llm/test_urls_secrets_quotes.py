@@ -155,6 +155,33 @@ def test_quotes(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_quotes_of_deeper_levels_and_parts(spark):
+    first = "Dear all,\nthe pump is old.\n\nIt leaks at night.\nWe need a new one."
+    rows = [
+        (1, 0, first), (1, 1, "> " + first.replace("\n", "\n> ") + "\nHow much?"),
+        # the outermost passage is missing, blank or unknown, the one inside it is not
+        (1, 2, ">> How much?\nA lot."), (1, 4, ">> A lot.\n> \nstill"), (1, 5, "> lost\n>> A lot.\nreally"),
+        # both are known
+        (1, 6, "> really\n>> How much?\nyes"),
+        # lines and paragraphs of a longer message, also between the answers to them
+        (1, 7, "> the pump is old.\nSince when?"), (1, 8, "> It leaks at\n> night. We need a new one.\nNo."),
+        (1, 9, "> Dear all,\nHi\n> We need a new one.\nWhy?\n> [...]"),
+        # a short line of an early message doesn't outweigh a long one of a later
+        (2, 0, "Hi"), (2, 1, "Hi\nthis is the longer line\nand one more"), (2, 2, "> Hi\n> this is the longer line\nok"),
+        (2, 3, "> later words\nx"), (2, 4, "later words\ny"), (3, None, "a\nb"), (3, 1, "> a\nc"), (4, 1, "> the pump is old.\nz"),
+    ]
+    out = quotes.link_quotes(spark.createDataFrame([(*r, "user", 9, "h") for r in rows], MESSAGE)).collect()
+    assert len(out) == len(rows)
+    got = {(r["conv_id"], r["turn"]): (r["reply_to"], [tuple(x) for x in r["links"]]) for r in out}
+    assert got[1, 0] == (None, []) and got[1, 1] == (0, [(1, 0, True)])
+    assert got[1, 2] == (1, [(2, 1, True)]) and got[1, 4] == got[1, 5] == (2, [(2, 2, True)])
+    assert got[1, 6] == (5, [(1, 5, True), (2, 1, True)])
+    assert got[1, 7] == got[1, 8] == got[1, 9] == (0, [(1, 0, False)])
+    assert got[2, 2] == (1, [(1, 1, False)])
+    assert got[2, 3] == got[3, 1] == got[4, 1] == (None, [])
+    assert {(r["thread"], r["depth"]) for r in out if (r["conv_id"], r["turn"]) == (1, 5)} == {(0, 3)}
+
+
 @pytest.mark.parametrize("length", [1, 2, 9, 40])
 def test_long_reply_chains(spark, length):
     rows = [(7, 0, "m0")] + [(7, i, f"> m{i - 1}\nm{i}") for i in range(1, length)]
