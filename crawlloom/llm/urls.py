@@ -17,6 +17,11 @@ RULES = (
 )
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+#: Scheme, user, host, path and query of an address without fragment.
+_PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*://)((?:[^/?#]*@)?)([^/?#]*)([^?#]*)(.*)$"
+#: Only addresses with a capital before the path or a segment that starts with a dot need more.
+_PLAIN = r"(?s)^(?![^/?#]*[A-Z]|[^/?#]*//[^/?#]*[A-Z]|[^?#]*/\.)"
 #: Tags that name another address of the page, and where the address stands in them.
 _CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
@@ -33,8 +38,24 @@ def path_of(url: Column) -> Column:
 
 
 def address(url: Column) -> Column:
-    """A URL without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """A URL without its fragment, scheme and host in lower case, dot segments resolved."""
+    bare = F.regexp_replace(url, r"(?s)#.*$", "")
+    scheme, user, host, path, query = (F.regexp_extract(bare, _PARTS, g) for g in range(1, 6))
+    full = F.concat(ascii_lower(scheme), user, ascii_lower(host), without_dots(path), query)
+    return F.when(bare.rlike(_PLAIN) | ~bare.rlike(_SCHEME), bare).otherwise(full)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that is empty or starts with a slash, without "." and ".." segments (RFC 3986)."""
+    segments = F.split(path, "/", -1)
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, 1, F.greatest(F.lit(1), F.size(acc) - 1)))
+        .otherwise(F.concat(acc, F.array(x))),
+    )
+    end = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(F.concat(kept, end), "/")).otherwise(path)
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> Column:
@@ -57,7 +78,8 @@ def _resolved(href: Column, base: Column) -> Column:
     root = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     return (
-        F.when(F.contains(href, F.lit("://")), href)
+        F.when(href.rlike(_SCHEME), href)
+        .when(F.startswith(href, F.lit("#")), base)
         .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
         .when(F.startswith(href, F.lit("/")), F.concat(root, href))
         .when(F.startswith(href, F.lit("?")), F.concat(F.regexp_extract(base, r"(?s)^([^?#]*)", 1), href))
@@ -97,7 +119,8 @@ def judge(
     """(id, url, host, path, rule, verdict) for every row of ``pages``.
 
     Redirects (columns ``src``, ``dst``), canonical links and refresh tags make addresses
-    equivalent. A page with a rule of its own gets that rule's verdict. Any other page
+    equivalent, compared without fragment, with scheme and host in lower case and dot
+    segments resolved. A page with a rule of its own gets that rule's verdict. Any other page
     gets allow if a rule allows an address of its component, block if one blocks an
     address and none allows, and allow if no rule fits any. Addresses that are only
     linked to count as well. Rules are a parameter list and become one expression.

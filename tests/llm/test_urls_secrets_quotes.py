@@ -64,6 +64,42 @@ def test_redirects_carry_decisions(spark):
     assert verdicts(urls.judge(pages(spark, rows), more))[3][3] == "block"
 
 
+def test_addresses_are_normalised(spark):
+    cases = {
+        "HTTPS://User:Pw@X.Com/A/b?Q=R#F": "https://User:Pw@x.com/A/b?Q=R", "http://a.b/c/./d/../e": "http://a.b/c/e",
+        "http://a.b/../../x": "http://a.b/x", "http://a.b/c/..": "http://a.b/", "http://a.b/c/.": "http://a.b/c/",
+        "http://a.b/c//../d": "http://a.b/c/d", "http://a.b/.well/..x/...": "http://a.b/.well/..x/...",
+        "http://a.b/c?x=/../y": "http://a.b/c?x=/../y", "http://A.b": "http://a.b", "No/../Scheme": "No/../Scheme", None: None,
+        "http://a.b/x\n/../y": "http://a.b/y", "http://A.b?U=http://C.d/./e": "http://a.b?U=http://C.d/./e",
+    }
+    df = spark.createDataFrame([(u, w) for u, w in cases.items()], "u string, want string")
+    assert [(r["u"], r["got"]) for r in df.select("u", urls.address(F.col("u")).alias("got")).collect()] == list(cases.items())
+
+
+def test_aliases_of_other_spelling(spark):
+    def canonical(href):
+        return f'<link rel="canonical" href="{href}">'
+
+    rows = [
+        # host and scheme in capitals, on either side, lead to a page whose own tag leads to a blocked address
+        (1, "https://one.net/a", canonical("HTTPS://Two.net/b")), (2, "https://two.NET/b", canonical("HTTP://X.com/de/1")),
+        # dot segments, on either side
+        (3, "http://three.net/p/q/r", canonical("../s/./t")), (4, "http://three.net/p/u/../s/t", canonical("http://x.com/fr/../de/")),
+        # an address inside a query is not where the link leads
+        (5, "http://five.net/", canonical("/go?u=http://x.com/de/1")), (6, "http://six.net/a/", canonical("go?u=http://x.com/de/1")),
+        (7, "http://seven.net/", '<meta http-equiv="refresh" content="0; url=/go?u=http://x.com/de/1">'),
+        (8, "http://example.org/en/2", canonical("#top")),
+    ]
+    got = {k: v[2:] for k, v in verdicts(urls.judge(pages(spark, rows))).items()}
+    assert got[1] == got[2] == got[3] == got[4] == (None, "block")
+    assert got[5] == got[6] == got[7] == (None, "allow")
+    links = {(r["src"], r["dst"]) for r in urls.page_links(pages(spark, rows)).collect()}
+    assert ("http://five.net/", "http://five.net/go?u=http://x.com/de/1") in links
+    assert not [x for x in links if "example.org" in x[0]]
+    more = spark.createDataFrame([("HTTP://Five.net/./", "http://x.com/de/")], "src string, dst string")
+    assert verdicts(urls.judge(pages(spark, rows), more))[5][3] == "block"
+
+
 def test_url_plan_is_native(spark):
     plan = urls.judge(pages(spark, [(1, "http://a.b/", "")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
