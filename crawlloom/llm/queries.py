@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlloom.llm import decontam, embeddings, langid, linededup, mixing, neardup, quotes, secrets, toxicity, urls
+from crawlloom.llm import (
+    decontam, embeddings, langid, linededup, mixing, neardup, packing, quotes, ranking, resampling, secrets, toxicity, urls,
+)
 from crawlloom.llm.shared import held, table
 from crawlloom.session import scratch_path
 
@@ -93,6 +95,18 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_row")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Page addresses, the links between them, and the decisions that reach their component.
 OP4 = r"""
 WITH RECURSIVE rules(rule, verdict) AS (
@@ -229,6 +243,36 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id) AS n_links, min
 FROM reach JOIN v ON reach.a = v.vec_id GROUP BY vec_id
 """
 
+# Every pair of an item and a document that share a term, scored in 64-bit integers.
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rn,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, row_number() OVER () AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), size AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0
+), asked AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(w) AS term FROM b) GROUP BY ALL
+), held AS (
+  SELECT rn, term, count(*) AS tf FROM (SELECT rn, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, size GROUP BY term
+), m AS (SELECT rn, doc_id, 100 - 75 + ((75 * len(w) * n_docs) // n_terms) AS m FROM d, size WHERE len(w) > 0
+), scores AS (
+  SELECT item, rn, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN m USING (rn) GROUP BY ALL
+), ranked AS (
+  SELECT item, doc_id, score, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INT) AS rank
+  FROM scores JOIN m USING (rn) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN b USING (item) WHERE rank <= 10
+"""
+
 ENTRIES = {
     "op1_language": (op1_language, None),
     "op2_near_duplicates": (op2_near_duplicates, None),
@@ -240,4 +284,7 @@ ENTRIES = {
     "op8_decontamination": (op8_decontamination, OP8),
     "op9_line_dedup": (op9_line_dedup, OP9),
     "op10_vectors": (op10_vectors, OP10),
+    "op11_packing": (op11_packing, None),
+    "op12_ranked_search": (op12_ranked_search, OP12),
+    "op13_resampling": (op13_resampling, None),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlloom.session import scratch_path, shared_dir
@@ -60,3 +60,16 @@ def ascii_lower(col: Column) -> Column:
 def held(col: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a row without id counts as 0."""
     return F.coalesce(F.crc32(col.cast("string")), F.lit(0)) % parts
+
+
+def bounded_blocks(rows: DataFrame, size: str, most: int, row: str = "_row") -> tuple[DataFrame, list[tuple[int, int]]]:
+    """``rows`` with (_bucket, _piece), and the blocks these name: each of ``most`` in size and one row at most.
+
+    Rows are dealt to buckets by a hash of ``row``, and cut at running sums inside a bucket.
+    """
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(row), F.lit(total // most + 1)))
+    before = F.coalesce(F.sum(size).over(Window.partitionBy("_bucket").orderBy(row).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    dealt = dealt.withColumn("_piece", F.floor(before / most))
+    blocks = dealt.select("_bucket", "_piece").distinct().collect()
+    return dealt, sorted((r["_bucket"], r["_piece"]) for r in blocks)
