@@ -83,11 +83,11 @@ def features(col: pa.Array, ngrams: int, buckets: int) -> Iterator[tuple[int, in
             first = np.arange(max(0, len(start) - n + 1))
             first = first[doc[first] == doc[first + n - 1]]
             last = first + n - 1
-            found.append(crc32_ranges(text, to[first], to[last] + size[last]) % np.uint32(buckets))
+            found.append(crc32_ranges(text, to[first], to[last] + size[last]).astype(np.int64) % buckets)
             owner.append(doc[first])
         of = np.concatenate(owner)
         found = np.concatenate(found)[np.argsort(of, kind="stable")]
-        yield a, b, counts, np.bincount(of, minlength=b - a), found.astype(np.int64)
+        yield a, b, counts, np.bincount(of, minlength=b - a), found
 
 
 def _tally(batches, ngrams: int, buckets: int) -> Iterator[pa.RecordBatch]:

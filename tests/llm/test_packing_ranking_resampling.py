@@ -225,7 +225,7 @@ def test_resampling_of_empty_tables(make, spark):
     assert [r["rank"] for r in resampling.resample(make([(1, "a")]), aim, percent=100, least_words=1).collect()] == [1]
 
 
-@pytest.mark.parametrize("digit_bits,block_rows", [(1, 5), (3, 64), (12, 1 << 20), (16, 7)])
+@pytest.mark.parametrize("digit_bits,block_rows", [(2, 50), (3, 64), (12, 1 << 20), (16, 70)])
 def test_radix_sort(spark, monkeypatch, digit_bits, block_rows):
     monkeypatch.setattr(resampling, "BLOCK_ROWS", block_rows)
     rng = random.Random(1)
