@@ -236,7 +236,11 @@ def squeezed_text(spark, sf):
 
 
 def lang_refined(spark, sf):
-    return refine_pass(docs(spark, sf), model(spark, sf), KEYS)
+    """Whole texts under twice their id, and their first words alone under the next number."""
+    whole = docs(spark, sf)
+    words = whole.select((F.col("doc_id") * 2 + 1).alias("doc_id"), F.regexp_extract("text", r"\p{L}+", 0).alias("text"))
+    both = whole.select((F.col("doc_id") * 2).alias("doc_id"), "text").union(words)
+    return refine_pass(both, model(spark, sf), KEYS)
 
 
 _CHUNK = """CASE WHEN pos < 20 * greatest(n // 20 - 1, 0) THEN pos // 20
@@ -400,17 +404,20 @@ def _repeated_sql(source: str) -> str:
         SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS text FROM r WHERE ctx IS NULL OR n = 1 GROUP BY doc_id"""
 
 
-_SQUEEZED = """WITH b AS (SELECT doc_id, list_transform(range((length(text) + 47) // 48), lambda i: substr(text, i * 48 + 1, 48)) AS blocks FROM documents)
+_SQUEEZED = """WITH b AS (SELECT doc_id, list_transform(range((length(text) + 47) // 48), lambda i: substr(text, i * 48 + 1, 48)) AS blocks FROM {texts})
     SELECT doc_id, array_to_string(list_filter(blocks, lambda x:
       (length(x) - length(replace(x, ' ', ''))) * 100 / length(x) < 25
       AND CASE WHEN length(x) < 3 THEN true ELSE
         (length(x) - 2 - len(list_distinct(list_transform(range(length(x) - 2), lambda k: substr(x, k + 1, 3))))) * 100 / (length(x) - 2) < 40 END), '') AS text
     FROM b"""
-_FIRST = f"{_verdict_sql()} SELECT id AS doc_id, lang, reliable, percent1, percent2 FROM s3"
+# whole texts and their first words
+_BOTH = r"""SELECT doc_id * 2 AS doc_id, text FROM documents
+    UNION ALL SELECT doc_id * 2 + 1, regexp_extract(text, '\p{L}+') FROM documents"""
+_FIRST = f"""{_verdict_sql(f"SELECT doc_id AS id, '' AS gold, text FROM ({_BOTH})")} SELECT id AS doc_id, lang, reliable, percent1, percent2 FROM s3"""
 _WEAK = f"SELECT doc_id FROM ({_FIRST}) WHERE NOT (reliable AND (percent1 >= 70 OR percent1 + percent2 >= 93))"
-_AGAIN = f"SELECT doc_id AS id, '' AS gold, text FROM ({_repeated_sql(f'SELECT * FROM ({_SQUEEZED}) WHERE doc_id IN ({_WEAK})')})"
+_AGAIN = f"SELECT doc_id AS id, '' AS gold, text FROM ({_repeated_sql(f'SELECT * FROM ({_SQUEEZED.format(texts=f"({_BOTH})")}) WHERE doc_id IN ({_WEAK})')})"
 _REFINED = f"""SELECT a.doc_id, coalesce(b.lang, a.lang) AS lang, coalesce(b.reliable, a.reliable) AS reliable
-    FROM ({_FIRST}) a LEFT JOIN ({_verdict_sql(_AGAIN, best_effort=True)} SELECT id AS doc_id, lang, reliable FROM s3) b ON a.doc_id = b.doc_id"""
+    FROM ({_FIRST}) a LEFT JOIN ({_verdict_sql(_AGAIN)} SELECT id AS doc_id, lang, reliable FROM s3) b ON a.doc_id = b.doc_id"""
 
 ENTRIES = {
     "script_spans": (
@@ -541,6 +548,6 @@ ENTRIES = {
         FROM al GROUP BY ALL""",
     ),
     "repeated_words": (repeated_words, f"{_repeated_sql('SELECT doc_id, text FROM documents')}"),
-    "squeezed_text": (squeezed_text, _SQUEEZED),
+    "squeezed_text": (squeezed_text, _SQUEEZED.format(texts="documents")),
     "lang_refined": (lang_refined, _REFINED),
 }

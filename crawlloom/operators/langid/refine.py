@@ -100,18 +100,20 @@ def refine_pass(
     colocated: bool = False,
     reference: bool = False,
 ) -> DataFrame:
-    """``detect_language`` with a second, forced pass over the weak answers only, after
-    squeezing and without repeated words.
+    """``detect_language`` with a second pass over the weak answers only, after squeezing
+    and without repeated words.
 
-    The first answers are a narrow table; writing it out keeps the texts from being
-    scored twice.
+    The second answer counts whatever it is. It is reached by the ordinary rules: languages
+    that are not reliable are dropped, and it is reliable only where a first answer would
+    be. So a word that no language claims stays unknown. The first answers are a narrow
+    table; writing it out keeps the texts from being scored twice.
     """
     keys = list(keys)
     first = materialize(detect_language(df, model, keys, text, details=True, colocated=colocated))
     weak = first.filter(is_weak(first, reference)).select(*keys)
     texts = by_keys(df.select(*keys, text).join(weak, keys, "left_semi"), keys)
     again = drop_repeated_words(texts.withColumn(text, squeeze_text(F.col(text), reference)), keys, text)
-    second = detect_language(again, model, keys, text, best_effort=True, colocated=True)
+    second = detect_language(again, model, keys, text, colocated=True)
     # a text that has no words left keeps its first answer
     second = second.select(*keys, F.struct("lang", "reliable").alias("_second"))
     return first.join(second, keys, "left").select(

@@ -287,3 +287,17 @@ def test_repetition(spark, model):
     docs = spark.read.parquet(DOCS)
     refined = refine_pass(docs, model, ["doc_id"])
     assert refined.count() == detect_language(docs, model, ["doc_id"]).count()
+
+
+def test_second_pass_is_as_careful_as_the_first(spark, model):
+    texts = ["banana", "xqz", "the", "zzz " * 400, docs_text(spark), docs_text(spark) + " qx" * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for reference in (False, True):
+        got = {r.id: (r.lang, r.reliable) for r in refine_pass(df, model, ["id"], reference=reference).collect()}
+        assert [got[i] for i in range(4)] == [("un", False)] * 4
+        assert got[4] == got[5] == ("en", True)  # repetitions do not hide the language
+
+
+def docs_text(spark):
+    rows = spark.read.parquet(DOCS).filter("lang = 'en' and n_chars > 1500").orderBy("doc_id")
+    return rows.first().text
