@@ -11,12 +11,14 @@ from crawlloom.functions.columns import strip
 from crawlloom.schema import CONTENT_TYPE_FIXES, TEXT_TYPES, ZIP_RULES
 
 
+def says_http_response(rec_content_type: Column) -> Column:
+    """The same as ``is_http_response`` but null for null: a form that filters can push to a reader."""
+    return rec_content_type.contains("application/http") & rec_content_type.contains("response")
+
+
 def is_http_response(rec_content_type: Column) -> Column:
     """The record itself says it holds an HTTP response (case-sensitive)."""
-    return F.coalesce(
-        rec_content_type.contains("application/http") & rec_content_type.contains("response"),
-        F.lit(False),
-    )
+    return F.coalesce(says_http_response(rec_content_type), F.lit(False))
 
 
 def not_robots(uri: Column) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlloom.functions.content_type import is_http_response
+from crawlloom.functions.content_type import says_http_response
 from crawlloom.schema import TEXT_TYPES, ZIP_RULES
 
 
 def http_responses(df: DataFrame) -> DataFrame:
-    return df.filter(is_http_response(F.col("rec_content_type")))
+    return df.filter(says_http_response(F.col("rec_content_type")))
 
 
 def type_dim(spark: SparkSession) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlloom.functions.content_type import clean_content_type, is_http_response
+from crawlloom.functions.content_type import clean_content_type, is_http_response, says_http_response
 
 
 def run_counters(
@@ -54,7 +54,7 @@ def mime_counts(
 ) -> DataFrame:
     """Records per cleaned content type over all parsed HTTP responses."""
     return (
-        df.filter(is_http_response(rec_content_type) & http_ok)
+        df.filter(says_http_response(rec_content_type) & http_ok)
         .groupBy(clean_content_type(header).alias("content_type"))
         .agg(F.count(F.lit(1)).alias("records"))
     )

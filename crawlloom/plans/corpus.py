@@ -188,7 +188,7 @@ def preprocess(
     that can be exchanged with other runs.
     """
     run = build_corpus(
-        read_warc(spark, warc),
+        read_warc(spark, warc, bodies="text"),
         model,
         seen,
         dedup=hashes_out is not None,

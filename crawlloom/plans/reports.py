@@ -40,7 +40,7 @@ def crawl_metadata(records: DataFrame, model: LangModel) -> DataFrame:
 
 
 def write_crawl_metadata(spark: SparkSession, warc: str, out: str, model: LangModel) -> None:
-    write_metadata_tsv(crawl_metadata(read_warc(spark, warc), model), out)
+    write_metadata_tsv(crawl_metadata(read_warc(spark, warc, bodies="text"), model), out)
 
 
 def mime_histogram(records: DataFrame) -> DataFrame:
@@ -53,5 +53,5 @@ def mime_histogram(records: DataFrame) -> DataFrame:
 
 
 def write_mime_histogram(spark: SparkSession, warc: str, out: str) -> None:
-    """Headers only: bodies never leave the reader."""
+    """Headers only: payloads are passed over and never built."""
     write_mime_counts(mime_histogram(read_warc(spark, warc, with_body=False)), out)

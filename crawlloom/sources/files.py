@@ -158,6 +158,11 @@ class _Member(io.RawIOBase):
             pass
 
 
+def member_at(file, offset: int, codec: str):
+    """``read(n)`` over the decompressed bytes of the member that starts at ``offset``."""
+    return io.BufferedReader(_Member(_Input(file, offset), codec), READ_BYTES).read1
+
+
 # What the text of a member begins with: a record, or its first header line.
 _START = re.compile(rb"(?:\r?\n)*(?:WARC/\d|[!-9;-~]+:)")
 _PROBE_BYTES = 1 << 16

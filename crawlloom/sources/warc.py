@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
-import io
+import contextlib
 import logging
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualNullSafe,
+    EqualTo,
+    Filter,
+    In,
+    IsNotNull,
+    IsNull,
+    Not,
+    StringContains,
+    StringEndsWith,
+    StringStartsWith,
+)
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from crawlloom.schema import WARC_RECORD
+from crawlloom.schema import CONTENT_TYPE_FIXES, TEXT_TYPES, WARC_RECORD, ZIP_RULES
 from crawlloom.sources.files import (
     DAMAGE,
     ORDINAL_ROOM,
-    READ_BYTES,
     SPLIT_BYTES,
     Split,
     codec_of,
+    member_at,
     members,
     open_split,
     plan_splits,
     read_headers,
 )
+from crawlloom.sources.framing import Records, Scout
 
 log = logging.getLogger(__name__)
 
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
+BODIES = ("all", "text", "none")
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 _STATUS = re.compile(rb"HTTP/\d+\.\d+ (\d{3})(?: .*)?\Z")
 
 
@@ -89,75 +105,117 @@ def parse_http(payload: bytes) -> tuple[int, dict[str, str], bytes | None] | Non
     return int(status[1]), headers, body
 
 
-class _Records:
-    """Records of one stream. What is malformed is skipped up to the next record's first line."""
+# Headers a filter can look at before the payload is read, by the column they become.
+_BEFORE_PAYLOAD = {
+    "warc_type": "warc-type", "rec_content_type": "content-type", "record_id": "warc-record-id",
+    "uri": "warc-target-uri", "date": "warc-date", "warc_filename": "warc-filename",
+}
 
-    def __init__(self, stream):
-        self.stream, self.back, self.skipped = stream, b"", 0
-        self.line = b""
 
-    def readline(self) -> bytes:
-        end = self.back.find(b"\n") + 1
-        if end:
-            self.line, self.back = self.back[:end], self.back[end:]
-        else:
-            self.line, self.back = self.back + self.stream.readline(), b""
-        return self.line
-
-    def _skip(self, back: bytes) -> None:
-        """Count a malformed record and go on at the next line that opens one."""
-        self.skipped += 1
-        self.back = back + self.back
-        while self.readline() and not self.line.startswith(b"WARC/"):
-            pass
-        self.back = self.line + self.back
-
-    def _read(self, n: int) -> bytes:
-        out, self.back = self.back[:n], self.back[n:]
-        return out + self.stream.read(n - len(out)) if len(out) < n else out
-
-    def _first_line(self) -> bytes:
-        """The line that opens the next record, passing over blank and stray ones."""
-        stray = False
-        while True:
-            line = self.readline()
-            if not line or line.startswith(b"WARC/"):
-                self.skipped += stray
-                return line
-            stray |= bool(line.strip(b"\r\n"))
-
-    def __iter__(self) -> Iterator[tuple[dict[str, str], bytes]]:
-        while self._first_line():
-            headers = read_headers(self)
-            fields = {k.lower(): v for k, v in headers or []}
-            size = fields.get("content-length", "")
-            if not size.isdigit():
-                self._skip(self.line)
-                continue
-            payload = self._read(int(size))
-            after = self._read(5)
-            # a wrong length ends inside the payload or in a later record
-            ends = after in (b"", b"WARC/") or after[:1] == b"\n" or after[:2] == b"\r\n"
-            if len(payload) < int(size) or not ends:
-                self._skip(payload + after)
-                continue
-            self.back = after + self.back
-            yield fields, payload
+def _test(condition: Filter) -> Callable[[dict[str, str]], bool | None] | None:
+    """A filter as a function of the record's headers that may answer null; None when it has to stay with Spark."""
+    if isinstance(condition, Not):
+        inner = _test(condition.child)
+        if inner is None:
+            return None
+
+        def negated(h):
+            found = inner(h)
+            return None if found is None else not found
+
+        return negated
+    column = getattr(condition, "attribute", ())
+    name = _BEFORE_PAYLOAD.get(column[0]) if len(column) == 1 else None
+    if name is None:
+        return None
+    if isinstance(condition, IsNull):
+        return lambda h: name not in h
+    if isinstance(condition, IsNotNull):
+        return lambda h: name in h
+    value = getattr(condition, "value", None)
+    if isinstance(condition, EqualNullSafe):
+        return lambda h: h.get(name) == value
+    if isinstance(condition, In):
+        some, unknown = {v for v in condition.value if v is not None}, None in condition.value
+        return lambda h: None if name not in h else True if h[name] in some else None if unknown else False
+    rules = {
+        EqualTo: lambda x: x == value, StringContains: lambda x: value in x,
+        StringStartsWith: lambda x: x.startswith(value), StringEndsWith: lambda x: x.endswith(value),
+    }
+    rule = rules.get(type(condition))
+    if rule is None or not isinstance(value, str):
+        return None
+    return lambda h: rule(h[name]) if name in h else None
+
+
+def _is_response(fields: dict[str, str]) -> bool:
+    kind = fields.get("content-type", "")
+    return "application/http" in kind and "response" in kind
+
+
+def holds_text(content_type: str, uri: str) -> bool:
+    """Whether a body of this type is read as text, also from inside a zip-based document."""
+    kind = content_type.split(";")[0].strip().lower()
+    kind = CONTENT_TYPE_FIXES.get(kind, kind)
+    return kind in TEXT_TYPES or any(kind == name or uri.endswith(tuple(ends)) for name, ends, _ in ZIP_RULES)
+
+
+def _until_damage(read: Callable[[int], bytes], damage: list[Exception]) -> Callable[[int], bytes]:
+    """``read`` that ends where the data are damaged, and says so."""
+
+    def careful(n: int) -> bytes:
+        try:
+            return b"" if damage else read(n)
+        except DAMAGE as e:
+            damage.append(e)
+            return b""
+
+    return careful
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
-        self.with_body = str(options.get("with_body", "true")).lower() == "true"
+        self.bodies = options.get("bodies", "all")
+        if self.bodies not in BODIES:
+            raise ValueError(f"bodies must be one of {BODIES}, not {self.bodies!r}")
         self.arrow = to_arrow_schema(WARC_RECORD)
+        self.conditions: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Conditions on record headers are decided before a payload is built."""
+        for condition in filters:
+            if _test(condition) is None:
+                yield condition
+            else:
+                self.conditions.append(condition)
 
     def partitions(self) -> list[Split]:
         return plan_splits(self.path, self.split_bytes)
 
+    def _wanted(self):
+        """What ``Records`` asks about a record's payload."""
+        tests = [_test(c) for c in self.conditions]
+
+        def wanted(fields: dict[str, str]):
+            if not all(t(fields) for t in tests):
+                return None
+            if not _is_response(fields):
+                return 0
+            if self.bodies == "all":
+                return lambda head: True
+            return lambda head: needs_body(head, parse_http(head), fields.get("warc-target-uri", ""))
+
+        def needs_body(head: bytes, parsed, uri: str) -> bool:
+            if parsed is None:  # its headers go beyond the first bytes, or it is no HTTP
+                return self.bodies == "text" or len(head) == Records.HEAD
+            return self.bodies == "text" and holds_text(parsed[1].get("content-type", ""), uri)
+
+        return wanted
+
     def _row(self, path: str, ordinal: int, fields: dict[str, str], payload: bytes) -> dict:
-        kind = fields.get("content-type", "")
-        response = "application/http" in kind and "response" in kind
+        response = _is_response(fields)
         parsed = parse_http(payload) if response else None
         row = {
             "filename": path,
@@ -174,26 +232,36 @@ class WarcReader(DataSourceReader):
             "http_headers": parsed and list(parsed[1].items()),
             "body": None,
         }
-        if response and self.with_body:
-            row["body"] = parsed[2] if parsed else payload
+        if response and self.bodies != "none":
+            if parsed is None:
+                row["body"] = payload
+            elif self.bodies == "all" or holds_text(parsed[1].get("content-type", ""), row["uri"] or ""):
+                row["body"] = parsed[2]
         return row
 
     def _rows(self, split: Split) -> Iterator[dict]:
-        with open_split(self.path, split) as file:
-            codec = codec_of(split.path)
-            streams = members(file, split, codec) if codec else [(0, io.BufferedReader(file, READ_BYTES))]
-            skipped = 0
+        codec, skipped = codec_of(split.path), 0
+        with contextlib.ExitStack() as opened:
+            file = opened.enter_context(open_split(self.path, split))
+
+            def again(offset: int):
+                second = opened.enter_context(open_split(self.path, split))
+                return member_at(second, offset, codec) if codec else second.read
+
+            streams = members(file, split, codec) if codec else [(0, file)]
             for offset, stream in streams:
-                records = _Records(stream)
-                try:
-                    for n, (fields, payload) in enumerate(records):
-                        yield self._row(split.path, offset * ORDINAL_ROOM + n, fields, payload)
-                except DAMAGE as e:
+                damage: list[Exception] = []
+                records = Records(
+                    _until_damage(stream.read1 if codec else stream.read, damage),
+                    Scout(lambda at=offset: _until_damage(again(at), [])), self._wanted(),
+                )
+                for n, fields, payload in records:
+                    yield self._row(split.path, offset * ORDINAL_ROOM + n, fields, payload)
+                for e in damage[:1]:
                     log.warning("skipping a damaged record in %s: %s", split.path, e)
-                    skipped += 1
-                skipped += records.skipped
-            if skipped:
-                log.warning("%d records of %s were skipped", skipped, split.path)
+                skipped += max(records.skipped, len(damage[:1]))
+        if skipped:
+            log.warning("%d records of %s were skipped", skipped, split.path)
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -210,8 +278,10 @@ class WarcReader(DataSourceReader):
 class WarcDataSource(DataSource):
     """``spark.read.format("warc").load(path)``.
 
-    ``ordinal`` grows with the position in the file. Options: ``with_body`` (false
-    for header-only jobs) and ``split_bytes``.
+    ``ordinal`` grows with the position in the file. Options: ``bodies`` (``all``, ``text``
+    for those alone that are read as text, ``none`` for header-only jobs) and
+    ``split_bytes``. Payloads of other bodies, and of records that a pushed filter on a record
+    header leaves out, are passed over and never built.
     """
 
     @classmethod
@@ -226,10 +296,18 @@ class WarcDataSource(DataSource):
 
 
 def read_warc(
-    spark: SparkSession, path: str, with_body: bool = True, split_bytes: int = SPLIT_BYTES
+    spark: SparkSession, path: str, with_body: bool = True, split_bytes: int = SPLIT_BYTES, bodies: str | None = None
 ) -> DataFrame:
+    """Records of archives. ``with_body=False`` is short for ``bodies="none"``.
+
+    Filters on headers of the record reach the reader when
+    ``spark.sql.python.filterPushdown.enabled`` is on. It is turned on here unless the
+    application's configuration names it.
+    """
+    if spark.sparkContext.getConf().get(PUSHDOWN) is None:
+        spark.conf.set(PUSHDOWN, "true")
     spark.dataSource.register(WarcDataSource)
-    reader = spark.read.format("warc").option("with_body", str(with_body).lower())
+    reader = spark.read.format("warc").option("bodies", bodies or ("all" if with_body else "none"))
     return reader.option("split_bytes", str(split_bytes)).load(path)
 
 

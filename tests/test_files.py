@@ -5,11 +5,14 @@ import io
 import lzma
 import os
 import random
+import time
+import tracemalloc
 import zipfile
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo
 
 from crawlloom.functions.hashing import murmur3_32
 from crawlloom.operators.langid.model import train
@@ -382,6 +385,96 @@ def test_malformed_records_are_skipped_alone(spark, folder, form):
         assert got == [f"http://x/1000000{i}" for i in (0, 2, 4, 6)]
 
 
+@pytest.mark.parametrize("length", [b"99999999", b"9999999", b"300", b"5000000"])
+@pytest.mark.parametrize("form", ["plain", "one member", "xz"])
+def test_wrong_lengths_cost_one_record_each(folder, form, length):
+    """Every fifth record announces another length, too short or far beyond the next records."""
+    rng, parts, want = random.Random(2), [], []
+    for i in range(60):
+        body = rng.randbytes(rng.choice([0, 50, 3000])) + b"\r\nWARC/1.0 is a format\nWARC/x\r\n" * (i % 2)
+        one = record("response", f"http://x/{i:08d}", http(body))
+        if i % 5 == 2:
+            size = one.split(b"Content-Length: ")[1].split(b"\r")[0]
+            one = one.replace(b"Content-Length: " + size, b"Content-Length: " + length, 1)
+        else:
+            want.append((f"http://x/{i:08d}", body))
+        parts.append(one)
+    big = record("response", "http://x/big", http(b"\nWARC/1.0\r\nContent-Length: 1\r\n\r\n" + rng.randbytes(6 << 20)))
+    data = b"".join(parts[:30]) + big + b"".join(parts[30:])
+    name = {"plain": "a.warc", "one member": "a.warc.gz", "xz": "a.warc.xz"}[form]
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write({"plain": bytes, "one member": lambda d: gzip.compress(d, 1), "xz": lambda d: lzma.compress(d, preset=0)}[form](data))
+    reader = W.WarcReader({"path": f"{folder}/{name}"})
+    rows = [r for s in reader.partitions() for b in reader.read(s) for r in b.to_pylist()]
+    assert [(r["uri"], r["body"]) for r in rows if r["uri"] != "http://x/big"] == want
+    # the large record holds something like a record, and its own length is right
+    assert [len(r["body"]) for r in rows if r["uri"] == "http://x/big"] == [(6 << 20) + 32]
+    assert [r["ordinal"] for r in rows] == list(range(len(rows)))
+
+
+def test_a_wrong_length_costs_no_memory_and_little_time(folder):
+    rng = random.Random(3)
+    bodies = [b"\n".join(rng.randbytes(3000).hex().encode()[k : k + 60] for k in range(0, 6000, 60)) for _ in range(20)]
+    good = b"".join(record("response", f"http://x/{i:08d}", http(bodies[i % 20])) for i in range(5000))
+    bad = good.replace(b"Content-Length: 6", b"Content-Length: 99996", 1)
+    assert len(good) > 30 << 20
+    for name, pack in (("a.warc", bytes), ("a.warc.gz", lambda d: gzip.compress(d, 1))):
+        seconds, peak = [], []
+        for data in (good, bad):
+            with open(f"{folder}/{name}", "wb") as f:
+                f.write(pack(data))
+            reader = W.WarcReader({"path": f"{folder}/{name}", "bodies": "none"})
+            started, rows = time.process_time(), sum(b.num_rows for s in reader.partitions() for b in reader.read(s))
+            seconds.append(time.process_time() - started)
+            tracemalloc.start()
+            for s in reader.partitions():
+                for b in reader.read(s):
+                    pass
+            peak.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            assert rows == 5000 - (data is bad)
+        assert seconds[1] < 2 * seconds[0] + 0.5, (name, seconds)
+        assert peak[1] < peak[0] + (12 << 20), (name, peak)
+
+
+def test_filters_reach_the_reader(spark, folder, model):
+    kinds = ["text/html; charset=utf-8", "image/png", "video/mp4", "TEXT/PLAN", "application/zip"]
+    rows = [info("A")]
+    for i in range(100):
+        uri = f"http://x/{i:03d}" + (".docx" if i % 10 == 4 else ".html")
+        rows.append(record("response" if i % 7 else "request", uri, http(b"x" * 10_000, kinds[i % 5]), HTTP if i % 7 else "application/http; msgtype=request"))
+    with open(f"{folder}/a.warc.gz", "wb") as f:
+        f.write(b"".join(gzip.compress(r) for r in rows[:50]) + gzip.compress(b"".join(rows[50:])))
+    every = {(r.ordinal, r.uri): r for r in read_warc(spark, folder).collect()}
+    assert len(every) == 101
+    conditions = [
+        F.col("warc_type") == "response", F.col("uri").endswith("html"), ~F.col("uri").contains("01"), F.col("uri").startswith("http://x/05"),
+        F.col("uri").isin("http://x/001.html", "http://x/004.docx", "none"), ~F.col("uri").isin("http://x/001.html"), F.col("warc_filename").isNull(),
+        F.col("warc_filename").isNotNull(), F.col("warc_filename").eqNullSafe("A"), F.col("warc_type") != "response",
+        F.col("rec_content_type").contains("application/http") & F.col("rec_content_type").contains("response"),
+    ]
+    local = spark.createDataFrame(list(every.values()), read_warc(spark, folder).schema)
+    for condition in conditions:
+        found = read_warc(spark, folder).filter(condition)
+        assert {(r.ordinal, r.uri): r for r in found.collect()} == {(r.ordinal, r.uri): r for r in local.filter(condition).collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BatchScan warc" in plan and "Filter " not in plan, plan  # nothing is left for Spark to test
+
+    def built(bodies, *filters):
+        reader = W.WarcReader({"path": folder, "bodies": bodies})
+        assert not list(reader.pushFilters(list(filters)))
+        return sum(len(r["body"] or b"") for s in reader.partitions() for b in reader.read(s) for r in b.to_pylist())
+
+    responses = sum(len(r.body or b"") for r in every.values())
+    assert built("all") == responses and built("none") == 0
+    assert built("all", EqualTo(("uri",), "http://x/001.html")) == 10_000
+    texts = sum(len(r.body or b"") for (_, uri), r in every.items() if r.body and (r.http_headers["content-type"][:4].lower() == "text" or uri.endswith("docx")))
+    assert built("text") == texts < responses
+    # the corpus reads text bodies only, and has the same texts and counts
+    whole, part = (build_corpus(read_warc(spark, folder, bodies=b), model) for b in ("all", "text"))
+    assert whole.counters.collect() == part.counters.collect() and sorted(whole.content_types.collect()) == sorted(part.content_types.collect())
+
+
 def test_broken_bodies_are_no_text():
     short = b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\nabc"
     assert parse_http(short) == (200, {"content-length": "9"}, None)
