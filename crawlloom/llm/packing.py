@@ -9,6 +9,7 @@ at. Every task packs its own rows, so nothing is shuffled and nothing grows with
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,9 @@ CAPACITY, END = 2048, 1
 #: Open windows of a task before they are poured together; each holds less than a window of ids.
 MOST_OPEN = 4096
 #: Words whose ids a Python worker remembers, and the longest of them. Others are encoded again.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+CACHED_WORDS, CACHED_BYTES = 500_000, 64
+#: Signs that often stand behind a word.
+SIGNS = ".,;:!?"
 #: Pieces of one Arrow batch.
 BATCH_PIECES = 8192
 
@@ -48,45 +51,72 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model, self.table = self.tokenizer.model, self._letters()
+        odd = [chr(c) for c in range(0x250) if chr(c).isalpha() and c not in self.table]
+        self.odd = re.compile(f"[{''.join(odd)}]" if odd else r"(?!)")
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids, self.used = np.empty(1 << 16, dtype=np.uint32), 0
-        self.ends = [0]
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            for word, ids in zip(part, self._encode(part), strict=True):
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.number[word] = len(self.ends) - 1
-                self.ends.append(self.used)
+        self.ids, self.ends = np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+
+    def _letters(self) -> dict[int, str]:
+        """What the steps before the model make of each Latin letter, when they treat letters one by one.
+
+        Empty when they do not part letters from the signs behind them.
+        """
+        t = self.tokenizer
+        if not (t.normalizer and t.pre_tokenizer) or any(a.content.isalpha() for a in t.get_added_tokens_decoder().values()):
+            return {}
+        if [p for p, _ in self._prepared(f"aZ{SIGNS}")] != ["az", SIGNS]:
+            return {}
+        one = {c: self._prepared(chr(c)) for c in range(0x250) if chr(c).isalpha()}
+        return {c: found[0][0] for c, found in one.items() if len(found) == 1}
+
+    def _prepared(self, word: str) -> list:
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
+
+    def _encode(self, part: str) -> list[int]:
+        """Ids of a word, straight from the model where it is of Latin letters alone."""
+        if self.table and part.isalpha() and max(part) < "\u0250" and not self.odd.search(part):
+            return [x.id for x in self.model.tokenize(part.translate(self.table))]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
+
+    def _number(self, words: list[str]) -> np.ndarray:
+        """The number of each word in ``ends``; new ones are encoded."""
+        number, new = self.number, [w for w in words if w not in self.number]
+        found = [np.array(self._encode(w), dtype=np.uint32).tobytes() for w in new]
+        number.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new)), strict=True))
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), dtype=np.uint32)])
+        return np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _numbers(self, col: pa.Array) -> np.ndarray:
+        coded = col.dictionary_encode()
+        return self._number(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
 
     def texts(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of ids of each."""
-        words = pc.ascii_split_whitespace(col)
-        coded = words.flatten().dictionary_encode()
-        own = coded.dictionary.to_pylist()
         if len(self.number) > CACHED_WORDS:
             self.clear()
-        self._learn([w for w in own if w not in self.number])
-        at = np.fromiter((self.number[w] for w in own), dtype=np.int64, count=len(own))
-        ends = np.array(self.ends, dtype=np.int64)
-        word = at[coded.indices.to_numpy(zero_copy_only=False)]
-        first, size = ends[word], ends[word + 1] - ends[word]
+        words = pc.ascii_split_whitespace(col)
+        coded = words.flatten().dictionary_encode()
+        own = coded.dictionary
+        # words that differ only by the signs behind them are encoded once
+        signed = pc.match_substring_regex(own, f"[A-Za-zÀ-ÖØ-öø-ɏ][{SIGNS}]+$") if self.table else pa.array([False] * len(own))
+        bodies = pc.if_else(signed, pc.utf8_rtrim(own, SIGNS), own)
+        signs = pc.if_else(signed, pc.replace_substring_regex(own, f"(?s)^.*[^{SIGNS}]", ""), "")
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        # a word is two runs of ids, its body's and its signs'
+        run = np.stack([self._numbers(bodies)[which], self._numbers(signs)[which]], axis=1).ravel()
+        first, size = self.ends[run], self.ends[run + 1] - self.ends[run]
         total = np.concatenate([[0], np.cumsum(size)])
         out = self.ids[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
-        for w in own:
-            if len(w) > CACHED_BYTES:
-                del self.number[w]
-        edges = total[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        if pc.any(pc.greater(pc.binary_length(bodies), CACHED_BYTES)).as_py():
+            for w in bodies.filter(pc.greater(pc.binary_length(bodies), CACHED_BYTES)).to_pylist():
+                self.number.pop(w, None)
+        edges = total[2 * (words.offsets.to_numpy() - words.offsets[0].as_py())]
         return out, np.diff(edges)
 
 
