@@ -159,16 +159,49 @@ def recode_utf8(spark, sf):
     )
 
 
+def _one_byte(html):
+    """Characters without a byte of their own in a western charset as references."""
+    return F.array_join(
+        F.transform(
+            F.split(html, ""),
+            lambda c: F.when((F.ascii(c) > 255) | F.ascii(c).between(128, 159), F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c),
+        ),
+        "",
+    )
+
+
 def recode_latin1(spark, sf):
-    """Western letters written as one byte each and read back by their charset."""
-    body = F.encode(F.regexp_replace("html", "[^\\x00-\\x7fà-ÿ]", "?"), "ISO-8859-1")
-    return table(spark, sf, "pages").select(
+    """Whole pages written with one byte a character and read back by their charset."""
+    body = F.encode(_one_byte(F.col("html")), "ISO-8859-1")
+    return spread(table(spark, sf, "pages")).select(
         "page_id",
         H.recode(body, F.lit("iso-8859-1")).alias("html"),
         F.octet_length(X.fix_utf8(F.encode(F.col("html"), "UTF-8"))).cast("long").alias("fixed_bytes"),
     )
 
 
+# Beginnings of pages by page_id: what looks like a declaration and is none, and two that are.
+DECLARATIONS = {
+    0: """<script charset="iso-8859-1">var m = "<meta charset=koi8-r>";</script>""",
+    1: """<p>Write charset=latin1 – café</p>""",
+    2: """<!-- <meta charset=iso-8859-1> -->""",
+    3: """<meta charset="iso-8859-1">""",
+    4: """<META content='text/html; charset = "ISO-8859-1"' Http-Equiv="Content-Type"/>""",
+    5: """<meta name=x content="charset=koi8-r"><p title='<meta charset=koi8-r>' lang=fr>""",
+    6: """<meta charset=no-such-charset><title><meta charset=koi8-r></title>""",
+}
+DECLARED = "CASE page_id % 7 " + " ".join("WHEN {} THEN '{}'".format(k, v.replace("'", "''")) for k, v in DECLARATIONS.items()) + " END"
+
+
+def recode_declared(spark, sf):
+    """Pages without a charset in their header, read by what their own tags declare."""
+    start, western = F.expr(DECLARED.replace("''", "\\'")), (F.col("page_id") % 7).isin(3, 4)
+    body = F.when(western, F.encode(F.concat(start, _one_byte(F.col("html"))), "ISO-8859-1")).otherwise(
+        F.encode(F.concat(start, F.col("html")), "UTF-8")
+    )
+    return spread(table(spark, sf, "pages")).select("page_id", H.recode(body, F.lit("")).alias("html"))
+
+
 def clean_spaces(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", X.clean_spaces(F.col("text")).alias("text"))
@@ -348,6 +381,9 @@ def _spaces_sql(text: str) -> str:
 
 _SEEN = "SELECT text FROM documents JOIN labels USING (doc_id)"
 
+_ONE_BYTE = """array_to_string(list_transform(string_split(html, ''), lambda c:
+  CASE WHEN unicode(c) > 255 OR unicode(c) BETWEEN 128 AND 159 THEN '&#' || unicode(c) || ';' ELSE c END), '')"""
+
 ENTRIES = {
     "content_type_clean": (
         content_type_clean,
@@ -407,7 +443,11 @@ ENTRIES = {
     ),
     "recode_latin1": (
         recode_latin1,
-        r"SELECT page_id, regexp_replace(html, '[^\x00-\x7fà-ÿ]', '?', 'g') AS html, strlen(html) AS fixed_bytes FROM pages",
+        f"SELECT page_id, {_ONE_BYTE} AS html, strlen(html) AS fixed_bytes FROM pages",
+    ),
+    "recode_declared": (
+        recode_declared,
+        f"SELECT page_id, {DECLARED} || CASE WHEN page_id % 7 IN (3, 4) THEN {_ONE_BYTE} ELSE html END AS html FROM pages",
     ),
     "clean_spaces": (
         clean_spaces,

@@ -141,8 +141,9 @@ def recode(body: Column, charset: Column) -> Column:
     label = F.trim(F.coalesce(charset, F.lit("")), F.lit(" \"'"))
     text = body.cast("string")
     utf8 = label.isin("utf-8", "utf8")
-    # the body may name another charset when the header names none
-    other = F.make_valid_utf8(text).rlike(r"""(?i)charset\s*=\s*["']?\s*(?!utf-?8)[a-z0-9]""")
+    # the page may declare another charset when the header names none; this looks for the
+    # word alone, what is a declaration is found out by walking the tags
+    other = F.make_valid_utf8(text).rlike(r"""(?i)charset\s*=\s*["']?\s*(?!utf-?8)[a-z0-9&]""")
     needs = ~(utf8 | ((label == "") & F.is_valid_utf8(text) & ~other))
     native = F.regexp_replace(F.make_valid_utf8(text), r"\A\x{feff}", "")
     return F.coalesce(_decode(F.when(needs, body), label), native)

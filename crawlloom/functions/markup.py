@@ -73,6 +73,15 @@ def _script_end(html: str, start: int) -> re.Match | None:
             return None
 
 
+def _content_end(name: str, html: str, pos: int) -> re.Match | None:
+    """End tag of an element whose content is not markup; None when it reaches to the end."""
+    if name == "plaintext":
+        return None
+    if name == "script":
+        return _script_end(html, pos)
+    return re.compile(rf"</{name}(?=[ \n\r\t\f/>])", re.I).search(html, pos)
+
+
 def strip_markup(html: str) -> str:
     """Text of a page: block tags become line breaks, other end tags a space."""
     out: list[str] = []
@@ -106,12 +115,7 @@ def strip_markup(html: str) -> str:
                 out.append("\n")
             last = name
         if name in RAW_TEXT or name in ESCAPABLE:
-            if name == "plaintext":
-                end = None
-            elif name == "script":
-                end = _script_end(html, pos)
-            else:
-                end = re.compile(rf"</{name}(?=[ \n\r\t\f/>])", re.I).search(html, pos)
+            end = _content_end(name, html, pos)
             stop = end.start() if end else size
             text(html[pos:stop], raw=name in RAW_TEXT)
             pos = stop
@@ -126,29 +130,79 @@ def clean(html: str, markup: bool = True) -> str:
 
 # Fixed values (encoding standard): labels that browsers read as windows-1252.
 _WESTERN = ["ascii", "us-ascii", "iso-8859-1", "iso8859-1", "latin1", "l1", "cp1252", "windows-1252"]
-_META = re.compile(rb"""charset\s*=\s*["']?\s*([a-zA-Z0-9_:.-]+)""", re.I)
+_ATTRIBUTE = re.compile(
+    r"""[ \n\r\t\f/]*([^ \n\r\t\f/>=][^ \n\r\t\f/>=]*)"""
+    r"""(?:[ \n\r\t\f]*=[ \n\r\t\f]*(?:"([^"]*)"|'([^']*)'|([^ \n\r\t\f>"'][^ \n\r\t\f>]*)))?"""
+)
+_IN_CONTENT = re.compile(r"""charset[ \n\r\t\f]*=[ \n\r\t\f]*(?:"([^"]*)"|'([^']*)'|([^ \n\r\t\f;"'][^ \n\r\t\f;]*))""", re.I)
+#: Codecs of the standard library that are no charsets of pages.
+_NO_CHARSETS = ["utf_7", "idna", "punycode", "unicode_escape", "raw_unicode_escape"]
+
+
+def known_charset(label: str) -> str | None:
+    """The codec of a charset label, None for a label that names none."""
+    label = label.strip(" \n\r\t\f").lower()
+    if label in _WESTERN:
+        return "cp1252"
+    try:
+        codec = codecs.lookup(label)
+    except (LookupError, ValueError):
+        return None
+    return codec.name if codec._is_text_encoding and codec.name.replace("-", "_") not in _NO_CHARSETS else None
+
+
+def _meta_charset(tag: str) -> str | None:
+    """What a meta tag declares: by ``charset``, or by ``content`` beside a content-type ``http-equiv``."""
+    attributes: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(tag):
+        name, *values = m.groups()
+        value = next((v for v in values if v is not None), "")
+        attributes.setdefault(name.lower(), unescape(value))
+    if "charset" in attributes:
+        return known_charset(attributes["charset"])
+    inside = _IN_CONTENT.search(attributes.get("content", ""))
+    if inside and attributes.get("http-equiv", "").lower() == "content-type":
+        return known_charset(next(v for v in inside.groups() if v is not None))
+    return None
+
+
+def declared_charset(body: bytes) -> str | None:
+    """Codec named by the first meta tag of a page that names one.
+
+    Tags are walked as in ``strip_markup``: comments, the content of scripts and the
+    like, attributes of other tags and prose declare nothing, wherever they stand.
+    """
+    if not re.search(rb"charset", body, re.I):
+        return None
+    page, pos = body.decode("latin-1"), 0
+    while m := _TAG.search(page, pos):
+        pos = m.end()
+        name = m["name"] and m["name"].lower()
+        if not name or m["close"]:
+            continue
+        if name == "meta":
+            found = _meta_charset(page[m.end("name") : pos - 1])
+            if found:
+                return "utf-8" if found.startswith("utf-16") else found
+        elif name in RAW_TEXT or name in ESCAPABLE:
+            end = _content_end(name, page, pos)
+            if end is None:
+                return None
+            pos = end.start()
+    return None
 
 
 def decode(body: bytes, charset: str | None) -> str:
-    """Bytes as text by the declared charset, else by what the body says itself."""
+    """Bytes as text by the charset of the header, else by what the page itself declares."""
     label = (charset or "").strip(" \"'").lower()
     if not label:
         for mark, name in ((codecs.BOM_UTF8, "utf-8"), (b"\xfe\xff", "utf-16-be"), (b"\xff\xfe", "utf-16-le")):
             if body.startswith(mark):
                 return body[len(mark) :].decode(name, "replace")
-        declared = _META.search(body)
-        if declared:
-            label = declared[1].decode("ascii").lower()
-            if label.startswith("utf-16"):
-                label = "utf-8"
+        label = declared_charset(body) or ""
     if not label:
         try:
             return body.decode("utf-8")
         except UnicodeDecodeError:
             label = "windows-1252"
-    if label in _WESTERN:
-        label = "cp1252"
-    try:
-        return body.decode(label, "replace")
-    except LookupError:
-        return body.decode("utf-8", "replace")
+    return body.decode(known_charset(label) or "utf-8", "replace")

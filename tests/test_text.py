@@ -174,6 +174,29 @@ def test_recode(spark):
     ]
 
 
+def test_only_meta_tags_declare_a_charset(spark):
+    utf8 = [
+        '<script charset="iso-8859-1"></script><p>café', "Write charset=latin1 – café", "<!-- <meta charset=latin1> -->é",
+        "<!--><!-- <meta charset=latin1> é", '<a title="<meta charset=latin1>">é', "<style><meta charset=latin1></style>é",
+        "<title><meta charset=latin1></title>é", "<script><!-- <script> </script> <meta charset=latin1> --></script>é",
+        '<meta content="text/html; charset=latin1">é', '<meta http-equiv=refresh content="charset=latin1">é', "</meta charset=latin1>é",
+        "<meta charset=utf-16>é", "<meta charset=base64>é", "<meta charset=utf-8 charset=latin1>é", "<meta x=charset=latin1>é", "<metal charset=latin1>é",
+        "<meta charset='latin1'", "<meta charset=>é", "<plaintext><meta charset=latin1>é", "x" * 5000 + "<meta charset=utf8>é<meta charset=latin1>",
+    ]
+    western = [
+        "<meta charset=latin1>é", "<META\nCHARSET = 'ISO-8859-1' >é", "<meta/charset=l1/>é", "<script></script><meta charset=latin1>é",
+        '<meta content="x; CHARSET = \'latin1\'; y" http-equiv=CONTENT-type>é', "<meta charset=nope><meta charset=latin1>é",
+        "<meta charset=latin1><meta charset=utf-8>é", "<p " + "a=b " * 3000 + "><meta charset=ascii>é", "<meta charset='&#108;atin1'>é",
+    ]
+    rows = [(i, t, bytearray(t.encode(c))) for i, (t, c) in enumerate([(t, "utf-8") for t in utf8] + [(t, "latin-1") for t in western])]
+    df = spark.createDataFrame(rows, "i int, t string, b binary")
+    wrong = df.withColumn("o", H.recode(F.col("b"), F.lit(""))).filter("not t <=> o").collect()
+    assert wrong == []
+    # a page may be long, a declaration may come late
+    late = b"<p>" + b"x" * 100_000 + b"<meta charset=koi8-r>" + "я".encode("koi8-r")
+    assert markup.decode(late, None).endswith("я") and markup.declared_charset(b"") is None
+
+
 def test_small_text_functions(spark):
     assert values(spark, ["<urn:uuid:a-b>", "plain"], X.strip_record_id) == ["a-b", "plain"]
     assert values(spark, ["a�b"], X.strip_replacement_char) == ["ab"]
