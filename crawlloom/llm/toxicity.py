@@ -22,10 +22,16 @@ from crawlloom.llm.svm import linear_svm, logistic_scale, sigmoid
 
 #: Texts of each class in the training sample; longer texts are not drawn.
 SAMPLE_PER_CLASS, SAMPLE_CHARS = 1500, 20_000
-LANDMARKS, ROUNDS, SEED = 600, 5, 5
-#: Weight of a training word by the texts that hold it, and the regularisation.
-POWER, REG = 0.5, 1e-6
-DECAY, SPAN = 0.6, 5
+LANDMARKS, ROUNDS, SEED = 600, 6, 5
+#: Regularisation and steps of the machine, and the share of the insults in its loss.
+REG, STEPS, INSULT_SHARE = 1e-6, 800, 0.6
+#: Times as frequent in toxic texts as in clean ones that a sure insult is, and how much its odd
+#: copies together weigh beside it.
+SURE_ODDS, ODD_WEIGHT = 300, 10.0
+#: The working set: clean words and odd copies of an insult it starts with, and how many of the
+#: worst join in each round, out of all words of the sample and all odd copies.
+FIRST_CLEAN, WORST, FIRST_ODD, WORST_ODD = 1500, 1500, 40, 30
+DECAY, SPAN = 0.7, 5
 #: Padding between words: with end and start it keeps a span out of the next word's letters.
 PAD = 1
 #: Symbols: 0 padding, 1-26 a-z, 27 and 28 other letters, 29 start and 30 end of a word.
@@ -140,6 +146,10 @@ class Model:
     offset: float
     scale: tuple[float, float]
 
+    @classmethod
+    def of(cls, row) -> Model:
+        return cls(np.frombuffer(bytes(row["theta"]), dtype=np.float32), row["offset"], (row["a"], row["b"]))
+
     def words(self, sym: np.ndarray, place: np.ndarray) -> np.ndarray:
         return _sums(lambda code: self.theta[code], sym, place) + self.offset
 
@@ -184,63 +194,95 @@ def _kernel(words: list[bytes], cols: np.ndarray) -> np.ndarray:
     return out
 
 
-def _odd_copies(words: list[bytes], rng) -> list[bytes]:
-    """Words with one letter put in or said twice, as people write to get past a filter."""
-    out = []
-    for w in words:
-        at = int(rng.integers(1, len(w))) if len(w) > 1 else 0
-        out.append(w[:at] + bytes([int(rng.integers(1, 27))]) + w[at:])
-        out.append(w[:at] + w[at : at + 1] + w[at:])
+def odd_copies(word: bytes) -> list[bytes]:
+    """A word with any one letter put in between two of its own, or one of its own said twice."""
+    put = [word[:a] + bytes([k]) + word[a:] for a in range(1, len(word)) for k in range(1, 27)]
+    return list(dict.fromkeys(put + [word[:a] + word[a : a + 1] + word[a:] for a in range(len(word))]))
+
+
+def _texts_with(bags: list[np.ndarray], groups: np.ndarray, n_words: int) -> np.ndarray:
+    """How many groups of texts hold each word."""
+    pairs = [b * (len(groups) + 1) + g for b, g in zip(bags, groups, strict=True) if len(b)]
+    held = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.int64)
+    return np.bincount(held // (len(groups) + 1), minlength=n_words)
+
+
+def _by_chance(hit: np.ndarray, total: np.ndarray, share: float) -> np.ndarray:
+    """Chance that of ``total`` texts at least ``hit`` are toxic when ``share`` of all are."""
+    log = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, int(total.max(initial=0)) + 1)))])
+    out = np.ones(len(hit))
+    for i in np.flatnonzero(hit).tolist():
+        n, k = int(total[i]), np.arange(int(hit[i]), int(total[i]) + 1)
+        out[i] = np.exp(log[n] - log[k] - log[n - k] + k * np.log(share) + (n - k) * np.log1p(-share)).sum()
     return out
 
 
 def _fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float], seed: int) -> Model:
-    """Multiple-instance training: a toxic text has one word, at first unknown, that makes it so.
-
-    ``texts`` hold the distinct words of a text, joined by zero bytes.
+    """Learn which words make a text toxic, and how they look with a slip.
+
+    ``texts`` hold the distinct words of a text, joined by zero bytes. A word is sure to be an
+    insult when it is in far more toxic texts than chance allows, copies of a text counted
+    once. Every other toxic text has one word, at first unknown, that makes it so. Copies of the
+    sure words with one letter too many are insults as well. The machine is trained on a
+    working set: all insults, the most frequent clean words, some odd copies; every round
+    scores all words and all odd copies, and those on the wrong side come in.
     """
     rng = np.random.default_rng(seed)
     every = sorted({w for t in texts for w in t.split(b"\0") if w})
     number = {w: i for i, w in enumerate(every)}
-    bags = [np.array([number[w] for w in t.split(b"\0") if w], dtype=np.int32) for t in texts]
+    bags = [np.array([number[w] for w in t.split(b"\0") if w], dtype=np.int64) for t in texts]
     del number
-
-    def seen(label: int) -> np.ndarray:
-        return np.bincount(np.concatenate([np.zeros(0, dtype=np.int32), *[b for b, k in zip(bags, labels, strict=True) if k == label]]), minlength=len(every))
-
-    hit, miss = seen(1), seen(0)
-    n1, n0 = max(1, int((labels == 1).sum())), max(1, int((labels == 0).sum()))
+    # copies of a text mostly have the same least word, by an order drawn once
+    order = rng.permutation(len(every))
+    least = np.array([order[b].min() if len(b) else 0 for b in bags])
+    groups = np.unique(least, return_inverse=True)[1]
+    hit, miss = (_texts_with([b for b, y in zip(bags, labels, strict=True) if y == k], groups[labels == k], len(every)) for k in (1, 0))
+    n1, n0 = (max(1, len(np.unique(groups[labels == k]))) for k in (1, 0))
     odds = np.log((hit + 0.1) / n1) - np.log((miss + 0.1) / n0)
-    by_odds = np.argsort(-np.where(hit > 0, odds * np.log1p(hit), -np.inf), kind="stable")
-    ranked = by_odds[: int((hit > 0).sum())]
+    sure = np.flatnonzero((odds > np.log(SURE_ODDS)) & (_by_chance(hit, hit + miss, n1 / (n1 + n0)) < 1 / max(1, len(every))))
+    insults, known = [every[i] for i in sure], set(sure.tolist())
+    unsure = [b for b, y in zip(bags, labels, strict=True) if y and len(b) and known.isdisjoint(b.tolist())]
+    likely = odds * np.log1p(hit)
+    guess = np.unique([int(b[np.argmax(likely[b])]) for b in unsure]).astype(np.int64)
     common = np.argsort(-miss, kind="stable")[: int((miss > 0).sum())]
-    rest = common[1500:]
-    clean = np.concatenate([common[:1500], np.sort(rng.choice(rest, min(6000, len(rest)), replace=False))])
-    landmarks = np.concatenate([ranked[: LANDMARKS // 2], clean[:: max(1, len(clean) // (LANDMARKS // 2))]])
-    cols, root = _landmark_map([every[i] for i in dict.fromkeys(landmarks.tolist())])
-    witness, model, score = ranked[: 2 * LANDMARKS], None, np.zeros(len(every))
-    for turn in range(ROUNDS):
-        often = sorted(witness, key=lambda i: (-hit[i], i))[:200]
-        odd = _odd_copies([every[i] for i in often], rng)
-        words = [every[i] for i in witness] + odd + [every[i] for i in clean]
-        y = np.concatenate([np.ones(len(witness) + len(odd)), -np.ones(len(clean))])
-        # a word that many texts hold weighs more, a copy with a slip as little as a rare word
-        bad, good = np.concatenate([hit[witness] ** POWER, np.ones(len(odd))]), miss[clean] ** POWER
-        weight = np.concatenate([0.5 * bad / bad.sum(), 0.5 * good / good.sum()])
-        w, offset = linear_svm(_kernel(words, cols) @ root.astype(np.float32), y, REG, 400, weight)
+    clean = common[:FIRST_CLEAN]
+    odd = {w: odd_copies(w) for w in insults}
+    work = {w: [o[i] for i in rng.permutation(len(o))[:FIRST_ODD]] for w, o in odd.items()}
+
+    strange = [o for w in insults for o in work[w][:8]][: LANDMARKS // 3]
+    guesses = [every[i] for i in guess[np.argsort(-hit[guess], kind="stable")]][: LANDMARKS // 4]
+    chosen = list(dict.fromkeys(insults + guesses + strange))
+    spaced = [every[i] for i in clean[:: max(1, len(clean) // max(1, LANDMARKS - len(chosen)))]]
+    cols, root = _landmark_map(list(dict.fromkeys(chosen + spaced))[:LANDMARKS])
+    model, score = None, np.zeros(len(every))
+
+    def scores(words: list[bytes]) -> np.ndarray:
+        parts = [words[i : i + (1 << 13)] for i in range(0, len(words), 1 << 13)]
+        return np.concatenate([model.words(*_places(p)) for p in parts]) if parts else np.zeros(0)
+
+    for _ in range(ROUNDS):
+        bad = [(w, hit[i]) for i, w in zip(sure, insults, strict=True)] + [(every[i], hit[i]) for i in guess]
+        bad += [(o, ODD_WEIGHT * hit[i] / len(work[w])) for i, w in zip(sure, insults, strict=True) for o in work[w]]
+        words = [w for w, _ in bad] + [every[i] for i in clean]
+        y = np.concatenate([np.ones(len(bad)), -np.ones(len(clean))])
+        up, down = np.array([n for _, n in bad], dtype=float), miss[clean] ** 0.5
+        weight = np.concatenate([INSULT_SHARE * up / max(1e-9, up.sum()), (1 - INSULT_SHARE) * down / max(1e-9, down.sum())])
+        w, offset = linear_svm(_kernel(words, cols) @ root.astype(np.float32), y, REG, STEPS, weight)
         model = Model((cols @ (root @ w)).astype(np.float32), offset, (1.0, 0.0))
-        for i in range(0, len(every), 1 << 13):
-            part = every[i : i + (1 << 13)]
-            score[i : i + len(part)] = model.words(*_places(part))
-        if turn + 1 < ROUNDS:
-            best = {int(b[np.argmax(score[b])]) for b, k in zip(bags, labels, strict=True) if k and len(b)}
-            found = np.array(sorted(i for i in best if score[i] > -0.5 and odds[i] > 0), dtype=np.int64)
-            witness = found if len(found) else witness
-            # the clean words that look worst are taken along from now on
-            worst = np.argsort(-np.where(miss > 0, score, -np.inf), kind="stable")[: min(1500, len(common))]
-            clean = np.unique(np.concatenate([clean, worst]))
+        score = scores(every)
+        best = np.unique([int(b[np.argmax(score[b])]) for b in unsure]).astype(np.int64)
+        guess = best[(score[best] > -0.5) & (odds[best] > 0)] if len(best) else best
+        clean = np.unique(np.concatenate([clean, common[np.argsort(-score[common], kind="stable")[:WORST]]]))
+        for w, copies in odd.items():
+            lowest = np.argsort(scores(copies), kind="stable")[:WORST_ODD]
+            work[w] = list(dict.fromkeys(work[w] + [copies[i] for i in lowest]))
     tops = np.array([score[b].max() if len(b) else -2.0 for b in bags])
-    model.scale = logistic_scale(tops, labels.astype(float), np.where(labels > 0, weights[1], weights[0]))
+    y, weight = labels.astype(float), np.where(labels > 0, weights[1], weights[0])
+    # a text whose one insult has a slip is as toxic: together they count as much as the toxic texts
+    slips = [scores(odd[w]) for w in insults]
+    each = [np.full(len(x), weight[labels > 0].sum() * hit[i] / hit[sure].sum() / len(x)) for i, x in zip(sure, slips, strict=True)]
+    tops, weight = np.concatenate([tops, *slips]), np.concatenate([weight, *each])
+    model.scale = logistic_scale(tops, np.concatenate([y, np.ones(len(tops) - len(y))]), weight)
     return model
 
 
@@ -250,6 +292,21 @@ def _word_sets(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, type=pa.binary()), batch.column(1)], names=["words", "label"])
 
 
+FITTED = "theta binary, offset double, a double, b double"
+
+
+def _fitted(batches, sizes: dict[int, int], seed: int) -> Iterator[pa.RecordBatch]:
+    """The model of a whole sample, as one row."""
+    got = sorted((bytes(r["words"]), r["label"]) for batch in batches for r in batch.to_pylist())
+    if got:
+        found = np.array([label for _, label in got])
+        weights = tuple(sizes[k] / max(1, int((found == k).sum())) for k in (0, 1))
+        model = _fit([t for t, _ in got], found, weights, seed)
+        row = {"theta": model.theta.tobytes(), "offset": model.offset, "a": model.scale[0], "b": model.scale[1]}
+        schema = pa.schema([("theta", pa.binary()), ("offset", pa.float64()), ("a", pa.float64()), ("b", pa.float64())])
+        yield pa.RecordBatch.from_pylist([row], schema)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -263,8 +320,8 @@ def train(
 
     ``labels`` (id, label) names the rows to learn from. The draw is made on ids and
     lengths; only the drawn ids, four times ``per_class`` rows at most, are broadcast to
-    the texts. The sample, sets of words of texts of at most ``SAMPLE_CHARS`` characters,
-    is all that reaches the driver. Chances are scaled to the shares the labels have in
+    the texts. The sample, as many sets of words of texts of at most ``SAMPLE_CHARS``
+    characters, is fitted in one task; the weights alone come back. Chances are scaled to the shares the labels have in
     all labelled rows. Rows without text or with another label than 0 and 1 teach nothing.
     Without texts of both labels every text scores 1 or, without any, 0.
     """
@@ -276,14 +333,11 @@ def train(
         return Model(np.zeros(_N**3, dtype=np.float32), 0.0, (0.0, 40.0 if 1 in sizes else -40.0))
     draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) / float(1 << 40)
     share = F.when(F.col("label") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
-    drawn = rows.filter(draw <= share).select("_id", "label").limit(4 * per_class)
+    drawn = rows.filter(draw <= share).select("_id", "label").distinct().limit(4 * per_class)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     sample = texts.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).select("_text", "label")
-    got = sample.mapInArrow(_word_sets, "words binary, label int").collect()
-    got = sorted((bytes(r["words"]), r["label"]) for r in got)
-    found = np.array([label for _, label in got])
-    weights = tuple(sizes[k] / max(1, int((found == k).sum())) for k in (0, 1))
-    return _fit([t for t, _ in got], found, weights, seed)
+    sets = sample.mapInArrow(_word_sets, "words binary, label int").limit(4 * per_class)
+    return Model.of(sets.mapInArrow(lambda it: _fitted(it, sizes, seed), FITTED).first())
 
 
 def _score(batches, shared) -> Iterator[pa.RecordBatch]:

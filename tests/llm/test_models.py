@@ -106,7 +106,7 @@ def test_held_out_toxicity(more, toxic_model):
 def test_toxicity_of_odd_rows(make, toxic_model):
     base = "of the and that was in with "
     rows = [(1, None), (2, ""), (3, "123 ..."), (4, base), (5, base + "idiot"), (6, base + "i.d.i*o-t"), (7, base + "i d i o t"),
-            (8, base * 20_000 + "IDIOT" + base), (None, "idiot"), (9, "idiot"), (9, "idiot"), (10, "слово 文")]
+            (8, base * 20_000 + "IDIOT " + base), (None, "idiot"), (9, "idiot"), (9, "idiot"), (10, "слово 文")]
     out = toxicity.score(make(rows), toxic_model).collect()
     assert len(out) == len(rows)
     got = {r["doc_id"]: r["score"] for r in out}
@@ -117,6 +117,28 @@ def test_toxicity_of_odd_rows(make, toxic_model):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 10]
 
 
+def test_insults_with_a_slip(more, toxic_model):
+    """Every frequent insult with a letter put in, said twice or gapped; and clean words left alone."""
+    documents, labels = more
+    sets = documents.join(labels, "doc_id").select("doc_id", "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("w"))
+    words = sets.filter("w <> ''").groupBy("w").agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good"))
+    rows = words.collect()
+    insults = [r["w"] for r in rows if r["bad"] >= 80 and not r["good"]]
+    assert {"idiot", "loser", "scum", "clown", "worthless"} <= set(insults)
+
+    def caught(texts):
+        return float(np.mean([toxic_model.chance(toxic_model.text(t)) >= 0.5 for t in texts]))
+
+    for w in insults:
+        coded = bytes(ord(c) - 96 for c in w)
+        assert caught([w]) == 1
+        assert caught(["of the " + "".join(chr(96 + b) for b in o) + " and" for o in toxicity.odd_copies(coded)]) >= 0.9, w
+        assert caught([sign.join(w) for sign in (".", "-", " ", "*", "_")]) == 1, w
+        assert caught([w[:a] + w[a] * 2 + w[a:] for a in range(1, len(w))]) >= 0.8, w  # said three times
+    clean = [r["w"] for r in rows if r["good"] and not r["bad"]]
+    assert len(clean) > 10_000 and caught(clean) < 0.002
+
+
 def test_nothing_to_learn_from(spark, make, labels):
     none = langid.train(make([]))
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(make([(1, "some text")]), none).collect()] == [("und", 0.0)]
