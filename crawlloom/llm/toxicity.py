@@ -202,9 +202,10 @@ def odd_copies(word: bytes) -> list[bytes]:
 
 def _texts_with(bags: list[np.ndarray], groups: np.ndarray, n_words: int) -> np.ndarray:
     """How many groups of texts hold each word."""
-    pairs = [b * (len(groups) + 1) + g for b, g in zip(bags, groups, strict=True) if len(b)]
-    held = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.int64)
-    return np.bincount(held // (len(groups) + 1), minlength=n_words)
+    base = int(groups.max(initial=0)) + 1
+    pairs = [b * base + g for b, g in zip(bags, groups.tolist(), strict=True)]
+    held = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *pairs]))
+    return np.bincount(held // base, minlength=n_words)
 
 
 def _by_chance(hit: np.ndarray, total: np.ndarray, share: float) -> np.ndarray:
