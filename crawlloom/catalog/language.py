@@ -19,7 +19,7 @@ from crawlloom.operators.langid.refine import (
     refine_pass,
     squeeze_text,
 )
-from crawlloom.operators.langid.spans import detect_spans, merge_adjacent_spans, refine_boundaries
+from crawlloom.operators.langid.spans import detect_spans, merge_adjacent_spans, refine_boundaries, text_spans
 from crawlloom.operators.routing import reliable_only
 from crawlloom.session import by_keys, spread
 
@@ -180,6 +180,16 @@ def document_spans(spark, sf):
     return detect_spans(text_chunks(docs(spark, sf), model(spark, sf), KEYS), KEYS)
 
 
+def text_spans_cut(spark, sf):
+    """Each document followed by the next one, cut into pieces of one language, by places in the text itself."""
+    d = docs(spark, sf)
+    after = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("more"))
+    joined = d.join(after, "doc_id").select("doc_id", F.concat_ws("\n", "text", "more").alias("text"))
+    spans = text_spans(joined, model(spark, sf), KEYS)
+    piece = F.substring("text", F.col("start").cast("int") + 1, F.col("length").cast("int"))
+    return spans.join(joined, "doc_id").select("doc_id", "span", "start", "length", "lang", F.sha2(piece, 256).alias("piece"))
+
+
 def span_borders(spark, sf):
     """Each document followed by the next one: borders between languages, sharpened."""
     d = docs(spark, sf)
@@ -410,6 +420,14 @@ _SQUEEZED = """WITH b AS (SELECT doc_id, list_transform(range((length(text) + 47
       AND CASE WHEN length(x) < 3 THEN true ELSE
         (length(x) - 2 - len(list_distinct(list_transform(range(length(x) - 2), lambda k: substr(x, k + 1, 3))))) * 100 / (length(x) - 2) < 40 END), '') AS text
     FROM b"""
+# where a chunk's language begins, by the words' scores for it and for the language before
+_BORDERS = """pb AS (SELECT id, chunk, lang1 AS aft, lag(lang1) OVER (PARTITION BY id ORDER BY chunk) AS bef FROM ck),
+    pp AS (SELECT *, unnest([chunk - 1, chunk]) AS ofc FROM pb WHERE bef <> aft),
+    sc AS (SELECT pp.id, pp.chunk, pos, coalesce(sum(CASE lang WHEN bef THEN weight WHEN aft THEN -weight END), 0) AS lead
+      FROM hi JOIN pp ON hi.id = pp.id AND hi.chunk = ofc GROUP BY ALL),
+    ru AS (SELECT *, sum(lead) OVER (PARTITION BY id, chunk ORDER BY pos) AS run FROM sc),
+    bo AS (SELECT id, chunk, pos + 1 AS border FROM ru
+      QUALIFY row_number() OVER (PARTITION BY id, chunk ORDER BY run DESC, pos DESC) = 1)"""
 # whole texts and their first words
 _BOTH = r"""SELECT doc_id * 2 AS doc_id, text FROM documents
     UNION ALL SELECT doc_id * 2 + 1, regexp_extract(text, '\p{L}+') FROM documents"""
@@ -512,15 +530,33 @@ ENTRIES = {
         f"""{_chunks_sql()}, dd AS (SELECT id AS doc_id, chunk, CASE WHEN reliability >= 50 THEN lang1 ELSE 'un' END AS vl, bytes AS b FROM ck),
         {_islands_sql("dd", "vl", "b", "doc_id", "chunk")}""",
     ),
+    "text_spans": (
+        text_spans_cut,
+        rf"""{_chunks_sql(_NEXT)}, {_BORDERS},
+        -- where the words stand: running sums over words and the gaps before them
+        wg AS (SELECT id, regexp_extract_all(text, '[\p{{L}}\p{{M}}]+') AS ws, regexp_split_to_array(text, '[\p{{L}}\p{{M}}]+') AS gs, text FROM ({_NEXT})),
+        wr AS (SELECT id, unnest(range(1, len(ws) + 1)) AS k, unnest(ws) AS w, unnest(list_slice(gs, 1, len(ws))) AS g FROM wg),
+        wp AS (SELECT id, k, lower(w) AS w, sum(length(w) + length(g)) OVER (PARTITION BY id ORDER BY k) AS stop, length(w) AS size FROM wr),
+        wf AS (SELECT * FROM wp QUALIFY w IS DISTINCT FROM lag(w) OVER (PARTITION BY id ORDER BY k)
+          AND w IS DISTINCT FROM lag(w, 2) OVER (PARTITION BY id ORDER BY k)),
+        wn AS (SELECT id, stop - size AS start, stop, row_number() OVER (PARTITION BY id ORDER BY k) - 1 AS pos, count(*) OVER (PARTITION BY id) AS n FROM wf),
+        wc AS (SELECT *, {_CHUNK} AS chunk FROM wn),
+        cb AS (SELECT id, chunk, min(start) AS start, max(stop) AS stop FROM wc GROUP BY ALL),
+        st AS (SELECT ck.id, ck.chunk, CASE WHEN reliability >= 50 THEN lang1 ELSE 'un' END AS vl,
+            CASE WHEN bo.border IS NULL THEN cb.start ELSE coalesce(wc.start, cb.stop) END AS beg
+          FROM ck JOIN cb ON cb.id = ck.id AND cb.chunk = ck.chunk
+          LEFT JOIN bo ON bo.id = ck.id AND bo.chunk = ck.chunk LEFT JOIN wc ON wc.id = bo.id AND wc.pos = bo.border),
+        mo AS (SELECT id, chunk, vl, CASE WHEN row_number() OVER (PARTITION BY id ORDER BY chunk) = 1 THEN 0
+            ELSE max(beg) OVER (PARTITION BY id ORDER BY chunk) END AS beg FROM st),
+        nx AS (SELECT mo.id AS doc_id, chunk, vl, coalesce(lead(beg) OVER (PARTITION BY mo.id ORDER BY chunk), length(text)) - beg AS size
+          FROM mo JOIN wg ON wg.id = mo.id),
+        sp AS ({_islands_sql("(SELECT * FROM nx WHERE size > 0)", "vl", "size", "doc_id", "chunk").replace("i1 AS", "WITH i1 AS", 1)})
+        SELECT doc_id, span, "offset" AS start, bytes AS length, lang, sha256(substr(text, "offset" + 1, bytes)) AS piece
+        FROM sp JOIN wg ON wg.id = doc_id""",
+    ),
     "span_borders": (
         span_borders,
-        f"""{_chunks_sql(_NEXT)}, pb AS (SELECT id, chunk, lang1 AS aft, lag(lang1) OVER (PARTITION BY id ORDER BY chunk) AS bef FROM ck),
-        pp AS (SELECT *, unnest([chunk - 1, chunk]) AS ofc FROM pb WHERE bef <> aft),
-        sc AS (SELECT pp.id, pp.chunk, pos, coalesce(sum(CASE lang WHEN bef THEN weight WHEN aft THEN -weight END), 0) AS lead
-          FROM hi JOIN pp ON hi.id = pp.id AND hi.chunk = ofc GROUP BY ALL),
-        ru AS (SELECT *, sum(lead) OVER (PARTITION BY id, chunk ORDER BY pos) AS run FROM sc)
-        SELECT id AS doc_id, chunk, pos + 1 AS border FROM ru
-        QUALIFY row_number() OVER (PARTITION BY id, chunk ORDER BY run DESC, pos DESC) = 1""",
+        f"{_chunks_sql(_NEXT)}, {_BORDERS} SELECT id AS doc_id, chunk, border FROM bo",
     ),
     "language_priors": (priors, f"{_PRIORS} SELECT doc_id, lang, weight FROM pr"),
     "language_priors_pages": (

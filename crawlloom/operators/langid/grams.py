@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlloom.functions.columns import let
@@ -161,6 +162,49 @@ def span_units(spans: DataFrame, keys: Sequence[str], pairs: bool = False) -> Da
     )
 
 
+def _matches(text: Column, pattern: str | Column) -> Column:
+    """The matches of ``pattern`` in ``text`` and what lies before each, to be exploded."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
+    # the split has one piece more than there are matches
+    return F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
+
+
+def unit_places(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """(keys, span_no, chunk, pos, start, stop): where the units of ``span_units`` stand in the text.
+
+    Offsets count characters of the text itself. Letters-only offsets are aligned to them by
+    running sums over the matches and the gaps between them, first of the script
+    spans and then of the words in each; rows stay on the partitioning by ``keys``.
+    """
+    whole, inside = W.partitionBy(*keys), W.partitionBy(*keys, "span_no")
+    size = F.length("_m.gap") + F.length("_m.found")
+    spans = df.select(*keys, F.posexplode(_matches(F.col(text), SPAN_PATTERN)).alias("span_no", "_m")).select(
+        *keys, "span_no", F.col("_m.found").alias("_raw"),
+        (F.sum(size).over(whole.orderBy("span_no")) - F.length("_m.found")).alias("_from"),
+    )
+    script = F.element_at(map_of(_NUMBER), script_of("_raw"))
+    pattern = (
+        F.when(is_kind(script, "many"), r"[\p{L}\p{M}]+").when(is_kind(script, "cjk"), r"[\p{L}\p{M}]").otherwise(r"(?s).+")
+    )
+    chunk_size = F.when(is_kind(script, "cjk"), CHUNK_CJK).otherwise(CHUNK_WORDS)
+    in_order = inside.orderBy("_at")
+    units = spans.select(
+        *keys, "span_no", "_from", is_kind(script, "many").alias("_words"), chunk_size.alias("_chunk"),
+        F.posexplode(_matches(F.col("_raw"), pattern)).alias("_at", "_m"),
+    ).select(
+        *keys, "span_no", "_words", "_chunk", "_at", F.lower("_m.found").alias("_unit"), F.length("_m.found").alias("_length"),
+        (F.col("_from") + F.sum(size).over(in_order)).alias("stop"),
+    )
+    again = F.lag("_unit").over(in_order).eqNullSafe(F.col("_unit")) | F.lag("_unit", 2).over(in_order).eqNullSafe(F.col("_unit"))
+    kept = units.withColumn("_again", again & F.col("_words")).filter(~F.col("_again"))
+    kept = kept.withColumns({"pos": F.row_number().over(in_order) - 1, "_n": F.count(F.lit(1)).over(inside).cast("int")})
+    return kept.select(
+        *keys, "span_no", chunk_index(F.col("pos"), F.col("_n"), F.col("_chunk")).alias("chunk"), "pos",
+        (F.col("stop") - F.col("_length")).cast("int").alias("start"), F.col("stop").cast("int").alias("stop"),
+    )
+
+
 # explode_outer is used on arrays that are never empty: for the plain form Spark adds
 # a filter on the array's size, which would compute the array twice.
 

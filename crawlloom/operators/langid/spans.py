@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crawlloom.operators.langid.detect import text_chunks
 from crawlloom.operators.langid.dims import UNKNOWN
+from crawlloom.operators.langid.grams import unit_places
+from crawlloom.operators.langid.model import LangModel
+from crawlloom.operators.langid.refine import gram_hits
+from crawlloom.session import by_keys, materialize
 
 RELIABLE_CHUNK = 50
 
@@ -80,3 +85,59 @@ def refine_boundaries(hits: DataFrame, chunks: DataFrame, keys: Sequence[str]) -
     return running.groupBy(*keys, "span_no", "chunk").agg(
         (F.max_by("pos", F.struct("_running", "pos")) + 1).alias("border")
     )
+
+
+def text_spans(
+    df: DataFrame,
+    model: LangModel,
+    keys: Sequence[str],
+    text: str = "text",
+    refine: bool = True,
+    colocated: bool = False,
+) -> DataFrame:
+    """(keys, span, start, length, lang): runs of one language that cover a whole text.
+
+    Offsets count characters of the text itself, from 0. What stands between two chunks
+    belongs to the earlier one, so the pieces put together are the text. An unreliable
+    chunk is unknown. With ``refine`` a border between two languages is moved to the word
+    where it fits best; only texts in which languages meet are looked at again for that.
+    A text without letters has no spans.
+    """
+    keys = list(keys)
+    texts = df.select(*keys, text)
+    if not colocated:
+        texts = by_keys(texts, keys)
+    chunks = text_chunks(texts, model, keys, text, colocated=True)
+    # by the order of spans and chunks, the place of every chunk's first unit
+    places = unit_places(texts, keys, text)
+    starts = places.groupBy(*keys, "span_no", "chunk").agg(F.min("start").alias("start"), F.max("stop").alias("_stop"))
+    chunks = chunks.join(starts, [*keys, "span_no", "chunk"])
+    if refine:
+        chunks = materialize(chunks)
+        order = W.partitionBy(*keys, "span_no").orderBy("chunk")
+        meets = chunks.withColumn("_before", F.lag("lang1").over(order)).filter("_before <> lang1").select(*keys).distinct()
+        mixed = texts.join(meets, keys, "left_semi")
+        hits = gram_hits(mixed, model, keys, text, colocated=True)
+        borders = refine_boundaries(hits, chunks, keys)
+        moved = borders.join(
+            unit_places(mixed, keys, text).select(*keys, "span_no", F.col("pos").alias("border"), F.col("start").alias("_moved")),
+            [*keys, "span_no", "border"], "left",
+        ).select(*keys, "span_no", "chunk", "_moved", F.lit(True).alias("_border"))
+        chunks = chunks.join(moved, [*keys, "span_no", "chunk"], "left")
+        # behind the last unit of all there is no other: nothing is left of such a chunk
+        start = F.when(F.col("_border"), F.coalesce("_moved", "_stop")).otherwise(F.col("start"))
+    else:
+        start = F.col("start")
+    lang = F.when(F.col("reliability") >= RELIABLE_CHUNK, F.col("lang1")).otherwise(UNKNOWN)
+    order = W.partitionBy(*keys).orderBy("span_no", "chunk")
+    # two borders of a short chunk may cross; then the later one gives way
+    upto = order.rowsBetween(W.unboundedPreceding, 0)
+    runs = chunks.select(*keys, "span_no", "chunk", lang.alias("lang"), start.alias("_at"))
+    runs = runs.withColumns({"_at": F.max("_at").over(upto), "_k": F.row_number().over(order)})
+    runs = runs.withColumn("_at", F.when(F.col("_k") == 1, 0).otherwise(F.col("_at")))
+    sizes = texts.select(*keys, F.length(text).alias("_size"))
+    runs = runs.join(sizes, keys).withColumn("_next", F.coalesce(F.lead("_at").over(order), F.col("_size")))
+    merged = merge_adjacent_spans(
+        runs.filter("_next > _at").withColumn("_length", F.col("_next") - F.col("_at")), keys, ["span_no", "chunk"], size="_length"
+    )
+    return merged.select(*keys, "span", F.col("offset").alias("start"), F.col("bytes").alias("length"), "lang")

@@ -9,7 +9,7 @@ from crawlloom.operators.langid.detect import detect_language, with_language
 from crawlloom.operators.langid.dims import language_name
 from crawlloom.operators.langid.hints import apply_priors, html_lang_tags, host_tld, language_priors
 from crawlloom.operators.langid.refine import drop_repeated_words, refine_pass, squeeze_text
-from crawlloom.operators.langid.spans import merge_adjacent_spans
+from crawlloom.operators.langid.spans import text_spans, merge_adjacent_spans
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -298,6 +298,38 @@ def test_second_pass_is_as_careful_as_the_first(spark, model):
         assert got[4] == got[5] == ("en", True)  # repetitions do not hide the language
 
 
+def test_spans_cut_the_text_itself(spark, model):
+    rows = spark.read.parquet(DOCS).filter("n_chars between 1500 and 6000").collect()
+    one = {lang: next(r.text for r in sorted(rows, key=lambda r: r.doc_id) if r.lang == lang) for lang in ("en", "fr", "de")}
+    greek, thai = "Η γλώσσα είναι ελληνική. " * 30, "ภาษาไทย " * 40
+    texts = [
+        one["en"], "  ** " + one["fr"] + " -- " + one["en"] + "!!\n", one["de"] + "\n\n" + greek + "(" + one["fr"] + ")", greek, thai + one["en"],
+        "12 .. 34", "", "the the the the", "\U0001d54f \U0001f600 " + one["fr"] + "\U0001f600", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for refine in (False, True):
+        spans = {}
+        for r in text_spans(df, model, ["id"], refine=refine).orderBy("id", "span").collect():
+            spans.setdefault(r.id, []).append((r.start, r.length, r.lang))
+        assert set(spans) == {0, 1, 2, 3, 4, 7, 8}
+        for i, found in spans.items():
+            # pieces follow each other from the first character to the last
+            assert [s for s, _, _ in found] == [0, *__import__("itertools").accumulate(n for _, n, _ in found)][:-1]
+            assert sum(n for _, n, _ in found) == len(texts[i])
+        assert {x for _, _, x in spans[0]} == {"en"} and {x for _, _, x in spans[3]} == {"el"}
+
+        def cut(i):
+            return [(x, texts[i][s : s + n]) for s, n, x in spans[i] if x != "un"]
+
+        for i, langs in ((1, ["fr", "en"]), (2, ["de", "el", "fr"]), (4, ["th", "en"]), (8, ["fr"])):
+            assert [x for x, _ in cut(i)] == langs
+        # a border lies within a chunk of where the languages meet, refined within a few words
+        border = texts[1].index(one["en"])
+        near = 25 if refine else 200
+        assert abs(len(cut(1)[0][1]) - border) <= near + 10
+        assert cut(2)[1][1].startswith("Η γλώσσα") and cut(2)[2][1].lstrip("(")[:20] == one["fr"][:20]
+
+
 def docs_text(spark):
     rows = spark.read.parquet(DOCS).filter("lang = 'en' and n_chars > 1500").orderBy("doc_id")
     return rows.first().text
