@@ -33,6 +33,7 @@ from crawlloom.sources.hashes import parse_hashes, read_hashes, write_hashes
 from crawlloom.sources.warc import read_warc
 from crawlloom.sources.zips import zip_text
 from crawlloom.streaming.ingest import incremental_ingest
+from crawlloom.streaming.state import stateful_ingest
 
 _written: dict[tuple, str] = {}
 EOL = "\r\n"
@@ -269,6 +270,20 @@ def incremental_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("doc_id", "text_hash")
 
 
+def incremental_state(spark, sf):
+    """Documents through the ingest that keeps its keys as state."""
+    schema = table(spark, sf, "documents").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    base = scratch_path(spark, "ingest-state")
+
+    def prepare(rows):
+        tidy = rows.select("doc_id", clean_spaces(F.col("text")).alias("text"))
+        return tidy.select("doc_id", F.sha2("text", 256).alias("text_hash"))
+
+    stateful_ingest(stream, f"{base}/out", f"{base}/checkpoint", ["doc_id"], prepare=prepare).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("doc_id", "text_hash")
+
+
 _PAGES = f"""WITH r AS (SELECT page_id, html, trim({UTF8_HEADER}) AS header, {URI} AS uri, page_id % 17 <> 0 AS ok FROM pages),
   p AS (SELECT *, CASE WHEN ok THEN strlen(html) ELSE strlen(html) + strlen(header) + 26 END AS body_bytes,
     strlen(html) + strlen(header) + 20 + CASE WHEN ok THEN 15 ELSE 6 END AS content_length FROM r),
@@ -352,6 +367,10 @@ ENTRIES = {
         & 4294967295 AS text_hash FROM events WHERE event_id % 4 <> 1""",
     ),
     "zip_texts": (zip_texts, "SELECT doc_id, text FROM documents"),
+    "incremental_state": (
+        incremental_state,
+        f"""SELECT min(doc_id) AS doc_id, sha256({_spaces_sql("text")}) AS text_hash FROM documents GROUP BY text_hash""",
+    ),
     "incremental_stream": (
         incremental_stream,
         f"""SELECT min(doc_id) AS doc_id, sha256({_spaces_sql("text")}) AS text_hash FROM documents GROUP BY text_hash""",

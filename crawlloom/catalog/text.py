@@ -10,6 +10,7 @@ from crawlloom.functions import html as H
 from crawlloom.functions import text as X
 from crawlloom.functions.hashing import hash_key, murmur3_32
 from crawlloom.operators import dedup, order, project, routing, stats
+from crawlloom.operators.bloom import BLOCKS, bloom_of
 from crawlloom.operators.langid.dims import language_name
 from crawlloom.operators.langid.hints import host_tld, html_lang_tags
 from crawlloom.operators.langid.refine import valid_utf8_bytes
@@ -224,6 +225,16 @@ def drop_seen_hashes(spark, sf):
     return dedup.drop_seen(hashed(spark, sf), "text_hash", seen_hashes(spark, sf)).select("doc_id", "text")
 
 
+def drop_seen_filtered(spark, sf):
+    """The same through a Bloom filter over the hashes, and a far too small one."""
+    seen, out = seen_hashes(spark, sf), None
+    for blocks in (2, BLOCKS):
+        bloom = bloom_of(seen, "text_hash", blocks)
+        rows = dedup.drop_seen(hashed(spark, sf), "text_hash", seen, bloom, blocks).select(F.lit(blocks).alias("blocks"), "doc_id", "text_hash")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def dedup_unseen(spark, sf):
     out = dedup.dedup_unseen(hashed(spark, sf), "text_hash", ["doc_id"], seen_hashes(spark, sf))
     return out.select("doc_id", "text_hash")
@@ -465,6 +476,11 @@ ENTRIES = {
         drop_seen_hashes,
         f"SELECT doc_id, text FROM documents WHERE text NOT IN ({_SEEN})",
     ),
+    "drop_seen_filtered": (
+        drop_seen_filtered,
+        f"""SELECT blocks, doc_id, sha256(text) AS text_hash FROM documents, (VALUES (2), ({BLOCKS})) b(blocks)
+        WHERE text NOT IN ({_SEEN})""",
+    ),
     "dedup_unseen": (
         dedup_unseen,
         f"""SELECT min(doc_id) AS doc_id, sha256(text) AS text_hash FROM documents

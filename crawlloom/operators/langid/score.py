@@ -22,7 +22,9 @@ from crawlloom.operators.langid.model import LangModel
 from crawlloom.session import BROADCAST_ROWS, broadcast_if_small
 
 MIN_GRAMS, MAX_GRAMS = 3, 16
-SALTS = 32
+# Grams looked up apart from the shuffle, the share of all rows that makes one of them, and what
+# the sketch that finds them keeps.
+HOT_GRAMS, HOT_SHARE, TRACKED = 1000, 1e-4, 50_000
 
 
 def score_grams(
@@ -30,23 +32,35 @@ def score_grams(
 ) -> DataFrame:
     """Every gram with its languages and weights; unknown grams keep one row.
 
-    The model is broadcast when it is small enough. Otherwise it is shuffled by
-    gram, and because a few grams are very frequent, both sides are salted. Rows
-    without a gram get keys of their own, which match nothing and meet nowhere.
+    The model is broadcast when it is small enough. Otherwise the grams that are most
+    frequent in ``grams`` are looked up in a broadcast of their own few rows, together
+    with the rows that have no gram; only what is left is shuffled by gram.
     """
     small = broadcast_if_small(model, max_rows, rows)
     if small is not None:
         return grams.join(small, "gram", "left")
-    salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    place = F.xxhash64(*[c for c in grams.columns if c != "gram"])
-    side = grams.withColumns(
-        {
-            "_salt": F.pmod(place, F.lit(SALTS)).cast("int"),
-            "_key": F.coalesce("gram", F.concat(F.lit("-:"), place.cast("string"))),
-        }
-    )
-    salted = salted.withColumnRenamed("gram", "_key")
-    return side.join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
+    easy, rest, is_hot = split_by_frequency(grams)
+    looked = easy.join(F.broadcast(model.filter(is_hot)), "gram", "left")
+    return looked.unionByName(rest.join(model.filter(~is_hot), "gram", "left"))
+
+
+def frequent_grams(grams: DataFrame, share: float = HOT_SHARE) -> list[str]:
+    """The grams that hold at least ``share`` of all rows, by a sketch of heavy hitters.
+
+    The sketch keeps ``TRACKED`` grams a task and is merged like any aggregate; at most
+    ``HOT_GRAMS`` come back.
+    """
+    top = F.expr(f"approx_top_k(gram, {HOT_GRAMS}, {TRACKED})")
+    row = grams.filter(F.col("gram").isNotNull()).agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(r["item"] for r in row["top"] or [] if r["count"] >= share * row["n"])
+
+
+def split_by_frequency(grams: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """Rows with a frequent gram or none, the other rows, and the test for a frequent gram."""
+    hot = frequent_grams(grams)
+    is_hot = F.col("gram").isin(hot) if hot else F.lit(False)
+    easy = F.col("gram").isNull() | is_hot
+    return grams.filter(easy), grams.filter(F.col("gram").isNotNull() & ~is_hot), is_hot
 
 
 def chunk_scores(hits: DataFrame, keys: Sequence[str]) -> DataFrame:

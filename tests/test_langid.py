@@ -139,7 +139,7 @@ def test_percents_round_in_order(spark):
     assert (row.percent1, row.percent2, row.percent3) == (96, 2, 1)
 
 
-def test_broadcast_and_salted_lookup_agree(spark, model):
+def test_broadcast_and_shuffled_lookup_agree(spark, model):
     docs = spark.read.parquet(DOCS)
     grams = G.text_grams(docs, ["doc_id"])
     small = S.score_grams(grams, model.grams)
@@ -175,12 +175,28 @@ def test_a_word_seen_in_two_scripts_counts_once(spark, kinds):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_rows_without_a_gram_are_no_hot_key(spark, model):
-    grams = spark.range(2000).selectExpr("id AS doc_id", "0 AS chunk", "id AS pos", "CAST(NULL AS STRING) AS gram")
-    out = S.score_grams(grams, model.grams, max_rows=1)
-    assert out.count() == 2000 and out.columns[:1] == ["doc_id"]
-    plan = out._jdf.queryExecution().toString()
-    assert "coalesce(gram" in plan.replace("#", "").lower() or "_key" in plan
+def test_hot_grams_and_null_rows_stay_out_of_the_shuffle(spark, model):
+    """A third of the rows without a gram, a third with one gram, the rest spread over many."""
+    known = [r.gram for r in model.grams.filter("gram like 'w:%'").select("gram").distinct().orderBy("gram").limit(50).collect()]
+    many = "', '".join(known[1:])
+    grams = spark.range(60_000).selectExpr(
+        "id AS doc_id", "0 AS chunk", "id AS pos",
+        f"CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN '{known[0]}' ELSE CASE WHEN id % 7 = 0 THEN concat('w:', id) ELSE array('{many}')[int(id % 49)] END END AS gram",
+    )
+    few = grams.withColumn("gram", F.when(F.col("gram").isin(known[1:]), F.concat("gram", "doc_id")).otherwise(F.col("gram")))
+    for rows in (grams, few):
+        large = S.score_grams(rows, model.grams, max_rows=0)
+        small = S.score_grams(rows, model.grams)
+        assert large.exceptAll(small.select(large.columns)).count() == 0 and small.select(large.columns).exceptAll(large).count() == 0
+        easy, rest, _ = S.split_by_frequency(rows)
+        most = rest.groupBy("gram").count().agg(F.max("count"), F.count_if(F.col("gram").isNull())).first()
+        assert most[0] <= 8 and most[1] == 0 and easy.count() + rest.count() == 60_000
+    # below the exchange of the plan stands the filter that holds them back
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    joins = plan.split("SortMergeJoin")
+    assert len(joins) == 2 and joins[1].index("Exchange") < joins[1].index("NOT") and "isnotnull" in joins[1].lower()
+    none = spark.range(2000).selectExpr("id AS doc_id", "0 AS chunk", "id AS pos", "CAST(NULL AS STRING) AS gram")
+    assert S.score_grams(none, model.grams, max_rows=1).count() == 2000
 
 
 def test_detection_shuffles_text_once(spark, model):

@@ -1,9 +1,12 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from crawlloom.functions.hashing import hash_key
 from crawlloom.operators import dedup, order, project, stats
+from crawlloom.operators.bloom import bloom_of, maybe_seen, unite
 from crawlloom import session
 from crawlloom.session import broadcast_if_small
 
@@ -107,3 +110,55 @@ def test_only_small_input_is_spread(spark, monkeypatch):
     assert session.spread(pages).rdd.getNumPartitions() == 8
     monkeypatch.setattr(session, "SPREAD_BYTES", 10)
     assert session.spread(pages) is pages
+
+
+def test_bloom_filter(spark):
+    seen = spark.range(20_000).selectExpr("cast(sha2(cast(id as string), 256) as string) AS k").unionByName(spark.createDataFrame([(None,)], "k string"))
+    for blocks in (16, 1024):
+        bloom = bloom_of(seen, "k", blocks)
+        assert bloom.count() <= blocks
+        old = maybe_seen(seen, "k", bloom, blocks)
+        assert old.filter("not _maybe and k is not null").count() == 0 and old.filter("k is null and _maybe").count() == 0
+        fresh = spark.range(20_000, 60_000).selectExpr("sha2(cast(id as string), 256) AS k")
+        passed = maybe_seen(fresh, "k", bloom, blocks).filter("_maybe").count() / 40_000
+        # 20 keys a block hardly ever say maybe; a filter that is too small says so of everything
+        assert passed < 0.001 if blocks == 1024 else passed > 0.9
+    parts = [bloom_of(seen.filter(f"hash(k) % 2 = {i}" if i == 0 else "hash(k) % 2 <> 0"), "k", 64) for i in (0, 1)]
+    assert unite(parts[0].union(parts[1])).exceptAll(bloom_of(seen, "k", 64)).count() == 0
+    assert maybe_seen(seen, "k", bloom_of(seen.limit(0), "k")).filter("_maybe").count() == 0
+
+
+@pytest.mark.parametrize("blocks", [1, 4, 4096])
+def test_bloom_filter_changes_no_row(spark, blocks):
+    rows = [(i, f"k{i % 300}" if i % 11 else None) for i in range(1000)] + [(2000 + i, "k7") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k string")
+    seen = spark.createDataFrame([(f"k{i}",) for i in range(0, 300, 3)] + [("other",), (None,), ("k3",)], "k string")
+    bloom = bloom_of(seen, "k", blocks)
+    for plain, filtered in (
+        (dedup.drop_seen(df, "k", seen), dedup.drop_seen(df, "k", seen, bloom, blocks)),
+        (dedup.dedup_unseen(df, "k", ["id"], seen), dedup.dedup_unseen(df, "k", ["id"], seen, bloom, blocks)),
+        (dedup.new_hashes(df, "k", seen), dedup.new_hashes(df, "k", seen, bloom, blocks)),
+    ):
+        assert plain.columns == filtered.columns
+        assert sorted(map(str, plain.collect())) == sorted(map(str, filtered.collect()))
+
+
+def test_new_rows_are_not_shuffled(spark, folder):
+    """A run of new texts against many accepted keys: what the exact join still has to shuffle."""
+    spark.range(200_000).selectExpr("sha2(cast(id as string), 256) AS k").write.parquet(f"{folder}/seen")
+    spark.range(190_000, 240_000).selectExpr("id", "sha2(cast(id as string), 256) AS k").write.parquet(f"{folder}/new")
+    seen, df = spark.read.parquet(f"{folder}/seen"), spark.read.parquet(f"{folder}/new")
+    bloom_of(seen, "k", 1 << 14).write.parquet(f"{folder}/bloom")
+    bloom = spark.read.parquet(f"{folder}/bloom")
+    probed = maybe_seen(df, "k", bloom, 1 << 14)
+    assert 10_000 <= probed.filter("_maybe").count() < 10_100  # of 50,000 rows a fifth is shuffled, and few for nothing
+    out = dedup.drop_seen(df, "k", seen, bloom, 1 << 14)
+    assert out.count() == 40_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    fresh, checked = plan.split("SortMergeJoin")[0], plan.split("SortMergeJoin")[1] if "SortMergeJoin" in plan else ""
+    assert "Exchange hashpartitioning" not in fresh and "NOT coalesce" in fresh
+    keys = dedup.new_hashes(df, "k", seen, bloom, 1 << 14)
+    assert keys.count() == 40_000
+    # the accepted keys are scanned and meet a broadcast of the unsure ones
+    scan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in scan
