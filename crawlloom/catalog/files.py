@@ -22,13 +22,13 @@ from crawlloom.catalog.text import (
 )
 from crawlloom.functions.text import clean_spaces
 from crawlloom.plans.archives import archive_extract, archive_to_aligned
-from crawlloom.plans.corpus import build_corpus
-from crawlloom.plans.reports import crawl_metadata, mime_histogram
+from crawlloom.plans.corpus import build_corpus, write_texts
+from crawlloom.plans.reports import crawl_metadata, mime_histogram, write_crawl_metadata, write_mime_histogram
 from crawlloom.schema import TEXT_TYPES
 from crawlloom.session import scratch_path
-from crawlloom.sources.aligned import write_aligned_by_lang
+from crawlloom.sources.aligned import META_COLUMNS, read_aligned, write_aligned_by_lang
 from crawlloom.sources.archive import ArchiveDataSource, read_record_archive, write_record_archive
-from crawlloom.sources.files import ORDINAL_ROOM
+from crawlloom.sources.files import ORDINAL_ROOM, committed_files
 from crawlloom.sources.hashes import parse_hashes, read_hashes, write_hashes
 from crawlloom.sources.warc import read_warc
 from crawlloom.sources.zips import zip_text
@@ -196,7 +196,7 @@ def aligned_by_lang_lines(spark, sf):
     path = _once(spark, sf, "by_lang", lambda p: write_aligned_by_lang(text_records(spark, sf), p))
     parts = []
     for column in ("mime", "url", "plain_text"):
-        lines = spark.read.text(f"{path}/lang=*/{column}")
+        lines = spark.read.text([f for f in committed_files(path) if f.split("/")[-2] == column])
         folder = F.regexp_extract(F.input_file_name(), "lang=([^/]*)/", 1)
         parts.append(lines.select(folder.alias("lang"), F.lit(column).alias("part"), "value"))
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -216,6 +216,49 @@ def archive_conversion(spark, sf):
     return lines.select(F.col("value").alias("url"))
 
 
+def archive_conversion_per_file(spark, sf):
+    """The same with a folder for each input file; its records stay together and in step."""
+    archive = _once(spark, sf, "archive", lambda p: write_record_archive(text_records(spark, sf), p))
+    path = _once(spark, sf, "converted_each", lambda p: archive_to_aligned(spark, archive, p, per_file=True))
+    rows = read_aligned(spark, path)
+    files = F.count_distinct(F.regexp_extract("folder", "file=([^/]*)$", 1)) == read_record_archive(spark, archive).select("file").distinct().count()
+    return rows.groupBy("uri", "content_type", "lang", F.sha2("text", 256).alias("text_hash")).agg(F.count(F.lit(1)).alias("records")).crossJoin(
+        F.broadcast(rows.agg(files.alias("all_files")))
+    )
+
+
+def output_forms(spark, sf):
+    """The corpus in each of the five forms of the main job, written and read back."""
+    texts = _corpus(spark, sf).texts
+    paths = {
+        form: _once(spark, sf, f"form-{form}", lambda p, form=form: write_texts(texts, p, form))
+        for form in ("aligned", "aligned_by_lang", "archive", "archive_by_lang", "archive_by_lang_xz")
+    }
+    out = None
+    for form, path in paths.items():
+        rows = read_aligned(spark, path) if form.startswith("aligned") else read_record_archive(spark, path)
+        rows = rows.select(F.lit(form).alias("form"), "uri", "content_type", "lang", F.sha2("text", 256).alias("text_hash"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def metadata_file(spark, sf):
+    """The metadata report, written from the archives and read back."""
+    path = _once(
+        spark, sf, "metadata-tsv",
+        lambda p: write_crawl_metadata(spark, warc_archive(spark, sf), p, model(spark, sf)),
+    )
+    parts = F.split("value", "\t")
+    columns = [F.get(parts, F.lit(n)).alias(c) for n, c in enumerate(META_COLUMNS) if c != "filename"]
+    return spark.read.text(path).select(*columns, F.size(parts).alias("columns"))
+
+
+def mime_counts_file(spark, sf):
+    """The content-type counts, written from the archives and read back."""
+    path = _once(spark, sf, "mime-counts", lambda p: write_mime_histogram(spark, warc_archive(spark, sf), p))
+    return spark.read.text(path).select("value")
+
+
 def hash_files(spark, sf):
     keys = hashed(spark, sf, "murmur32").select("text_hash").distinct()
     path = _once(spark, sf, "hashes", lambda p: write_hashes(keys, p))
@@ -299,6 +342,13 @@ _PAGE_VERDICT = _TEXT_PAGES + ", " + _verdict_sql("SELECT page_id AS id, '' AS g
 _ACCEPTED = f"""{_PAGE_VERDICT}, ac AS (SELECT q.*, s3.lang, {_spaces_sql("raw")} AS tidy FROM q JOIN s3 ON s3.id = page_id
     WHERE reliable QUALIFY row_number() OVER (PARTITION BY {_spaces_sql("raw")} ORDER BY page_id) = 1)"""
 
+_METADATA = f"""{_PAGES}, q AS (SELECT *, CASE WHEN content_type = 'text/plain' THEN {_decode_sql("html")} ELSE {_strip_sql(True)} END AS raw
+          FROM k WHERE ok AND content_type IN ({_TYPES})),
+        {_verdict_sql("SELECT page_id AS id, '' AS gold, raw AS text FROM q")[5:]}
+        SELECT '<urn:uuid:' || k.page_id || '>' AS record_id, k.uri, '2020-01-01T00:00:00Z' AS date, k.content_length, k.content_type,
+          CASE WHEN q.page_id IS NULL THEN '' ELSE coalesce(s3.lang, 'un') END AS lang/* more */
+        FROM k LEFT JOIN q USING (page_id) LEFT JOIN s3 ON s3.id = k.page_id WHERE k.ok"""
+
 ENTRIES = {
     "warc_damaged": (
         warc_damaged,
@@ -320,15 +370,7 @@ ENTRIES = {
         warc_mime_histogram,
         _PAGES + "SELECT content_type, count(*) AS records FROM k WHERE ok GROUP BY 1",
     ),
-    "warc_metadata": (
-        warc_metadata,
-        f"""{_PAGES}, q AS (SELECT *, CASE WHEN content_type = 'text/plain' THEN {_decode_sql("html")} ELSE {_strip_sql(True)} END AS raw
-          FROM k WHERE ok AND content_type IN ({_TYPES})),
-        {_verdict_sql("SELECT page_id AS id, '' AS gold, raw AS text FROM q")[5:]}
-        SELECT '<urn:uuid:' || k.page_id || '>' AS record_id, k.uri, '2020-01-01T00:00:00Z' AS date, k.content_length, k.content_type,
-          CASE WHEN q.page_id IS NULL THEN '' ELSE coalesce(s3.lang, 'un') END AS lang
-        FROM k LEFT JOIN q USING (page_id) LEFT JOIN s3 ON s3.id = k.page_id WHERE k.ok""",
-    ),
+    "warc_metadata": (warc_metadata, _METADATA),
     "corpus": (
         corpus,
         f"""{_ACCEPTED} SELECT 'crawl.warc.gz' AS source, '2020-01-01T00:00:00Z' AS date, page_id::VARCHAR AS record_id, uri,
@@ -354,6 +396,22 @@ ENTRIES = {
         archive_conversion,
         "SELECT 'http://' || source || '/' || doc_id AS url FROM documents",
     ),
+    "archive_conversion_per_file": (
+        archive_conversion_per_file,
+        """SELECT 'http://' || source || '/' || doc_id AS uri, 'text/html' AS content_type, NULL::VARCHAR AS lang, sha256(text) AS text_hash,
+        1::BIGINT AS records, true AS all_files FROM documents""",
+    ),
+    "output_forms": (
+        output_forms,
+        f"""{_ACCEPTED} SELECT form, uri, CASE WHEN ok THEN content_type ELSE 'application/http; msgtype=response' END AS content_type, lang,
+          sha256(tidy) AS text_hash
+        FROM ac, (VALUES ('aligned'), ('aligned_by_lang'), ('archive'), ('archive_by_lang'), ('archive_by_lang_xz')) f(form)""",
+    ),
+    "metadata_file": (metadata_file, _METADATA.replace("/* more */", ", 7 AS columns").replace("k.content_length,", "k.content_length::VARCHAR AS content_length,")),
+    "mime_counts_file": (
+        mime_counts_file,
+        _PAGES + "SELECT count(*) || chr(9) || content_type AS value FROM k WHERE ok GROUP BY content_type",
+    ),
     "aligned_by_lang_lines": (
         aligned_by_lang_lines,
         """SELECT lang, 'mime' AS part, count(*) AS records, 1::BIGINT AS distinct_lines FROM documents GROUP BY lang

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import itertools
+import logging
 import lzma
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from crawlloom.sources.files import (
     DAMAGE,
     ORDINAL_ROOM,
     SPLIT_BYTES,
-    FileCommitter,
+    ManifestCommitter,
     Split,
     Written,
     codec_of,
@@ -31,6 +32,8 @@ from crawlloom.sources.files import (
     read_headers,
 )
 
+log = logging.getLogger(__name__)
+
 ARCHIVE_RECORD = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("ordinal", T.LongType()), *TEXT_RECORD]
 )
@@ -49,15 +52,20 @@ class ArchiveReader(DataSourceReader):
         return plan_splits(self.path, self.split_bytes)
 
     def _rows(self, split: Split) -> Iterator[dict]:
+        skipped = 0
         with open_split(self.path, split) as file:
             codec = self.codec or codec_of(split.path)
             for offset, stream in members(file, split, codec):
                 try:
                     found = read_headers(stream, skip_blank=True)
                     body = stream.read()
-                except DAMAGE:
+                except DAMAGE as e:
+                    log.warning("skipping a damaged member of %s at byte %d: %s", split.path, offset, e)
+                    skipped += 1
                     continue
                 if found is None:
+                    log.warning("skipping a member of %s at byte %d without headers", split.path, offset)
+                    skipped += 1
                     continue
                 headers = {k.lower(): v for k, v in reversed(found)}
                 if headers.get("content-length", "").isdigit():
@@ -68,6 +76,8 @@ class ArchiveReader(DataSourceReader):
                         row[column] = headers.get(name.lower(), "")
                 row["text"] = body.decode("utf-8", "replace")
                 yield row
+        if skipped:
+            log.warning("%d members of %s were skipped", skipped, split.path)
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -86,22 +96,23 @@ class ArchiveWriter(DataSourceArrowWriter):
 
     def __init__(self, options: dict[str, str]):
         self.codec = options.get("codec", "gz")
-        self.committer = FileCommitter(options["path"])
+        self.committer = ManifestCommitter(options["path"])
 
     def _compress(self, record: bytes) -> bytes:
         return lzma.compress(record) if self.codec == "xz" else gzip.compress(record)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        task, written, open_files = TaskContext.get().partitionId(), Written(), {}
-        for batch in iterator:
-            folders = batch.column("folder").to_pylist()
-            for folder, record in zip(folders, batch.column("record").to_pylist()):
-                if folder not in open_files:
-                    name = f"{folder}part-{task:05d}-{self.committer.job[:8]}.{self.codec}"
-                    open_files[folder] = self.committer.start(name, written)
-                open_files[folder].write(self._compress(record.encode("utf-8")))
-        for out in open_files.values():
-            out.close()
+        task, written, open_files = TaskContext.get(), Written(), {}
+        own = self.committer.name(task.partitionId(), task.taskAttemptId(), self.codec)
+        with self.committer.or_nothing(written):
+            for batch in iterator:
+                folders = batch.column("folder").to_pylist()
+                for folder, record in zip(folders, batch.column("record").to_pylist()):
+                    if folder not in open_files:
+                        open_files[folder] = self.committer.start(f"{folder}{own}", written)
+                    open_files[folder].write(self._compress(record.encode("utf-8")))
+            for out in open_files.values():
+                out.close()
         return written
 
     def commit(self, messages) -> None:

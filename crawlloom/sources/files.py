@@ -8,13 +8,15 @@ archive is read by many tasks.
 
 from __future__ import annotations
 
+import contextlib
+import fnmatch
 import io
 import lzma
 import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow.fs as pafs
@@ -47,27 +49,54 @@ def codec_of(path: str) -> str | None:
     return {".gz": "gz", ".xz": "xz"}.get(os.path.splitext(path)[1])
 
 
-def plan_splits(path: str, split_bytes: int = SPLIT_BYTES, divisible: bool = True) -> list[Split]:
-    """Byte ranges of a file, or of all files under a folder."""
-    fs, root = file_system(path)
+def _data_files(fs: pafs.FileSystem, root: str, path: str) -> list[pafs.FileInfo]:
+    """A file, or all files under a folder but hidden and uncommitted ones, by path."""
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(path)
-    found = [info]
-    if info.type == pafs.FileType.Directory:
-        found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
+    if info.type != pafs.FileType.Directory:
+        return [info]
+    found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
+    seen = [
+        f for f in found
+        if f.type == pafs.FileType.File and not any(p[:1] in "_." for p in f.path[len(root) :].split("/") if p)
+    ]
+    return committed(fs, root, sorted(seen, key=lambda f: f.path))
+
+
+def plan_splits(path: str | Sequence[str], split_bytes: int = SPLIT_BYTES, divisible: bool = True) -> list[Split]:
+    """Byte ranges of a file, or of all files under a folder; of several, one after the other.
+
+    Several paths are given one a line; ``*`` and ``?`` stand for names in the last part of a path.
+    """
     splits = []
-    for f in sorted(found, key=lambda f: f.path):
-        below = f.path[len(root) :]
-        if f.type != pafs.FileType.File or any(p[:1] in "_." for p in below.split("/") if p):
-            continue
+    for fs, f in (x for p in paths_of(path) for x in _matching(p)):
         step = split_bytes if divisible and codec_of(f.path) else max(f.size, 1)
         splits += [Split(f.path, at, min(at + step, f.size)) for at in range(0, f.size, step)]
     return splits
 
 
-def open_split(source: str, split: Split):
-    return file_system(source)[0].open_input_file(split.path)
+def paths_of(path: str | Sequence[str]) -> list[str]:
+    return [p for p in (path.split("\n") if isinstance(path, str) else path) if p]
+
+
+def _matching(path: str) -> Iterator[tuple[pafs.FileSystem, pafs.FileInfo]]:
+    """The data files of a path, or of every path its last part stands for."""
+    fs, root = file_system(path)
+    folder, name = os.path.split(root.rstrip("/"))
+    if not any(c in name for c in "*?"):
+        yield from ((fs, f) for f in _data_files(fs, root, path))
+        return
+    inside = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(folder)) if fnmatch.fnmatchcase(os.path.basename(f.path), name))
+    if not inside:
+        raise FileNotFoundError(path)
+    for one in inside:
+        yield from ((fs, f) for f in _data_files(fs, one, path))
+
+
+def open_split(source: str | Sequence[str], split: Split):
+    """The file of a split; all paths of a source lie in one file system."""
+    return file_system(paths_of(source)[0])[0].open_input_file(split.path)
 
 
 class _Input:
@@ -252,44 +281,87 @@ def read_headers(stream, skip_blank: bool = False) -> list[tuple[str, str]] | No
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Files one task has written: (temporary name, final name)."""
+    """Files one task has written, by their paths below the output folder."""
+
+    files: list[str] = field(default_factory=list)
 
-    files: list[tuple[str, str]] = field(default_factory=list)
 
+#: Folder of the manifests of an output, one for each committed job.
+MANIFESTS = "_manifests"
+# part-<task>-<job>-<attempt>.<codec>
+_PART = re.compile(r"part-\d{5,}-[0-9a-f]{8}-\d+\.\w+\Z")
 
-class FileCommitter:
-    """Two-step output: tasks write temporary files, the driver renames them.
 
-    A task that is repeated writes under another name, so lost executors and
-    speculative copies leave no trace in the result.
+class ManifestCommitter:
+    """Output by manifest: what a job has written counts from the moment its list of files is there.
+
+    Tasks write under final names that no other attempt has. The driver writes one list and
+    renames it, whatever the number of files. Files of killed, repeated or failed attempts are
+    in no list, and readers that follow the lists pass over them.
     """
 
     def __init__(self, path: str):
         self.path = path
         self.job = uuid.uuid4().hex
 
+    def name(self, task: int, attempt: int, codec: str) -> str:
+        return f"part-{task:05d}-{self.job[:8]}-{attempt}.{codec}"
+
     def start(self, relative: str, written: Written):
         fs, root = file_system(self.path)
-        temporary = f"{root}/_temporary-{self.job}/{uuid.uuid4().hex}/{relative}"
-        fs.create_dir(os.path.dirname(temporary), recursive=True)
-        written.files.append((temporary, f"{root}/{relative}"))
-        return fs.open_output_stream(temporary, compression=None)
+        fs.create_dir(os.path.dirname(f"{root}/{relative}"), recursive=True)
+        written.files.append(relative)
+        return fs.open_output_stream(f"{root}/{relative}", compression=None)
 
     def commit(self, messages) -> None:
         fs, root = file_system(self.path)
-        fs.create_dir(root, recursive=True)
-        made = set()
-        for message in messages:
-            for temporary, final in message.files if message else []:
-                folder = os.path.dirname(final)
-                if folder not in made:
-                    fs.create_dir(folder, recursive=True)
-                    made.add(folder)
-                fs.move(temporary, final)
-        self.abort(messages)
+        fs.create_dir(f"{root}/{MANIFESTS}", recursive=True)
+        new = f"{root}/{MANIFESTS}/_new-{self.job}"
+        with fs.open_output_stream(new, compression=None) as out:
+            for message in messages:
+                for relative in message.files if message else []:
+                    out.write(f"{relative}\n".encode())
+        fs.move(new, f"{root}/{MANIFESTS}/{self.job}.txt")
+
+    @contextlib.contextmanager
+    def or_nothing(self, written: Written) -> Iterator[None]:
+        """A task that fails removes its files; one that is killed leaves them unlisted."""
+        try:
+            yield
+        except BaseException:
+            self.abort([written])
+            raise
 
     def abort(self, messages) -> None:
+        """Remove what is known of a failed job."""
         fs, root = file_system(self.path)
-        leftover = f"{root}/_temporary-{self.job}"
-        if fs.get_file_info(leftover).type == pafs.FileType.Directory:
-            fs.delete_dir(leftover)
+        for message in messages:
+            for relative in message.files if message else []:
+                with contextlib.suppress(OSError):
+                    fs.delete_file(f"{root}/{relative}")
+
+
+def _listed(fs: pafs.FileSystem, folder: str) -> set[str] | None:
+    """Paths in the manifests of the nearest folder above that has some."""
+    while folder.strip("/"):
+        found = fs.get_file_info(pafs.FileSelector(f"{folder}/{MANIFESTS}", allow_not_found=True))
+        if found:
+            lists = [f.path for f in found if f.path.endswith(".txt")]
+            return {f"{folder}/{line}" for p in lists for line in fs.open_input_stream(p).read().decode().splitlines()}
+        folder = os.path.dirname(folder)
+    return None
+
+
+def committed(fs: pafs.FileSystem, root: str, files: list[pafs.FileInfo]) -> list[pafs.FileInfo]:
+    """The files without those that a sink of this library has written and not committed."""
+    parts = {f.path for f in files if _PART.match(os.path.basename(f.path))}
+    if not parts:
+        return files
+    listed = _listed(fs, root.rstrip("/")) or set()
+    return [f for f in files if f.path not in parts or f.path in listed]
+
+
+def committed_files(path: str) -> list[str]:
+    """Full paths of the committed files below ``path``, for readers that know nothing of manifests."""
+    fs, root = file_system(path)
+    return [f.path for f in _data_files(fs, root, path)]

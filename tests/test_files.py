@@ -21,8 +21,9 @@ from crawlloom.plans.corpus import build_corpus, preprocess
 from crawlloom.plans.reports import crawl_metadata, mime_histogram, write_crawl_metadata, write_mime_histogram
 from crawlloom.schema import TEXT_COLUMNS
 from crawlloom.sources import warc as W
-from crawlloom.sources.aligned import write_aligned, write_aligned_by_lang
+from crawlloom.sources.aligned import read_aligned, write_aligned, write_aligned_by_lang
 from crawlloom.sources.archive import read_record_archive, write_record_archive
+from crawlloom.sources.files import committed_files
 from crawlloom.sources.hashes import read_hashes, write_hashes
 
 from crawlloom.sources.warc import parse_http, read_warc, stream_warc
@@ -215,7 +216,7 @@ def test_archive_roundtrip(spark, folder, codec):
     back = read_record_archive(spark, f"{folder}/a").drop("file", "ordinal")
     assert back.count() == 43 and back.distinct().exceptAll(df).count() == 0
     write_record_archive(df, f"{folder}/l", codec, by_lang=True)
-    assert sorted(os.listdir(f"{folder}/l")) == ["lang=en", "lang=fr"]
+    assert visible(f"{folder}/l") == ["lang=en", "lang=fr"]
     only = read_record_archive(spark, f"{folder}/l/lang=fr")
     assert only.count() == 20 and only.filter("lang <> 'fr'").count() == 0
 
@@ -242,7 +243,7 @@ def test_foreign_archive(spark, folder):
     archive_head(spark, folder, f"{folder}/head", 1)
     assert read_record_archive(spark, f"{folder}/head").count() == 2
     archive_to_aligned(spark, f"{folder}/x.gz", f"{folder}/per")
-    assert os.listdir(f"{folder}/per") == ["file=x.gz"]
+    assert visible(f"{folder}/per") == ["file=x.gz"]
 
 
 def lines_of(path, opener):
@@ -261,7 +262,67 @@ def test_aligned_files(spark, folder):
     assert not os.path.exists(f"{folder}/l/lang=en/lang") and not glob.glob(f"{folder}/*/_temp*")
     with pytest.raises(PySparkException):
         write_aligned_by_lang(df.withColumn("lang", F.lit("")), f"{folder}/e")
-    assert not glob.glob(f"{folder}/e/*")
+    assert not os.path.exists(f"{folder}/e") or committed_files(f"{folder}/e") == []
+    # read back in step, whatever the form
+    for path, lang in ((f"{folder}/x", True), (f"{folder}/l", True)):
+        rows = read_aligned(spark, path)
+        want = {(r.uri, r.content_type, r.lang, r.text) for r in df.collect()}
+        assert {(r.uri, r.content_type, r.lang, r.text) for r in rows.collect()} == want and rows.count() == 40
+        assert rows.groupBy("folder", "part").agg((F.max("line") + 1 == F.count("*")).alias("ok")).filter("not ok").count() == 0
+    # files that are not in step are an error, not a shift
+    part = sorted(glob.glob(f"{folder}/x/url/part-*"))[0]
+    with lzma.open(part) as f:
+        less = f.read().split(b"\n", 1)[1]
+    with lzma.open(part, "wb") as f:
+        f.write(less)
+    with pytest.raises(PySparkException):
+        read_aligned(spark, f"{folder}/x").collect()
+
+
+def visible(path):
+    return sorted(n for n in os.listdir(path) if n[0] not in "_.")
+
+
+@pytest.mark.parametrize("write", [write_record_archive, lambda df, path: write_aligned(df, path, codec="gz")])
+def test_output_counts_once_it_is_committed(spark, folder, write):
+    """Failing and repeated tasks, a failed job, a job that was killed, a second job."""
+    df = texts(spark).repartition(3).cache()
+    df.count()
+    read = read_record_archive if write is write_record_archive else read_aligned
+
+    def rows(n=1):
+        found = [(r.uri, r.text) for r in read(spark, f"{folder}/o").collect()]
+        assert sorted(found) == sorted([(r.uri, r.text) for r in df.collect()] * n)
+
+    # one task fails at the end of its rows: what it has written does not count
+    bad = df.withColumn("uri", F.when((F.col("uri") == df.agg(F.max("uri")).first()[0]), F.raise_error(F.lit("lost"))).otherwise(F.col("uri")))
+    with pytest.raises(PySparkException):
+        write(bad, f"{folder}/o")
+    assert not os.path.exists(f"{folder}/o") or committed_files(f"{folder}/o") == []
+    write(df, f"{folder}/o")
+    rows()
+    assert len(os.listdir(f"{folder}/o/_manifests")) == len([f for f in os.listdir(f"{folder}/o/_manifests") if not f.startswith(".")])
+    # an attempt that was killed leaves files under names of its own, complete or cut off
+    for f in committed_files(f"{folder}/o"):
+        twin = f.replace("-", "-", 1)
+        stem, codec = twin.rsplit(".", 1)
+        with open(f"{stem}9.{codec}", "wb") as out, open(f, "rb") as src:
+            out.write(src.read()[:-7])
+    rows()
+    # a job that dies before its list is renamed
+    with open(f"{folder}/o/_manifests/_new-dead", "w") as f:
+        f.writelines(f"{os.path.relpath(x, f'{folder}/o')}\n" for x in glob.glob(f"{folder}/o/**/part-*9.*", recursive=True))
+    rows()
+    write(df, f"{folder}/o")
+    rows(2)
+
+
+def test_several_paths_and_patterns(spark, crawl):
+    whole = read_warc(spark, crawl).select("filename", "ordinal").collect()
+    for path in (f"{crawl}/a.warc.gz\n{crawl}/b.warc.gz", f"{crawl}/*.warc.gz", f"{crawl}/?.warc.gz", f"{crawl}/a*\n{crawl}/b.*"):
+        assert sorted(read_warc(spark, path).select("filename", "ordinal").collect()) == sorted(whole)
+    with pytest.raises(PySparkException):
+        read_warc(spark, f"{crawl}/c*").count()
 
 
 def test_hash_lists(spark, folder):
