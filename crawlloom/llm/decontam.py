@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlloom.llm import words as W
+from crawlloom.llm.shared import Scratch, bounded_blocks
 
 WINDOW = 10
 #: Text of one shard, the unit that gets a suffix array of its own.
 SHARD_BYTES = 4 << 20
 #: Benchmark text that is held by a task at a time; more items make more passes.
 BLOCK_BYTES = 32 << 20
+#: Pairs of a place in a document and one in an item that are followed at a time.
+PAIRS = 1 << 20
 
 
 class SuffixArray:
@@ -104,13 +107,18 @@ class TestItems:
         owner = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
         self.first = np.searchsorted(owner, np.arange(len(ids)))
         self.count = np.diff(np.append(self.first, len(self.words)))
-        self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        #: by width: the distinct windows, and where each stands: places sorted by window, first of each
+        self.by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for width in np.unique(np.minimum(self.count, window)):
             if width:
                 items = np.flatnonzero(np.minimum(self.count, window) == width)
                 n = self.count[items] - width + 1
                 at = np.repeat(self.first[items] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                self.by_width[int(width)] = (at, np.repeat(items, n))
+                rows = np.ascontiguousarray(self.words[at[:, None] + np.arange(width)])
+                _, one, which = np.unique(rows.view(f"V{8 * width}").ravel(), return_index=True, return_inverse=True)
+                order = np.argsort(which, kind="stable")
+                edges = np.searchsorted(which[order], np.arange(len(one) + 1))
+                self.by_width[int(width)] = (rows[one], at[order], np.repeat(items, n)[order], edges)
 
 
 HITS = "id string, row bigint, n_words bigint, spans array<struct<start:bigint,stop:bigint>>, items array<string>, longest bigint"
@@ -134,44 +142,65 @@ def _shard(ids: pa.Array, rows: pa.Array, data: np.ndarray, offsets: np.ndarray,
     seq = W.constants(41, 1).repeat(len(start) + len(counts))
     seq[np.arange(len(start)) + docs] = W.hash_words(data, start, end)
     begin = first[:-1] + np.arange(len(counts))
-    array, found = SuffixArray(seq), []
-    for width, (at, item) in test.by_width.items():
-        windows = test.words[at[:, None] + np.arange(width)]
+    array, spans, owners, longest = SuffixArray(seq), [], [], np.zeros(len(counts), dtype=np.int64)
+    for width, (windows, at, item, edges) in test.by_width.items():
         lo, hi = array.search(windows)
-        some = np.flatnonzero(hi > lo)
-        n = (hi - lo)[some]
-        place = array.sa[np.repeat(lo[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        found.append(np.stack([place, np.full(len(place), width), np.repeat(item[some], n), np.repeat(at[some], n)]))
-    hits = np.concatenate(found, axis=1) if found else np.zeros((4, 0), dtype=np.int64)
-    hits = hits[:, np.argsort(hits[0], kind="stable")]
-    owner = np.searchsorted(begin, hits[0], side="right") - 1
-    edges = np.searchsorted(owner, np.arange(len(counts) + 1))
+        n = hi - lo
+        # a place starts one window of a width at most, so there are no more places than words
+        place = array.sa[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        window = np.repeat(np.arange(len(windows)), n)
+        owner = np.searchsorted(begin, place, side="right") - 1
+        spans.append(np.stack([place, np.full(len(place), width), owner]))
+        held = np.unique(owner * len(windows) + window)
+        doc, w = held // len(windows), held % len(windows)
+        many = edges[w + 1] - edges[w]
+        which = item[np.repeat(edges[w] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        owners.append(np.unique(np.repeat(doc, many) * len(test.ids) + which))
+        _longest(seq, test, place, window, owner, at, item, edges, width, longest)
+    found = np.concatenate(spans, axis=1) if spans else np.zeros((3, 0), dtype=np.int64)
+    found = found[:, np.argsort(found[0], kind="stable")]
+    cuts = np.searchsorted(found[2], np.arange(len(counts) + 1))
+    pairs = np.unique(np.concatenate(owners)) if owners else np.zeros(0, dtype=np.int64)
+    starts = np.searchsorted(pairs // max(1, len(test.ids)), np.arange(len(counts) + 1))
     for d in range(len(counts)):
-        mine = hits[:, edges[d] : edges[d + 1]]
-        spans, items, longest = [], [], 0
-        if mine.shape[1]:
-            spans = _merged(mine[0] - begin[d], mine[0] - begin[d] + mine[1])
-            items = [str(test.ids[i]) for i in np.unique(mine[2])]
-            longest = _longest(seq, test, mine)
+        mine = found[:, cuts[d] : cuts[d + 1]]
+        names = [test.ids[i] for i in (pairs[starts[d] : starts[d + 1]] % max(1, len(test.ids))).tolist()]
         yield {
             "id": ids[d].as_py(), "row": rows[d].as_py(), "n_words": int(counts[d]),
-            "spans": spans, "items": items, "longest": longest,
+            "spans": _merged(mine[0] - begin[d], mine[0] - begin[d] + mine[1]) if mine.shape[1] else [],
+            "items": [str(i) for i in names if i is not None], "longest": int(longest[d]),
         }
 
 
-def _longest(seq: np.ndarray, test: TestItems, hits: np.ndarray) -> int:
-    """Longest verbatim match that starts at one of the hits, in words of one item."""
-    place, width, item, at = (x.copy() for x in hits)
-    stop, best = test.first[item] + test.count[item], int(width.max())
-    on = np.arange(len(place))
-    while len(on):
-        p, q = place[on] + width[on], at[on] + width[on]
-        on = on[(q < stop[on]) & (p < len(seq))]
-        p, q = place[on] + width[on], at[on] + width[on]
-        on = on[seq[p] == test.words[q]]
-        width[on] += 1
-        best = max(best, int(width.max()))
-    return best
+def _longest(seq, test, place, window, owner, at, item, edges, width: int, longest: np.ndarray) -> None:
+    """Raise ``longest`` to each document's longest verbatim match, in words of one item.
+
+    Of all pairs of a place and an item's window only those that begin a match are
+    followed; pairs are made a bounded number at a time.
+    """
+    many = edges[window + 1] - edges[window]
+    upto = np.cumsum(many)
+    a = 0
+    while a < len(place):
+        done = int(upto[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
+        n, first = many[a:b], edges[window[a:b]]
+        k = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        p, q, it = np.repeat(place[a:b], n), at[k], item[k]
+        # the word before differs, or there is none before in the item
+        begins = (q == test.first[it]) | (p == 0)
+        begins |= seq[np.maximum(p - 1, 0)] != test.words[np.maximum(q - 1, 0)]
+        p, q, it = p[begins], q[begins], it[begins]
+        doc, size = np.repeat(owner[a:b], n)[begins], np.full(int(begins.sum()), width)
+        stop, on = test.first[it] + test.count[it], np.arange(len(p))
+        while len(on):
+            x, y = p[on] + size[on], q[on] + size[on]
+            inside = (y < stop[on]) & (x < len(seq))
+            on, x, y = on[inside], x[inside], y[inside]
+            on = on[seq[x] == test.words[y]]
+            size[on] += 1
+        np.maximum.at(longest, doc, size)
+        a = b
 
 
 def _search(batches, test) -> Iterator[pa.RecordBatch]:
@@ -205,11 +234,12 @@ def contamination(
     test suffix of ``window`` words is binary-searched in it. ``spans`` are the word
     ranges inside any occurrence, ``n_hit`` their length, ``items`` the sorted ids of the
     items that occur, ``longest`` the longest verbatim match. ``row`` is a hash of id and
-    text. Benchmark items are read in blocks of ``BLOCK_BYTES`` by hash of their id, each
-    block is broadcast (its size is that bound) and searched in a pass of its own, and
+    text. Benchmark items are read in blocks of ``BLOCK_BYTES`` of text, or of one longer item;
+    a block is broadcast and searched in a pass of its own, one block is held at a time, and
     the passes' spans are united; so any number of items is searched in full.
 
-    An item of fewer words is one window; one without words, or null, occurs nowhere.
+    An item of fewer words is one window; one without words, or null, occurs nowhere. An item
+    without id counts for spans and ``n_hit`` and is in no list of items.
     Null and empty texts have no words and no hits. Matches do not cross documents. Rows
     repeated under one id, or without id, are searched one by one. Items that share an
     id count as one. Without items nothing is hit; an empty table gives an empty table.
@@ -219,19 +249,26 @@ def contamination(
         F.col(id_col).cast("string").alias("id"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"),
     )
+    if window > SuffixArray.REACH:
+        raise ValueError(f"suffixes are sorted by {SuffixArray.REACH} words, a window of {window} is longer")
+    scratch = Scratch(spark, "decontam")
     items = benchmark.select(F.col(item_id_col).cast("string").alias("i"), F.col(item_text_col).alias("t"))
-    items = items.filter("i is not null and t is not null")
-    load = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks, passes = max(1, math.ceil(load / BLOCK_BYTES)), []
-    for block in range(blocks):
-        mine = items.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block).collect()
+    items = items.filter("t is not null").withColumns({"_row": F.monotonically_increasing_id(), "_size": F.octet_length("t")})
+    dealt, blocks = bounded_blocks(scratch.put("items", items), "_size", BLOCK_BYTES)
+    passes = []
+    for k, (bucket, piece) in enumerate(blocks or [(0, 0)]):
+        mine = dealt.filter((F.col("_bucket") == bucket) & (F.col("_piece") == piece)).select("i", "t").collect()
         test = spark.sparkContext.broadcast(TestItems([r["i"] for r in mine], [r["t"] for r in mine], window))
-        passes.append(rows.mapInArrow(lambda it, test=test: _search(it, test), HITS))
+        one = rows.mapInArrow(lambda it, test=test: _search(it, test), HITS)
+        if len(blocks) > 1:  # written at once, so that one block is held at a time
+            one = scratch.put(f"pass{k}", one)
+            test.destroy()
+        passes.append(one)
     found = passes[0]
-    if blocks > 1:
-        for one in passes[1:]:
-            found = found.union(one)
-        found = _united(found, blocks)
+    for one in passes[1:]:
+        found = found.union(one)
+    if len(passes) > 1:
+        found = _united(found, len(passes))
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["stop"] - x["start"])
     return found.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "row", "n_words",

@@ -43,15 +43,19 @@ def family_of(lang: str) -> str:
     return next((f for f, langs in FAMILIES.items() if lang in langs), lang)
 
 
-def _features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed three-byte sequences at each place, and whether to count them.
 
     A-Z are a-z and other ASCII characters are one blank; runs of blanks do not count.
+    Before and behind every text stands a blank, whatever its neighbours are.
     """
-    b = np.concatenate([[32], _FOLD[data], [32, 32]]).astype(np.uint32)
-    h = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
-    h = (h * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-    return h[: len(data)], (b[1:-1] != 32)[: len(data)]
+    b = _FOLD[data].astype(np.uint32)
+    before, after = np.full(len(b), 32, dtype=np.uint32), np.full(len(b), 32, dtype=np.uint32)
+    before[1:], after[:-1] = b[:-1], b[1:]
+    before[offsets[:-1][offsets[:-1] < len(b)]] = 32
+    after[offsets[1:][offsets[1:] > 0] - 1] = 32
+    h = (before << np.uint32(16)) | (b << np.uint32(8)) | after
+    return (h * np.uint32(2654435761)) >> np.uint32(32 - BITS), b != 32
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
@@ -107,7 +111,7 @@ def _counts(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for _, _, data, offsets in W.slices(batch.column(1)):
-            h, counted = _features(data)
+            h, counted = _features(data, offsets)
             for s, e in zip(offsets[:-1], offsets[1:], strict=True):
                 n = np.bincount(h[s:e][counted[s:e]], minlength=1 << BITS)
                 at = np.flatnonzero(n)
@@ -122,10 +126,11 @@ def train(
     lang_col: str = "lang",
     per_lang: int = SAMPLE_PER_LANG,
 ) -> Model:
-    """Fit on about ``per_lang`` texts a language, drawn by a hash of the id.
+    """Fit on about ``per_lang`` texts a language, drawn by a hash of id and text.
 
-    The sample is the only thing that reaches the driver: at most that many texts of
-    ``SAMPLE_BYTES`` bytes a language, as counts of hashed features. Rows without text or
+    The sample is the only thing that reaches the driver: about that many texts of
+    ``SAMPLE_BYTES`` bytes a language, never more than twice as many in all, as counts of
+    hashed features. Rows without text or
     language teach nothing; a model that has learned no language finds every text ``und``.
     """
     short = F.octet_length(text_col).between(1, SAMPLE_BYTES)
@@ -133,10 +138,12 @@ def train(
     sizes = {r[lang_col]: r["n"] for r in rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return Model([], [], np.zeros((0, 1 << BITS), dtype=np.float32), np.zeros(0), [], {})
-    draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) / float(1 << 40)
+    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_lang / n))])
     sample = rows.filter(draw <= share[F.col(lang_col)]).select(lang_col, text_col)
-    got = sample.mapInArrow(_counts, "lang string, counts binary").collect()
+    counts = sample.mapInArrow(_counts, "lang string, counts binary")
+    # rows that are the same in id and text are drawn together; the limit holds for them too
+    got = sorted(counts.limit(2 * per_lang * len(sizes)).collect())
     x = np.zeros((len(got), 1 << BITS), dtype=np.float32)
     y = np.array([r["lang"] for r in got])
     for i, r in enumerate(got):
@@ -173,7 +180,7 @@ def _predict(batches, shared) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, scores = [], []
         for a, b, data, offsets in W.slices(batch.column(1)):
-            h, counted = _features(data)
+            h, counted = _features(data, offsets)
             total = np.concatenate([[0], np.cumsum(counted)])
             n = np.maximum(1, np.diff(total[offsets]))
             h = h[counted]

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlloom.llm.shared import BLANKS, Scratch, ascii_lower, cut
-from crawlloom.session import shuffle_partitions
+from crawlloom.llm.shared import ascii_lower, BLANKS, cut, delete_folder, Scratch
+from crawlloom.session import scratch_path, shuffle_partitions
 
 MIN_DOCS, MIN_CHARS, BATCHES, FANOUT = 10, 1, 4, 2
 
@@ -41,6 +41,8 @@ class LineRuns:
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.buckets = shuffle_partitions(spark)
+        # below the folder all executors share, wherever the warehouse is
+        self.root = scratch_path(spark, "line-runs")
         self.levels: list[list[str]] = [[]]
         self.settled: list[str] = []
 
@@ -48,7 +50,8 @@ class LineRuns:
         name = f"line_run_{uuid.uuid4().hex}"
         (
             df.repartition(self.buckets, "key").sortWithinPartitions("key")
-            .write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
+            .write.format("parquet").bucketBy(self.buckets, "key").sortBy("key")
+            .option("path", f"{self.root}/{name}").saveAsTable(name)
         )
         return name
 
@@ -96,7 +99,8 @@ class LineRuns:
 
     def _discard(self, names: list[str]) -> None:
         for name in names:
-            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_folder(self.spark, f"{self.root}/{name}")
 
     def discard(self) -> None:
         self._discard([n for level in self.levels for n in level] + self.settled)
@@ -142,10 +146,12 @@ def drop_common_lines(
     )
     counts = cut(counts)
     runs = LineRuns(spark, min_docs, fanout)
-    for batch in range(batches):
-        runs.add(counts.filter(F.col("batch") == batch))
-    frequent = cut(runs.frequent())
-    runs.discard()
+    try:
+        for batch in range(batches):
+            runs.add(counts.filter(F.col("batch") == batch))
+        frequent = cut(runs.frequent())
+    finally:
+        runs.discard()
 
     at = hashed.select("_id", "_row", F.posexplode("keys").alias("pos", "key"))
     hit = (

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from crawlloom.llm.shared import Scratch, cut
+from crawlloom.session import broadcast_if_small
 
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, 20
 #: Rows one task rounds at a time, and blocks whose residuals meet in one node.
 BLOCK_ROWS, FAN_IN = 50_000, 64
+#: Rows of one id beyond which they are dealt to blocks one by one.
+MANY_ROWS = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -123,7 +126,7 @@ def _tree(rows: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
     """Round every row; what stays open in a node meets its neighbours a level higher."""
     total = rows.count()
     nodes, level, decided = max(1, math.ceil(total / BLOCK_ROWS)), 0, []
-    work = rows.withColumn("_node", F.pmod("_key", F.lit(nodes)))
+    work = rows.withColumn("_node", F.pmod("_deal", F.lit(nodes))).drop("_deal")
     open_rows = total
     while True:
         slots = max(1, math.ceil(open_rows / BLOCK_ROWS))
@@ -170,14 +173,15 @@ def mix_plan(
 
     Null texts and texts without words have size 0 and are taken floor(r) times. A null
     source is a source of its own, the last one. Rows repeated under one id, or without
-    id, are decided one by one. An empty table gives an empty table.
+    id, are decided one by one; where more than ``MANY_ROWS`` share an id, or
+    have none, they are dealt to blocks by row, so no block is too large for one task. An empty table gives an empty table.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     rows = scratch.put(
         "sizes",
         docs.select(
             F.col(id_col).cast("string").alias("_id"), F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
+            word_count(F.col(text_col)).alias("size"), F.monotonically_increasing_id().alias("_row"),
         ),
     )
     targets = source_targets(rows, weights, share, most).withColumnRenamed("source", "_source")
@@ -191,6 +195,13 @@ def mix_plan(
         .withColumn("_src", F.xxhash64(F.col("source")))
         .drop("_ratio")
     )
+    # rows of an id that very many rows share, or of none, are dealt out by the row as it was written
+    often = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MANY_ROWS)
+    often = often.select(F.col("_id").alias("_often"), F.lit(True).alias("_hot"))
+    few = broadcast_if_small(often)
+    rows = rows.join(often if few is None else few, F.col("_id").eqNullSafe(F.col("_often")), "left")
+    deal = F.when(F.col("_hot"), F.xxhash64("_key", "_row")).otherwise(F.col("_key"))
+    rows = rows.withColumn("_deal", deal).drop("_often", "_hot", "_row")
     copies = (F.col("_whole") + F.col("_p").cast("long")).alias("copies")
     return _tree(rows, seed, scratch).select(
         F.col("_id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("source").alias(source_col), "size", "source_size",

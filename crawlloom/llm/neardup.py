@@ -15,11 +15,11 @@ from crawlloom.llm import words as W
 from crawlloom.llm.components import components
 from crawlloom.llm.shared import Scratch, cut
 
-WORDS, SIMILARITY, BANDS, ROWS, SEED = 5, 0.8, 28, 5, 2
+WORDS, SIMILARITY, ROWS, SEED = 5, 0.8, 8, 2
+#: Chance that a pair at the threshold shares no band; the number of bands follows from it.
+MISS = 1e-6
 #: Shingles one block of a candidate group may have, and those one compare task gets.
 BLOCK_SHINGLES, SLOT_SHINGLES = 500_000, 250_000
-#: Standard errors below the threshold at which an estimate rules a pair out.
-MARGIN, ESTIMATE_HASHES = 5.0, 128
 
 
 def _shingles(w: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,45 +119,45 @@ def _sets(batches, n: int):
             )
 
 
-def _find(parent: list[int], i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
+def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
+    """Bands of ``rows`` hashes that a pair of this similarity misses with chance ``miss`` at most."""
+    return max(1, math.ceil(math.log(miss) / math.log1p(-min(similarity, 1 - 1e-9) ** rows)))
 
 
-def _linked(a: np.ndarray, b: np.ndarray, least: int) -> bool:
-    """100 * intersection >= least * union, on full sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = int(np.count_nonzero(b[at] == a))
-    return 100 * both >= least * (len(a) + len(b) - both)
+def _compare(pdf: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Verified links inside each unit that join what it had not joined yet.
 
-
-def _compare(pdf: pd.DataFrame, least: int, seed: int) -> pd.DataFrame:
-    """Verified links inside each unit that join what it had not joined yet."""
+    Shared shingles are counted on the full sets: those of one set are marked, and the marks
+    summed over the sets of a size that can be linked, which lie side by side.
+    """
     edges = []
-    slack = MARGIN * math.sqrt(max(1, least * (100 - least)) / 1e4 / ESTIMATE_HASHES)
     for _, unit in pdf.groupby("unit", sort=False):
         unit = unit.drop_duplicates(["id", "digest"]).sort_values(["n", "id"], ignore_index=True)
-        sets = [np.frombuffer(m, dtype=np.uint64) for m in unit["members"]]
         n, side, ids = unit["n"].to_numpy(), unit["side"].to_numpy(), unit["id"].to_numpy()
-        sig = minima(np.concatenate(sets), n, ESTIMATE_HASHES, seed).astype(np.uint32)
-        parent = list(range(len(n)))
+        every = np.concatenate([np.frombuffer(m, dtype=np.uint64) for m in unit["members"]])
+        shingle = np.unique(every, return_inverse=True)[1]
+        ends = np.cumsum(n)
+        marked = np.zeros(int(shingle.max(initial=-1)) + 1, dtype=np.int32)
+        root = np.arange(len(n))
         for i in range(len(n) - 1):
             # sorted by size: later sets are larger, so the ratio of sizes bounds the similarity
             end = int(np.searchsorted(n, n[i] * 100 / least, side="right"))
-            if end <= i + 1:
-                continue
-            est = (sig[i + 1 : end] == sig[i]).mean(axis=1)
-            ok = est >= least / 100 - slack
+            open_ = root[i + 1 : end] != root[i]
             if side[i] >= 0:
-                ok &= side[i + 1 : end] != side[i]
-            for j in (np.flatnonzero(ok)[np.argsort(-est[ok], kind="stable")] + i + 1).tolist():
-                a, b = _find(parent, i), _find(parent, j)
-                if a != b and _linked(sets[i], sets[j], least):
-                    parent[max(a, b)] = min(a, b)
+                open_ &= side[i + 1 : end] != side[i]
+            if not open_.any():
+                continue
+            mine = shingle[ends[i] - n[i] : ends[i]]
+            marked[mine] = 1
+            first, last = i + 1 + int(np.argmax(open_)), end - int(np.argmax(open_[::-1]))
+            start = ends[first] - n[first]
+            both = np.add.reduceat(marked[shingle[start : ends[last - 1]]], ends[first:last] - n[first:last] - start)
+            marked[mine] = 0
+            linked = 100 * both >= least * (n[i] + n[first:last] - both)
+            for j in (np.flatnonzero(linked & open_[first - i - 1 : last - i - 1]) + first).tolist():
+                if root[i] != root[j]:
+                    low, high = min(root[i], root[j]), max(root[i], root[j])
+                    root[root == high] = low
                     edges.append((ids[i], ids[j]))
     return pd.DataFrame(edges, columns=["a", "b"], dtype=object)
 
@@ -210,7 +210,7 @@ def near_duplicates(
     text_col: str = "text",
     similarity: float = SIMILARITY,
     words: int = WORDS,
-    bands: int = BANDS,
+    bands: int | None = None,
     rows: int = ROWS,
     seed: int = SEED,
 ) -> DataFrame:
@@ -218,8 +218,9 @@ def near_duplicates(
 
     Two documents are linked when their sets of ``words``-word shingles have a Jaccard
     similarity of ``similarity`` (in whole percents) or more, checked on the full sets;
-    components follow links. With the defaults a pair at 0.85 shares no band with
-    probability 7e-8, one at 0.8 with 2e-5. Equal sets are one class from the start, so
+    components follow links. ``bands`` of ``rows`` minimum hashes are so many that a pair at the
+    threshold shares none with probability ``MISS`` (44 at 0.85, 76 at 0.8); pairs at a third
+    share one with less than 0.012. Equal sets are one class from the start, so
     exact copies are never compared. Classes that share a band form candidate groups;
     inside a group classes are compared in blocks and only the links that join something
     new are returned, so neither bands nor groups of copies turn into rows of pairs.
@@ -232,7 +233,7 @@ def near_duplicates(
     """
     scratch = Scratch(docs.sparkSession, "neardup")
     kind = docs.schema[id_col].dataType
-    least = round(similarity * 100)
+    least, bands = round(similarity * 100), bands or bands_for(similarity, rows)
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     profile = scratch.put(
         "profile", texts.mapInArrow(lambda it: _profile(it, words, bands, rows, seed), PROFILE)
@@ -262,7 +263,7 @@ def near_duplicates(
     sets = texts.join(wanted, "id", "left_semi").mapInArrow(lambda it: _sets(it, words), SETS)
     placed = sets.select("id", "digest", "members").join(units, ["id", "digest"])
     placed = placed.withColumn("slot", F.pmod(F.xxhash64("unit"), F.lit(slots)))
-    links = placed.groupBy("slot").applyInPandas(lambda pdf: _compare(pdf, least, seed), "a string, b string")
+    links = placed.groupBy("slot").applyInPandas(lambda pdf: _compare(pdf, least), "a string, b string")
     links = scratch.put("links", links.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")))
     scratch.drop("units")
 

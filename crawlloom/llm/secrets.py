@@ -83,8 +83,12 @@ class Ledger:
         rows = versions.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), blob_id(F.col(text_col)).alias("blob"))
         todo = rows.groupBy("blob").agg(F.min("id").alias("first"))
         todo = todo.join(self.rows(version).select("blob"), "blob", "left_anti")
-        once = rows.join(todo.withColumnRenamed("blob", "b"), (rows["blob"] == F.col("b")) & rows["id"].eqNullSafe(F.col("first")))
-        found = once.select("blob", "text").mapInArrow(lambda it: _scan(it, version), FOUND)
+        todo = todo.withColumnRenamed("blob", "b")
+        named = rows.join(todo, (rows["blob"] == F.col("b")) & (rows["id"] == F.col("first"))).select("blob", "text")
+        # of copies that have no id at all one is kept before the shuffle
+        nameless = rows.filter("id is null").join(todo.filter("first is null"), rows["blob"] == F.col("b"), "left_semi")
+        once = named.union(nameless.select("blob", "text").dropDuplicates(["blob"]))
+        found = once.mapInArrow(lambda it: _scan(it, version), FOUND)
         # rows repeated under one id are scanned as often and written once
         found.dropDuplicates(["blob"]).write.mode("append").parquet(self.path)
 

@@ -30,7 +30,7 @@ REG, STEPS, INSULT_SHARE = 1e-6, 800, 0.6
 SURE_ODDS, ODD_WEIGHT = 300, 10.0
 #: The working set: clean words and odd copies of an insult it starts with, and how many of the
 #: worst join in each round, out of all words of the sample and all odd copies.
-FIRST_CLEAN, WORST, FIRST_ODD, WORST_ODD = 1500, 1500, 40, 30
+FIRST_CLEAN, WORST, FIRST_ODD, WORST_ODD = 6000, 1500, 40, 30
 DECAY, SPAN = 0.7, 5
 #: Padding between words: with end and start it keeps a span out of the next word's letters.
 PAD = 1

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crawlloom.llm import decontam, embeddings
@@ -207,3 +209,51 @@ def test_codes_are_balanced():
         assert np.allclose(r.T @ r, np.eye(24), atol=1e-8)
         ones = ((x - mean) @ r >= 0).mean(axis=0)
         assert (abs(ones - 0.5) < 0.1).all()
+
+
+def test_items_without_id_count_as_hits(make, spark):
+    words = [f"w{i}" for i in range(30)]
+    docs = make([(1, " ".join(words)), (2, "other " * 20), (None, " ".join(words[5:25]))])
+    items = spark.createDataFrame([(None, " ".join(words[3:18])), (4, " ".join(words[8:20])), (None, None)], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["longest"]) for r in decontam.contamination(docs, items).collect()}
+    assert got == {1: (17, ["4"], 15), 2: (0, [], 0), None: (15, ["4"], 13)}
+    kept = decontam.decontaminate(docs, items).collect()
+    assert [r["doc_id"] for r in kept] == [2]
+    with pytest.raises(ValueError):
+        decontam.contamination(docs, items, window=28)
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 50])
+def test_repeated_words_cost_no_pairs(spark, make, monkeypatch, pairs):
+    """One word many times against items of the same word: matches are followed from their beginnings."""
+    monkeypatch.setattr(decontam, "PAIRS", pairs)
+    rows = [(1, "a " * 300), (2, "a b " * 200 + "a " * 12), (3, "b " * 25 + "a")]
+    asked = [(1, "a " * 30), (2, "b a " * 20), (3, "a " * 11 + "b"), (4, "a " * 11 + "c"), (1, "a " * 30)]
+    items = spark.createDataFrame(asked, "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["longest"]) for r in decontam.contamination(make(rows), items).collect()}
+
+    def longest(text):
+        d, best = text.split(), 0
+        for _, t in asked:
+            w = t.split()
+            for i in range(len(d)):
+                for j in range(len(w)):
+                    n = 0
+                    while i + n < len(d) and j + n < len(w) and d[i + n] == w[j + n]:
+                        n += 1
+                    best = max(best, n)
+        return best if best >= 10 else 0
+
+    for (i, text), (_, hit, found) in zip(rows, brute(rows, asked), strict=True):
+        assert got[i] == (hit, found, longest(text))
+
+
+def test_memory_of_repeated_words():
+    """20,000 times one word against an item of 300 of it."""
+    test = decontam.TestItems([1], ["a " * 300], 10)
+    data = np.frombuffer(b"a " * 20_000, dtype=np.uint8)
+    tracemalloc.start()
+    (row,) = decontam._shard(pa.array(["1"]), pa.array([0]), data, np.array([0, len(data)]), test)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row["spans"] == [{"start": 0, "stop": 20_000}] and row["longest"] == 300 and peak < 100 << 20

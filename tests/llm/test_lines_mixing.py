@@ -1,7 +1,9 @@
+import os
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from crawlloom.llm import linededup, mixing
 
@@ -100,6 +102,40 @@ def test_mixing(make, monkeypatch):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_rows_of_one_id_or_none_are_dealt_to_many_blocks(make, monkeypatch):
+    """A third of the rows without id, a third under one id: no task gets them all."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(mixing, "MANY_ROWS", 100)
+    rows = [(None, "a b", "x")] * 400 + [(7, "c d e", "x")] * 400 + [(100 + i, "w " * (i % 9), "y") for i in range(400)]
+    tree = mixing._tree
+
+    def dealt(df, *rest):
+        most = df.groupBy(F.pmod("_deal", F.lit(1200 // 50))).count().agg(F.max("count")).first()[0]
+        assert most < 150
+        return tree(df, *rest)
+
+    monkeypatch.setattr(mixing, "_tree", dealt)
+    out = mixing.mix_plan(make(rows)).collect()
+    assert len(out) == 1200
+    sizes, want, taken = Counter(), None, Counter()
+    for r in out:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+    want = targets(dict(sizes))
+    assert all(abs(taken[s] - want[s]) <= 9 for s in sizes)
+
+
+def test_runs_lie_in_the_shared_folder(spark, make):
+    runs = linededup.LineRuns(spark, min_docs=5, fanout=2)
+    runs.add(spark.createDataFrame([(1, 3), (2, 1)], "key bigint, docs bigint"))
+    (name,) = runs.levels[0]
+    at = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+    folder = at.removeprefix("file:")
+    assert runs.root.removeprefix("file:") in folder and os.listdir(folder)
+    runs.discard()
+    assert not os.path.exists(folder) and not spark.catalog.tableExists(name)
+
+
 def test_each_copy_is_as_likely_as_its_share():
     # 400 seeds of one small tree: the mean of every draw is its probability
     p, size = [0.3, 0.7, 0.5, 0.25, 0.9, 0.6], [1.0, 5.0, 2.0, 9.0, 3.0, 4.0]

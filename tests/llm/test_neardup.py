@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from crawlloom.llm import neardup
@@ -86,3 +87,29 @@ def test_components(spark):
     want = {i: 10 for i in range(10, 41)} | {i: 100 for i in range(100, 150)} | {5: 5, 7: 5}
     assert got == want
     assert components(spark.createDataFrame([], "a int, b int")).collect() == []
+
+
+def test_few_pairs_share_a_band():
+    """Pages of one template: sets that share some of their shingles, none of them a link."""
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(shared, 50, replace=False), rng.integers(0, 2**63, 100, dtype=np.uint64)])) for _ in range(1500)]
+    sizes = np.array([len(x) for x in sets])
+
+    def pairs(bands, rows):
+        least = neardup.minima(np.concatenate(sets), sizes, bands * rows, 1).reshape(len(sets), bands, rows)
+        out = set()
+        for b in range(bands):
+            _, key = np.unique(least[:, b], axis=0, return_inverse=True)
+            for k in np.flatnonzero(np.bincount(key) > 1):
+                at = np.flatnonzero(key == k)
+                out |= {(int(x), int(y)) for i, x in enumerate(at) for y in at[i + 1 :]}
+        return len(out)
+
+    assert pairs(neardup.bands_for(0.85), 8) * 10 <= pairs(28, 5)
+
+
+def test_number_of_bands():
+    for similarity in (0.5, 0.8, 0.85, 1.0):
+        n = neardup.bands_for(similarity)
+        assert (1 - similarity**8) ** n <= 1e-6 and (n == 1 or (1 - similarity**8) ** (n - 1) > 1e-6)
