@@ -63,10 +63,10 @@ def quad_grams(spark, sf):
 
 
 def cjk_grams(spark, sf):
-    """Letters of the documents moved to Han characters, one to one."""
-    moved = F.translate(F.lower("text"), "abcdefghijklmnopqrstuvwxyz", "".join(chr(0x4E00 + i) for i in range(26)))
-    han = spread(docs(spark, sf)).select("doc_id", F.regexp_replace(moved, "[^\\x{4e00}-\\x{4e19}]", "").alias("text"))
-    grams = G.text_grams(han, KEYS, kinds=("word", "pair"))
+    """All characters of the documents moved to Han characters, one to one."""
+    code = "lpad(hex(19968 + ascii(c) % 20000), 4, '0')"
+    han = F.expr(f"array_join(transform(split(text, ''), c -> decode(unhex({code}), 'UTF-16BE')), '')")
+    grams = G.text_grams(spread(docs(spark, sf)).select("doc_id", han.alias("text")), KEYS, kinds=("word",))
     return (
         grams.filter(~F.col("gram").startswith("d:"))
         .groupBy(F.left("gram", F.lit(2)).alias("kind"), "chunk")
@@ -269,12 +269,21 @@ def _units_sql(name: str, base: str) -> str:
     {name} AS (SELECT id, gold, pos, unit, {_CHUNK} AS chunk FROM {name}_p)"""
 
 
+def _walk_sql(name: str, words: str) -> str:
+    """CTE ``{name}(unit, gram)``: a step takes up to four letters, then goes two on and over a vowel."""
+    return f"""{name}_s AS (
+      SELECT DISTINCT unit, 0 AS o FROM {words} WHERE unit <> ''
+      UNION ALL SELECT unit, o + 2 + CASE WHEN substr(unit, o + 3, 1) IN ('a', 'e', 'i', 'o', 'u') THEN 1 ELSE 0 END
+      FROM {name}_s WHERE length(unit) - o > 4),
+    {name} AS (SELECT unit, CASE WHEN o = 0 THEN '_' ELSE '' END || substr(unit, o + 1, 4)
+      || CASE WHEN length(unit) - o <= 4 THEN '_' ELSE '' END AS gram FROM {name}_s)"""
+
+
 def _grams_sql(name: str, units: str, quads: bool) -> str:
     out = f"""{name} AS (SELECT id, gold, chunk, pos, 'w:' || left(unit, 8) AS gram, strlen(unit) + 1 AS unit_bytes FROM {units}"""
     if quads:
-        out += f""" UNION ALL SELECT id, gold, chunk, pos, substr('_' || unit || '_', o + 1, 4), 0
-        FROM (SELECT *, unnest(range(0, length(unit) + 1, 2)) AS o FROM {units})"""
-    return out + ")"
+        out += f" UNION ALL SELECT id, gold, chunk, pos, k.gram, 0 FROM {units} JOIN {name}_k k USING (unit)"
+    return (f"{_walk_sql(f'{name}_k', units)}, " if quads else "") + out + ")"
 
 
 _DOCS = "SELECT doc_id AS id, lang AS gold, text FROM documents"
@@ -284,7 +293,7 @@ _TURNS = "SELECT conv_id * 1000000 + turn AS id, '' AS gold, text FROM conversat
 
 
 def _model_sql(quads: bool = False) -> str:
-    return f"""WITH {_units_sql("tu", _DOCS)}, {_grams_sql("tg", "tu", quads)},
+    return f"""WITH {"RECURSIVE " if quads else ""}{_units_sql("tu", _DOCS)}, {_grams_sql("tg", "tu", quads)},
     cn AS (SELECT gram, gold AS lang, count(*) AS n, sum(unit_bytes) AS gram_bytes FROM tg GROUP BY ALL),
     wt AS (SELECT *, sum(n) OVER (PARTITION BY gram) AS tot,
       row_number() OVER (PARTITION BY gram ORDER BY n DESC, lang) AS rank FROM cn),
@@ -455,13 +464,12 @@ ENTRIES = {
     ),
     "quad_grams": (
         quad_grams,
-        f"""WITH {_units_sql("u", _DOCS)}, q AS (SELECT substr('_' || unit || '_', o + 1, 4) AS gram
-        FROM (SELECT *, unnest(range(0, length(unit) + 1, 2)) AS o FROM u)) SELECT gram, count(*) AS n FROM q GROUP BY 1""",
+        f"""WITH RECURSIVE {_units_sql("u", _DOCS)}, words AS (SELECT unit, count(*) AS n FROM u GROUP BY unit), {_walk_sql("walk", "words")}
+        SELECT gram, sum(n)::BIGINT AS n FROM walk JOIN words USING (unit) GROUP BY 1""",
     ),
     "cjk_grams": (
         cjk_grams,
-        f"""WITH h AS (SELECT doc_id AS id, regexp_replace(lower(text), '[^a-z]', '', 'g') AS t FROM documents),
-        l AS (SELECT id, string_split(t, '') AS u FROM h WHERE t <> ''),
+        f"""WITH l AS (SELECT doc_id AS id, string_split(text, '') AS u FROM documents WHERE text <> ''),
         p AS (SELECT id, len(u) AS n, unnest(range(len(u))) AS pos, unnest(u) AS unit FROM l),
         c AS (SELECT id, pos, unit, lag(unit) OVER (PARTITION BY id ORDER BY pos) AS prev,
           {_CHUNK.replace("20", "50").replace("60", "150").replace("40", "100")} AS chunk FROM p)

@@ -14,8 +14,9 @@ from crawlloom.operators.langid.dims import SCRIPTS, array_of, map_of
 WORD_LETTERS = 8
 # Units per chunk.
 CHUNK_WORDS, CHUNK_CJK = 20, 50
-# Two letters on, up to four letters long, within one marked word.
-_QUAD = r"(?=(\S{2,4}))\S\S"
+# Up to four letters, with the marks of the word's ends where they reach these; then past
+# the word when its end is reached, else two letters on and over one vowel.
+_QUAD = r"(?=(_?[^_]{1,4}(?:_\z)?))(?:_?[^_]{1,4}_\z|_?[^_]{2}[aeiou]?)"
 
 
 def _script_class(script: str) -> str:
@@ -82,12 +83,24 @@ def word_grams(unit: Column) -> Column:
 
 
 def quad_grams(word: Column) -> Column:
-    """Overlapping grams of up to four letters, with marks at the word's ends."""
+    """Grams of up to four letters, with marks at the word's ends, every two letters.
+
+    A vowel of a-z at the next place is passed over, and a gram that reaches the word's end
+    is its last.
+    """
     return F.regexp_extract_all(F.concat(F.lit("_"), word, F.lit("_")), F.lit(_QUAD), F.lit(1))
 
 
 def cjk_units(span: Column) -> Column:
-    return F.split(F.replace(span, F.lit(" "), F.lit("")), "")
+    """Each character with the one before it, the first alone."""
+    return let(
+        F.split(F.replace(span, F.lit(" "), F.lit("")), ""),
+        lambda chars: F.transform(chars, lambda c, i: F.concat(F.coalesce(F.get(chars, i - 1), F.lit("")), c)),
+    )
+
+
+def cjk_character(unit: Column) -> Column:
+    return F.right(unit, F.lit(1))
 
 
 def chunk_index(pos: Column, n: Column, size: Column | int) -> Column:
@@ -122,7 +135,8 @@ def is_kind(script_no: Column, kind: str) -> Column:
 def span_units(spans: DataFrame, keys: Sequence[str], pairs: bool = False) -> DataFrame:
     """(keys, span_no, script_no, chunk, pos, unit [, prev]), one row per unit.
 
-    A unit is a word, a CJK character, or the whole span when the script decides.
+    A unit is a word, a CJK character behind the one before it, or the whole span when the
+    script decides.
     ``script_no`` is the place of the script in the table of scripts.
     """
     units = (
@@ -217,21 +231,21 @@ def unit_grams(kinds: Sequence[str]) -> Column:
     """Grams of a unit, the unit's own first; none when the script decides.
 
     Quadgrams are stored as they are; other kinds carry a prefix: ``w:`` word,
-    ``p:`` word pair, ``u:`` and ``b:`` one and two CJK characters.
+    ``p:`` word pair, ``u:`` and ``b:`` one and two CJK characters. The script chooses:
+    ``kinds`` is about words, CJK characters always have both of theirs.
     """
     unit, prev, script = F.col("unit"), F.col("prev"), F.col("script_no")
     many = [F.array(F.concat(F.lit("w:"), word_grams(unit)))]
-    cjk = [F.array(F.concat(F.lit("u:"), unit))]
+    two = F.array(F.concat(F.lit("u:"), cjk_character(unit)), F.concat(F.lit("b:"), unit))
+    cjk = F.when(F.length(unit) == 2, two).otherwise(F.array(F.concat(F.lit("u:"), unit)))
     if "quad" in kinds:
         many.append(quad_grams(unit))
     if "pair" in kinds:
         pair = F.concat(F.lit("p:"), word_grams(prev), F.lit(" "), word_grams(unit))
         many.append(F.when(prev.isNotNull(), F.array(pair)).otherwise(no_grams()))
-        bi = F.concat(F.lit("b:"), prev, unit)
-        cjk.append(F.when(prev.isNotNull(), F.array(bi)).otherwise(no_grams()))
     return (
         F.when(is_kind(script, "many"), F.concat(*many))
-        .when(is_kind(script, "cjk"), F.concat(*cjk))
+        .when(is_kind(script, "cjk"), cjk)
         .otherwise(no_grams())
     )
 
@@ -244,7 +258,8 @@ def default_gram() -> Column:
 
 def unit_size() -> Column:
     """Bytes of a unit and of the space after it."""
-    return F.octet_length("unit") + F.when(is_kind(F.col("script_no"), "cjk"), 0).otherwise(1)
+    own = F.octet_length(cjk_character(F.col("unit")))
+    return F.when(is_kind(F.col("script_no"), "cjk"), own).otherwise(F.octet_length("unit") + 1)
 
 
 def gram_rows(units: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,12 +77,41 @@ def test_grams(spark):
     row = spark.range(1).select(
         G.quad_grams(F.lit("quick")).alias("q"),
         G.quad_grams(F.lit("a")).alias("a"),
+        F.transform(F.array(*[F.lit(w) for w in ("brandy", "word", "words", "bbbbbb", "strength", "éaéaé", "übung", "aaaaaaaa")]), G.quad_grams).alias("m"),
         G.words(F.lit("x x y x y z")).alias("w"),
     ).first()
-    assert row.q == ["_qui", "uick", "ck_"] and row.a == ["_a_"] and row.w == ["x", "y", "z"]
+    # two letters on and over a vowel of a-z; a gram that reaches the end is the last
+    assert row.q == ["_quic", "ck_"] and row.a == ["_a_"] and row.w == ["x", "y", "z"]
+    assert row.m == [
+        ["_bran", "ndy_"], ["_word_"], ["_word", "rds_"], ["_bbbb", "bbbb_"], ["_stre", "reng", "ngth_"],
+        ["_éaéa", "éaé_"], ["_übun", "ng_"], ["_aaaa", "aaaa", "aa_"],
+    ]
     df = spark.createDataFrame([(1, "漢字漢字")], "id int, text string")
-    got = {r.gram for r in G.text_grams(df, ["id"], kinds=("word", "pair")).collect()}
-    assert got == {"u:漢", "u:字", "b:漢字", "b:字漢", "d:Han"}
+    for kinds in (("word", "pair"), ("word", "quad"), ("quad",)):  # the script chooses what CJK text has
+        rows = G.text_grams(df, ["id"], kinds=kinds).collect()
+        assert sorted(r.gram for r in rows) == ["b:字漢", "b:漢字", "b:漢字", "d:Han", "u:字", "u:字", "u:漢", "u:漢"]
+        assert sum(r.unit_bytes for r in rows) == 12
+
+
+@pytest.mark.parametrize("kinds", [("word",), ("word", "quad")])
+def test_pairs_of_characters_tell_languages_apart(spark, kinds):
+    """Two languages of the same characters in another order; and one beside a language of words."""
+    rng, a, b = random.Random(3), "的一是不了人", "を漢字仮名交"
+    chars = list(a + b)
+
+    def text(step):
+        at = rng.randrange(len(chars))
+        return "".join(chars[(at + step * k) % len(chars)] for k in range(300))
+
+    rows = [("zh", text(1)) for _ in range(20)] + [("ja", text(5)) for _ in range(20)]
+    rows += [("en", "plain words of a language in another script " * 5)] * 5
+    model = M.train(spark.createDataFrame(rows, "lang string, text string"), kinds=kinds)
+    alone = {r.lang for r in model.grams.filter("gram like 'u:%'").collect()}
+    pairs = model.grams.filter("gram like 'b:%'").groupBy("gram").agg(F.countDistinct("lang").alias("n")).filter("n > 1").count()
+    assert alone == {"zh", "ja"} and pairs == 0  # single characters are in both, no pair is
+    df = spark.createDataFrame([(k, text(1 if k % 2 else 5)) for k in range(10)] + [(10, "some plain words of a language here")], "id int, text string")
+    got = {r.id: r.lang for r in detect_language(df, model, ["id"]).collect()}
+    assert got == {**{k: "zh" if k % 2 else "ja" for k in range(10)}, 10: got[10]} and got[10] in ("en", "un")
 
 
 def test_one_language_scripts_need_no_model(spark, model):
