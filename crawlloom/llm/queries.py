@@ -109,9 +109,31 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _address_sql(url: str) -> str:
+    """An address without fragment, scheme and host in lower case, dot segments resolved."""
+    bare = f"regexp_replace({url}, '(?s)#.*$', '')"
+
+    def part(n: int) -> str:
+        return rf"regexp_extract({bare}, '(?s)^([A-Za-z][A-Za-z0-9+.-]*://)((?:[^/?#]*@)?)([^/?#]*)([^?#]*)(.*)$', {n})"
+
+    path = part(4)
+    segments = f"string_split({path}, '/')"
+    walked = f"""list_reduce(list_transform({segments}, lambda x: [x]), lambda done, x: CASE WHEN x[1] = '.' THEN done
+      WHEN x[1] = '..' THEN list_slice(done, 1, greatest(1, len(done) - 1)) ELSE list_concat(done, x) END)"""
+    ended = f"CASE WHEN {segments}[-1] IN ('.', '..') THEN list_concat({walked}, ['']) ELSE {walked} END"
+    resolved = rf"CASE WHEN regexp_matches({path}, '/\.\.?(?:/|$)') THEN array_to_string({ended}, '/') ELSE {path} END"
+    full = f"concat(translate({part(1)}, {_ABC}), {part(2)}, translate({part(3)}, {_ABC}), {resolved}, {part(5)})"
+    return f"CASE WHEN regexp_matches({bare}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {full} ELSE {bare} END"
+
+
 # Page addresses, the links between them, and the decisions that reach their component.
-OP4 = r"""
-WITH RECURSIVE rules(rule, verdict) AS (
+def _judge_sql(pages: str, redirects: str = "SELECT NULL::VARCHAR AS src, NULL::VARCHAR AS dst WHERE false") -> str:
+    return (
+        r"""
+WITH RECURSIVE the_pages AS (PAGES), given AS (REDIRECTS), rules(rule, verdict) AS (
   VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')
 ), found AS (
   SELECT url AS base, unnest(list_concat(
@@ -121,17 +143,19 @@ WITH RECURSIVE rules(rule, verdict) AS (
                     regexp_extract(t, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3))),
       list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
         lambda t: regexp_extract(t, '(?is)\burl\s*=\s*[''"]?([^''"\s>]+)', 1)))) AS raw
-  FROM pages WHERE contains(url, '://')
+  FROM the_pages WHERE contains(url, '://')
 ), hrefs AS (
   SELECT base, replace(trim(raw), '&amp;', '&') AS href FROM found WHERE trim(raw) <> ''
-), edges AS (
-  SELECT DISTINCT regexp_replace(base, '(?s)#.*$', '') AS src, regexp_replace(CASE
-    WHEN contains(href, '://') THEN href
+), absolute AS (
+  SELECT base AS src, CASE
+    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+    WHEN starts_with(href, '#') THEN base
     WHEN starts_with(href, '//') THEN concat(regexp_extract(base, '(?s)^(.*?)://', 1), ':', href)
     WHEN starts_with(href, '/') THEN concat(regexp_extract(base, '(?s)^(.*?://[^/?#]*)', 1), href)
     WHEN starts_with(href, '?') THEN concat(regexp_extract(base, '(?s)^([^?#]*)', 1), href)
-    ELSE concat(rtrim(regexp_extract(base, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/'), '/', href) END, '(?s)#.*$', '') AS dst
-  FROM hrefs
+    ELSE concat(rtrim(regexp_extract(base, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/'), '/', href) END AS dst
+  FROM hrefs UNION ALL SELECT src, dst FROM given
+), edges AS (SELECT DISTINCT SRC AS src, DST AS dst FROM absolute
 ), ways AS (
   SELECT src AS a, dst AS b FROM edges WHERE src <> dst UNION SELECT dst, src FROM edges WHERE src <> dst
 ), reach AS (
@@ -140,7 +164,7 @@ WITH RECURSIVE rules(rule, verdict) AS (
   SELECT DISTINCT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
-  FROM (SELECT url AS u FROM pages WHERE url IS NOT NULL UNION SELECT b FROM reach)
+  FROM (SELECT url AS u FROM the_pages WHERE url IS NOT NULL UNION SELECT b FROM reach)
 ), ruled AS (
   SELECT u, any_value(host) AS host, any_value(path) AS path, max_by(rule, length(rule)) AS rule,
     max_by(verdict, length(rule)) AS verdict
@@ -150,12 +174,46 @@ WITH RECURSIVE rules(rule, verdict) AS (
 ), carried AS (
   SELECT a, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS verdict
   FROM reach JOIN ruled ON reach.b = ruled.u GROUP BY a
-)
+), addressed AS (SELECT page_id, url, OWN AS own FROM the_pages)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
   coalesce(ruled.verdict, carried.verdict, 'allow') AS verdict
-FROM pages LEFT JOIN ruled ON pages.url = ruled.u
-LEFT JOIN carried ON regexp_replace(pages.url, '(?s)#.*$', '') = carried.a
+FROM addressed LEFT JOIN ruled ON addressed.url = ruled.u
+LEFT JOIN carried ON addressed.own = carried.a
 """
+        .replace("PAGES", pages).replace("REDIRECTS", redirects)
+        .replace("SRC AS", f"{_address_sql('src')} AS").replace("DST AS", f"{_address_sql('dst')} AS")
+        .replace("OWN AS", f"{_address_sql('url')} AS")
+    )
+
+
+OP4 = _judge_sql("SELECT page_id, url, html FROM pages")
+
+# Tags that name the next page, or an address that looks like something else, by page_id.
+ALIAS_TAGS = """CASE page_id % 7
+  WHEN 0 THEN concat('<link rel="canonical" href="', replace(replace(more, 'https://', 'HTTPS://WWW.'), 'http://', 'Http://'), '#top">')
+  WHEN 1 THEN concat('<meta http-equiv=refresh content="0; url=', more, '">')
+  WHEN 2 THEN concat('<LINK href="', regexp_replace(more, '(://[^/]*)', '\\1/x/./..'), '" rel=canonical>')
+  WHEN 3 THEN '<link rel=canonical href="/go?u=http://x.com/de/1">'
+  WHEN 4 THEN '<link rel=canonical href="#part">'
+  WHEN 5 THEN '<link rel=canonical href="//moved.example.com/de/../de/7">'
+  ELSE '' END"""
+
+
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that name the next page as their address, in other spellings, and redirects between some."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    more = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("more"))
+    both = pages.join(more, "page_id", "left")
+    tags = F.coalesce(F.expr(ALIAS_TAGS.replace("'\\1", "'$1")), F.lit(""))
+    tagged = both.select("page_id", "url", F.concat("html", tags).alias("html"))
+    redirects = both.filter("page_id % 7 = 6").select(F.col("url").alias("src"), F.col("more").alias("dst"))
+    return urls.judge(tagged, redirects).drop("url")
+
+
+_TAGGED = f"""SELECT page_id, url, html || coalesce({ALIAS_TAGS}, '') AS html
+  FROM pages LEFT JOIN (SELECT page_id - 1 AS page_id, url AS more FROM pages) USING (page_id)"""
+_GIVEN = """SELECT p.url AS src, n.url AS dst FROM pages p JOIN pages n ON n.page_id = p.page_id + 1 WHERE p.page_id % 7 = 6"""
+URL_ALIASES = _judge_sql(_TAGGED, _GIVEN)
 
 OP7 = r"""
 WITH RECURSIVE turns AS (
@@ -289,4 +347,5 @@ ENTRIES = {
     "op11_packing": (op11_packing, None),
     "op12_ranked_search": (op12_ranked_search, OP12),
     "op13_resampling": (op13_resampling, None),
+    "url_aliases": (url_aliases, URL_ALIASES),
 }
