@@ -303,7 +303,11 @@ def _united(found: DataFrame, passes: int) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a window of a benchmark item; columns as they were."""
+    """``docs`` without the rows that hold a window of a benchmark item; columns as they were.
+
+    Null and empty texts stay. Rows that are the same in id and text go together. An empty table
+    gives an empty table.
+    """
     found = contamination(docs, benchmark, id_col, text_col, **options)
     bad = found.filter("n_hit > 0").select(F.col("row").alias("_row"), F.col(id_col).alias("_id"))
     row = F.xxhash64(F.col(id_col), F.col(text_col))

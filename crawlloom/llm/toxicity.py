@@ -372,7 +372,11 @@ def _keep(batches, shared, at: int, least: float) -> Iterator[pa.RecordBatch]:
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``least`` or more; one pass, no shuffle of the texts."""
+    """``docs`` without the rows that score ``least`` or more; one pass, no shuffle of the texts.
+
+    Null and empty texts stay. Repeated rows, and rows without id, are judged one by one. An
+    empty table gives an empty table. Columns are as they were.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     return docs.mapInArrow(lambda it: _keep(it, shared, at, least), docs.schema)
