@@ -18,6 +18,7 @@ from crawlloom.catalog.text import (
     _strip_sql,
     hashed,
     table,
+    table_stream,
     text_records,
 )
 from crawlloom.functions.text import clean_spaces
@@ -296,10 +297,7 @@ def zip_texts(spark, sf):
 
 def incremental_stream(spark, sf):
     """Documents through the streaming ingest, in their own order."""
-    schema = table(spark, sf, "documents").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
-    )
+    stream = table_stream(spark, sf, "documents")
     base = scratch_path(spark, "ingest")
 
     def prepare(batch):
