@@ -23,3 +23,8 @@ def documents(spark, folder):
 def test_table_of_part_files_is_streamed(spark, documents):
     got = files.incremental_stream(spark, documents(4)).agg(F.count("*"), F.max("doc_id")).first()
     assert tuple(got) == (30, 29)
+
+
+def test_table_of_part_files_is_streamed_with_state(spark, documents):
+    got = files.incremental_state(spark, documents(4)).agg(F.count("*"), F.max("doc_id")).first()
+    assert tuple(got) == (30, 29)
