@@ -28,3 +28,12 @@ def test_table_of_part_files_is_streamed(spark, documents):
 def test_table_of_part_files_is_streamed_with_state(spark, documents):
     got = files.incremental_state(spark, documents(4)).agg(F.count("*"), F.max("doc_id")).first()
     assert tuple(got) == (30, 29)
+
+
+def test_places_look_at_the_whole_text_once_a_span(spark):
+    df = spark.createDataFrame([(1, "ein Haus und η γλώσσα"), (2, "12"), (3, None)], "id int, text string")
+    places = unit_places(df, ["id"])
+    assert sorted((r.span_no, r.pos, r.start, r.stop) for r in places.collect()) == [(0, 0, 0, 3), (0, 1, 4, 8), (0, 2, 9, 12), (1, 0, 13, 21)]
+    plan = places._jdf.queryExecution().optimizedPlan().toString()
+    # above the explode into words nothing asks for the script of the span again
+    assert "RLIKE" not in plan[: plan.rindex("Generate posexplode")].rsplit("Generate posexplode", 1)[0]
