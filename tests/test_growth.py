@@ -1,10 +1,16 @@
 """Steps that must hold on larger tables: how their tables are laid out, what a task holds, what is shuffled."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from crawlloom.catalog import files
+from crawlloom.functions import html, markup
+from crawlloom.llm import ranking
 from crawlloom.operators.langid.grams import unit_places
+from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words
+from crawlloom.operators.langid.score import chunk_scores
 
 
 @pytest.fixture
@@ -37,3 +43,56 @@ def test_places_look_at_the_whole_text_once_a_span(spark):
     plan = places._jdf.queryExecution().optimizedPlan().toString()
     # above the explode into words nothing asks for the script of the span again
     assert "RLIKE" not in plan[: plan.rindex("Generate posexplode")].rsplit("Generate posexplode", 1)[0]
+
+
+def test_western_pages_stay_in_the_jvm(spark, monkeypatch):
+    rows = [(bytes(range(256)), " ISO-8859-1"), (b"\xef\xbb\xbfa\x80\x81", "'latin1"), (b"a\xff", "l1\t"), (b"", "ascii"), (None, "cp1252")]
+    df = spark.createDataFrame([(i, b and bytearray(b), c) for i, (b, c) in enumerate(rows)], "id int, body binary, charset string")
+    monkeypatch.setattr(html, "_decode", lambda body, label: F.when(body.isNotNull(), F.raise_error(F.lit("sent to Python"))).cast("string"))
+    got = df.select("id", "body", html.recode(F.col("body"), F.col("charset")).alias("text")).orderBy("id").collect()
+    assert [r.text for r in got] == [None if not r.body else markup.decode(bytes(r.body), "cp1252") for r in got][:3] + ["", None]
+
+
+def test_rows_are_python_strings_a_slice_at_a_time():
+    held = []
+
+    def f(x):
+        held.append(x)
+        return x.upper()
+
+    rows = pa.array([None, *map(str, range(200))])
+    assert html._by_slices(f, rows).to_pylist() == rows.to_pylist() and len(held) == 200
+    assert html._by_slices(f, pa.array([], pa.string())).to_pylist() == []
+
+
+def test_words_of_rows_of_one_key_are_looked_at_together(spark):
+    df = spark.createDataFrame([(1, "a b c d x a b c d"), (1, "a b c d"), (2, None), (3, "")], "id int, text string")
+    repeated = drop_repeated_words(df, ["id"])
+    got = {r.id: r.text for r in repeated.collect()}
+    assert got == {1: "a a b b c c d x a b c", 2: "", 3: ""}
+    plan = repeated._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan and "Generate" not in plan
+
+
+def test_boost_reads_its_hits_once(spark):
+    rows = [(1, 0, 0, p // 3, p, f"w:{p}", 0, "en" if p % 2 else "fr", 12, 1, 1) for p in range(12)]
+    rows += [(1, 0, 0, 0, 1, "w:x", 0, lang, 6, n, 2) for n, lang in enumerate(("en", "de"), 1)]
+    hits = spark.createDataFrame(rows, "id int, span_no int, script_no int, chunk int, pos int, gram string, unit_bytes int, lang string, weight int, rank int, langs long")
+    scores = chunk_scores(hits, ["id"])
+    boosted = distinct_boost(scores, hits, ["id"])
+    got = {(r.chunk, r.lang): r.score for r in boosted.collect()}
+    plain = {(r.chunk, r.lang): r.score for r in scores.collect()}
+    # chunk 1 has three such words before it, the others four
+    assert {k: v - plain.get(k, 0) for k, v in got.items()} == {
+        (0, "fr"): 0, (0, "en"): 0, (0, "de"): 0, (1, "fr"): 24, (1, "en"): 12, (2, "fr"): 24, (2, "en"): 24, (3, "fr"): 24, (3, "en"): 24,
+    }
+    plan = boosted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_same" in plan and plan.count("LocalRelation") + plan.count("LogicalRDD") <= 3
+
+
+def test_postings_bound_what_is_scored_at_a_time(monkeypatch):
+    query = ranking.Queries(list(range(50)), ["a b"] * 50)
+    bag = np.array([0, 1, 1, 1], dtype="<i4")
+    monkeypatch.setattr(ranking, "CELLS", 1000)
+    parts = list(ranking._parts(query, [bag] * 20, list(range(20))))
+    assert [j for p in parts for j in p] == list(range(20)) and max(map(len, parts)) == 1000 // 150
