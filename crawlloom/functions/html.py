@@ -9,7 +9,10 @@ JVM, needs no Python workers, and agrees with the tokenizer on well-formed pages
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,36 +75,47 @@ def unescape_native(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf(T.StringType())
-def _clean(html: pd.Series) -> pd.Series:
-    return html.map(markup.clean, na_action="ignore")
+# Rows that are Python strings at a time; the rest of a batch stays in its Arrow buffers.
+SLICE_ROWS = 64
 
 
-@F.pandas_udf(T.StringType())
-def _clean_plain(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: markup.clean(t, markup=False), na_action="ignore")
+def _by_slices(f: Callable, *columns: pa.Array) -> pa.Array:
+    """``f`` of every row, null where the first column is null."""
+    out = []
+    for at in range(0, len(columns[0]), SLICE_ROWS):
+        rows = zip(*(c.slice(at, SLICE_ROWS).to_pylist() for c in columns), strict=True)
+        out.append(pa.array([None if r[0] is None else f(*r) for r in rows], pa.large_string()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.large_string())
 
 
-@F.pandas_udf(T.StringType())
-def _strip(html: pd.Series) -> pd.Series:
-    return html.map(markup.strip_markup, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _clean(html: pa.Array) -> pa.Array:
+    return _by_slices(markup.clean, html)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(text: pd.Series) -> pd.Series:
-    return text.str.normalize("NFKC")
+@F.arrow_udf(T.StringType())
+def _clean_plain(text: pa.Array) -> pa.Array:
+    return _by_slices(lambda t: markup.clean(t, markup=False), text)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(markup.unescape, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _strip(html: pa.Array) -> pa.Array:
+    return _by_slices(markup.strip_markup, html)
 
 
-@F.pandas_udf(T.StringType())
-def _decode(body: pd.Series, charset: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if b is None else markup.decode(b, c) for b, c in zip(body, charset)], dtype=object
-    )
+@F.arrow_udf(T.StringType())
+def _nfkc(text: pa.Array) -> pa.Array:
+    return _by_slices(lambda t: unicodedata.normalize("NFKC", t), text)
+
+
+@F.arrow_udf(T.StringType())
+def _unescape(text: pa.Array) -> pa.Array:
+    return _by_slices(markup.unescape, text)
+
+
+@F.arrow_udf(T.StringType())
+def _decode(body: pa.Array, charset: pa.Array) -> pa.Array:
+    return _by_slices(markup.decode, body, charset)
 
 
 def _only_where(needs: Column, value: Column, udf, otherwise: Column) -> Column:
@@ -136,8 +150,13 @@ def clean_plain(text: Column) -> Column:
     return _only_where(_non_ascii(text) | text.contains("&"), text, _clean_plain, text)
 
 
+# windows-1252 from 0x80 on, beside the characters that ISO-8859-1 has there
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
+_CP1252 = bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
+
+
 def recode(body: Column, charset: Column) -> Column:
-    """Body bytes as valid text; only bodies that are not UTF-8 leave the JVM."""
+    """Body bytes as valid text; only bodies that are neither UTF-8 nor western by their header leave the JVM."""
     label = F.trim(F.coalesce(charset, F.lit("")), F.lit(" \"'"))
     text = body.cast("string")
     utf8 = label.isin("utf-8", "utf8")
@@ -145,5 +164,8 @@ def recode(body: Column, charset: Column) -> Column:
     # word alone, what is a declaration is found out by walking the tags
     other = F.make_valid_utf8(text).rlike(r"""(?i)charset\s*=\s*["']?\s*(?!utf-?8)[a-z0-9&]""")
     needs = ~(utf8 | ((label == "") & F.is_valid_utf8(text) & ~other))
+    # a byte a character: nothing can be malformed
+    western = F.lower(F.trim(label, F.lit(" \n\r\t\f"))).isin(markup._WESTERN)
+    one_byte = F.translate(F.decode(body, "ISO-8859-1"), _C1, _CP1252)
     native = F.regexp_replace(F.make_valid_utf8(text), r"\A\x{feff}", "")
-    return F.coalesce(_decode(F.when(needs, body), label), native)
+    return F.when(western, one_byte).otherwise(F.coalesce(_decode(F.when(needs & ~western, body), label), native))
