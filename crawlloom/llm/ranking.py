@@ -22,7 +22,7 @@ from crawlloom.llm.shared import Scratch, bounded_blocks
 TOP = 10
 #: Text of the items that are searched at a time; more items make more passes.
 BLOCK_BYTES = 1 << 20
-#: Cells of the table of classes and items that a task fills at a time.
+#: Cells of the table of classes and items, and postings behind them, that a task fills at a time.
 CELLS = 1 << 20
 
 
@@ -98,19 +98,32 @@ def _scores(query: Queries, bags: list[np.ndarray], m: np.ndarray) -> np.ndarray
     return (low.astype(np.int64) + (high.astype(np.int64) << 24)).reshape(len(bags), -1)
 
 
+def _parts(query: Queries, bags: list[np.ndarray], order: list[int]) -> Iterator[list[int]]:
+    """``order`` cut into runs of classes that take ``CELLS`` cells and postings at most, or one class that takes more."""
+    postings = np.diff(query.first)
+    part, held = [], 0
+    for j in order:
+        size = len(query.rows) + int(postings[bags[j][: len(bags[j]) // 2]].sum())
+        if part and held + size > CELLS:
+            yield part
+            part, held = [], 0
+        part.append(j)
+        held += size
+    if part:
+        yield part
+
+
 def _rank(batches, shared, top: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The best documents of this task for each item, from its classes."""
     query = shared.value
     best: list[list] = [[] for _ in query.rows]
-    step = max(1, CELLS // max(1, len(query.rows)))
     for batch in batches:
         members = batch.column(2).to_pylist()
         # by smallest member, so that equal scores are met in the order of their ids
         order = sorted(range(len(members)), key=lambda i: (members[i][0]["absent"], members[i][0]["id"] or 0) if members[i][0]["absent"] else (False, members[i][0]["id"]))
-        for i in range(0, len(order), step):
-            part = order[i : i + step]
-            bags = [np.frombuffer(batch.column(1)[j].as_buffer(), dtype="<i4") for j in part]
-            scores = _scores(query, bags, batch.column(0).take(pa.array(part)).to_numpy(zero_copy_only=False))
+        every = [np.frombuffer(bag.as_buffer(), dtype="<i4") for bag in batch.column(1)]
+        for part in _parts(query, every, order):
+            scores = _scores(query, [every[j] for j in part], batch.column(0).take(pa.array(part)).to_numpy(zero_copy_only=False))
             for k in np.flatnonzero(scores.max(axis=0) > 0).tolist():
                 mine = scores[:, k]
                 least = -best[k][-1][0] if len(best[k]) == top else 1
