@@ -38,6 +38,8 @@ from crawlloom.streaming.state import stateful_ingest
 
 _written: dict[tuple, str] = {}
 EOL = "\r\n"
+# Estimated bytes of pages for a crawl archive; a few archives at least.
+ARCHIVE_BYTES = 16 << 20
 # the pages are all in UTF-8
 UTF8_HEADER = HEADER.replace("iso-8859-1", "utf-8")
 
@@ -80,11 +82,12 @@ def warc_archive(spark, sf) -> str:
             f"WARC/1.0{EOL}WARC-Type: warcinfo{EOL}WARC-Filename: crawl.warc.gz{EOL}"
             f"Content-Type: application/warc-fields{EOL}Content-Length: 0{EOL * 3}"
         )
-        # in page order, and the first record of every file names the crawl
+        # in page order, and the first record of every file names the crawl; as many files as the pages ask for
+        pages_bytes = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         rows = (
             pages.withColumn("payload", payload)
             .withColumn("record", record)
-            .repartitionByRange(4, "page_id")
+            .repartitionByRange(max(4, pages_bytes // ARCHIVE_BYTES), "page_id")
             .sortWithinPartitions("page_id")
         )
         first = F.monotonically_increasing_id() % (1 << 33) == 0

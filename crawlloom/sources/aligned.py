@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from crawlloom.functions.text import b64
-from crawlloom.sources.files import ManifestCommitter, Split, Written, codec_of, file_system, paths_of, plan_splits
+from crawlloom.sources.files import XZ_PRESET, ManifestCommitter, Split, Written, codec_of, file_system, paths_of, plan_splits
 
 META_COLUMNS = ["filename", "record_id", "uri", "date", "content_length", "content_type", "lang"]
 
@@ -35,7 +35,7 @@ class AlignedWriter(DataSourceArrowWriter):
     def _open(self, folder: str, column: str, own: str, written: Written):
         raw = self.committer.start(f"{folder}{column}/{own}", written)
         if self.codec == "xz":
-            return raw, lzma.LZMAFile(raw, "wb")
+            return raw, lzma.LZMAFile(raw, "wb", preset=XZ_PRESET)
         return raw, gzip.GzipFile(f"{column}.gz", "wb", 9, raw)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:

@@ -28,6 +28,9 @@ READ_BYTES = 1 << 20
 # data about a thousandfold at most, so ordinals of two members never meet.
 ORDINAL_ROOM = 1 << 20
 
+# Files written as xz: of base64 lines a tenth of the time of the usual 6, for a quarter more bytes.
+XZ_PRESET = 1
+
 MAGIC = {"gz": b"\x1f\x8b\x08", "xz": b"\xfd7zXZ\x00"}
 
 
@@ -45,6 +48,32 @@ class Split(InputPartition):
         InputPartition.__init__(self, (self.path, self.start))
 
 
+# Bytes of a file that a task reads at least, however small the ranges are.
+PACK_BYTES = 4 << 20
+
+
+@dataclass
+class Ranges(InputPartition):
+    """Byte ranges of a file that follow each other, read one by one by one task."""
+
+    ranges: list[Split]
+
+    def __post_init__(self):
+        InputPartition.__init__(self, (self.ranges[0].path, self.ranges[0].start))
+
+
+def packed(splits: Sequence[Split]) -> list[Ranges]:
+    """Small ranges of one file put together, so that tasks do not cost more than their reading."""
+    out: list[Ranges] = []
+    for s in splits:
+        held = out[-1].ranges if out else []
+        if held and held[-1].path == s.path and s.end - held[0].start <= PACK_BYTES:
+            held.append(s)
+        else:
+            out.append(Ranges([s]))
+    return out
+
+
 def codec_of(path: str) -> str | None:
     return {".gz": "gz", ".xz": "xz"}.get(os.path.splitext(path)[1])
 

@@ -11,6 +11,9 @@ from crawlloom.llm import ranking
 from crawlloom.operators.langid.grams import unit_places
 from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words
 from crawlloom.operators.langid.score import chunk_scores
+from crawlloom.sources import archive
+from crawlloom.sources import files as sources
+from crawlloom.sources.warc import read_warc
 
 
 @pytest.fixture
@@ -96,3 +99,29 @@ def test_postings_bound_what_is_scored_at_a_time(monkeypatch):
     monkeypatch.setattr(ranking, "CELLS", 1000)
     parts = list(ranking._parts(query, [bag] * 20, list(range(20))))
     assert [j for p in parts for j in p] == list(range(20)) and max(map(len, parts)) == 1000 // 150
+
+
+def test_small_ranges_of_a_file_share_a_task(monkeypatch):
+    monkeypatch.setattr(sources, "PACK_BYTES", 100)
+    splits = [sources.Split(f, at, at + 30) for f in "ab" for at in range(0, 210, 30)]
+    tasks = sources.packed(splits)
+    assert [s for t in tasks for s in t.ranges] == splits and [len(t.ranges) for t in tasks] == [3, 3, 1] * 2
+    assert all(len({s.path for s in t.ranges}) == 1 for t in tasks)
+
+
+def test_crawl_archives_grow_in_number(spark, folder, monkeypatch):
+    spark.range(0, 300, 1, 3).selectExpr("id AS page_id", "concat('http://x.org/', id) AS url", "repeat(uuid(), 20) AS html").write.parquet(f"{folder}/pages.parquet")
+    monkeypatch.setattr(files, "ARCHIVE_BYTES", 1000)
+    rows = read_warc(spark, files.warc_archive(spark, folder)).filter("warc_type = 'response'")
+    assert rows.select("filename").distinct().count() > 4 and rows.count() == rows.select("record_id").distinct().count() == 300
+
+
+def test_archives_are_written_at_the_speed_of_their_formats(spark, folder, monkeypatch):
+    text = "".join(map(chr, range(32, 127))) * 50
+    writer = archive.ArchiveWriter({"path": folder, "codec": "gz"})
+    assert writer._compress(text.encode()) and archive.GZIP_LEVEL == 6
+    seen = []
+    compress = archive.lzma.compress
+    monkeypatch.setattr(archive.lzma, "compress", lambda data, **how: seen.append(how) or compress(data, **how))
+    packed = archive.ArchiveWriter({"path": folder, "codec": "xz"})._compress(text.encode())
+    assert seen == [{"preset": sources.XZ_PRESET}] and archive.lzma.decompress(packed).decode() == text
