@@ -9,7 +9,8 @@ from crawlloom.catalog import files
 from crawlloom.functions import html, markup
 from crawlloom.llm import ranking
 from crawlloom.operators.langid.grams import unit_places
-from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words
+from crawlloom.operators.langid.model import train
+from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words, gram_hits
 from crawlloom.operators.langid.score import chunk_scores
 from crawlloom.sources import archive
 from crawlloom.sources import files as sources
@@ -125,3 +126,10 @@ def test_archives_are_written_at_the_speed_of_their_formats(spark, folder, monke
     monkeypatch.setattr(archive.lzma, "compress", lambda data, **how: seen.append(how) or compress(data, **how))
     packed = archive.ArchiveWriter({"path": folder, "codec": "xz"})._compress(text.encode())
     assert seen == [{"preset": sources.XZ_PRESET}] and archive.lzma.decompress(packed).decode() == text
+
+
+def test_languages_of_a_gram_are_counted_without_unlabelled_texts(spark):
+    labelled = spark.createDataFrame([("fr", "chat noir"), (None, "chat noir"), ("en", "chat room")], "lang string, text string")
+    df = spark.createDataFrame([(1, "chat noir room")], "id int, text string")
+    hits = gram_hits(df, train(labelled, kinds=("word",)), ["id"]).filter("gram like 'w:%'")
+    assert {r.gram: r.langs for r in hits.collect()} == {"w:chat": 2, "w:noir": 1, "w:room": 1}
