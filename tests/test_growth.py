@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from crawlloom.catalog import files, language
 from crawlloom.functions import html, markup
 from crawlloom.llm import ranking
-from crawlloom.operators.langid.grams import script_spans, span_units, text_grams, unit_places
+from crawlloom.operators.langid.grams import chunk_units, script_spans, span_chunks, span_units, text_grams, unit_places
 from crawlloom.operators.langid.model import train
 from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words, gram_hits
-from crawlloom.operators.langid.score import chunk_scores
+from crawlloom.operators.langid.score import chunk_language, chunk_scores
+from crawlloom.operators.langid.spans import refine_boundaries
 from crawlloom.sources import archive
 from crawlloom.sources import files as sources
 from crawlloom.sources.warc import read_warc
@@ -162,3 +163,42 @@ def test_characters_move_to_han_in_one_pass(spark):
         # the empty text has one empty character
         assert han == (None if text is None else "".join(chr(19968 + ord(c) % 20000) for c in text) or chr(19968))
     assert "translate(" in plan_of(moved)
+
+
+def test_chunks_hold_the_units_of_their_span(spark):
+    rows = [(n, " ".join(f"{'abcdefg'[i * i % 7]}{'hijkl'[i % 5]}" for i in range(n))) for n in range(1, 125)]
+    rows += [(200 + n, "".join("日本語東京"[i * i % 5] for i in range(n))) for n in range(1, 210, 3)]
+    rows += [(500, "ab γλώσσα ab 日本 שלום עולם και b"), (501, ""), (502, "1"), (503, None), (None, "a b"), (5, "c d")]
+    spans = script_spans(spark.createDataFrame(rows, "k int, text string"), ["k"])
+    whole, cut = span_units(spans, ["k"]), chunk_units(span_chunks(spans, ["k"]), ["k"])
+    assert whole.columns == cut.columns and whole.count() > 10_000
+    assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0
+
+
+def test_borders_read_the_chunks_of_one_shuffle(spark, folder):
+    english, french = "the red house of my good friend stands near this old road ", "le petit chat noir dort dans une belle maison avec son ami "
+    rows = [(i, ("en", "fr")[i % 2], (english, french)[i % 2] * (i % 5 + 1)) for i in range(40)] + [(40, "en", english * 4 + french * 4), (None, "en", english)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    df.write.parquet(f"{folder}/documents.parquet")
+    borders = language.span_borders(spark, folder)
+    got = {(r.doc_id, r.chunk): r.border for r in borders.collect()}
+    plan = borders._jdf.queryExecution().executedPlan().toString()
+    # the words of a chunk are made and shuffled once and read a second time
+    assert plan.partition("== Initial Plan ==")[0].count("array_join") == 1 and "ReusedExchange" in plan
+
+    model = train(df, kinds=("word",))
+    after = df.selectExpr("doc_id - 1 AS doc_id", "text AS more")
+    joined = df.join(after, "doc_id").selectExpr("doc_id", "concat_ws('\n', text, more) AS text")
+    hits = gram_hits(joined, model, ["doc_id"])
+    chunks = chunk_language(chunk_scores(hits, ["doc_id"]), model.expected, ["doc_id"])
+    assert got and got == {(r.doc_id, r.chunk): r.border for r in refine_boundaries(hits, chunks, ["doc_id"]).collect()}
+
+
+def test_best_languages_of_a_chunk_are_not_gathered(spark):
+    rows = [(1, 0, 0, 0, lang, score, 2, 10) for lang, score in (("fr", 5), ("en", 9), ("de", 9), (None, 50))]
+    rows += [(2, 0, 0, 0, None, 0, 0, 7), (3, 0, 0, 0, "en", 4, 1, 8), (3, 0, 0, 0, None, 0, 0, 2)]
+    scores = spark.createDataFrame(rows, "k int, span_no int, chunk int, script_no int, lang string, score long, hits long, bytes long")
+    best = chunk_language(scores, None, ["k"])
+    got = {r.k: (r.lang1, r.lang2, r.score1, r.score2, r.grams, r.bytes) for r in best.collect()}
+    assert got == {1: ("de", "en", 9, 9, 8, 40), 2: ("un", None, 0, 0, 0, 7), 3: ("en", None, 4, 0, 1, 10)}
+    assert "collect_list" not in plan_of(best)
