@@ -11,7 +11,7 @@ from crawlloom.llm import ranking
 from crawlloom.operators.langid.grams import chunk_units, script_spans, span_chunks, span_units, text_grams, unit_places
 from crawlloom.operators.langid.model import train
 from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words, gram_hits
-from crawlloom.operators.langid.score import chunk_language, chunk_scores
+from crawlloom.operators.langid.score import chunk_language, chunk_scores, score_texts
 from crawlloom.operators.langid.spans import refine_boundaries
 from crawlloom.sources import archive
 from crawlloom.sources import files as sources
@@ -194,6 +194,19 @@ def test_borders_read_the_chunks_of_one_shuffle(spark, folder):
     assert got and got == {(r.doc_id, r.chunk): r.border for r in refine_boundaries(hits, chunks, ["doc_id"]).collect()}
 
 
+def test_most_frequent_words_are_looked_up_whole(spark):
+    labelled = [("en", "the house and the garden " * 9 + "rarely"), ("fr", "la maison et le jardin " * 9 + "jamais")]
+    model = train(spark.createDataFrame(labelled, "lang string, text string"))
+    texts = spark.createDataFrame([(1, "the house rarely jamais unseen"), (2, "le jardin 日本 et the jardin")], "k int, text string")
+    rows = model.words.count()
+    frequent = model.frequent_words(rows - 1)
+    assert {"the", "jardin"} <= {r.unit for r in frequent.collect()} and frequent.filter("unit IN ('rarely', 'jamais')").count() == 0
+    assert model.frequent_words(rows).count() == rows and model.frequent_words(0) is None
+    everything = score_texts(texts, model, ["k"])
+    some = score_texts(texts, model, ["k"], max_rows=rows - 1)
+    assert "_word" in plan_of(some) and sorted(map(str, some.collect())) == sorted(map(str, everything.collect()))
+
+
 def test_best_languages_of_a_chunk_are_not_gathered(spark):
     rows = [(1, 0, 0, 0, lang, score, 2, 10) for lang, score in (("fr", 5), ("en", 9), ("de", 9), (None, 50))]
     rows += [(2, 0, 0, 0, None, 0, 0, 7), (3, 0, 0, 0, "en", 4, 1, 8), (3, 0, 0, 0, None, 0, 0, 2)]
