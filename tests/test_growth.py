@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from crawlloom.catalog import files, language
 from crawlloom.functions import html, markup
 from crawlloom.llm import ranking
+from crawlloom.operators.langid import placed, spans
 from crawlloom.operators.langid.grams import chunk_units, script_spans, span_chunks, span_units, text_grams, unit_places
 from crawlloom.operators.langid.model import train
 from crawlloom.operators.langid.refine import distinct_boost, drop_repeated_words, gram_hits
 from crawlloom.operators.langid.score import chunk_language, chunk_scores, score_texts
-from crawlloom.operators.langid.spans import refine_boundaries
+from crawlloom.operators.langid.spans import refine_boundaries, text_spans
 from crawlloom.sources import archive
 from crawlloom.sources import files as sources
 from crawlloom.sources.warc import read_warc
@@ -215,3 +216,56 @@ def test_best_languages_of_a_chunk_are_not_gathered(spark):
     got = {r.k: (r.lang1, r.lang2, r.score1, r.score2, r.grams, r.bytes) for r in best.collect()}
     assert got == {1: ("de", "en", 9, 9, 8, 40), 2: ("un", None, 0, 0, 0, 7), 3: ("en", None, 4, 0, 1, 10)}
     assert "collect_list" not in plan_of(best)
+
+
+ENGLISH, FRENCH = "the red house of my good friend stands near this old road ", "le petit chat noir dort dans une belle maison avec son ami "
+JAPANESE, RUSSIAN = "日本語東京漢字仮名", "привет мир да нет слово "
+
+
+@pytest.fixture
+def mixed_texts(spark):
+    """A model of words, and texts of several languages and scripts."""
+    labelled = [("en", ENGLISH), ("fr", FRENCH), ("fr", "road"), ("ja", JAPANESE), ("zh", "中文大小漢字"), ("ru", RUSSIAN), (None, "мир chat"), ("uk", "нет мир")]
+    model = train(spark.createDataFrame(labelled, "lang string, text string"), kinds=("word",))
+    texts = [
+        ENGLISH * 5 + "-- " + FRENCH * 4 + "\n!", ENGLISH * 9, "1. " + RUSSIAN * 20 + ENGLISH * 3 + JAPANESE * 20 + " a " + "大小中文" * 40, "η Γλώσσα" * 30 + FRENCH,
+        # words left out behind the last unit of a chunk, and before a border
+        ENGLISH * 3 + "buy now " * 300 + FRENCH * 6 + "buy now " * 50, "İstanbul İ ΟΔΟΣ'Α 漢İ字" * 9 + ENGLISH * 4 + FRENCH * 4, "ᚠᚠ a ᚠ µm " + FRENCH * 3,
+        "12 .. 34", "", None, "the the the", "İ", "\U0001d54f é " + JAPANESE * 12,
+    ]
+    return model, spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_words_of_a_text_are_no_rows_without_a_border(spark, mixed_texts, monkeypatch):
+    model, df = mixed_texts
+    for refine in (False, True):
+        by_units = rows_of(spans._spans_by_units(df, model, ["id"], "text", refine))
+        assert len(by_units) > 15
+        with monkeypatch.context() as m:
+            for name in ("unit_places", "text_chunks", "dealt_chunks"):
+                m.setattr(spans, name, lambda *a, **b: pytest.fail("a row for every word"))
+            # a slice is a text, or all of them
+            for size in (1, placed.SLICE_BYTES):
+                m.setattr(placed, "SLICE_BYTES", size)
+                assert rows_of(text_spans(df, model, ["id"], refine=refine)) == by_units
+    chunks = placed.placed_chunks(df, placed.packed(model), ["id"], 50)
+    assert {r.id: r.n for r in chunks.groupBy("id").agg(F.count("*").alias("n")).collect()}[1] == 1
+
+
+def test_keys_of_several_texts_are_counted_through(spark, mixed_texts, monkeypatch):
+    model, df = mixed_texts
+    twice = df.union(df.filter("id < 2")).union(df.filter("id = 2").selectExpr("3", "text")).union(df.selectExpr("CAST(NULL AS int)", "text"))
+    by_units = rows_of(spans._spans_by_units(twice, model, ["id"], "text", True))
+    assert rows_of(text_spans(twice, model, ["id"])) == by_units and "id=0" in str(by_units)
+
+
+def test_a_model_too_large_for_arrays_is_joined(mixed_texts, monkeypatch):
+    model, df = mixed_texts
+    whole = rows_of(text_spans(df, model, ["id"]))
+    assert placed.packed(model, model.gram_rows) and placed.packed(model, model.gram_rows - 1) is None
+    monkeypatch.setattr(spans, "packed", lambda model: None)
+    assert rows_of(text_spans(df, model, ["id"])) == whole
